@@ -89,14 +89,14 @@ def _merge_long(parts: list[bytes], ranks: dict[bytes, int]) -> list[int]:
     return [ranks[parts[i]] for i in range(n) if alive[i]]
 
 
-#: White space with two plain spaces in one run, or characters that not every library takes as white space.
-_ODD = re.compile(r" \s* |[\x1c-\x1f\x85\u180e]")
+#: A space before more white space or the end, or characters that not every library takes as white space.
+_ODD = re.compile(r" (?:\s|\Z)|[\x1c-\x1f\x85\u180e]")
 
 
 def chunks(text: str) -> list[str] | None:
     """Pieces of a text that no pre-token spans: each single space opens one, as it joins the next word.
 
-    None where runs of spaces need the pattern on the whole text.
+    None where a space before other white space needs the pattern on the whole text.
     """
     if _ODD.search(text):
         return None

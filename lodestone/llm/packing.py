@@ -18,7 +18,6 @@ other columns are ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
-import re
 import zlib
 from dataclasses import dataclass
 
@@ -161,12 +160,12 @@ def pack(pieces: DataFrame, length_col: str, key: list[str], capacity: Capacity
     return done.drop("filled")
 
 
-def pieces_of(docs: DataFrame, tokenizer_path: str, end_id: int, tokens: int, cut_text, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
+def pieces_of(docs: DataFrame, tokenizer_path: str, end_id: int, tokens: int, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
     """Encodes texts and cuts those longer than ``tokens``: ``doc_id, piece, start, length, ids_crc32`` and perhaps ``ids``."""
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches):
-        encoder = Encoder.of(tokenizer_path, cut_text)
+        encoder = Encoder.of(tokenizer_path, spaced=False)
         for b in batches:
             for at in range(0, b.num_rows, 500):
                 some = b.slice(at, 500)
@@ -187,11 +186,6 @@ def pieces_of(docs: DataFrame, tokenizer_path: str, end_id: int, tokens: int, cu
     return docs.select(F.col(id_col).cast("long"), text_col).mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids)
 
 
-def words_apart(text: str) -> list[str]:
-    """Chunks of a text for a tokenizer that drops white space and treats each word alone."""
-    return [x for x in re.split(r"[ \t\r\n]+", text) if x]
-
-
 def op8_best_fit(spark, sf_dir):
     """Packs all ``documents`` into sequences of at most 2048 tokens."""
     return packed_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"))
@@ -200,6 +194,6 @@ def op8_best_fit(spark, sf_dir):
 def packed_documents(docs: DataFrame) -> DataFrame:
     import public_tokenizers as P
 
-    pieces = cut(pieces_of(docs, P.path("word_bpe_49k.json"), 0, Capacity().tokens, words_apart))
+    pieces = cut(pieces_of(docs, P.path("word_bpe_49k.json"), 0, Capacity().tokens))
     out = pack(pieces, "length", ["doc_id", "piece", "ids_crc32"])
     return out.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")

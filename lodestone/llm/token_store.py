@@ -56,20 +56,20 @@ def perfect_hash(h: np.ndarray) -> np.ndarray:
     ends = np.cumsum(sizes)
     taken = np.zeros(n, bool)
     displace = np.zeros(buckets, "u4")
-    trial = np.arange(256, dtype="u8")
     for b in np.argsort(-sizes, kind="stable"):
         if not sizes[b]:
             break
         own = h[order[ends[b] - sizes[b] : ends[b]]]
-        base = 0
+        base, trials = 0, 8
         while True:
+            trial = np.arange(trials, dtype="u8")
             where = (mix64(own[None, :] + (trial[:, None] + np.uint64(base)) * np.uint64(0xD1342543DE82EF95)) % np.uint64(n)).astype("i8")
             free = ~taken[where].any(1)
             for d in np.flatnonzero(free):
                 if len(set(where[d].tolist())) == len(own):
                     break
             else:
-                base += 256
+                base, trials = base + trials, min(4 * trials, 4096)
                 if base > 1 << 30:
                     raise RuntimeError("two keys of a shard have one hash")
                 continue
@@ -103,17 +103,30 @@ def read_keys(row: dict, keys: np.ndarray) -> list[np.ndarray | None]:
     return [payload[int(s) : int(s) + int(n)] if ok else None for s, n, ok in zip(starts, lengths, held)]
 
 
-class Encoder:
-    """A tokenizer that keeps the ids of chunks it has seen; a worker process keeps it between tasks.
+class _Pieces(dict):
+    """Ids by piece; a piece not known gives itself."""
+
+    def __missing__(self, piece: str) -> str:
+        return piece
+
 
-    ``cut`` gives a text's chunks, which the tokenizer treats one by one as it would the whole text,
-    or None.  Not more than MOST chunks are kept.
+class Encoder:
+    """A tokenizer that keeps the ids of pieces it has seen; a worker process keeps it between tasks.
+
+    A text's pieces are what lies between single spaces.  With ``spaced`` the tokenizer keeps white
+    space and every piece but the first takes the space before it, which a byte-level pattern joins to
+    the word that follows; where more white space follows a space, or the text ends with one, the
+    tokenizer gets the whole text.  Without ``spaced`` it drops white space and treats words alone.
+    Either way ids are those of the whole text.  New pieces are encoded many to a string.  Not more
+    than about MOST pieces are kept.
     """
 
-    MOST = 600_000
+    MOST = 1_000_000
+    #: A character with an id of its own, which parts new pieces where white space is dropped.
+    MARK = "\x01"
     kept: dict[str, "Encoder"] = {}
 
-    def __init__(self, path: str, cut):
+    def __init__(self, path: str, spaced: bool):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -121,33 +134,76 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.cut, self.known = cut, {}
+        self.spaced = spaced
+        self.known = _Pieces()
+        if spaced:  # in this vocabulary a character stands for a byte
+            self.bytes_of = np.zeros(self.tokenizer.get_vocab_size(), "i8")
+            for token, i in self.tokenizer.get_vocab().items():
+                self.bytes_of[i] = len(token)
+        else:
+            (self.mark,) = self.ids(self.MARK)
 
     @classmethod
-    def of(cls, path: str, cut) -> "Encoder":
+    def of(cls, path: str, spaced: bool) -> "Encoder":
         if path not in cls.kept:
-            cls.kept[path] = cls(path, cut)
+            cls.kept[path] = cls(path, spaced)
         return cls.kept[path]
 
+    def ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
+    def learn(self, new: list[str]) -> None:
+        """Encodes pieces, joined to long strings, and takes the ids apart again."""
+        known = self.known
+        plain = []
+        for x in new:
+            if self.spaced and (not x or x[0].isspace()):
+                known[x] = None
+            elif not self.spaced and self.MARK in x:
+                known[x] = np.array(self.ids(x), "<u4").tobytes()
+            else:
+                plain.append(x)
+        for at in range(0, len(plain), 20_000):
+            some = plain[at : at + 20_000]
+            part = f" {self.MARK} " if not self.spaced else " "
+            strings = [part + part.join(some[k : k + 200]) for k in range(0, len(some), 200)]
+            ids = np.concatenate([np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(strings, add_special_tokens=False)])
+            if self.spaced:
+                ends = np.searchsorted(np.cumsum(self.bytes_of[ids]), np.cumsum([len(x.encode()) + 1 for x in some])) + 1
+            else:  # a mark before each piece
+                marks = np.flatnonzero(ids == self.mark)
+                ids = np.delete(ids, marks)
+                ends = np.r_[(marks - np.arange(len(marks)))[1:], len(ids)]
+            if len(ends) != len(some) or ends[-1] != len(ids):
+                raise RuntimeError("pieces and ids don't match")
+            raw, lo = ids.tobytes(), 0
+            for x, hi in zip(some, (4 * ends).tolist()):
+                known[x] = raw[lo:hi]
+                lo = hi
+
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as unsigned 32-bit integers."""
-        if len(self.known) > self.MOST:
-            self.known.clear()
-        cut = [self.cut(t) or [t] for t in texts]
-        new = list({x for c in cut for x in c if x not in self.known})
-        long = [x for x in new if len(x) > 200]
-        for at in range(0, len(new), 5000):
-            some = new[at : at + 5000]
-            for x, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                self.known[x] = np.array(e.ids, "<u4").tobytes()
         known = self.known
-        out = [b"".join([known[x] for x in c]) for c in cut]
-        for x in long:
-            del known[x]
+        if len(known) > self.MOST:
+            known.clear()
+        cut = [t.split(" ") for t in texts]
+        firsts = [c.pop(0) for c in cut] if self.spaced else []
+        first = [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(firsts, add_special_tokens=False)] if firsts else [b""] * len(texts)
+        found = [list(map(known.__getitem__, c)) for c in cut]  # pieces not known stand for themselves
+        new = {v for f in found for v in f if v.__class__ is str}
+        self.learn(list(new))
+        out = []
+        for t, head, f in zip(texts, first, found):
+            ids = [known[v] if v.__class__ is str else v for v in f]
+            # a piece without ids of its own: the whole text
+            out.append(np.array(self.ids(t), "<u4").tobytes() if None in ids else head + b"".join(ids))
+        for x in new:
+            if len(x) > 200:
+                del known[x]
         return out
 
 
-def write(docs: DataFrame, path: str, tokenizer_path: str, cut, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> None:
+def write(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Encodes the texts in ascending order of id and writes the dataset to ``path``.
 
     One range shuffle of the texts; then each task encodes its range in order and fills shards of
@@ -157,7 +213,7 @@ def write(docs: DataFrame, path: str, tokenizer_path: str, cut, end_id: int, id_
     end = np.array([end_id], "<u4").tobytes()
 
     def shards(batches: Iterator[pa.RecordBatch]):
-        encoder = Encoder.of(tokenizer_path, cut)
+        encoder = Encoder.of(tokenizer_path, spaced=True)
         part, k, held, ids, total = TaskContext.get().partitionId(), 0, [], [], 0
         previous, occurrence = object(), 0
 
@@ -240,8 +296,6 @@ def op7_token_store(spark, sf_dir):
     """Encodes ``documents``, writes the dataset in the shared folder, and reads it back."""
     import public_tokenizers as P
 
-    from .bpe import chunks
-
     path = new_path(spark, "token-store")
-    write(spark.read.parquet(f"{sf_dir}/documents.parquet"), path, P.path("byte_bpe_50k.json"), chunks, end_id=2)
+    write(spark.read.parquet(f"{sf_dir}/documents.parquet"), path, P.path("byte_bpe_50k.json"), end_id=2)
     return scan(spark.read.parquet(path)).select("doc_id", "start", "n_tokens", "ids_crc32")
