@@ -167,8 +167,8 @@ def pieces_of(docs: DataFrame, tokenizer_path: str, end_id: int, tokens: int, id
     def run(batches):
         encoder = Encoder.of(tokenizer_path, spaced=False)
         for b in batches:
-            for at in range(0, b.num_rows, 500):
-                some = b.slice(at, 500)
+            for at in range(0, b.num_rows, 1000):
+                some = b.slice(at, 1000)
                 doc, piece, start, length, crc, ids = [], [], [], [], [], []
                 for key, raw in zip(some.column(0).to_pylist(), encoder([t or "" for t in some.column(1).to_pylist()])):
                     raw += end

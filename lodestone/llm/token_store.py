@@ -121,7 +121,7 @@ class Encoder:
     than about MOST pieces are kept.
     """
 
-    MOST = 1_000_000
+    MOST = 1_500_000
     #: A character with an id of its own, which parts new pieces where white space is dropped.
     MARK = "\x01"
     kept: dict[str, "Encoder"] = {}
@@ -222,8 +222,8 @@ def write(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, id_col:
             return pa.RecordBatch.from_pylist([pack_shard(part << 32 | k, keys, held)], schema=arrow)
 
         for b in batches:
-            for at in range(0, b.num_rows, 500):
-                some = b.slice(at, 500)
+            for at in range(0, b.num_rows, 1000):
+                some = b.slice(at, 1000)
                 for key, raw in zip(some.column(0).to_pylist(), encoder([t or "" for t in some.column(1).to_pylist()])):
                     occurrence = occurrence + 1 if key == previous else 0
                     previous = key
