@@ -113,17 +113,19 @@ class _Pieces(dict):
 class Encoder:
     """A tokenizer that keeps the ids of pieces it has seen; a worker process keeps it between tasks.
 
-    A text's pieces are what lies between single spaces.  With ``spaced`` the tokenizer keeps white
-    space and every piece but the first takes the space before it, which a byte-level pattern joins to
-    the word that follows; where more white space follows a space, or the text ends with one, the
-    tokenizer gets the whole text.  Without ``spaced`` it drops white space and treats words alone.
-    Either way ids are those of the whole text.  New pieces are encoded many to a string.  Not more
-    than about MOST pieces are kept.
+    A text's pieces are what lies between single spaces and newlines.  With ``spaced`` the tokenizer
+    keeps white space: a piece takes the space before it, which a byte-level pattern joins to the word
+    that follows, or the newline before it.  Where more white space follows a space or newline, or the
+    text ends with one, the tokenizer gets the whole text.  Without ``spaced`` it drops white space and
+    treats words alone.  A mark at the end of a piece, after a letter, has ids of its own.  So ids are
+    always those of the whole text.  New pieces are encoded many to a string.  Not more than about
+    MOST pieces are kept.
     """
 
     MOST = 1_500_000
     #: A character with an id of its own, which parts new pieces where white space is dropped.
     MARK = "\x01"
+    ENDS = ".,;:!?"
     kept: dict[str, "Encoder"] = {}
 
     def __init__(self, path: str, spaced: bool):
@@ -135,6 +137,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.spaced = spaced
+        self.end_ids = {c: np.array(self.ids(c), "<u4").tobytes() for c in self.ENDS}
         self.known = _Pieces()
         if spaced:  # in this vocabulary a character stands for a byte
             self.bytes_of = np.zeros(self.tokenizer.get_vocab_size(), "i8")
@@ -155,21 +158,31 @@ class Encoder:
     def learn(self, new: list[str]) -> None:
         """Encodes pieces, joined to long strings, and takes the ids apart again."""
         known = self.known
-        plain = []
+        plain: dict[str, None] = {}
+        ended = []
         for x in new:
-            if self.spaced and (not x or x[0].isspace()):
+            if self.spaced and (not x or x[x[0] == "\n" :][:1].isspace() or x == "\n"):
                 known[x] = None
             elif not self.spaced and self.MARK in x:
                 known[x] = np.array(self.ids(x), "<u4").tobytes()
+            elif x and x[-1] in self.ENDS and x[-2:-1].lower().isalpha():
+                ended.append(x)
+                if x[:-1] not in known:
+                    plain[x[:-1]] = None
             else:
-                plain.append(x)
-        for at in range(0, len(plain), 20_000):
-            some = plain[at : at + 20_000]
-            part = f" {self.MARK} " if not self.spaced else " "
-            strings = [part + part.join(some[k : k + 200]) for k in range(0, len(some), 200)]
+                plain[x] = None
+        every = list(plain)
+        for at in range(0, len(every), 20_000):
+            some = every[at : at + 20_000]
+            if self.spaced:
+                joined = [x if x[0] == "\n" else " " + x for x in some]
+                sizes = [len(x.encode()) for x in joined]
+                strings = ["".join(joined[k : k + 200]) for k in range(0, len(some), 200)]
+            else:
+                strings = [f" {self.MARK} " + f" {self.MARK} ".join(some[k : k + 200]) for k in range(0, len(some), 200)]
             ids = np.concatenate([np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(strings, add_special_tokens=False)])
             if self.spaced:
-                ends = np.searchsorted(np.cumsum(self.bytes_of[ids]), np.cumsum([len(x.encode()) + 1 for x in some])) + 1
+                ends = np.searchsorted(np.cumsum(self.bytes_of[ids]), np.cumsum(sizes)) + 1
             else:  # a mark before each piece
                 marks = np.flatnonzero(ids == self.mark)
                 ids = np.delete(ids, marks)
@@ -180,13 +193,15 @@ class Encoder:
             for x, hi in zip(some, (4 * ends).tolist()):
                 known[x] = raw[lo:hi]
                 lo = hi
+        for x in ended:
+            known[x] = known[x[:-1]] + self.end_ids[x[-1]]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as unsigned 32-bit integers."""
         known = self.known
         if len(known) > self.MOST:
             known.clear()
-        cut = [t.split(" ") for t in texts]
+        cut = [t.replace("\n", " \n" if self.spaced else " ").split(" ") for t in texts]
         firsts = [c.pop(0) for c in cut] if self.spaced else []
         first = [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(firsts, add_special_tokens=False)] if firsts else [b""] * len(texts)
         found = [list(map(known.__getitem__, c)) for c in cut]  # pieces not known stand for themselves
