@@ -2,13 +2,14 @@
 
 Texts are cut into blocks of documents that one task reads in a row.
 
-1. Every block's pre-tokens are made distinct and shuffled by word; each distinct word of the corpus
-   is encoded once, and its ids go back to every block that has the word.
-2. The same blocks are read again and give, for every document, the positions' word numbers.
+1. Every block's pre-tokens are made distinct and shuffled by hash buckets of the words; each distinct
+   word of the corpus is encoded once, and its ids go back to every block that has the word.
+2. The same blocks are read again and give, for every document, the positions' chunk numbers, a chunk
+   being the pre-tokens from one space to the next.
 3. Both meet by block: the documents' ids are reassembled in the order of positions.
 
 Neither shuffle moves a frequent word more than once for each block, so a hot word is as light as
-any other.  Numbers of words are only good inside one reading order: a checksum of the block's
+any other; the words of one block and bucket travel packed in one row.  Blocks are only good inside one reading order: a checksum of the block's
 documents goes with both sides, and a difference stops the job.  ``docs`` should thus be a stored
 table, as the queries have it, rather than the output of a shuffle.
 
@@ -32,9 +33,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import binary_array, key_runs, partitions
+from .common import key_runs, partitions, starts_of
 
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 24 << 20
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -89,41 +90,48 @@ def _merge_long(parts: list[bytes], ranks: dict[bytes, int]) -> list[int]:
     return [ranks[parts[i]] for i in range(n) if alive[i]]
 
 
-#: A space before more white space or the end, or characters that not every library takes as white space.
-_ODD = re.compile(r" (?:\s|\Z)|[\x1c-\x1f\x85\u180e]")
+#: A space or newline before more white space or the end, or characters that not every library takes as white space.
+_ODD = re.compile(r"[ \n](?:\s|\Z)|[\x1c-\x1f\x85\u180e]")
 
 
 def chunks(text: str) -> list[str] | None:
-    """Pieces of a text that no pre-token spans: each single space opens one, as it joins the next word.
+    """Pieces of a text that no pre-token spans: a single space opens one, as it joins the next word, and so does a newline.
 
-    None where a space before other white space needs the pattern on the whole text.
+    None where a space or newline before other white space needs the pattern on the whole text.
     """
     if _ODD.search(text):
         return None
-    first, *rest = text.split(" ")
-    return [first, *[" " + x for x in rest]]
-
-
-class _Block:
-    """Documents of a block as numbers of distinct chunks, and chunks as numbers of distinct words."""
-
-    def __init__(self, texts: list[str], pattern: regex.Pattern):
-        chunk_no: dict[str, int] = {}
-        odd: dict[int, list[str]] = {}
-        self.docs: list[np.ndarray] = []
-        self.check = 0
-        for text in texts:
-            found = chunks(text)
-            if found is None:
-                found = [f"\0{len(odd)}"]  # a chunk for the whole text
-                odd[len(chunk_no)] = pattern.findall(text)
-            self.docs.append(np.fromiter([chunk_no.setdefault(x, len(chunk_no)) for x in found], "u4", len(found)))
-            self.check = zlib.crc32(len(text).to_bytes(8, "little"), self.check)
-        word_no: dict[str, int] = {}
-        self.lists: list[list[int]] = []
-        for i, chunk in enumerate(chunk_no):
-            self.lists.append([word_no.setdefault(w, len(word_no)) for w in (odd[i] if i in odd else pattern.findall(chunk))])
-        self.words = list(word_no)
+    first, *rest = text.replace("\n", " \n").split(" ")
+    return [first, *[x if x[0] == "\n" else " " + x for x in rest]]
+
+
+def _checksum(texts: list[str]) -> int:
+    return zlib.crc32(np.array([len(t) for t in texts], "<i8").tobytes())
+
+
+def _chunked(texts: list[str], pattern: regex.Pattern) -> tuple[dict[str, list[str]], list[list[str]]]:
+    """Every text as chunks, and every distinct chunk's pre-tokens.
+
+    A text that can't be cut is one chunk; its name can't be that of another chunk.
+    """
+    docs, words = [], {}
+    for k, text in enumerate(texts):
+        found = chunks(text)
+        if found is None:
+            found = [f"  {k}"]
+            words[found[0]] = pattern.findall(text)
+        docs.append(found)
+    for chunk in set().union(*docs).difference(words):
+        words[chunk] = pattern.findall(chunk)
+    return words, docs
+
+
+def _ordered(words: dict[str, list[str]], buckets: int) -> tuple[list[bytes], np.ndarray]:
+    """The block's distinct words by bucket and bytes, and each one's bucket: the same in both readings."""
+    distinct = sorted({w.encode() for some in words.values() for w in some})
+    bucket = np.fromiter([zlib.crc32(w) % buckets for w in distinct], "i8", len(distinct))
+    order = np.argsort(bucket, kind="stable")
+    return [distinct[i] for i in order], bucket[order]
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list, list[str]]]:
@@ -152,85 +160,105 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
     ranks = spark.sparkContext.broadcast(read_ranks(ranks_path))
     source = docs.select(id_col, text_col)
 
+    buckets = 2 * partitions(spark)
+    id_type = "<u2" if max(ranks.value.values()) < 65536 else "<u4"
+
     def words(batches):
         compiled = regex.compile(pattern)
         for block, _, texts in _blocks(batches):
-            made = _Block(texts, compiled)
-            for at in range(0, len(made.words), 50_000):
-                some = made.words[at : at + 50_000]
-                n = len(some)
-                yield pa.record_batch({"word": pa.array(some, pa.string()), "block": np.full(n, block, "i8"), "n": np.arange(at, at + n, dtype="i4"), "check": np.full(n, made.check, "i8")})
+            distinct, bucket = _ordered(_chunked(texts, compiled)[0], buckets)
+            starts = starts_of(bucket)
+            ends = np.r_[starts[1:], len(bucket)]
+            body = [_pack(np.array([len(w) for w in distinct[lo:hi]])) + b"".join(distinct[lo:hi]) for lo, hi in zip(starts, ends)]
+            yield pa.record_batch({"bucket": bucket[starts], "block": np.full(len(starts), block, "i8"), "check": np.full(len(starts), _checksum(texts), "i8"), "body": pa.array(body, pa.binary())})
 
     def number(batches):
         known = ranks.value
-        for t in key_runs(batches, ["word"]):
-            col = t.column("word").combine_chunks()
-            coded = col.dictionary_encode() if isinstance(col, pa.Array) else col.chunk(0).dictionary_encode()
-            per_word = [np.array(merge_word(w.encode(), known), "<u4").tobytes() for w in coded.dictionary.to_pylist()]
-            ids = pa.array(per_word, pa.binary()).take(coded.indices)
-            for b in pa.table({"block": t.column("block"), "n": t.column("n"), "check": t.column("check"), "ids": ids}).to_batches():
-                yield b
+        for t in key_runs(batches, ["bucket"], 1):
+            own: dict[bytes, bytes] = {}
+            out = []
+            for body in t.column("body").to_pylist():
+                sizes, at = _unpack(body)
+                ids = []
+                for n in sizes.tolist():
+                    w = body[at : at + n]
+                    at += n
+                    if (x := own.get(w)) is None:
+                        x = own[w] = np.array(merge_word(w, known), id_type).tobytes()
+                    ids.append(x)
+                out.append(_pack(np.array([len(x) for x in ids])) + b"".join(ids))
+            yield from pa.table({"block": t.column("block"), "check": t.column("check"), "bucket": t.column("bucket"), "body": pa.array(out, pa.binary())}).to_batches()
 
     def sequences(batches):
         compiled = regex.compile(pattern)
         for block, ids, texts in _blocks(batches):
-            made = _Block(texts, compiled)
-            sizes = np.array([len(x) for x in made.lists], "u4")
-            flat = np.array([w for x in made.lists for w in x], "u4")
-            seen = np.bincount(np.concatenate(made.docs), minlength=len(sizes))
-            rank = np.empty(len(sizes), "u4")
-            rank[np.argsort(-seen, kind="stable")] = np.arange(len(sizes), dtype="u4")  # frequent chunks get small numbers
-            doc_parts = [_pack(rank[d]) for d in made.docs]
-            yield pa.record_batch({"block": pa.array([block], pa.int64()), "check": pa.array([made.check], pa.int64()), "doc": pa.array([None], pa.int64()), "body": pa.array([rank.tobytes() + sizes.tobytes() + flat.tobytes()], pa.binary()), "chunks": pa.array([len(sizes)], pa.int32())})
+            words, docs = _chunked(texts, compiled)
+            number_of = {w: i for i, w in enumerate(_ordered(words, buckets)[0])}
+            chunk_no = {c: i for i, c in enumerate(words)}
+            parts = [np.fromiter(map(chunk_no.__getitem__, d), "i8", len(d)) for d in docs]
+            order = np.argsort(-np.bincount(np.concatenate(parts), minlength=len(words)), kind="stable")
+            rank = np.empty(len(order), "i8")
+            rank[order] = np.arange(len(order))  # frequent chunks get small numbers
+            lists = list(words.values())
+            flat = np.array([number_of[w.encode()] for i in order.tolist() for w in lists[i]], "i8")
+            head = _pack(np.array([len(lists[i]) for i in order.tolist()])) + flat.astype("<u4").tobytes()
+            del words, lists, chunk_no, docs
+            check = _checksum(texts)
+            yield pa.record_batch({"block": pa.array([block], pa.int64()), "check": pa.array([check], pa.int64()), "doc": pa.array([None], pa.int64()), "body": pa.array([head], pa.binary()), "head": pa.array([True])})
             for at in range(0, len(ids), 2000):
-                n = len(ids[at : at + 2000])
-                yield pa.record_batch({"block": np.full(n, block, "i8"), "check": np.full(n, made.check, "i8"), "doc": pa.array(ids[at : at + n], pa.int64()), "body": pa.array(doc_parts[at : at + n], pa.binary()), "chunks": np.full(n, -1, "i4")})
+                some = ids[at : at + 2000]
+                yield pa.record_batch({"block": np.full(len(some), block, "i8"), "check": np.full(len(some), check, "i8"), "doc": pa.array(some, pa.int64()), "body": pa.array([_pack(rank[x]) for x in parts[at : at + 2000]], pa.binary()), "head": np.zeros(len(some), bool)})
 
     def reassemble(left: pa.Table, right: pa.Table) -> pa.Table:
-        head = right.filter(pa.compute.greater_equal(right.column("chunks"), 0))
-        rows = right.filter(pa.compute.less(right.column("chunks"), 0))
-        n = head.column("chunks")[0].as_py()
-        body = np.frombuffer(head.column("body")[0].as_py(), "u4")
-        if left.num_rows and left.column("check")[0].as_py() != head.column("check")[0].as_py():
+        top = right.filter(right.column("head"))
+        rows = right.filter(pa.compute.invert(right.column("head")))
+        if left.num_rows and left.column("check")[0].as_py() != top.column("check")[0].as_py():
             raise RuntimeError("a block's two readings differ: give encode() a stored table")
-        rank, sizes, flat = body[:n], body[n : 2 * n].astype("i8"), body[2 * n :]
-        words = np.empty(left.num_rows, object)
-        words[left.column("n").to_numpy()] = left.column("ids").to_pylist()
-        ends = np.cumsum(sizes)
-        by_rank = np.empty(n, object)
-        listed = words[flat] if len(flat) else words
-        for i, (lo, hi) in enumerate(zip(ends - sizes, ends)):
-            by_rank[rank[i]] = b"".join(listed[lo:hi])
-        out = [b"".join(by_rank[_unpack(x)]) for x in rows.column("body").to_pylist()]
+        listed: list[bytes] = []
+        for body in left.sort_by("bucket").column("body").to_pylist():
+            sizes, at = _unpack(body)
+            for n in sizes.tolist():
+                listed.append(body[at : at + n])
+                at += n
+        body = top.column("body")[0].as_py()
+        sizes, at = _unpack(body)
+        flat = np.frombuffer(body, "<u4", offset=at).tolist()
+        by_rank = np.empty(len(sizes), object)
+        lo = 0
+        for i, n in enumerate(sizes.tolist()):
+            by_rank[i] = listed[flat[lo]] if n == 1 else b"".join([listed[w] for w in flat[lo : lo + n]])
+            lo += n
+        out = [np.frombuffer(b"".join(by_rank[_unpack(x)[0]]), id_type).astype("<u4").tobytes() for x in rows.column("body").to_pylist()]
         return pa.table({id_col: rows.column("doc"), "ids": pa.array(out, pa.binary())})
 
-    n = partitions(spark)
     dictionary = (
-        source.mapInArrow(words, "word string, block long, n int, check long")
-        .repartition(n, "word").sortWithinPartitions("word")
-        .mapInArrow(number, "block long, n int, check long, ids binary")
+        source.mapInArrow(words, "bucket long, block long, check long, body binary")
+        .repartition(partitions(spark), "bucket").sortWithinPartitions("bucket")
+        .mapInArrow(number, "block long, check long, bucket long, body binary")
     )
-    texts = source.mapInArrow(sequences, "block long, check long, doc long, body binary, chunks int")
+    texts = source.mapInArrow(sequences, "block long, check long, doc long, body binary, head boolean")
     return dictionary.groupBy("block").cogroup(texts.groupBy("block")).applyInArrow(reassemble, f"{id_col} long, ids binary")
 
 
 def _pack(x: np.ndarray) -> bytes:
-    """Numbers below 255 in one byte, below 65536 in three, others in five or less; reversed by _unpack."""
+    """Numbers below 254 in a byte, below 65536 in three, others in five; reversed by _unpack."""
     small = x < 254
     mid = ~small & (x < 65536)
     lead = np.where(small, x, np.where(mid, 254, 255)).astype("u1")
     return len(x).to_bytes(4, "little") + lead.tobytes() + x[mid].astype("<u2").tobytes() + x[~small & ~mid].astype("<u4").tobytes()
 
 
-def _unpack(b: bytes) -> np.ndarray:
+def _unpack(b: bytes) -> tuple[np.ndarray, int]:
+    """The numbers, and where they end."""
     n = int.from_bytes(b[:4], "little")
     lead = np.frombuffer(b, "u1", n, 4)
     out = lead.astype("i8")
     mid, big = lead == 254, lead == 255
     m = int(mid.sum())
     out[mid] = np.frombuffer(b, "<u2", m, 4 + n)
-    out[big] = np.frombuffer(b, "<u4", int(big.sum()), 4 + n + 2 * m)
-    return out
+    k = int(big.sum())
+    out[big] = np.frombuffer(b, "<u4", k, 4 + n + 2 * m)
+    return out, 4 + n + 2 * m + 4 * k
 
 
 def decode(encoded: DataFrame, ranks_path: str, keep: list[str], digest: bool = False) -> DataFrame:
