@@ -1,8 +1,595 @@
-"""All queries of the graph engine and their SQL."""
+"""The graph engine's queries over the driver tables, each with its SQL where SQL can express it."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from .functions import text as T
+from .operators import graph as G
+from .operators import match as M
+from .operators import merge as R
 
 QUERIES: dict = {}
 ORACLES: dict = {}
 
 
-def flagship(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/nation.parquet")
+def query(sql: str | None = None):
+    """Registers a query under its function's name; it gets a reader of tables."""
+
+    def add(f):
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return f(lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+
+        run.__doc__, run.__name__ = f.__doc__, f.__name__
+        QUERIES[f.__name__] = run
+        if sql:
+            ORACLES[f.__name__] = sql
+        return run
+
+    return add
+
+
+# --- sources and scalars -------------------------------------------------------------------------
+
+
+@query("select page_id, url, octet_length(encode(html)) as bytes from pages")
+def scan_pages(t):
+    return t("pages").select("page_id", "url", F.octet_length("html").cast("long").alias("bytes"))
+
+
+@query("select event_id, cast(json_extract_string(props, '$.k') as bigint) as k from events")
+def flatten_api_json(t):
+    return t("events").select("event_id", F.get_json_object("props", "$.k").cast("long").alias("k"))
+
+
+@query("select event_id, 'k' as name, json_extract_string(props, '$.k') as value from events where json_extract_string(props, '$.k') is not null")
+def kv_map(t):
+    return t("events").select("event_id", F.explode(F.from_json("props", "map<string,string>")).alias("name", "value"))
+
+
+@query("select p_partkey, trim(regexp_replace(lower(p_name || ' ' || p_brand), '[^a-z0-9]+', '-', 'g'), '-') as slug from part")
+def slugify(t):
+    return t("part").select("p_partkey", T.slugify(F.concat_ws(" ", "p_name", "p_brand")).alias("slug"))
+
+
+@query("select doc_id, trim(regexp_replace(text, '\\s+', ' ', 'g')) as text from documents")
+def normalise_space(t):
+    return t("documents").select("doc_id", T.normalise_space(F.col("text")).alias("text"))
+
+
+@query("select doc_id, regexp_matches(text, '\\p{L}') as letters from documents")
+def has_letter(t):
+    return t("documents").select("doc_id", T.has_letter(F.col("text")).alias("letters"))
+
+
+@query("select conv_id, turn, role, (coalesce(contains(text, '?'), false) or coalesce(contains(role, '?'), false)) as uncertain from conversations")
+def is_uncertain(t):
+    return t("conversations").select("conv_id", "turn", "role", T.is_uncertain(F.col("text"), F.col("role")).alias("uncertain"))
+
+
+@query("""select page_id, trim(regexp_replace(regexp_replace(regexp_replace(html, '(?s)<!--.*?-->|<script.*?</script>|<style.*?</style>', '', 'g'), '<[^>]*>', ' ', 'g'), '\\s+', ' ', 'g')) as text from pages""")
+def strip_markup(t):
+    return t("pages").select("page_id", T.strip_tags(F.col("html")).alias("text"))
+
+
+_NOTATION = "case l_linenumber % 4 when 0 then '+' when 1 then 'x' when 2 then '^' else '' end || cast(l_quantity as bigint)"
+
+
+@query(f"""select n as notation, case when n like '^%' then 'exp' when n like 'x%' then 'mult' when n like '+%' then 'add' end as op, count(*) as times
+from (select {_NOTATION} as n from lineitem) group by 1, 2""")
+def derive_op(t):
+    n = F.concat(F.when(F.col("l_linenumber") % 4 == 0, "+").when(F.col("l_linenumber") % 4 == 1, "x").when(F.col("l_linenumber") % 4 == 2, "^").otherwise(""), F.col("l_quantity").cast("long").cast("string"))
+    return t("lineitem").select(n.alias("notation")).select("notation", T.derive_op(F.col("notation")).alias("op")).groupBy("notation", "op").agg(F.count("*").alias("times"))
+
+
+@query("select page_id, replace(replace(split_part(url, '#', 1), ' ', '_'), '/', '__') || '.wikitext' as file from pages")
+def page_key(t):
+    return t("pages").select("page_id", T.page_file(F.col("url")).alias("file"))
+
+
+@query("""select page_id, 'https://base.invalid/' || array_to_string(list_transform(list_filter(string_split(replace(split_part(url, '#', 1), ' ', '_'), '/'), lambda s: s not in ('', '.', '..')), lambda s: url_encode(s)), '/') as link from pages""")
+def safe_url(t):
+    return t("pages").select("page_id", T.safe_url(F.col("url"), "https://base.invalid/").alias("link"))
+
+
+@query("select page_id, nullif(regexp_extract(url, '[?&]page=([^&#]*)', 1), '') as page, coalesce(nullif(regexp_extract(url, '[?&]ref=([^&#]*)', 1), ''), 'none') as ref from pages")
+def url_params(t):
+    return t("pages").select("page_id", T.query_param(F.col("url"), "page").alias("page"), F.coalesce(T.query_param(F.col("url"), "ref"), F.lit("none")).alias("ref"))
+
+
+@query("select page_id, case when url like 'https://%' then 'secure' when url like 'http://%' then 'plain' else 'other' end as label, case when url like 'http%' then url end as href from pages")
+def source_label(t):
+    u = F.col("url")
+    return t("pages").select("page_id", F.when(u.startswith("https://"), "secure").when(u.startswith("http://"), "plain").otherwise("other").alias("label"), F.when(u.startswith("http"), u).alias("href"))
+
+
+@query("select n_nationkey, case when n_nationkey % 5 = 0 then 'Nation ' || n_nationkey else 'Nation ' || n_nationkey || ' (' || n_name || ')' end as label from nation")
+def compose_label(t):
+    name = F.when(F.col("n_nationkey") % 5 != 0, F.col("n_name"))
+    return t("nation").select("n_nationkey", T.numbered_label(F.lit("nation"), F.col("n_nationkey"), name).alias("label"))
+
+
+@query("select event_type, case event_type when 'click' then 'blue' when 'purchase' then 'green' else 'grey' end as colour, count(*) as n from events group by 1, 2")
+def lookup_default(t):
+    colours = F.create_map(F.lit("click"), F.lit("blue"), F.lit("purchase"), F.lit("green"))
+    return t("events").select("event_type", F.coalesce(F.try_element_at(colours, F.col("event_type")), F.lit("grey")).alias("colour")).groupBy("event_type", "colour").agg(F.count("*").alias("n"))
+
+
+@query("select n_nationkey, 'nation.yaml' || case when n_nationkey % 3 = 0 then '' else ':' || n_nationkey end || '  warning  ' || n_name as line from nation")
+def problem_render(t):
+    place = F.concat(F.lit("nation.yaml"), F.when(F.col("n_nationkey") % 3 == 0, "").otherwise(F.concat(F.lit(":"), F.col("n_nationkey").cast("string"))))
+    return t("nation").select("n_nationkey", F.concat_ws("  ", place, F.lit("warning"), F.col("n_name")).alias("line"))
+
+
+@query("""select p_partkey, '{"id":"' || p_partkey || '"' || case when p_size % 2 = 0 then ',"kind":"' || p_type || '"' else '' end || ',"name":"' || p_name || '"}' as json from part""")
+def render_node_json(t):
+    return t("part").select("p_partkey", T.json_text(id=F.col("p_partkey"), name=F.col("p_name"), kind=F.when(F.col("p_size") % 2 == 0, F.col("p_type"))).alias("json"))
+
+
+@query("select p_partkey, p_name from part where contains(lower(p_name), lower(trim(' RED ')))")
+def name_search(t):
+    return t("part").where(F.contains(F.lower("p_name"), F.lower(F.trim(F.lit(" RED "))))).select("p_partkey", "p_name")
+
+
+# --- tables inside pages -------------------------------------------------------------------------
+
+
+@query("select page_id, cast(generate_subscripts(l, 1) - 1 as bigint) as pos, unnest(l) as item from (select page_id, regexp_extract_all(html, '(?s)<li[^>]*>(.*?)</li>', 1) l from pages)")
+def parse_rows(t):
+    return t("pages").select("page_id", F.posexplode(F.regexp_extract_all("html", F.lit("(?s)<li[^>]*>(.*?)</li>"), F.lit(1))).alias("pos", "item")).withColumn("pos", F.col("pos").cast("long"))
+
+
+@query("select page_id, cast(len(regexp_extract_all(html, '<p[ >]')) as bigint) as paragraphs, cast(len(regexp_extract_all(html, '<li[ >]')) as bigint) as items from pages")
+def parse_html_blocks(t):
+    return t("pages").select("page_id", *[F.size(F.regexp_extract_all("html", F.lit(p), F.lit(0))).cast("long").alias(n) for p, n in (("<p[ >]", "paragraphs"), ("<li[ >]", "items"))])
+
+
+@query()
+def split_outside(t):
+    return t("documents").where(F.contains("text", F.lit("("))).select("doc_id", F.posexplode(M.split_outside("text")).alias("pos", "part"))
+
+
+@query("""select event_id, last_value(case when event_type = 'purchase' then event_id end ignore nulls) over (partition by user_id order by ts, event_id rows between unbounded preceding and current row) as last_purchase from events""")
+def fill_down(t):
+    e = t("events").withColumn("mark", F.when(F.col("event_type") == "purchase", F.col("event_id")))
+    return R.fill_down(e, "mark", ["user_id"], ["ts", "event_id"], "last_purchase").select("event_id", "last_purchase")
+
+
+@query("select doc_id, source from (select *, row_number() over (partition by text order by doc_id) n from documents) where n = 1")
+def first_wins(t):
+    return R.first_wins(t("documents"), ["text"], ["doc_id"]).select("doc_id", "source")
+
+
+@query("select slug, min(p_partkey) as p_partkey, count(*) - 1 as discarded from (select p_partkey, trim(regexp_replace(lower(p_brand || ' ' || p_type), '[^a-z0-9]+', '-', 'g'), '-') slug from part) group by 1")
+def minted_first_wins(t):
+    minted = t("part").select("p_partkey", T.slugify(F.concat_ws(" ", "p_brand", "p_type")).alias("slug"))
+    w = Window.partitionBy("slug")
+    return R.first_wins(minted.withColumn("discarded", F.count("*").over(w) - 1), ["slug"], ["p_partkey"]).select("slug", "p_partkey", "discarded")
+
+
+_LINE = "l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate"
+
+
+@query(f"""select l_orderkey, l_linenumber, l_partkey, discarded from (select *, row_number() over (partition by l_orderkey, l_linenumber order by {', '.join(c + ' desc' for c in _LINE.split(', '))}) n, count(*) over (partition by l_orderkey, l_linenumber) - 1 discarded from lineitem) where n = 1""")
+def last_wins(t):
+    return R.last_wins(t("lineitem"), ["l_orderkey", "l_linenumber"], _LINE.split(", ")).select("l_orderkey", "l_linenumber", "l_partkey", "discarded")
+
+
+@query("select 0 as _src_ord, o_orderkey as id, o_orderstatus as kind from orders union all select 1, event_id, event_type from events")
+def union_all_ordered(t):
+    return R.union_ordered(t("orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("kind")), t("events").select(F.col("event_id").alias("id"), F.col("event_type").alias("kind"))).select("_src_ord", "id", "kind")
+
+
+# --- vocabulary and matching ---------------------------------------------------------------------
+
+
+@query("select doc_id, cast(unnest(regexp_extract_all(text, '(?:^|[^0-9])([0-9]{3})(?:[^0-9]|$)', 1)) as integer) as number from documents")
+def extract_entities(t):
+    return t("documents").select("doc_id", F.explode(F.regexp_extract_all("text", F.lit("(?:^|[^0-9])([0-9]{3})(?:[^0-9]|$)"), F.lit(1))).alias("number")).withColumn("number", F.col("number").cast("int"))
+
+
+@query("select distinct surface, target from (select p_name as surface, p_partkey as target from part union all select p_brand, p_partkey from part)")
+def vocab_build(t):
+    return _vocabulary(t).distinct()
+
+
+def _vocabulary(t):
+    return t("part").select(F.explode(F.array("p_name", "p_brand")).alias("surface"), F.col("p_partkey").alias("target"))
+
+
+@query("""select distinct surface, (surface = upper(surface) and surface <> lower(surface)) as case_sensitive from (select trim(substr(p_name, 1, 1 + cast(p_partkey % 4 as integer))) surface from part union all select n_name from nation)
+where length(surface) >= 3 or (length(surface) = 2 and surface = upper(surface) and surface <> lower(surface) and regexp_full_match(surface, '\\p{L}+'))""")
+def vocab_accept(t):
+    short = t("part").select(F.expr("substr(p_name, 1, 1 + cast(p_partkey % 4 as int))").alias("surface")).union(t("nation").select("n_name"))
+    return M.accepted(short.withColumn("target", F.lit(0))).select("surface", "case_sensitive").distinct()
+
+
+@query("select lower(surface) as folded, count(distinct target) as targets from (select p_brand as surface, p_partkey as target from part union all select p_name, p_partkey from part) group by 1 having count(distinct target) > 1")
+def vocab_collisions(t):
+    return M.collisions(_vocabulary(t))
+
+
+_TERMS = ("idiot", "the and", "with", "license", "version 2.0", "apache license")
+
+
+def _hits(t):
+    spark = SparkSession.getActiveSession()
+    vocab = spark.createDataFrame([(s, k) for k, s in enumerate(_TERMS)], "surface string, target int")
+    return M.match(t("documents"), vocab, "doc_id", "text")
+
+
+@query()
+def vocab_match(t):
+    return _hits(t)
+
+
+@query()
+def resolve_refs(t):
+    return M.resolve(_hits(t), "doc_id")
+
+
+@query("select doc_id, cast(strpos(lower(text), 'licensed under') as bigint) as marker, contains(lower(text), 'licensed under') as is_input from documents")
+def input_spans(t):
+    return t("documents").select("doc_id", F.locate("licensed under", F.lower("text")).cast("long").alias("marker"), F.contains(F.lower("text"), F.lit("licensed under")).alias("is_input"))
+
+
+@query("select distinct case when l_linenumber % 2 = 0 then l_partkey else l_suppkey end as src, case when l_linenumber % 2 = 0 then l_suppkey else l_partkey end as dst from lineitem")
+def orient_edges(t):
+    swap = F.col("l_linenumber") % 2 == 0
+    return t("lineitem").select(F.when(swap, F.col("l_partkey")).otherwise(F.col("l_suppkey")).alias("src"), F.when(swap, F.col("l_suppkey")).otherwise(F.col("l_partkey")).alias("dst")).distinct()
+
+
+@query()
+def suggest_closest(t):
+    brands = [r[0] for r in t("part").select("p_brand").distinct().orderBy("p_brand").limit(1000).collect()]
+    return M.closest(t("part").select(F.concat(F.substring("p_brand", 2, 20), F.lit("x")).alias("value")).distinct(), brands)
+
+
+@query("""select n_name, best from (select n_name, c.r_name best, row_number() over (partition by n_name order by levenshtein(n_name, r_name), r_name) n from nation, region c) where n = 1""")
+def nearest_levenshtein(t):
+    pairs = t("nation").select("n_name").crossJoin(F.broadcast(t("region").select("r_name")))  # five regions
+    return pairs.groupBy("n_name").agg(F.min_by("r_name", F.struct(F.levenshtein("n_name", "r_name"), "r_name")).alias("best"))
+
+
+# --- merging -------------------------------------------------------------------------------------
+
+
+@query("""with b as (select p_partkey, p_name, p_brand, p_partkey as o from part where p_partkey % 3 <> 0), c as (select p_partkey, case when p_partkey % 20 = 0 then null else 'Curated ' || p_name end as p_name, p_brand || '*' as p_brand, p_partkey as o from part where p_partkey % 10 = 0)
+select coalesce(b.p_partkey, c.p_partkey) as p_partkey, case when b.p_partkey is null or c.p_partkey is not null then c.p_name else b.p_name end as p_name, case when b.p_partkey is null then c.p_brand else b.p_brand end as p_brand, case when b.p_partkey is null then 1 else 0 end as _new, coalesce(b.o, c.o) as _ord from b full join c on b.p_partkey = c.p_partkey""")
+def overlay_merge(t):
+    p = t("part").withColumn("_ord", F.col("p_partkey"))
+    base = p.where("p_partkey % 3 <> 0").select("p_partkey", "p_name", "p_brand", "_ord")
+    over = p.where("p_partkey % 10 = 0").select("p_partkey", F.when(F.col("p_partkey") % 20 != 0, F.concat(F.lit("Curated "), F.col("p_name"))).alias("p_name"), F.concat("p_brand", F.lit("*")).alias("p_brand"), "_ord", F.array(F.lit("p_name")).alias("_set"))
+    return R.overlay(base, over, "p_partkey", ["p_name", "p_brand"])
+
+
+_KEYED = "select l_orderkey, l_partkey, l_returnflag, min(l_quantity) as q, min(l_linenumber) as _ord from lineitem group by 1, 2, 3"
+
+
+@query(f"""with b as ({_KEYED}), c as (select l_orderkey, l_partkey, l_returnflag, q + 1000 as q, _ord from b where l_orderkey % 10 = 0 union all select l_orderkey, -1, 'Z', 0.0, 1 from (select distinct l_orderkey from b where l_orderkey % 50 = 0))
+select coalesce(b.l_orderkey, c.l_orderkey) as l_orderkey, coalesce(b.l_partkey, c.l_partkey) as l_partkey, coalesce(b.l_returnflag, c.l_returnflag) as l_returnflag, coalesce(c.q, b.q) as q, cast(coalesce(b._ord, c._ord) as integer) as _ord, case when b.l_orderkey is null then 1 else 0 end as _new
+from b full join c on b.l_orderkey = c.l_orderkey and b.l_partkey = c.l_partkey and b.l_returnflag = c.l_returnflag""")
+def upsert_replace(t):
+    keys = ["l_orderkey", "l_partkey", "l_returnflag"]
+    b = t("lineitem").groupBy(*keys).agg(F.min("l_quantity").alias("q"), F.min("l_linenumber").alias("_ord"))
+    own = t("lineitem").where("l_orderkey % 50 = 0").select("l_orderkey", F.lit(-1).cast("long").alias("l_partkey"), F.lit("Z").alias("l_returnflag"), F.lit(0.0).alias("q"), F.lit(1).alias("_ord")).distinct()
+    c = b.where("l_orderkey % 10 = 0").withColumn("q", F.col("q") + 1000).unionByName(own)
+    return R.upsert(b, c, keys).select(*keys, "q", "_ord", "_new")
+
+
+def _rules(t):
+    return t("lineitem").where("l_orderkey % 7 = 0").select("l_orderkey", F.when(F.col("l_orderkey") % 2 == 0, F.col("l_partkey")).otherwise(-F.col("l_partkey")).alias("l_partkey")).distinct()
+
+
+_RULES = "select distinct l_orderkey, case when l_orderkey % 2 = 0 then l_partkey else -l_partkey end as l_partkey from lineitem where l_orderkey % 7 = 0"
+
+
+@query(f"select l_orderkey, l_partkey, l_linenumber, l_quantity from lineitem l where not exists (select 1 from ({_RULES}) r where r.l_orderkey = l.l_orderkey and r.l_partkey = l.l_partkey)")
+def suppress_anti(t):
+    return R.suppress(t("lineitem"), _rules(t), ["l_orderkey", "l_partkey"])[0].select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity")
+
+
+@query(f"select * from ({_RULES}) r where not exists (select 1 from lineitem l where r.l_orderkey = l.l_orderkey and r.l_partkey = l.l_partkey)")
+def unmatched_rules(t):
+    return R.suppress(t("lineitem"), _rules(t), ["l_orderkey", "l_partkey"])[1].select("l_orderkey", "l_partkey")
+
+
+# --- the entity graph ----------------------------------------------------------------------------
+
+
+def _entity_edges(t):
+    e = lambda df, s, d: df.select(s.alias("src"), d.alias("dst"))
+    key = lambda p, c: F.concat(F.lit(p), F.col(c).cast("string"))
+    return e(t("customer"), key("n", "c_nationkey"), key("c", "c_custkey")).unionByName(e(t("orders"), key("c", "o_custkey"), key("o", "o_orderkey"))).unionByName(e(t("lineitem"), key("o", "l_orderkey"), key("p", "l_partkey"))).unionByName(e(t("lineitem"), key("s", "l_suppkey"), key("p", "l_partkey"))).distinct()
+
+
+def _entity_nodes(t):
+    out = None
+    for name, prefix, col in (("nation", "n", "n_nationkey"), ("customer", "c", "c_custkey"), ("orders", "o", "o_orderkey"), ("part", "p", "p_partkey"), ("supplier", "s", "s_suppkey")):
+        n = t(name).select(F.concat(F.lit(prefix), F.col(col).cast("string")).alias("id"), F.col(col).alias("key"))
+        out = n if out is None else out.unionByName(n)
+    return out
+
+
+_EDGES = "(select 'n' || c_nationkey as src, 'c' || c_custkey as dst from customer union select 'c' || o_custkey, 'o' || o_orderkey from orders union select 'o' || l_orderkey, 'p' || l_partkey from lineitem union select 's' || l_suppkey, 'p' || l_partkey from lineitem)"
+_NODES = "(select 'n' || n_nationkey as id, cast(n_nationkey as bigint) as key from nation union all select 'c' || c_custkey, c_custkey from customer union all select 'o' || o_orderkey, o_orderkey from orders union all select 'p' || p_partkey, p_partkey from part union all select 's' || s_suppkey, s_suppkey from supplier)"
+
+
+@query(f"select src, dst from {_EDGES} where src in (select id from {_NODES} where key % 3 <> 0) and dst in (select id from {_NODES} where key % 3 <> 0)")
+def valid_edges(t):
+    return G.valid_edges(_entity_edges(t), _entity_nodes(t).where("key % 3 <> 0"))
+
+
+_LINKS = "(select distinct 'page' || page_id as src, h as dst from (select page_id, unnest(regexp_extract_all(html, 'href=\"([^\"]*)\"', 1)) h from pages))"
+_LINK_NODES = f"(select 'page' || page_id as id from pages where page_id % 5 <> 0 union all select dst from {_LINKS} group by dst having count(*) > 1)"
+
+
+@query(f"""select src, dst, 'unknown ' || case when a and b then 'from or to' when a then 'from' else 'to' end as reason from (select src, dst, src not in (select id from {_LINK_NODES}) a, dst not in (select id from {_LINK_NODES}) b from {_LINKS}) where a or b""")
+def prune_dangling(t):
+    links = t("pages").select(F.concat(F.lit("page"), F.col("page_id").cast("string")).alias("src"), F.explode(F.regexp_extract_all("html", F.lit('href="([^"]*)"'), F.lit(1))).alias("dst")).distinct()
+    known = t("pages").where("page_id % 5 <> 0").select(F.concat(F.lit("page"), F.col("page_id").cast("string")).alias("id")).union(links.groupBy("dst").count().where("count > 1").select("dst"))
+    return G.prune_dangling(links, known)[1]
+
+
+@query(f"select src, dst, 'to' as which from {_EDGES} where dst not in (select id from {_NODES} where key % 11 <> 0) union all select src, dst, 'from' from {_EDGES} where src not in (select id from {_NODES} where key % 11 <> 0)")
+def unknown_refs(t):
+    e, ids = _entity_edges(t), _entity_nodes(t).where("key % 11 <> 0").select("id")
+    end = lambda c, w: e.join(ids, e[c] == ids["id"], "left_anti").withColumn("which", F.lit(w))
+    return end("dst", "to").unionByName(end("src", "from"))
+
+
+@query("select l_orderkey, l_partkey, l_linenumber, n from (select *, count(*) over (partition by l_orderkey) as n from lineitem) where not (l_linenumber - 1 between 0 and n - 2)")
+def pointer_bounds(t):
+    li = t("lineitem")
+    sizes = li.groupBy("l_orderkey").agg(F.count("*").alias("n"))
+    return li.join(sizes, "l_orderkey").where(~(F.col("l_linenumber") - 1).between(0, F.col("n") - 2)).select("l_orderkey", "l_partkey", "l_linenumber", "n")
+
+
+@query("select c_custkey, c_nationkey from customer where c_nationkey not in (select n_nationkey from nation where n_nationkey % 4 <> 0) and exists (select 1 from nation where n_nationkey % 4 <> 0)")
+def undeclared_dim(t):
+    declared = t("nation").where("n_nationkey % 4 <> 0").select(F.col("n_nationkey").alias("c_nationkey"))
+    return t("customer").join(declared, "c_nationkey", "left_anti").select("c_custkey", "c_nationkey")
+
+
+_TREE = "(select 'n' || n_nationkey as id, case when n_nationkey % 7 = 0 then 'gone' when n_nationkey % 7 = 1 then 'n' || ((n_nationkey + 7) % 28) else 'r' || n_regionkey end as parent from nation union all select 'r' || r_regionkey, null from region)"
+
+
+def _tree(t):
+    n = F.col("n_nationkey")
+    parent = F.when(n % 7 == 0, "gone").when(n % 7 == 1, F.concat(F.lit("n"), ((n + 7) % 28).cast("string"))).otherwise(F.concat(F.lit("r"), F.col("n_regionkey").cast("string")))
+    return t("nation").select(F.concat(F.lit("n"), n.cast("string")).alias("id"), parent.alias("parent")).union(t("region").select(F.concat(F.lit("r"), F.col("r_regionkey").cast("string")), F.lit(None).cast("string")))
+
+
+@query(f"select id, parent from {_TREE} where parent is not null and parent not in (select id from {_TREE})")
+def unknown_parent(t):
+    h = _tree(t)
+    return h.where("parent is not null").join(h.select(F.col("id").alias("parent")), "parent", "left_anti").select("id", "parent")
+
+
+@query("select distinct doc_id from labels where doc_id not in (select doc_id from documents where doc_id % 9 <> 0)")
+def missing_entities(t):
+    return t("labels").select("doc_id").distinct().join(t("documents").where("doc_id % 9 <> 0").select("doc_id"), "doc_id", "left_anti")
+
+
+@query("select doc_id, n_chars from documents where doc_id not in (select doc_id from labels)")
+def not_covered(t):
+    return t("documents").join(t("labels").select("doc_id"), "doc_id", "left_anti").select("doc_id", "n_chars")
+
+
+@query(f"select id from {_NODES} where (id like 'c%' or id like 's%') and id not in (select src from {_EDGES} where dst not like 'o%')")
+def unresolved(t):
+    src = _entity_edges(t).where(~F.col("dst").startswith("o")).select(F.col("src").alias("id"))
+    return _entity_nodes(t).where("id like 'c%' or id like 's%'").join(src, "id", "left_anti").select("id")
+
+
+@query("select o_orderkey, case when c_custkey is null then 'missing' when contains(c_mktsegment, 'B') then 'marked' else 'ok' end as state from orders left join (select * from customer where c_custkey % 6 <> 0) on o_custkey = c_custkey")
+def left_check(t):
+    c = t("customer").where("c_custkey % 6 <> 0")
+    return t("orders").join(c, F.col("o_custkey") == F.col("c_custkey"), "left").select("o_orderkey", F.when(F.col("c_custkey").isNull(), "missing").when(F.contains("c_mktsegment", F.lit("B")), "marked").otherwise("ok").alias("state"))
+
+
+@query("select url from pages where url not in (select url from pages where page_id % 4 <> 0)")
+def stale_files(t):
+    return t("pages").select("url").join(t("pages").where("page_id % 4 <> 0").select("url"), "url", "left_anti")
+
+
+@query("select a.n_name as prefix, b.n_name as name from nation a, nation b where starts_with(b.n_name, a.n_name) and a.n_name <> b.n_name")
+def prefix_conflicts(t):
+    """Names that begin with another name: each name's own beginnings are looked up, so no pairs are tried."""
+    n = t("nation").select(F.col("n_name").alias("name"))
+    starts = n.where(F.length("name") > 1).select("name", F.explode(F.sequence(F.lit(1), F.length("name") - 1)).alias("k")).select("name", F.expr("left(name, k)").alias("prefix"))
+    return starts.join(n.select(F.col("name").alias("prefix")), "prefix").select("prefix", "name")
+
+
+@query(f"select dst as id, 'in' as way, src as other from {_EDGES} where dst = 'c7' union all select src, 'out', dst from {_EDGES} where src = 'c7'")
+def node_card(t):
+    e = _entity_edges(t)
+    return e.where("dst = 'c7'").select(F.col("dst").alias("id"), F.lit("in").alias("way"), F.col("src").alias("other")).union(e.where("src = 'c7'").select("src", F.lit("out"), "dst"))
+
+
+@query(f"select id, cast(sum(i) as bigint) as n_in, cast(sum(o) as bigint) as n_out from (select src id, 0 i, 1 o from {_EDGES} union all select dst, 1, 0 from {_EDGES}) group by id")
+def degree(t):
+    return G.degree(_entity_edges(t))
+
+
+@query(f"select id from {_NODES} where id not in (select src from {_EDGES} where src not like 'n%' union select dst from {_EDGES} where src not like 'n%')")
+def orphans(t):
+    return G.orphans(_entity_nodes(t).select("id"), _entity_edges(t).where("src not like 'n%'"))
+
+
+@query(f"select src as id, count(*) as n, min(dst) as first, max(dst) as last from {_EDGES} group by src")
+def adjacency(t):
+    return _entity_edges(t).groupBy(F.col("src").alias("id")).agg(F.count("*").alias("n"), F.min("dst").alias("first"), F.max("dst").alias("last"))
+
+
+# --- aggregations --------------------------------------------------------------------------------
+
+
+@query("""select c_nationkey, count(*) as total, count(o) as connected, cast(100 * count(o) // count(*) as bigint) as percent from (select c_nationkey, (select min(o_orderkey) from orders where o_custkey = c_custkey) o from customer) group by 1""")
+def coverage_per_group(t):
+    has = t("orders").select(F.col("o_custkey").alias("c_custkey")).distinct().withColumn("o", F.lit(1))
+    return t("customer").join(has, "c_custkey", "left").groupBy("c_nationkey").agg(F.count("*").alias("total"), F.count("o").alias("connected")).withColumn("percent", F.expr("(100 * connected) div total"))
+
+
+@query("select count(*) as nodes, count(*) filter (where o_orderstatus = 'F') as stubs, count(distinct o_custkey) as owners from orders")
+def summary_counts(t):
+    return t("orders").agg(F.count("*").alias("nodes"), F.count_if(F.col("o_orderstatus") == "F").alias("stubs"), F.countDistinct("o_custkey").alias("owners"))
+
+
+@query("select o_orderpriority as severity, count(*) as n from orders group by 1")
+def severity_counts(t):
+    return t("orders").groupBy(F.col("o_orderpriority").alias("severity")).agg(F.count("*").alias("n"))
+
+
+@query("select l_orderkey, l_linenumber, count(*) - 1 as extra from lineitem group by 1, 2 having count(*) > 1")
+def duplicate_keys(t):
+    return t("lineitem").groupBy("l_orderkey", "l_linenumber").agg((F.count("*") - 1).alias("extra")).where("extra > 0")
+
+
+@query("select p_brand, p_size, count(*) as n from part group by 1, 2 having count(*) > 1")
+def dup_headers(t):
+    return t("part").groupBy("p_brand", "p_size").agg(F.count("*").alias("n")).where("n > 1")
+
+
+@query("select distinct l_partkey, l_suppkey from lineitem")
+def distinct_keys(t):
+    return t("lineitem").select("l_partkey", "l_suppkey").distinct()
+
+
+@query("select n_regionkey, count(*) as n, string_agg(n_name, ',' order by n_nationkey) as names from nation group by 1")
+def group_collect(t):
+    items = F.array_sort(F.collect_list(F.struct("n_nationkey", "n_name")))
+    return t("nation").groupBy("n_regionkey").agg(F.count("*").alias("n"), F.concat_ws(",", F.transform(items, lambda x: x["n_name"])).alias("names"))
+
+
+@query("select existing, incoming, incoming < 0.8 * existing as refused from (select (select count(*) from pages) existing, (select count(*) from pages where page_id % 4 <> 0) incoming)")
+def snapshot_guard(t):
+    c = t("pages").agg(F.count("*").alias("existing"), F.count_if(F.col("page_id") % 4 != 0).alias("incoming"))
+    return c.withColumn("refused", F.col("incoming") < 0.8 * F.col("existing"))
+
+
+@query("select r_regionkey from region where r_regionkey not in (select n_regionkey from nation where n_regionkey <> 2)")
+def empty_groups(t):
+    return t("region").join(t("nation").where("n_regionkey <> 2").select(F.col("n_regionkey").alias("r_regionkey")), "r_regionkey", "left_anti").select("r_regionkey")
+
+
+@query("select l_orderkey, l_linenumber, l_partkey, l_quantity, count(*) as copies from lineitem group by all")
+def dedupe_payload(t):
+    return t("lineitem").groupBy("l_orderkey", "l_linenumber", "l_partkey", "l_quantity").agg(F.count("*").alias("copies"))
+
+
+# --- hierarchies ---------------------------------------------------------------------------------
+
+_GOOD_TREE = "(select 'n' || n_nationkey as id, 'r' || n_regionkey as parent from nation union all select 'r' || r_regionkey, 'all' from region union all select 'all', null)"
+
+
+def _good_tree(t):
+    return t("nation").select(F.concat(F.lit("n"), F.col("n_nationkey").cast("string")).alias("id"), F.concat(F.lit("r"), F.col("n_regionkey").cast("string")).alias("parent")).union(t("region").select(F.concat(F.lit("r"), F.col("r_regionkey").cast("string")), F.lit("all"))).union(t("region").limit(1).select(F.lit("all"), F.lit(None).cast("string")))
+
+
+@query(f"""with recursive up as (select id, id as ancestor from {_GOOD_TREE} union all select u.id, g.parent from up u join {_GOOD_TREE} g on g.id = u.ancestor where g.parent is not null),
+d as (select 'n' || c_nationkey as id, count(*) as n from customer group by 1)
+select ancestor as id, cast(coalesce(max(case when up.id = ancestor then n end), 0) as bigint) as direct, cast(coalesce(sum(n), 0) as bigint) as total from up left join d on d.id = up.id group by ancestor""")
+def hierarchy_rollup(t):
+    counts = t("customer").groupBy(F.concat(F.lit("n"), F.col("c_nationkey").cast("string")).alias("id")).agg(F.count("*").alias("direct"))
+    return G.roll_up(_good_tree(t), counts)
+
+
+@query(f"""with recursive up as (select id, id as ancestor, 0 as hop from {_GOOD_TREE} union all select u.id, g.parent, hop + 1 from up u join {_GOOD_TREE} g on g.id = u.ancestor where g.parent is not null) select id, ancestor, hop from up""")
+def hierarchy_paths(t):
+    return G.ancestors(_good_tree(t))
+
+
+@query(f"""with recursive up as (select id, id as ancestor from {_GOOD_TREE} union all select u.id, g.parent from up u join {_GOOD_TREE} g on g.id = u.ancestor where g.parent is not null),
+d as (select 'n' || c_nationkey as id, count(*) as n from customer where c_nationkey < 9 group by 1)
+select ancestor as id, cast(sum(n) as bigint) as total from up join d on d.id = up.id group by ancestor having sum(n) > 0""")
+def tree_pruned(t):
+    counts = t("customer").where("c_nationkey < 9").groupBy(F.concat(F.lit("n"), F.col("c_nationkey").cast("string")).alias("id")).agg(F.count("*").alias("direct"))
+    return G.roll_up(_good_tree(t), counts).where("total > 0").select("id", "total")
+
+
+_CYCLIC = "(select n_nationkey as id, case when n_nationkey < 5 then (n_nationkey + 1) % 5 when n_nationkey % 3 = 0 then n_nationkey - 3 end as parent from nation)"
+
+
+@query(f"""with recursive up as (select id, parent as top, 1 as hop from {_CYCLIC} where parent is not null union all select u.id, g.parent, hop + 1 from up u join {_CYCLIC} g on g.id = u.top where g.parent is not null and hop < 40) select distinct id from up where hop = 40""")
+def parent_cycles(t):
+    n = F.col("n_nationkey")
+    return G.parent_cycles(t("nation").select(n.alias("id"), F.when(n < 5, (n + 1) % 5).when(n % 3 == 0, n - 3).alias("parent")))
+
+
+# --- the cyclic graph ----------------------------------------------------------------------------
+
+_G2 = "(select distinct cast(user_id % 100 as bigint) as src, cast(json_extract_string(props, '$.k') as bigint) as dst from events where event_id % 80 = 0 and event_id < 10000 and user_id % 100 <> cast(json_extract_string(props, '$.k') as bigint))"
+
+
+def _cyclic(t, every: int = 80):
+    k = F.get_json_object("props", "$.k").cast("long")
+    return t("events").where((F.col("event_id") % every == 0) & (F.col("event_id") < 10000)).select((F.col("user_id") % 100).cast("long").alias("src"), k.alias("dst")).where("src <> dst").distinct()
+
+
+def _busiest(e):
+    ends = e.select(F.col("src").alias("id")).union(e.select("dst"))
+    return ends.groupBy("id").count().orderBy(F.desc("count"), "id").limit(1).select("id")
+
+
+_ROOT = f"(select id from (select src as id from {_G2} union all select dst from {_G2}) group by id order by count(*) desc, id limit 1)"
+_EGO = f"""with recursive root as {_ROOT}, down as (select id, 0 as hop from root union all select e.dst, hop + 1 from down d join {_G2} e on e.src = d.id where hop < 2),
+up as (select id, 0 as hop from root union all select e.src, hop + 1 from up d join {_G2} e on e.dst = d.id where hop < 2),
+d as (select id, min(hop) hop from down group by id), u as (select id, min(hop) hop from up group by id),
+ego as (select coalesce(u.id, d.id) as id, cast(case when coalesce(u.hop, 99) <= coalesce(d.hop, 99) then -u.hop else d.hop end as integer) as "column" from u full join d on u.id = d.id)"""
+
+
+@query(_EGO + ' select id, "column" from ego')
+def ego_nodes(t):
+    e = _cyclic(t)
+    return G.ego(e, _busiest(e), 2)[0]
+
+
+@query(_EGO + f" select src, dst from {_G2} where src in (select id from ego) and dst in (select id from ego)")
+def ego_edges(t):
+    e = _cyclic(t)
+    return G.ego(e, _busiest(e), 2)[1]
+
+
+@query(f"""with recursive r as (select src as a, dst as b from {_G2} union select r.a, e.dst from r join {_G2} e on e.src = r.b)
+select x.a as id, least(x.a, min(x.b)) as component from r x join r y on x.a = y.b and x.b = y.a where x.a <> x.b group by x.a""")
+def scc(t):
+    return G.strong_components(_cyclic(t))
+
+
+@query()
+def back_edges(t):
+    e = _cyclic(t)
+    return G.back_edges(G.ego(e, _busiest(e), 2)[1].select(F.lit(0).alias("graph"), "src", "dst"))
+
+
+@query(_EGO + """ select id, "column", cast((dense_rank() over (order by "column") - 1) * 240 as double) as x, cast((row_number() over (partition by "column" order by id) - (count(*) over (partition by "column") + 1) / 2) * 80 as double) as y from ego""")
+def layout_grid(t):
+    e = _cyclic(t)
+    return G.grid(G.ego(e, _busiest(e), 2)[0])
+
+
+@query(f"""select 'error' as severity, 'unknown parent ' || parent || ' of ' || id as message from {_TREE} where parent is not null and parent not in (select id from {_TREE})
+union all select 'error', 'self edge ' || user_id from (select distinct user_id from events where user_id % 100 = cast(json_extract_string(props, '$.k') as bigint))
+union all select 'error', 'duplicate line ' || l_orderkey || '/' || l_linenumber from (select l_orderkey, l_linenumber from lineitem group by 1, 2 having count(*) > 1)
+union all select 'warning', 'no order of customer ' || c_custkey from customer where c_custkey not in (select o_custkey from orders)""")
+def validation_report(t):
+    """Every rule's problems in one table."""
+    problem = lambda df, severity, *parts: df.select(F.lit(severity).alias("severity"), F.concat(*[F.lit(p[1:]) if p[0] == "=" else F.col(p).cast("string") for p in parts]).alias("message"))
+    h, ev = _tree(t), t("events")
+    parents = h.where("parent is not null").join(h.select(F.col("id").alias("parent")), "parent", "left_anti")
+    selfs = ev.where(F.col("user_id") % 100 == F.get_json_object("props", "$.k").cast("long")).select("user_id").distinct()
+    lines = t("lineitem").groupBy("l_orderkey", "l_linenumber").count().where("count > 1")
+    idle = t("customer").join(t("orders").select(F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_anti")
+    parts = [problem(parents, "error", "=unknown parent ", "parent", "= of ", "id"), problem(selfs, "error", "=self edge ", "user_id"), problem(lines, "error", "=duplicate line ", "l_orderkey", "=/", "l_linenumber"), problem(idle, "warning", "=no order of customer ", "c_custkey")]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ego graph of the busiest node of the cyclic graph; small tables give a denser graph."""
+    e = _cyclic(lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet"), 10)
+    return G.ego(e, _busiest(e), 2)[0]
