@@ -19,12 +19,12 @@ QUERIES = {f.__name__: f for f in (op1_near_dedup, op2_ann, op3_bpe, op4_url_fil
 #: order in both engines, so that scores are equal to the last bit.
 _OP2 = """
 with good as (
-    select vec_id, [x::double for x in embedding] v from embeddings
+    select vec_id, list_transform(embedding, lambda x: cast(x as double)) v from embeddings
     where vec_id is not null and embedding is not null and len(embedding) > 0
-      and len([x for x in embedding if x is null or isnan(x) or isinf(x)]) = 0
-      and len([x for x in embedding if x <> 0]) > 0),
+      and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0
+      and len(list_filter(embedding, lambda x: x <> 0)) > 0),
 scored as (
-    select q.vec_id query_id, r.vec_id, list_reduce(list_prepend(0.0::double, list_transform(range(1, len(q.v) + 1), i -> q.v[i] * r.v[i])), (a, b) -> a + b) score
+    select q.vec_id query_id, r.vec_id, list_reduce(list_prepend(0.0::double, list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * r.v[i])), lambda a, b: a + b) score
     from good q join good r on q.vec_id <> r.vec_id and len(q.v) = len(r.v) where q.vec_id % 20 = 0)
 select query_id, cast(rank as integer) rank, vec_id, score
 from (select *, row_number() over (partition by query_id order by score desc, vec_id) rank from scored)
