@@ -10,14 +10,14 @@ hash of their own.
    Equal sets are one set from here on.
 2. Shingles are ordered from rare to frequent by counts over all documents, kept for SLOTS hash slots
    (a table of fixed size).  Two linked sets share a shingle among the first n - ceil(t n) + 1 of each.
-3. Relations first: of each set's rarest shingles, lists sorted by size give neighbours; for each set
-   the likeliest earlier neighbour is verified exactly.  That joins a group of copies by one
-   verification a set.
+3. Relations first: lists of some of each set's prefix shingles, the same in like sets, sorted by
+   size, give neighbours; for each set the likeliest neighbour is verified exactly.  That joins a group
+   of copies by about one verification a set.
 4. Then all prefix shingles: a list whose sets have one component already is skipped whole, for its
    answers derive from those verified.  Other lists are sorted by size and swept: sets whose sizes or
    positions rule a link out are skipped, as are pairs of one component (a set takes over the answers
    of the set that it was found like), and pairs that sketches prove unlike.  What remains is
-   verified exactly.
+   verified exactly, the likeliest pair of any two components first, as it may decide the others.
 
 A list of more than BLOCK sets is dealt in blocks, and each pair of blocks is a key of its own.  No
 pair is left out: each is skipped only where a bound or an earlier answer decides it.
@@ -40,9 +40,9 @@ from .common import components, cut, fixed_binary, from_fixed, key_runs, mix64,
 SLOTS_LOG = 17
 SKETCH = 1024
 BLOCK = 1024
-FIRST = 3
+FIRST = 6
 BLOOM_BITS = 1 << 23
-PIECE = 2 << 20
+PIECE = 1 << 18
 
 #: White space of words, by the contract: space and the characters 9 to 13.
 _GAP = np.zeros(256, bool)
@@ -130,19 +130,19 @@ def join(docs: DataFrame, percent: int = 90, words: int = 3, id_col: str = "doc_
     n_parts = partitions(spark)
 
     def describe(batches):
+        total = np.zeros(1 << SLOTS_LOG, "i8")
         for b, sets in sets_of(batches, words):
             yield pa.record_batch({"doc_id": b.column(0), "n": pa.array([len(s) for s in sets], pa.int64()), "sid": pa.array([set_id(s) for s in sets], pa.int64()), "sketch": fixed_binary(np.stack([sketch(s) for s in sets]))})
-
-    def count(batches):
-        total = np.zeros(1 << SLOTS_LOG, "i8")
-        for _, sets in sets_of(batches, words):
             total += np.bincount(np.concatenate(sets) >> np.uint64(64 - SLOTS_LOG), minlength=len(total))
         some = np.flatnonzero(total)
-        yield pa.record_batch({"slot": some, "n": total[some]})
+        empty = pa.nulls(len(some), pa.binary())
+        yield pa.record_batch({"doc_id": some, "n": total[some], "sid": np.zeros(len(some), "i8"), "sketch": empty})
 
-    described = cut(source.mapInArrow(describe, "doc_id long, n long, sid long, sketch binary"))
+    # one pass: a row for each document, and a task's counts of slots as rows without a sketch
+    passed = cut(source.mapInArrow(describe, "doc_id long, n long, sid long, sketch binary"))
+    described = passed.where("sketch is not null")
     sets = cut(described.where("n > 0").groupBy("sid").agg(F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.min("sketch").alias("sketch")))
-    slots = source.mapInArrow(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()  # SLOTS rows at most
+    slots = passed.where("sketch is null").groupBy(F.col("doc_id").alias("slot")).agg(F.sum("n").alias("n")).toArrow()  # SLOTS rows at most
     frequency = np.zeros(1 << SLOTS_LOG, "i8")
     frequency[slots.column("slot").to_numpy()] = slots.column("n").to_numpy()
     shared = spark.sparkContext.broadcast(frequency)
@@ -159,11 +159,13 @@ def join(docs: DataFrame, percent: int = 90, words: int = 3, id_col: str = "doc_
                         seen.add(key)
                     order = s[np.lexsort((s, shared.value[s >> np.uint64(64 - SLOTS_LOG)]))]
                     k = len(s) - int(needed(np.array(len(s)), percent)) + 1
-                    k = min(k, most) if most else k
-                    token.append(order[:k])
-                    sid.append(np.full(k, key, "i8"))
-                    n.append(np.full(k, len(s), "i4"))
-                    pos.append(np.arange(k, dtype="i4"))
+                    at = np.arange(k, dtype="i4")
+                    if most and k > most:  # the same choice in like sets
+                        at = np.sort(at[np.argpartition(mix64(order[:k] ^ _ODD[1]), most)[:most]])
+                    token.append(order[at])
+                    sid.append(np.full(len(at), key, "i8"))
+                    n.append(np.full(len(at), len(s), "i4"))
+                    pos.append(at)
                 if token:
                     yield pa.record_batch({"token": np.concatenate(token).view("i8"), "sid": np.concatenate(sid), "n": np.concatenate(n), "pos": np.concatenate(pos)})
 
@@ -176,9 +178,9 @@ def join(docs: DataFrame, percent: int = 90, words: int = 3, id_col: str = "doc_
                 x, y = from_fixed(b.column("sa"), "u8"), from_fixed(b.column("sb"), "u8")
                 yield pa.record_batch({"a": b.column("a"), "b": b.column("b"), "na": b.column("na"), "nb": b.column("nb"), "differ": np.bitwise_count(x ^ y).sum(1).astype("i8")})
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        """Of pairs ``(a, b)`` of sets those that are linked, by the sets themselves."""
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("sid"))
+    def fetch(pairs: DataFrame) -> DataFrame:
+        """The sets named by pairs ``(a, b)``: ``sid, items``."""
+        wanted = pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).distinct()
 
         def bits(batches):
             m = np.zeros(BLOOM_BITS, bool)
@@ -210,6 +212,12 @@ def join(docs: DataFrame, percent: int = 90, words: int = 3, id_col: str = "doc_
                 if take:
                     yield pa.record_batch({"sid": ids[take], "items": pa.array([found[i].tobytes() for i in take], pa.binary())})
 
+        items = source.mapInArrow(held, "sid long, items binary").groupBy("sid").agg(F.first("items").alias("items"))
+        return cut(items.join(wanted, "sid"))
+
+    def verified(pairs: DataFrame, items: DataFrame) -> DataFrame:
+        """Of pairs of sets those that are linked, by the sets themselves."""
+
         def check(batches):
             for b in batches:
                 ok = []
@@ -219,27 +227,38 @@ def join(docs: DataFrame, percent: int = 90, words: int = 3, id_col: str = "doc_
                     ok.append(100 * both >= percent * (len(x) + len(y) - both))
                 yield b.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-        items = source.mapInArrow(held, "sid long, items binary").groupBy("sid").agg(F.first("items").alias("items"))
-        items = cut(items.join(wanted.distinct(), "sid"))
-        left = pairs.join(items.select(F.col("sid").alias("a"), F.col("items").alias("xs")), "a")
+        left = pairs.select("a", "b").join(items.select(F.col("sid").alias("a"), F.col("items").alias("xs")), "a")
         both = left.join(items.select(F.col("sid").alias("b"), F.col("items").alias("ys")), "b").select("a", "b", "xs", "ys")
         return cut(both.mapInArrow(check, "a long, b long"))
 
     def neighbours(batches):
-        for run in key_runs(batches, ["token"]):
-            token, sid, n = (run.column(k).to_numpy() for k in ("token", "sid", "n"))
-            ok = (token[1:] == token[:-1]) & (sid[1:] != sid[:-1]) & (100 * n[:-1] >= percent * n[1:])
-            yield pa.record_batch({"a": sid[:-1][ok], "b": sid[1:][ok]})
-
-    # relations first
-    near = prefixes(FIRST).withColumn("salt", F.pmod(F.col("sid"), F.lit(16)))
-    near = near.withColumn("token", F.xxhash64("token", F.when(F.col("pos") > 0, F.col("salt"))))  # long lists are dealt by salt, but for the rarest shingle's
-    near = near.repartition(n_parts, "token").sortWithinPartitions("token", "n", "sid").mapInArrow(neighbours, "a long, b long").distinct()
+        """Pairs of the same shingle next to each other or but one, in order of size."""
+        tail = None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            t = pa.Table.from_batches([b]) if tail is None else pa.concat_tables([tail, pa.Table.from_batches([b])])
+            token, sid, n = (t.column(k).to_numpy() for k in ("token", "sid", "n"))
+            for step in (1, 2):
+                ok = (token[step:] == token[:-step]) & (sid[step:] != sid[:-step]) & (100 * n[:-step].astype("i8") >= percent * n[step:])
+                if step == 1 and tail is not None:
+                    ok[: tail.num_rows - 1] = False
+                yield pa.record_batch({"a": np.minimum(sid[:-step], sid[step:])[ok], "b": np.maximum(sid[:-step], sid[step:])[ok]})
+            tail = t.slice(max(0, t.num_rows - 2))
+
     facts = lambda a, n, s: sets.select(F.col("sid").alias(a), F.col("n").alias(n), F.col("sketch").alias(s))
-    near = near.join(facts("a", "na", "sa"), "a").join(facts("b", "nb", "sb"), "b").mapInArrow(apart, "a long, b long, na long, nb long, differ long")
     bound = (100 - percent) * (F.col("na") + F.col("nb")) >= (100 + percent) * F.col("differ")
-    near = cut(near.where(bound).groupBy("b").agg(F.min_by("a", F.struct("differ", "a")).alias("a")).select("a", "b"))
-    links = verified(near)
+
+    def sketched(pairs: DataFrame) -> DataFrame:
+        """Pairs that whole sketches leave open, with the number of differing bits."""
+        both = pairs.join(facts("a", "na", "sa"), "a").join(facts("b", "nb", "sb"), "b")
+        return both.mapInArrow(apart, "a long, b long, na long, nb long, differ long").where(bound).select("a", "b", "differ")
+
+    # relations first; a range partitioning deals even one shingle's list over many tasks, in order
+    near = cut(prefixes(FIRST)).repartitionByRange(n_parts, "token", "n", "sid").sortWithinPartitions("token", "n", "sid")
+    near = near.mapInArrow(neighbours, "a long, b long").distinct()
+    near = cut(sketched(near).groupBy("b").agg(F.min_by("a", F.struct("differ", "a")).alias("a")).select("a", "b"))
+    links = verified(near, fetch(near))
     parts = components(links)
 
     # then every prefix shingle
@@ -278,8 +297,25 @@ def join(docs: DataFrame, percent: int = 90, words: int = 3, id_col: str = "doc_
                     yield pa.record_batch({"a": np.minimum(sid[i], sid[j])[ok], "b": np.maximum(sid[i], sid[j])[ok]})
 
     open_pairs = index.repartition(n_parts, "token", "first", "second").sortWithinPartitions("token", "first", "second", "n", "sid").mapInArrow(sweep, "a long, b long")
-    open_pairs = cut(open_pairs.distinct())
-    links = links.union(verified(open_pairs))
+    left = cut(sketched(open_pairs.distinct()))
+    if not left.isEmpty():
+        items = fetch(left)
+        for turn in range(3):
+            # the likeliest pair of two components first: most others derive their answers from it
+            named = left.join(parts.toDF("a", "pa"), "a", "left").join(parts.toDF("b", "pb"), "b", "left")
+            named = named.select("a", "b", "differ", F.coalesce("pa", "a").alias("pa"), F.coalesce("pb", "b").alias("pb")).where("pa <> pb")
+            left = cut(named)
+            if turn < 2:
+                best = named.groupBy(F.least("pa", "pb"), F.greatest("pa", "pb")).agg(F.min_by(F.struct("a", "b"), F.struct("differ", "a", "b")).alias("x")).select("x.a", "x.b")
+                best = cut(best)
+                left = cut(left.join(best, ["a", "b"], "left_anti").select("a", "b", "differ"))
+            else:
+                best = left
+            links = links.union(verified(best, items))
+            if left.isEmpty():
+                break
+            if turn < 2:
+                parts = components(links)
 
     # components by documents: a set's name is its smallest document
     rep = sets.select("sid", "rep").where("rep is not null")
