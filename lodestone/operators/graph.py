@@ -20,7 +20,7 @@ def checkpointed(df: DataFrame) -> DataFrame:
 def valid_edges(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     """Edges both of whose ends are known nodes."""
     ids = nodes.select("id")
-    return edges.join(ids.withColumnRenamed("id", "src"), "src", "left_semi").join(ids.withColumnRenamed("id", "dst"), "dst", "left_semi")
+    return edges.join(ids.withColumnRenamed("id", "src"), "src", "left_semi").join(ids.withColumnRenamed("id", "dst"), "dst", "left_semi").select(*edges.columns)
 
 
 def prune_dangling(edges: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame]:

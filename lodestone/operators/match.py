@@ -8,6 +8,7 @@ import re
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
 
 #: A vocabulary is data of the caller's; beyond this many surfaces it is not broadcast.
 MOST_SURFACES = 200_000
@@ -75,7 +76,7 @@ def closest(values: DataFrame, candidates: list[str]) -> DataFrame:
     return values.withColumn("suggestion", best("value"))
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(ArrayType(StringType()))
 def split_outside(s: pd.Series) -> pd.Series:
     """Splits at commas outside round brackets; depth never falls below 0."""
 
