@@ -292,7 +292,7 @@ def lookup(store: DataFrame, keys: DataFrame, id_col: str = "doc_id") -> DataFra
     """
     wanted = keys.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id")).distinct()
     ranges = store.where("first_key is not null").select("shard", "first_key", "last_key")
-    chosen = wanted.join(ranges, (F.col("doc_id") >= F.col("first_key")) & (F.col("doc_id") <= F.col("last_key"))).select("shard", "doc_id")
+    chosen = wanted.join(ranges, (F.col("doc_id") >= F.col("first_key")) & (F.col("doc_id") <= F.col("last_key"))).select("shard", "doc_id").toDF("to_shard", "doc_id")
 
     def find(left: pa.Table, right: pa.Table) -> pa.Table:
         got = []
@@ -304,7 +304,7 @@ def lookup(store: DataFrame, keys: DataFrame, id_col: str = "doc_id") -> DataFra
                 got += [(int(i), 0, x.astype("<u4").tobytes()) for i, x in zip(ids, read_keys(row, k)) if x is not None]
         return pa.table({"doc_id": pa.array([g[0] for g in got], pa.int64()), "occurrence": pa.array([g[1] for g in got], pa.int64()), "ids": pa.array([g[2] for g in got], pa.binary())})
 
-    return chosen.groupBy("shard").cogroup(store.groupBy("shard")).applyInArrow(find, "doc_id long, occurrence long, ids binary")
+    return chosen.groupBy("to_shard").cogroup(store.groupBy("shard")).applyInArrow(find, "doc_id long, occurrence long, ids binary")
 
 
 def op7_token_store(spark, sf_dir):

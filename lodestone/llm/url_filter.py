@@ -125,7 +125,7 @@ def _judge_joined(urls: DataFrame, index: DataFrame, kept: list[str], default: s
     salts = 64
     distinct = urls.select("_host", "_path").distinct()
     tokens = distinct.select("_host", "_path", F.explode(tokens_of(F.col("_host"), F.col("_path"))).alias("token"), F.pmod(F.xxhash64("_host", "_path"), F.lit(salts)).alias("salt"))
-    dealt = index.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("long"))
+    dealt = index.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
     hit = tokens.join(dealt, ["token", "salt"]).where((F.col("_host") != "") & F.rlike(F.concat("_host", "_path"), F.col("pattern")))
     best = hit.groupBy("_host", "_path").agg(F.min_by(F.struct("rule", "verdict", "listed"), F.struct(~F.col("listed"), -F.length("rule"), "rule")).alias("_best"))
     joined = urls.join(best, ["_host", "_path"], "left")
