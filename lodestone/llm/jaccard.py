@@ -29,6 +29,8 @@ nothing else is; other columns are ignored.
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401  used as pa.compute
@@ -118,6 +120,26 @@ def sketch(s: np.ndarray) -> np.ndarray:
     return np.packbits((np.bincount((s * _ODD[1] >> np.uint64(40)).astype("i8") % SKETCH, minlength=SKETCH) & 1).astype(bool))
 
 
+def brief(bits: np.ndarray) -> np.ndarray:
+    """Packed sketches folded to a quarter: bits of equal place add up, so they still differ in no more bits than the sets."""
+    return np.bitwise_xor.reduce(bits.reshape(len(bits), 4, -1), axis=1)
+
+
+def fine_sketch(s: np.ndarray) -> bytes:
+    """A parity sketch with at least four bits for each shingle; half of one is the sketch of half its size, folded."""
+    size = 1 << max(10, int(4 * len(s) - 1).bit_length())
+    return np.packbits((np.bincount((mix64(s) % np.uint64(size)).astype("i8"), minlength=size) & 1).astype(bool)).tobytes()
+
+
+def fine_differ(x: bytes, y: bytes) -> int:
+    a, b = np.frombuffer(x, "u1"), np.frombuffer(y, "u1")
+    while len(a) > len(b):
+        a = a[: len(a) // 2] ^ a[len(a) // 2 :]
+    while len(b) > len(a):
+        b = b[: len(b) // 2] ^ b[len(b) // 2 :]
+    return int(np.bitwise_count(a ^ b).sum(dtype="i8"))
+
+
 def needed(n: np.ndarray, percent: int) -> np.ndarray:
     """The least overlap of a set of n with any set that it is linked to."""
     return -(-n * percent // 100)
@@ -132,16 +154,16 @@ def join(docs: DataFrame, percent: int = 90, words: int = 3, id_col: str = "doc_
     def describe(batches):
         total = np.zeros(1 << SLOTS_LOG, "i8")
         for b, sets in sets_of(batches, words):
-            yield pa.record_batch({"doc_id": b.column(0), "n": pa.array([len(s) for s in sets], pa.int64()), "sid": pa.array([set_id(s) for s in sets], pa.int64()), "sketch": fixed_binary(np.stack([sketch(s) for s in sets]))})
+            yield pa.record_batch({"doc_id": b.column(0), "n": pa.array([len(s) for s in sets], pa.int64()), "sid": pa.array([set_id(s) for s in sets], pa.int64()), "sketch": fixed_binary(bits := np.stack([sketch(s) for s in sets])), "brief": fixed_binary(brief(bits))})
             total += np.bincount(np.concatenate(sets) >> np.uint64(64 - SLOTS_LOG), minlength=len(total))
         some = np.flatnonzero(total)
         empty = pa.nulls(len(some), pa.binary())
-        yield pa.record_batch({"doc_id": some, "n": total[some], "sid": np.zeros(len(some), "i8"), "sketch": empty})
+        yield pa.record_batch({"doc_id": some, "n": total[some], "sid": np.zeros(len(some), "i8"), "sketch": empty, "brief": empty})
 
     # one pass: a row for each document, and a task's counts of slots as rows without a sketch
-    passed = cut(source.mapInArrow(describe, "doc_id long, n long, sid long, sketch binary"))
+    passed = cut(source.mapInArrow(describe, "doc_id long, n long, sid long, sketch binary, brief binary"))
     described = passed.where("sketch is not null")
-    sets = cut(described.where("n > 0").groupBy("sid").agg(F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.min("sketch").alias("sketch")))
+    sets = cut(described.where("n > 0").groupBy("sid").agg(F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.min("sketch").alias("sketch"), F.min("brief").alias("brief")))
     slots = passed.where("sketch is null").groupBy(F.col("doc_id").alias("slot")).agg(F.sum("n").alias("n")).toArrow()  # SLOTS rows at most
     frequency = np.zeros(1 << SLOTS_LOG, "i8")
     frequency[slots.column("slot").to_numpy()] = slots.column("n").to_numpy()
@@ -210,11 +232,24 @@ def join(docs: DataFrame, percent: int = 90, words: int = 3, id_col: str = "doc_
                             seen.add(ids[i])
                         take.append(i)
                 if take:
-                    yield pa.record_batch({"sid": ids[take], "items": pa.array([found[i].tobytes() for i in take], pa.binary())})
+                    yield pa.record_batch({"sid": ids[take], "items": pa.array([found[i].tobytes() for i in take], pa.binary()), "fine": pa.array([fine_sketch(found[i]) for i in take], pa.binary())})
 
-        items = source.mapInArrow(held, "sid long, items binary").groupBy("sid").agg(F.first("items").alias("items"))
+        items = source.mapInArrow(held, "sid long, items binary, fine binary").groupBy("sid").agg(F.first("items").alias("items"), F.first("fine").alias("fine"))
         return cut(items.join(wanted, "sid"))
 
+    def pruned(pairs: DataFrame, items: DataFrame) -> DataFrame:
+        """Pairs that fine sketches leave open; for long sets these tell far more than the fixed ones."""
+
+        def check(batches):
+            for b in batches:
+                differ = np.array([fine_differ(x, y) for x, y in zip(b.column("xs").to_pylist(), b.column("ys").to_pylist())], "i8")
+                ok = (100 + percent) * differ <= (100 - percent) * b.column("n").to_numpy()
+                yield pa.record_batch({"a": b.column("a"), "b": b.column("b"), "differ": differ}).filter(pa.array(ok))
+
+        side = lambda k, f, n: items.select(F.col("sid").alias(k), F.col("fine").alias(f), (F.octet_length("items") / 8).cast("long").alias(n))
+        both = pairs.select("a", "b").join(side("a", "xs", "na"), "a").join(side("b", "ys", "nb"), "b")
+        return both.select("a", "b", "xs", "ys", (F.col("na") + F.col("nb")).alias("n")).mapInArrow(check, "a long, b long, differ long")
+
     def verified(pairs: DataFrame, items: DataFrame) -> DataFrame:
         """Of pairs of sets those that are linked, by the sets themselves."""
 
@@ -262,15 +297,43 @@ def join(docs: DataFrame, percent: int = 90, words: int = 3, id_col: str = "doc_
     parts = components(links)
 
     # then every prefix shingle
-    index = prefixes(None)
-    lists = index.groupBy("token").agg(F.min("sid").alias("_lo"), F.max("sid").alias("_hi")).where("_lo <> _hi").select("token")
-    index = index.join(lists, "token").groupBy("token", "sid").agg(F.min("n").alias("n"), F.min("pos").alias("pos"))
+    def listed(batches):
+        """Rows of shingles that two sets have, each set once; only one row is held over."""
+        held = None
+        for b in itertools.chain(batches, [None]):
+            if b is not None and not b.num_rows:
+                continue
+            new = None if b is None else pa.Table.from_arrays(b.columns, names=b.schema.names)
+            t = held if new is None else new if held is None else pa.concat_tables([held, new]).combine_chunks()
+            if t is None:
+                return
+            token, sid = t.column("token").to_numpy(), t.column("sid").to_numpy()
+            same = token[1:] == token[:-1]
+            fresh = np.r_[True, ~(same & (sid[1:] == sid[:-1]))]
+            other = same & (sid[1:] != sid[:-1])
+            # whether the row before or after is of the same shingle and another set; a held row's look back is kept in "more"
+            back = np.r_[False, other] | t.column("more").to_numpy()
+            ahead = np.r_[other, False]
+            # copies of a row share what the last of them sees ahead
+            group = np.cumsum(fresh) - 1
+            any_of = np.zeros(group[-1] + 1, bool)
+            np.logical_or.at(any_of, group, back | ahead)
+            first = np.flatnonzero(fresh)
+            last = group[-1] if b is not None else len(first)  # the last set may go on in the next batch
+            take = first[:last][any_of[:last]]
+            if len(take):
+                yield t.take(pa.array(take)).select(["token", "sid", "n", "pos"]).to_batches()[0]
+            if b is not None:
+                held = t.slice(int(first[-1]), 1)
+                held = held.set_column(held.schema.get_field_index("more"), "more", pa.array([bool(any_of[-1])]))
+
+    index = prefixes(None).withColumn("more", F.lit(False)).repartition(n_parts, "token").sortWithinPartitions("token", "sid").mapInArrow(listed, "token long, sid long, n int, pos int")
     index = cut(index.join(parts, F.col("sid") == F.col("node"), "left").select("token", "sid", "n", "pos", F.coalesce("component", "sid").alias("part")))
     mixed = index.groupBy("token").agg(F.min("part").alias("_lo"), F.max("part").alias("_hi"), F.count("*").alias("size")).where("_lo <> _hi").select("token", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
-    index = index.join(mixed, "token").join(sets.select("sid", "sketch"), "sid")
+    index = index.join(mixed, "token").join(sets.select("sid", "brief"), "sid")
     index = index.withColumn("block", F.pmod(F.xxhash64("sid", F.lit(9)), F.col("blocks")).cast("int"))
     deal = F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least("block", k).alias("first"), F.greatest("block", k).alias("second"))))
-    index = index.withColumn("_p", deal).select("token", "_p.first", "_p.second", "block", "sid", "n", "pos", "part", "sketch")
+    index = index.withColumn("_p", deal).select("token", "_p.first", "_p.second", "block", "sid", "n", "pos", "part", "brief")
 
     def sweep(batches):
         for run in key_runs(batches, ["token", "first", "second"], 8192):
@@ -279,7 +342,7 @@ def join(docs: DataFrame, percent: int = 90, words: int = 3, id_col: str = "doc_
             sid, n, pos, part, block = (col(k).astype("i8") for k in ("sid", "n", "pos", "part", "block"))
             group = np.repeat(np.arange(len(s := starts_of(col("token"), col("first"), col("second")))), np.diff(np.r_[s, size]))
             cross = col("first") != col("second")
-            bits = from_fixed(run.column("sketch"), "u8")
+            bits = from_fixed(run.column("brief"), "u8")
             alive = np.arange(size)
             for step in range(1, size):
                 alive = alive[alive + step < size]
@@ -300,12 +363,13 @@ def join(docs: DataFrame, percent: int = 90, words: int = 3, id_col: str = "doc_
     left = cut(sketched(open_pairs.distinct()))
     if not left.isEmpty():
         items = fetch(left)
-        for turn in range(3):
+        left = cut(pruned(left, items))
+        for turn in range(2):
             # the likeliest pair of two components first: most others derive their answers from it
             named = left.join(parts.toDF("a", "pa"), "a", "left").join(parts.toDF("b", "pb"), "b", "left")
             named = named.select("a", "b", "differ", F.coalesce("pa", "a").alias("pa"), F.coalesce("pb", "b").alias("pb")).where("pa <> pb")
             left = cut(named)
-            if turn < 2:
+            if turn < 1:
                 best = named.groupBy(F.least("pa", "pb"), F.greatest("pa", "pb")).agg(F.min_by(F.struct("a", "b"), F.struct("differ", "a", "b")).alias("x")).select("x.a", "x.b")
                 best = cut(best)
                 left = cut(left.join(best, ["a", "b"], "left_anti").select("a", "b", "differ"))
@@ -314,7 +378,7 @@ def join(docs: DataFrame, percent: int = 90, words: int = 3, id_col: str = "doc_
             links = links.union(verified(best, items))
             if left.isEmpty():
                 break
-            if turn < 2:
+            if turn < 1:
                 parts = components(links)
 
     # components by documents: a set's name is its smallest document
