@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from .common import key_runs, partitions, starts_of
 
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 10 << 20
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
