@@ -104,10 +104,13 @@ def read_keys(row: dict, keys: np.ndarray) -> list[np.ndarray | None]:
 
 
 class _Pieces(dict):
-    """Ids by piece; a piece not known gives itself."""
+    """Ids by piece; looking up a piece that is not known notes it and gives None."""
 
-    def __missing__(self, piece: str) -> str:
-        return piece
+    def __init__(self):
+        self.new: list[str] = []
+
+    def __missing__(self, piece: str) -> None:
+        self.new.append(piece)
 
 
 class Encoder:
@@ -117,7 +120,7 @@ class Encoder:
     keeps white space: a piece takes the space before it, which a byte-level pattern joins to the word
     that follows, or the newline before it.  Where more white space follows a space or newline, or the
     text ends with one, the tokenizer gets the whole text.  Without ``spaced`` it drops white space and
-    treats words alone.  A mark at the end of a piece, after a letter, has ids of its own.  So ids are
+    treats words alone.  Marks at the end of a piece, after a letter, have ids of their own.  So ids are
     always those of the whole text.  New pieces are encoded many to a string.  Not more than about
     MOST pieces are kept.
     """
@@ -125,7 +128,7 @@ class Encoder:
     MOST = 1_500_000
     #: A character with an id of its own, which parts new pieces where white space is dropped.
     MARK = "\x01"
-    ENDS = ".,;:!?"
+    ENDS = ".,;:!?&$*%"
     kept: dict[str, "Encoder"] = {}
 
     def __init__(self, path: str, spaced: bool):
@@ -137,7 +140,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.spaced = spaced
-        self.end_ids = {c: np.array(self.ids(c), "<u4").tobytes() for c in self.ENDS}
+        self.end_ids = {"": b""}
         self.known = _Pieces()
         if spaced:  # in this vocabulary a character stands for a byte
             self.bytes_of = np.zeros(self.tokenizer.get_vocab_size(), "i8")
@@ -145,6 +148,9 @@ class Encoder:
                 self.bytes_of[i] = len(token)
         else:
             (self.mark,) = self.ids(self.MARK)
+            self.closes = np.zeros(self.tokenizer.get_vocab_size(), bool)
+            for token, i in self.tokenizer.get_vocab().items():
+                self.closes[i] = token.endswith("</w>")
 
     @classmethod
     def of(cls, path: str, spaced: bool) -> "Encoder":
@@ -155,66 +161,113 @@ class Encoder:
     def ids(self, text: str) -> list[int]:
         return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
-    def learn(self, new: list[str]) -> None:
-        """Encodes pieces, joined to long strings, and takes the ids apart again."""
-        known = self.known
-        plain: dict[str, None] = {}
+    @staticmethod
+    def parts(every: list[str]) -> Iterator[list[str]]:
+        return (every[at : at + 20_000] for at in range(0, len(every), 20_000))
+
+    def joined(self, strings: list[str]) -> np.ndarray:
+        """Ids of some strings, end to end."""
+        return np.concatenate([np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(strings, add_special_tokens=False)])
+
+    def keep(self, pieces: list[str], ids: np.ndarray, last: np.ndarray) -> None:
+        """Makes pieces known; ``last`` is where each one's ids end."""
+        raw, lo = ids.tobytes(), 0
+        for x, hi in zip(pieces, (4 * last).tolist()):
+            self.known[x] = raw[lo:hi]
+            lo = hi
+
+    def learn(self, new: set[str]) -> None:
+        """Encodes pieces, joined to long strings, and takes the ids apart again.
+
+        A piece that needs the whole text becomes False.
+        """
+        known, ends = self.known, self.end_ids
+        plain: set[str] = set()
+        words: set[str] = set()
         ended = []
         for x in new:
             if self.spaced and (not x or x[x[0] == "\n" :][:1].isspace() or x == "\n"):
-                known[x] = None
-            elif not self.spaced and self.MARK in x:
+                known[x] = False
+                continue
+            if not self.spaced and self.MARK in x:
                 known[x] = np.array(self.ids(x), "<u4").tobytes()
-            elif x and x[-1] in self.ENDS and x[-2:-1].lower().isalpha():
-                ended.append(x)
-                if x[:-1] not in known:
-                    plain[x[:-1]] = None
+                continue
+            core = x.rstrip(self.ENDS)
+            marks = x[len(core) :]
+            if not self.spaced and core.isalpha() and (core.isascii() or max(core) < "\u0100"):
+                core = core.lower()  # as the tokenizer has it; one word, which one token ends
+                if core not in known:
+                    words.add(core)
+                if core != x:
+                    ended.append((x, core, marks))
+            elif marks and core[-1:].lower().isalpha():
+                ended.append((x, core, marks))
+                if core not in known:
+                    plain.add(core)
             else:
-                plain[x] = None
-        every = list(plain)
-        for at in range(0, len(every), 20_000):
-            some = every[at : at + 20_000]
-            if self.spaced:
-                joined = [x if x[0] == "\n" else " " + x for x in some]
-                sizes = [len(x.encode()) for x in joined]
-                strings = ["".join(joined[k : k + 200]) for k in range(0, len(some), 200)]
+                plain.add(x)
+        for some in self.parts(list(words)):
+            ids = self.joined([" ".join(some[k : k + 200]) for k in range(0, len(some), 200)])
+            last = np.flatnonzero(self.closes[ids]) + 1
+            if len(last) == len(some) and last[-1] == len(ids):
+                self.keep(some, ids, last)
             else:
-                strings = [f" {self.MARK} " + f" {self.MARK} ".join(some[k : k + 200]) for k in range(0, len(some), 200)]
-            ids = np.concatenate([np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(strings, add_special_tokens=False)])
+                plain.update(some)
+        for some in self.parts(list(plain)):
             if self.spaced:
-                ends = np.searchsorted(np.cumsum(self.bytes_of[ids]), np.cumsum(sizes)) + 1
+                pieces = [x if x[0] == "\n" else " " + x for x in some]
+                ids = self.joined(["".join(pieces[k : k + 200]) for k in range(0, len(some), 200)])
+                sizes = np.fromiter((len(x) if x.isascii() else len(x.encode()) for x in pieces), "i8", len(pieces))
+                last = np.searchsorted(np.cumsum(self.bytes_of[ids]), np.cumsum(sizes)) + 1
             else:  # a mark before each piece
-                marks = np.flatnonzero(ids == self.mark)
-                ids = np.delete(ids, marks)
-                ends = np.r_[(marks - np.arange(len(marks)))[1:], len(ids)]
-            if len(ends) != len(some) or ends[-1] != len(ids):
+                ids = self.joined([f" {self.MARK} " + f" {self.MARK} ".join(some[k : k + 200]) for k in range(0, len(some), 200)])
+                at = np.flatnonzero(ids == self.mark)
+                ids = np.delete(ids, at)
+                last = np.r_[(at - np.arange(len(at)))[1:], len(ids)]
+            if len(last) != len(some) or last[-1] != len(ids):
                 raise RuntimeError("pieces and ids don't match")
-            raw, lo = ids.tobytes(), 0
-            for x, hi in zip(some, (4 * ends).tolist()):
-                known[x] = raw[lo:hi]
-                lo = hi
-        for x in ended:
-            known[x] = known[x[:-1]] + self.end_ids[x[-1]]
+            self.keep(some, ids, last)
+        for x, core, marks in ended:
+            if marks not in ends:
+                if len(ends) > 100_000:
+                    ends.clear()
+                    ends[""] = b""
+                ends[marks] = np.array(self.ids(marks), "<u4").tobytes()
+            known[x] = known[core] + ends[marks]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as unsigned 32-bit integers."""
         known = self.known
         if len(known) > self.MOST:
             known.clear()
-        cut = [t.replace("\n", " \n" if self.spaced else " ").split(" ") for t in texts]
-        firsts = [c.pop(0) for c in cut] if self.spaced else []
-        first = [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(firsts, add_special_tokens=False)] if firsts else [b""] * len(texts)
-        found = [list(map(known.__getitem__, c)) for c in cut]  # pieces not known stand for themselves
-        new = {v for f in found for v in f if v.__class__ is str}
-        self.learn(list(new))
+        new = known.new
+        new.clear()
+        ids_of = known.__getitem__
+        heads: list[bytes] = []
+        if self.spaced:  # what comes before the first space or newline
+            firsts = [t[: min((at for at in (t.find(" "), t.find("\n")) if at >= 0), default=len(t))] for t in texts]
+            heads = [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(firsts, add_special_tokens=False)]
+        rows = []
+        for t in texts:
+            before = len(new)
+            parts = t.replace("\n", " \n" if self.spaced else " ").split(" ")
+            found = list(map(ids_of, parts[1:] if self.spaced else parts))
+            rows.append((found, before, len(new)))
+        noted = new[:]
+        self.learn(set(noted))
         out = []
-        for t, head, f in zip(texts, first, found):
-            ids = [known[v] if v.__class__ is str else v for v in f]
-            # a piece without ids of its own: the whole text
-            out.append(np.array(self.ids(t), "<u4").tobytes() if None in ids else head + b"".join(ids))
-        for x in new:
-            if len(x) > 200:
-                del known[x]
+        for k, (found, lo, hi) in enumerate(rows):
+            at = -1
+            for piece in noted[lo:hi]:
+                at = found.index(None, at + 1)
+                found[at] = known[piece]
+            try:
+                out.append((heads[k] if heads else b"") + b"".join(found))
+            except TypeError:  # False: a piece without ids of its own
+                out.append(np.array(self.ids(texts[k]), "<u4").tobytes())
+        for piece in noted:
+            if len(piece) > 200:
+                known.pop(piece, None)
         return out
 
 

@@ -63,7 +63,7 @@ def test_pieces_give_the_ids_of_whole_texts():
     from tokenizers import Tokenizer
 
     rng = random.Random(3)
-    parts = [" ", "  ", "\n", " \n", "\t", "\r\n", "a", "Bc", "é", "\x01", "\x1c", "\xa0", "1", "'s", ".", "...", "İ", "Σ", "́", "日", "🙂", "\x85", ","]
+    parts = [" ", "  ", "\n", " \n", "\t", "\r\n", "a", "Bc", "é", "\x01", "\x1c", "\xa0", "1", "'s", ".", "...", "İ", "Σ", "́", "日", "🙂", "\x85", ",", "&&&", "!?", "ß", "Éa", "ª", "²", "µ", "$."]
     texts = ["".join(rng.choices(parts, k=rng.randint(0, 25))) for _ in range(1500)]
     for name, spaced in (("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)):
         e = token_store.Encoder(P.path(name), spaced)
