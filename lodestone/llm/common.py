@@ -34,6 +34,22 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Like ``cut``, as compressed columns: less disk for wide or repetitive rows, but no order or partitioning is kept."""
+    path = new_path(df.sparkSession, "part")
+    df.write.option("compression", "zstd").parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stored_path = path
+    return out
+
+
+def release(df: DataFrame) -> None:
+    """Deletes what ``stored`` wrote, once nothing reads it again."""
+    jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(df.stored_path)
+    path.getFileSystem(conf).delete(path, True)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

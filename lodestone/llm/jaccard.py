@@ -37,12 +37,14 @@ import pyarrow.compute  # noqa: F401  used as pa.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, cut, fixed_binary, from_fixed, key_runs, mix64, partitions, starts_of
+from .common import components, fixed_binary, from_fixed, key_runs, mix64, partitions, release, starts_of, stored
 
 SLOTS_LOG = 17
 SKETCH = 1024
 BLOCK = 1024
 FIRST = 6
+#: Sets of more shingles take whole sketches into the sweep, others folded ones.
+LONG = 512
 BLOOM_BITS = 1 << 23
 PIECE = 1 << 18
 
@@ -125,6 +127,19 @@ def brief(bits: np.ndarray) -> np.ndarray:
     return np.bitwise_xor.reduce(bits.reshape(len(bits), 4, -1), axis=1)
 
 
+def unfolded(column) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Folded sketches of all rows, whole sketches (zero where a row has only a folded one), and which rows have whole ones."""
+    raw = column.to_pylist()
+    long = np.array([len(x) > SKETCH // 32 for x in raw], bool)
+    whole, folded = np.zeros((len(raw), SKETCH // 8), "u1"), np.zeros((len(raw), SKETCH // 32), "u1")
+    if long.any():
+        whole[long] = np.frombuffer(b"".join(x for x in raw if len(x) > SKETCH // 32), "u1").reshape(-1, SKETCH // 8)
+        folded[long] = brief(whole[long])
+    if not long.all():
+        folded[~long] = np.frombuffer(b"".join(x for x in raw if len(x) <= SKETCH // 32), "u1").reshape(-1, SKETCH // 32)
+    return folded.view("u8"), whole.view("u8"), long
+
+
 def fine_sketch(s: np.ndarray) -> bytes:
     """A parity sketch with at least four bits for each shingle; half of one is the sketch of half its size, folded."""
     size = 1 << max(10, int(4 * len(s) - 1).bit_length())
@@ -161,9 +176,9 @@ def join(docs: DataFrame, percent: int = 90, words: int = 3, id_col: str = "doc_
         yield pa.record_batch({"doc_id": some, "n": total[some], "sid": np.zeros(len(some), "i8"), "sketch": empty, "brief": empty})
 
     # one pass: a row for each document, and a task's counts of slots as rows without a sketch
-    passed = cut(source.mapInArrow(describe, "doc_id long, n long, sid long, sketch binary, brief binary"))
+    passed = stored(source.mapInArrow(describe, "doc_id long, n long, sid long, sketch binary, brief binary"))
     described = passed.where("sketch is not null")
-    sets = cut(described.where("n > 0").groupBy("sid").agg(F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.min("sketch").alias("sketch"), F.min("brief").alias("brief")))
+    sets = stored(described.where("n > 0").groupBy("sid").agg(F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.min("sketch").alias("sketch"), F.min("brief").alias("brief")))
     slots = passed.where("sketch is null").groupBy(F.col("doc_id").alias("slot")).agg(F.sum("n").alias("n")).toArrow()  # SLOTS rows at most
     frequency = np.zeros(1 << SLOTS_LOG, "i8")
     frequency[slots.column("slot").to_numpy()] = slots.column("n").to_numpy()
@@ -235,7 +250,7 @@ def join(docs: DataFrame, percent: int = 90, words: int = 3, id_col: str = "doc_
                     yield pa.record_batch({"sid": ids[take], "items": pa.array([found[i].tobytes() for i in take], pa.binary()), "fine": pa.array([fine_sketch(found[i]) for i in take], pa.binary())})
 
         items = source.mapInArrow(held, "sid long, items binary, fine binary").groupBy("sid").agg(F.first("items").alias("items"), F.first("fine").alias("fine"))
-        return cut(items.join(wanted, "sid"))
+        return stored(items.join(wanted, "sid"))
 
     def pruned(pairs: DataFrame, items: DataFrame) -> DataFrame:
         """Pairs that fine sketches leave open; for long sets these tell far more than the fixed ones."""
@@ -264,7 +279,7 @@ def join(docs: DataFrame, percent: int = 90, words: int = 3, id_col: str = "doc_
 
         left = pairs.select("a", "b").join(items.select(F.col("sid").alias("a"), F.col("items").alias("xs")), "a")
         both = left.join(items.select(F.col("sid").alias("b"), F.col("items").alias("ys")), "b").select("a", "b", "xs", "ys")
-        return cut(both.mapInArrow(check, "a long, b long"))
+        return stored(both.mapInArrow(check, "a long, b long"))
 
     def neighbours(batches):
         """Pairs of the same shingle next to each other or but one, in order of size."""
@@ -290,10 +305,14 @@ def join(docs: DataFrame, percent: int = 90, words: int = 3, id_col: str = "doc_
         return both.mapInArrow(apart, "a long, b long, na long, nb long, differ long").where(bound).select("a", "b", "differ")
 
     # relations first; a range partitioning deals even one shingle's list over many tasks, in order
-    near = cut(prefixes(FIRST)).repartitionByRange(n_parts, "token", "n", "sid").sortWithinPartitions("token", "n", "sid")
+    few = stored(prefixes(FIRST))
+    near = few.repartitionByRange(n_parts, "token", "n", "sid").sortWithinPartitions("token", "n", "sid")
     near = near.mapInArrow(neighbours, "a long, b long").distinct()
-    near = cut(sketched(near).groupBy("b").agg(F.min_by("a", F.struct("differ", "a")).alias("a")).select("a", "b"))
-    links = verified(near, fetch(near))
+    near = stored(sketched(near).groupBy("b").agg(F.min_by("a", F.struct("differ", "a")).alias("a")).select("a", "b"))
+    release(few)
+    items = fetch(near)
+    links = verified(near, items)
+    release(items)
     parts = components(links)
 
     # then every prefix shingle
@@ -328,12 +347,12 @@ def join(docs: DataFrame, percent: int = 90, words: int = 3, id_col: str = "doc_
                 held = held.set_column(held.schema.get_field_index("more"), "more", pa.array([bool(any_of[-1])]))
 
     index = prefixes(None).withColumn("more", F.lit(False)).repartition(n_parts, "token").sortWithinPartitions("token", "sid").mapInArrow(listed, "token long, sid long, n int, pos int")
-    index = cut(index.join(parts, F.col("sid") == F.col("node"), "left").select("token", "sid", "n", "pos", F.coalesce("component", "sid").alias("part")))
-    mixed = index.groupBy("token").agg(F.min("part").alias("_lo"), F.max("part").alias("_hi"), F.count("*").alias("size")).where("_lo <> _hi").select("token", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
-    index = index.join(mixed, "token").join(sets.select("sid", "brief"), "sid")
+    whole = stored(index.join(parts, F.col("sid") == F.col("node"), "left").select("token", "sid", "n", "pos", F.coalesce("component", "sid").alias("part")))
+    mixed = whole.groupBy("token").agg(F.min("part").alias("_lo"), F.max("part").alias("_hi"), F.count("*").alias("size")).where("_lo <> _hi").select("token", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
+    index = whole.join(mixed, "token").join(sets.select("sid", F.when(F.col("n") > LONG, F.col("sketch")).otherwise(F.col("brief")).alias("bits")), "sid")
     index = index.withColumn("block", F.pmod(F.xxhash64("sid", F.lit(9)), F.col("blocks")).cast("int"))
     deal = F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least("block", k).alias("first"), F.greatest("block", k).alias("second"))))
-    index = index.withColumn("_p", deal).select("token", "_p.first", "_p.second", "block", "sid", "n", "pos", "part", "brief")
+    index = index.withColumn("_p", deal).select("token", "_p.first", "_p.second", "block", "sid", "n", "pos", "part", "bits")
 
     def sweep(batches):
         for run in key_runs(batches, ["token", "first", "second"], 8192):
@@ -342,7 +361,7 @@ def join(docs: DataFrame, percent: int = 90, words: int = 3, id_col: str = "doc_
             sid, n, pos, part, block = (col(k).astype("i8") for k in ("sid", "n", "pos", "part", "block"))
             group = np.repeat(np.arange(len(s := starts_of(col("token"), col("first"), col("second")))), np.diff(np.r_[s, size]))
             cross = col("first") != col("second")
-            bits = from_fixed(run.column("brief"), "u8")
+            folded, wide, long = unfolded(run.column("bits"))
             alive = np.arange(size)
             for step in range(1, size):
                 alive = alive[alive + step < size]
@@ -355,24 +374,28 @@ def join(docs: DataFrame, percent: int = 90, words: int = 3, id_col: str = "doc_
                 # position: what can still be shared before, at and after this shingle
                 ok &= 1 + np.minimum(pos[i], pos[j]) + np.minimum(n[i] - pos[i], n[j] - pos[j]) - 1 >= needed(n[j], percent)
                 i, j = i[ok], j[ok]
-                ok = (100 + percent) * np.bitwise_count(bits[i] ^ bits[j]).sum(1).astype("i8") <= (100 - percent) * (n[i] + n[j])
+                most = (100 - percent) * (n[i] + n[j])
+                ok = (100 + percent) * np.bitwise_count(folded[i] ^ folded[j]).sum(1).astype("i8") <= most
+                both = np.flatnonzero(ok & long[i] & long[j])
+                ok[both] = (100 + percent) * np.bitwise_count(wide[i[both]] ^ wide[j[both]]).sum(1).astype("i8") <= most[both]
                 if ok.any():
                     yield pa.record_batch({"a": np.minimum(sid[i], sid[j])[ok], "b": np.maximum(sid[i], sid[j])[ok]})
 
     open_pairs = index.repartition(n_parts, "token", "first", "second").sortWithinPartitions("token", "first", "second", "n", "sid").mapInArrow(sweep, "a long, b long")
-    left = cut(sketched(open_pairs.distinct()))
+    left = stored(sketched(open_pairs.distinct()))
+    release(whole)
     if not left.isEmpty():
         items = fetch(left)
-        left = cut(pruned(left, items))
+        left = stored(pruned(left, items))
         for turn in range(2):
             # the likeliest pair of two components first: most others derive their answers from it
             named = left.join(parts.toDF("a", "pa"), "a", "left").join(parts.toDF("b", "pb"), "b", "left")
             named = named.select("a", "b", "differ", F.coalesce("pa", "a").alias("pa"), F.coalesce("pb", "b").alias("pb")).where("pa <> pb")
-            left = cut(named)
+            left = stored(named)
             if turn < 1:
                 best = named.groupBy(F.least("pa", "pb"), F.greatest("pa", "pb")).agg(F.min_by(F.struct("a", "b"), F.struct("differ", "a", "b")).alias("x")).select("x.a", "x.b")
-                best = cut(best)
-                left = cut(left.join(best, ["a", "b"], "left_anti").select("a", "b", "differ"))
+                best = stored(best)
+                left = stored(left.join(best, ["a", "b"], "left_anti").select("a", "b", "differ"))
             else:
                 best = left
             links = links.union(verified(best, items))
