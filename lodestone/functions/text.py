@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Prefixes of an effect's notation and the operation each stands for, longest first.
-OP_PREFIXES = (("^", "exp"), ("x", "mult"), ("*", "mult"), ("+", "add"), ("-", "add"))
+#: Prefixes of an effect's notation and the operation each stands for, in order of trial.
+OP_PREFIXES = (("+^", "exp"), ("-^", "exp"), ("^^", "exp"), ("*^", "mult"), ("x^", "mult"), ("^", "exp"), ("x", "mult"), ("*", "mult"), ("/", "mult"), ("+", "add"), ("-", "add"))
+#: Tags that are dropped from wikitext, their content kept.
+DROPPED_TAGS = ("br", "sup", "sub", "ref", "small", "big", "span", "div", "center")
 
 
 def slugify(c: Column) -> Column:
@@ -31,15 +33,15 @@ def plain_wikitext(c: Column, passes: int = 5) -> Column:
     ``keyword`` and ``zodiacbadge`` templates stand for their last positional argument, others for nothing.
     """
     t = F.regexp_replace(c, r"(?s)<!--.*?-->", "")
-    t = F.regexp_replace(t, r"(?s)<math[^>]*>(.*?)</math>", "$1")
-    t = F.regexp_replace(t, r"(?i)\[\[(?:File|Image):[^\]]*\]\]", "")
+    t = F.regexp_replace(t, r"(?s)<math>\s*(.*?)\s*</math>", "$1")
+    t = F.regexp_replace(t, r"(?i)\[\[File:[^\]]*\]\]", "")
     for _ in range(passes):
-        t = F.regexp_replace(t, r"(?i)\{\{\s*(?:keyword|zodiacbadge)\s*(?:\|[^{}|]*)*?\|([^{}|=]*)(?:\|[^{}|=]*=[^{}|]*)*\}\}", "$1")
+        t = F.regexp_replace(t, r"(?i)\{\{\s*(?:keyword|zodiacbadge)\s*(?:\|[^{}|]*)*?\|\s*([^{}|=]*?)\s*(?:\|[^{}|=]*=[^{}|]*)*\}\}", "$1")
         t = F.regexp_replace(t, r"\{\{[^{}]*\}\}", "")
-    t = F.regexp_replace(t, r"\[\[[^\]|]*\|([^\]]*)\]\]", "$1")
-    t = F.regexp_replace(t, r"\[\[([^\]]*)\]\]", "$1")
+    t = F.regexp_replace(t, r"\[\[[^\]|]*\|([^\]|]*)\]\]", "$1")
+    t = F.regexp_replace(t, r"\[\[([^\]|]*)\]\]", "$1")
     t = F.regexp_replace(t, r"(?i)<br\s*/?>", " ")
-    t = F.regexp_replace(t, r"</?[A-Za-z][^>]*>", "")
+    t = F.regexp_replace(t, rf"(?i)</?(?:{'|'.join(DROPPED_TAGS)})[^>]*>", "")
     return normalise_space(F.regexp_replace(t, r"'''|''", ""))
 
 

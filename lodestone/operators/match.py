@@ -27,32 +27,43 @@ def collisions(vocab: DataFrame) -> DataFrame:
     return vocab.groupBy(F.lower("surface").alias("folded")).agg(F.countDistinct("target").alias("targets")).where("targets > 1")
 
 
+def terms(vocab: DataFrame) -> list[tuple[str, str, bool]]:
+    """Accepted surfaces with target and case sensitivity, longest first; gathered only up to MOST_SURFACES."""
+    rows = accepted(vocab).limit(MOST_SURFACES + 1).collect()
+    if len(rows) > MOST_SURFACES:
+        raise ValueError("the vocabulary is too large to broadcast")
+    return sorted(((r["surface"], r["target"], r["case_sensitive"]) for r in rows), key=lambda r: (-len(r[0]), r[0], r[1]))
+
+
+def finder(found: list[tuple[str, str, bool]]):
+    """A function of a text and the spans taken already: its hits ``(start, end, surface, target)``."""
+    compiled = [(re.compile(rf"(?<!\w){re.escape(s)}(?!\w)", 0 if c else re.I), s.lower(), s, t) for s, t, c in found]
+
+    def hits(text: str, taken: list[tuple[int, int]]) -> list[tuple[int, int, str, str]]:
+        low, taken, out = text.lower(), list(taken), []
+        for p, key, s, t in compiled:
+            if key in low:
+                for m in p.finditer(text):
+                    if all(m.end() <= x or m.start() >= y for x, y in taken):
+                        taken.append(m.span())
+                        out.append((*m.span(), s, t))
+        return out
+
+    return hits
+
+
 def match(texts: DataFrame, vocab: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Hits ``(id, start, surface, target)``: longest surface first (ties by surface), none overlaps an earlier one.
 
     One compiled alternation finds candidates for all surfaces at once, per batch of texts.  The
     vocabulary is gathered only up to MOST_SURFACES.
     """
-    rows = accepted(vocab).limit(MOST_SURFACES + 1).collect()
-    if len(rows) > MOST_SURFACES:
-        raise ValueError("the vocabulary is too large to broadcast")
-    terms = sorted(((r["surface"], r["target"], r["case_sensitive"]) for r in rows), key=lambda r: (-len(r[0]), r[0], r[1]))
+    found = terms(vocab)
 
     def run(batches):
-        compiled = [(re.compile(rf"(?<!\w){re.escape(s)}(?!\w)", 0 if c else re.I), s.lower(), s, t) for s, t, c in terms]
+        hits = finder(found)
         for b in batches:
-            out = []
-            for i, text in zip(b[id_col], b[text_col]):
-                if not text:
-                    continue
-                low, taken = text.lower(), []
-                for p, key, s, t in compiled:
-                    if key not in low:
-                        continue
-                    for m in p.finditer(text):
-                        if all(m.end() <= x or m.start() >= y for x, y in taken):
-                            taken.append(m.span())
-                            out.append((i, m.start(), s, t))
+            out = [(i, start, s, t) for i, text in zip(b[id_col], b[text_col]) if text for start, _, s, t in hits(text, [])]
             yield pd.DataFrame(out, columns=[id_col, "start", "surface", "target"])
 
     kind = dict(texts.dtypes)[id_col]
