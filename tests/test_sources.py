@@ -4,6 +4,7 @@ import os
 import pytest
 
 from lodestone.operators import references, wikitext
+from lodestone.plans import build
 from lodestone.sources import files, sinks
 
 DATA = """systems:
@@ -95,3 +96,19 @@ def test_extraction_equals_derived_records(spark):
     assert listed(nodes, wikitext.NODE[:-1]) == listed(derived.nodes, wikitext.NODE[:-1])
     assert listed(edges, wikitext.EDGE[:-1]) == listed(derived.edges, wikitext.EDGE[:-1])
     assert dropped.isEmpty()
+
+
+def test_merged_overlays_replaces_and_suppresses(spark, tmp_path):
+    (tmp_path / "d.yaml").write_text("nodes:\n- {id: a, name: A, system: s, kind: stat, wiki: W}\n- {id: b, name: B, system: s, kind: stat}\nedges:\n- {from: a, to: b, rel: boosts, source: x, note: old}\n- {from: b, to: a, rel: boosts, source: x}\n")
+    (tmp_path / "c.yaml").write_text("nodes:\n- {id: a, name: AA, system: s, kind: stat}\n- {id: c, name: C, system: s, kind: stat}\nedges:\n- {from: a, to: b, rel: boosts, source: y}\nsuppress:\n- {from: b, to: a, rel: boosts, reason: wrong}\n- {from: c, to: a, rel: boosts, reason: none}\n")
+    nodes, edges, unmatched = build.merged(*(files.load_dataset(spark, str(tmp_path / f"{k}.yaml")) for k in "dc"))
+    assert [(r["id"], r["name"], r["wiki"]) for r in nodes.orderBy("_new", "_ord").collect()] == [("a", "AA", "W"), ("b", "B", None), ("c", "C", None)]
+    assert [(r["from"], r["to"], r["source"], r["note"]) for r in edges.collect()] == [("a", "b", "y", None)]
+    assert [r["from"] for r in unmatched.collect()] == ["c"]
+
+
+@pytest.mark.skipif("LODESTONE_CORPUS" not in os.environ, reason="needs a corpus of pages, curated and derived records")
+def test_merged_counts_of_the_corpus(spark):
+    at = os.environ["LODESTONE_CORPUS"]
+    nodes, edges, unmatched = build.merged(*(files.load_dataset(spark, f"{at}/{k}.yaml") for k in ("derived", "relationships")))
+    assert (nodes.count(), edges.count(), unmatched.count()) == (943, 1528, 0)
