@@ -69,6 +69,27 @@ def ego(edges: DataFrame, roots: DataFrame, depth: int) -> tuple[DataFrame, Data
     return nodes, valid_edges(edges.select("src", "dst").distinct(), nodes)
 
 
+def egos(edges: DataFrame, roots: DataFrame, depth: int) -> tuple[DataFrame, DataFrame]:
+    """The ego graphs of many roots at once: nodes ``(graph, id, column)`` and edges ``(graph, src, dst)``; a graph is named by its root."""
+    e = edges.select("src", "dst").distinct()
+
+    def reached(e, hop):
+        frontier = roots.select(F.col("id").alias("graph"), "id").distinct().withColumn(hop, F.lit(0))
+        seen = frontier
+        for k in range(1, depth + 1):
+            step = frontier.join(e, frontier["id"] == e["src"]).select("graph", F.col("dst").alias("id")).distinct()
+            frontier = checkpointed(step.join(seen.select("graph", "id"), ["graph", "id"], "left_anti").withColumn(hop, F.lit(k)))
+            seen = seen.unionByName(frontier)
+        return seen
+
+    both = reached(e.select(F.col("dst").alias("src"), F.col("src").alias("dst")), "up").join(reached(e, "down"), ["graph", "id"], "full")
+    far = F.lit(1 << 30)
+    column = F.when(F.coalesce("up", far) <= F.coalesce("down", far), -F.col("up")).otherwise(F.col("down"))
+    nodes = checkpointed(both.select("graph", "id", column.cast("int").alias("column")))
+    inner = nodes.join(e, nodes["id"] == e["src"]).select("graph", "src", "dst")
+    return nodes, inner.join(nodes.select("graph", F.col("id").alias("dst")), ["graph", "dst"], "left_semi").select("graph", "src", "dst")
+
+
 def reachable(edges: DataFrame, limit: int = 64) -> DataFrame:
     """All pairs ``(a, b)`` with a path from a to b, by doubling; for graphs whose closure is small."""
     pairs = checkpointed(edges.select(F.col("src").alias("a"), F.col("dst").alias("b")).distinct())
@@ -214,4 +235,6 @@ def grid(nodes: DataFrame, pitch: int = 80, across: int = 240) -> DataFrame:
     """Places of an ego graph's nodes: columns side by side, rows centred in each column."""
     w = Window.partitionBy("column")
     row = F.row_number().over(w.orderBy("id"))
-    return nodes.select("id", "column", ((F.dense_rank().over(Window.orderBy("column")) - 1) * across).cast("double").alias("x"), ((row - (F.count("*").over(w) + 1) / 2) * pitch).cast("double").alias("y"))
+    ranks = nodes.agg(F.array_sort(F.collect_set("column")).alias("columns")).select(F.posexplode("columns").alias("place", "column"))
+    placed = nodes.join(F.broadcast(ranks), "column")  # one row for each column
+    return placed.select("id", "column", (F.col("place") * across).cast("double").alias("x"), ((row - (F.count("*").over(w) + 1) / 2) * pitch).cast("double").alias("y"))

@@ -523,9 +523,19 @@ def parent_cycles(t):
 _G2 = "(select distinct cast(user_id % 100 as bigint) as src, cast(json_extract_string(props, '$.k') as bigint) as dst from events where event_id % 80 = 0 and event_id < 10000 and user_id % 100 <> cast(json_extract_string(props, '$.k') as bigint))"
 
 
-def _cyclic(t, every: int = 80):
+def _links(events):
     k = F.get_json_object("props", "$.k").cast("long")
-    return t("events").where((F.col("event_id") % every == 0) & (F.col("event_id") < 10000)).select((F.col("user_id") % 100).cast("long").alias("src"), k.alias("dst")).where("src <> dst").distinct()
+    return events.select((F.col("user_id") % 100).cast("long").alias("src"), k.alias("dst")).where("src <> dst").distinct()
+
+
+def _cyclic(t):
+    """The part of the graph that the SQL of the ego graph and component queries names."""
+    return _links(t("events").where((F.col("event_id") % 80 == 0) & (F.col("event_id") < 10000)))
+
+
+def _whole(t):
+    """The graph of all events."""
+    return _links(t("events"))
 
 
 def _busiest(e):
@@ -560,8 +570,9 @@ def scc(t):
 
 @query()
 def back_edges(t):
-    e = _cyclic(t)
-    return G.back_edges(G.ego(e, _busiest(e), 2)[1].select(F.lit(0).alias("graph"), "src", "dst"))
+    """The edges that close a cycle in each node's own ego graph; ``graph`` is that node."""
+    e = G.checkpointed(_whole(t))
+    return G.back_edges(G.egos(e, e.select(F.col("src").alias("id")).union(e.select("dst")), 2)[1])
 
 
 @query(_EGO + """ select id, "column", cast((dense_rank() over (order by "column") - 1) * 240 as double) as x, cast((row_number() over (partition by "column" order by id) - (count(*) over (partition by "column") + 1) / 2) * 80 as double) as y from ego""")
@@ -590,6 +601,6 @@ def validation_report(t):
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ego graph of the busiest node of the cyclic graph; small tables give a denser graph."""
-    e = _cyclic(lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet"), 10)
+    """The ego graph of the busiest node of the graph of all events."""
+    e = _whole(lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet"))
     return G.ego(e, _busiest(e), 2)[0]

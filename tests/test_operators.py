@@ -1,5 +1,6 @@
 from pyspark.sql import functions as F
 
+from lodestone import queries
 from lodestone.functions import text
 from lodestone.operators import graph, match, merge
 
@@ -45,3 +46,63 @@ def test_match_longest_first_no_overlap(spark):
 def test_plain_wikitext(spark):
     d = spark.createDataFrame([("'''A''' [[File:x.png]] {{Keyword|Big|B}} [[P|label]] {{other|{{in}}}}<br>z <!-- c -->",)], "t string")
     assert d.select(text.plain_wikitext(F.col("t"))).first()[0] == "A B label z"
+
+
+def brute_ego(e, root, depth):
+    def reached(e):
+        hop, now = {root: 0}, {root}
+        for k in range(1, depth + 1):
+            now = {d for s, d in e if s in now} - set(hop)
+            hop |= dict.fromkeys(now, k)
+        return hop
+
+    down, up = reached(e), reached({(d, s) for s, d in e})
+    ids = {i: -up[i] if up.get(i, 99) <= down.get(i, 99) else down[i] for i in up.keys() | down.keys()}
+    return ids, {(s, d) for s, d in e if s in ids and d in ids}
+
+
+def brute_back(edges):
+    found, state = set(), {}
+
+    def walk(at):
+        state[at] = 1
+        for s, d in sorted(edges):
+            if s == at and state.get(d) == 1:
+                found.add((s, d))
+            elif s == at and d not in state:
+                walk(d)
+        state[at] = 2
+
+    for n in sorted({x for p in edges for x in p}):
+        if n not in state:
+            walk(n)
+    return found
+
+
+def test_graph_of_all_events(spark, tmp_path):
+    """Edges beyond event 10,000, and of ids that no stride meets, count."""
+    pairs = [(1, 2), (2, 3), (3, 1), (3, 4), (4, 5), (5, 4), (6, 7), (8, 8), (7, 9), (9, 6)]
+    ids = [0, 3, 5, 7, 11, 13, 20_000, 20_001, 20_003, 20_080]
+    data = [(i, s, f'{{"k": {d}}}') for i, (s, d) in zip(ids, pairs)]
+    spark.createDataFrame(data, "event_id long, user_id long, props string").write.parquet(f"{tmp_path}/events.parquet")
+    e = {(s, d) for s, d in pairs if s != d}
+    want = {(root, *b) for root in {x for p in e for x in p} for b in brute_back(brute_ego(e, root, 2)[1])}
+    assert {x[0] for x in want} >= {1, 4, 6}
+    assert set(rows(queries.QUERIES["back_edges"](spark, str(tmp_path)))) == want
+    # the busiest node is 3, or 4 with as many edges; ties go to the smaller
+    assert dict(rows(queries.flagship(spark, str(tmp_path)))) == brute_ego(e, 3, 2)[0]
+
+
+def test_ego_graphs_of_many_roots(spark):
+    e = {(s, d) for s in range(12) for d in range(12) if (s * 7 + d * 5) % 6 == 0}
+    nodes, edges = graph.egos(spark.createDataFrame(sorted(e), "src long, dst long"), spark.createDataFrame([(1,), (4,), (11,)], "id long"), 2)
+    for root in (1, 4, 11):
+        ids, inner = brute_ego(e, root, 2)
+        assert dict(nodes.where(F.col("graph") == root).select("id", "column").collect()) == ids
+        assert rows(edges.where(F.col("graph") == root).select("src", "dst")) == sorted(inner)
+
+
+def test_grid_has_no_window_over_all_rows(spark):
+    g = graph.grid(spark.createDataFrame([(1, -1), (2, 0), (3, 2), (4, 2)], "id int, column int"))
+    assert rows(g) == [(1, -1, 0.0, 0.0), (2, 0, 240.0, 0.0), (3, 2, 480.0, -40.0), (4, 2, 480.0, 40.0)]
+    assert "dense_rank" not in g._jdf.queryExecution().toString()
