@@ -8,7 +8,7 @@ import re
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType
+from pyspark.sql.types import ArrayType, DoubleType, StringType
 
 #: A vocabulary is data of the caller's; beyond this many surfaces it is not broadcast.
 MOST_SURFACES = 200_000
@@ -76,15 +76,53 @@ def resolve(hits: DataFrame, id_col: str) -> DataFrame:
     return hits.groupBy(id_col, "target").agg(F.min("start").alias("start"))
 
 
-def closest(values: DataFrame, candidates: list[str]) -> DataFrame:
-    """The candidate most like ``value`` by matching blocks, at a ratio of 0.6 or more; ties to the greatest."""
+def _tokens(strings: DataFrame) -> DataFrame:
+    """``s, token``: each character of a string with the number of its occurrence there; an empty token for an empty string."""
+    chars = F.regexp_extract_all("s", F.lit("(?s)."), F.lit(0))
+    one = strings.select("s", F.explode(chars).alias("c")).groupBy("s", "c").agg(F.count("*").alias("n"))
+    each = one.select("s", F.explode(F.transform(F.sequence(F.lit(1), F.col("n").cast("int")), lambda k: F.concat("c", k.cast("string")))).alias("token"))
+    return each.unionByName(strings.where("s = ''").select("s", F.lit("").alias("token")))
 
-    @F.pandas_udf("string")
-    def best(s: pd.Series) -> pd.Series:
-        pick = {v: (difflib.get_close_matches(v, candidates, n=1) or [None])[0] for v in s.dropna().unique()}
-        return s.map(pick)
 
-    return values.withColumn("suggestion", best("value"))
+@F.pandas_udf(DoubleType())
+def _ratio(value: pd.Series, candidate: pd.Series) -> pd.Series:
+    m, last, out = difflib.SequenceMatcher(), None, []
+    for v, c in zip(value, candidate):
+        if v != last:
+            m.set_seq2(v)
+            last = v
+        m.set_seq1(c)
+        out.append(m.ratio())
+    return pd.Series(out, dtype="float64")
+
+
+def closest(values: DataFrame, candidates: DataFrame) -> DataFrame:
+    """The ``candidate`` most like ``value`` by matching blocks, at a ratio of 0.6 or more; ties to the greatest; null without one.
+
+    A ratio of 0.6 is a common part of 3/10 of both lengths together, so the shorter string has 3/7 of
+    the longer one's length at least, and 3/7 of either string's characters are in the other.  With all
+    characters in one order, rarest first, such a pair shares one of the first 4/7 (and one) of each;
+    only pairs that do, and whose lengths and character counts allow the ratio, are scored.
+    """
+    v = values.select(F.col("value").alias("s")).where("s is not null").distinct()
+    c = candidates.select(F.col("candidate").alias("s")).where("s is not null").distinct()
+    tv, tc = _tokens(v), _tokens(c)
+    rarity = tv.unionByName(tc).groupBy("token").agg(F.count("*").alias("n"))
+
+    def first(tokens):
+        ranked = tokens.join(rarity, "token").groupBy("s").agg(F.array_sort(F.collect_list(F.struct("n", "token"))).alias("ts"))
+        size = F.size("ts")
+        return ranked.select("s", F.explode(F.slice("ts", F.lit(1), size - F.ceil(size * 3 / F.lit(7)).cast("int") + 1)).alias("t")).select("s", "t.token")
+
+    a, b = first(tv).withColumnRenamed("s", "value"), first(tc).withColumnRenamed("s", "candidate")
+    lv, lc = F.length("value"), F.length("candidate")
+    pairs = a.join(b, "token").where(20 * F.least(lv, lc) >= 6 * (lv + lc)).select("value", "candidate").distinct()
+    counts = lambda s: F.regexp_extract_all(s, F.lit("(?s)."), F.lit(0))
+    held = lambda s, x: F.length(s) - F.length(F.replace(F.col(s), x, F.lit("")))
+    common = F.aggregate(F.transform(F.array_distinct(counts("value")), lambda x: F.least(held("value", x), held("candidate", x)) / F.length(x)), F.lit(0.0), lambda p, q: p + q)
+    near = pairs.where(20 * common >= 6 * (lv + lc)).withColumn("ratio", _ratio("value", "candidate")).where("ratio >= 0.6")
+    best = near.groupBy("value").agg(F.max(F.struct("ratio", "candidate")).alias("best")).select("value", F.col("best.candidate").alias("suggestion"))
+    return values.join(best, "value", "left").select(*values.columns, "suggestion")
 
 
 @F.pandas_udf(ArrayType(StringType()))

@@ -147,7 +147,7 @@ def parse_html_blocks(t):
 
 @query()
 def split_outside(t):
-    return t("documents").where(F.contains("text", F.lit("("))).select("doc_id", F.posexplode(M.split_outside("text")).alias("pos", "part"))
+    return t("documents").select("doc_id", F.posexplode(M.split_outside("text")).alias("pos", "part"))
 
 
 @query("""select event_id, last_value(case when event_type = 'purchase' then event_id end ignore nulls) over (partition by user_id order by ts, event_id rows between unbounded preceding and current row) as last_purchase from events""")
@@ -242,7 +242,7 @@ def orient_edges(t):
 
 @query()
 def suggest_closest(t):
-    brands = [r[0] for r in t("part").select("p_brand").distinct().orderBy("p_brand").limit(1000).collect()]
+    brands = t("part").select(F.col("p_brand").alias("candidate")).distinct()
     return M.closest(t("part").select(F.concat(F.substring("p_brand", 2, 20), F.lit("x")).alias("value")).distinct(), brands)
 
 

@@ -1,3 +1,6 @@
+import difflib
+import random
+
 from pyspark.sql import functions as F
 
 from lodestone import queries
@@ -106,3 +109,25 @@ def test_grid_has_no_window_over_all_rows(spark):
     g = graph.grid(spark.createDataFrame([(1, -1), (2, 0), (3, 2), (4, 2)], "id int, column int"))
     assert rows(g) == [(1, -1, 0.0, 0.0), (2, 0, 240.0, 0.0), (3, 2, 480.0, -40.0), (4, 2, 480.0, 40.0)]
     assert "dense_rank" not in g._jdf.queryExecution().toString()
+
+
+def test_split_outside_takes_every_text(spark, tmp_path):
+    spark.createDataFrame([(1, "a, b"), (2, "c (d, e), f"), (3, "g"), (4, None)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = rows(queries.QUERIES["split_outside"](spark, str(tmp_path)))
+    assert got == [(1, 0, "a"), (1, 1, " b"), (2, 0, "c (d, e)"), (2, 1, " f"), (3, 0, "g")]
+
+
+def test_closest_equals_trying_all_candidates(spark):
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("aab\U0001f600cde\u00e9f") for _ in range(rng.randrange(9)))
+    candidates, values = {word() for _ in range(150)}, ["xaybzc", "", None, "b", "b", "\nab", *[word() for _ in range(250)]]
+    candidates |= {"abc", "", "a\nb"}
+    df = match.closest(spark.createDataFrame([(v,) for v in values], "value string"), spark.createDataFrame([(c,) for c in sorted(candidates)], "candidate string"))
+    want = [(v, next(iter(difflib.get_close_matches(v, candidates, n=1)), None) if v is not None else None) for v in values]
+    assert sorted(map(repr, map(tuple, df.collect()))) == sorted(map(repr, want))
+
+
+def test_suggest_closest_beyond_a_thousand_brands(spark, tmp_path):
+    brands = [chr(0x4E00 + k) * 8 for k in range(1500)]
+    spark.createDataFrame([(b,) for b in brands], "p_brand string").write.parquet(f"{tmp_path}/part.parquet")
+    assert dict(queries.QUERIES["suggest_closest"](spark, str(tmp_path)).collect()) == {b[1:] + "x": b for b in brands}
