@@ -163,25 +163,69 @@ def _reach(ec: DataFrame, start: DataFrame) -> DataFrame:
         n = m
 
 
-def ancestors(parents: DataFrame, limit: int = 100) -> DataFrame:
-    """Every ``(id, ancestor, hop)`` up the parent links, itself included at 0; a chain longer than ``limit`` or into a cycle stops at its first repeat."""
+def ancestors(parents: DataFrame) -> DataFrame:
+    """Every ``(id, ancestor, hop)`` up the parent links, itself included at 0; a chain into a cycle stops at its first repeat."""
     links = parents.where("parent is not null").select(F.col("id").alias("_id"), "parent")
     level = parents.select("id", F.col("id").alias("ancestor"), F.lit(0).alias("hop"), F.array("id").alias("path"))
-    out = level
-    for k in range(1, limit + 1):
+    out, k = level, 0
+    while True:
+        k += 1
         level = level.join(links, level["ancestor"] == links["_id"]).where(~F.array_contains("path", F.col("parent"))).select("id", F.col("parent").alias("ancestor"), F.lit(k).alias("hop"), F.concat("path", F.array("parent")).alias("path"))
         level = checkpointed(level)
         if level.isEmpty():
-            break
+            return out.select("id", "ancestor", "hop")
         out = out.unionByName(level)
-    return out.select("id", "ancestor", "hop")
+        if k % 20 == 0:  # keeps the plan of a deep hierarchy short
+            out = checkpointed(out)
+
+
+def placed(parents: DataFrame) -> DataFrame:
+    """``parents`` with only the links that a tree can hold: none to an undeclared id, none of an id whose chain reaches a cycle."""
+    known = parents.select(F.col("id").alias("_known")).distinct()
+    declared = parents.join(known, parents["parent"] == known["_known"], "left").drop("parent").withColumnRenamed("_known", "parent")
+    lost = parent_cycles(declared.select("id", "parent")).select(F.col("id").alias("_lost"))
+    flat = declared.join(lost, declared["id"] == lost["_lost"], "left")
+    return flat.withColumn("parent", F.when(F.col("_lost").isNull(), F.col("parent"))).select(*parents.columns)
 
 
 def roll_up(parents: DataFrame, counts: DataFrame) -> DataFrame:
-    """Direct and total counts in a hierarchy: ``id, direct, total`` from ``counts(id, direct)``."""
-    base = parents.select("id").join(counts, "id", "left").select("id", F.coalesce("direct", F.lit(0)).alias("direct"))
-    total = ancestors(parents).join(base, "id").groupBy("ancestor").agg(F.sum("direct").alias("total"))
-    return base.join(total, F.col("id") == F.col("ancestor")).select("id", "direct", "total")
+    """Direct and total counts in a hierarchy: ``id, direct, total`` from ``counts(id, direct)``; ids whose chain reaches a cycle stand alone."""
+    return _totals(placed(parents.select("id", "parent")), counts, ["direct"]).select("id", "direct", F.col("direct_total").alias("total"))
+
+
+def _totals(tree: DataFrame, counts: DataFrame, columns: list[str]) -> DataFrame:
+    """``id``, each column, and its sum over the id's subtree as ``<column>_total``."""
+    base = tree.select("id").join(counts, "id", "left").select("id", *[F.coalesce(c, F.lit(0)).alias(c) for c in columns])
+    total = ancestors(tree).join(base, "id").groupBy("ancestor").agg(*[F.sum(c).alias(f"{c}_total") for c in columns])
+    return base.join(total, F.col("id") == F.col("ancestor")).drop("ancestor")
+
+
+def outline(parents: DataFrame, counts: DataFrame) -> DataFrame:
+    """The roll-up in the order of a walk: ``id, depth, direct, total, connected, path``.
+
+    From ``parents(id, parent, ord)`` and ``counts(id, direct, connected)``, where ``ord`` is the order of
+    declaration; ``connected`` is summed over the subtree as ``total`` is.  Rows sorted by ``path`` stand
+    in pre-order: parents first, children as declared, and after all trees the ids whose chain reaches
+    a cycle, flat at depth 0 with their own counts.  Undeclared parents make roots, and counts of
+    undeclared ids are left out.
+    """
+    tree = checkpointed(placed(parents))
+    known = parents.select(F.col("id").alias("parent")).distinct()
+    lost = parent_cycles(parents.join(known, "parent", "left_semi").select("id", "parent")).withColumn("_lost", F.lit(1))
+    sums = _totals(tree.select("id", "parent"), counts, ["direct", "connected"])
+    own = tree.select(F.col("id").alias("ancestor"), F.col("ord").cast("long").alias("ord"))
+    chain = ancestors(tree.select("id", "parent")).join(own, "ancestor").groupBy("id").agg(F.max("hop").alias("depth"), F.array_sort(F.collect_list(F.struct((-F.col("hop")).alias("up"), "ord"))).alias("chain"))
+    path = F.concat(F.array(F.coalesce("_lost", F.lit(0)).cast("long")), F.transform("chain", lambda x: x["ord"]))
+    # ids out of a cycle already carry their own count as the total: nothing is placed below them
+    rows = chain.join(lost, "id", "left").join(sums, "id")
+    return rows.select("id", "depth", "direct", F.col("direct_total").alias("total"), F.col("connected_total").alias("connected"), path.alias("path"))
+
+
+def pruned(parents: DataFrame, counts: DataFrame) -> DataFrame:
+    """The roll-up ``id, direct, total`` without zero totals: an id that is its own parent is a root with its children, and counted ids that are not declared get a root row."""
+    own = parents.select("id", F.when(F.col("parent") != F.col("id"), F.col("parent")).alias("parent"))
+    more = counts.select("id").distinct().join(parents.select("id"), "id", "left_anti").select("id", F.lit(None).cast(dict(parents.dtypes)["parent"]).alias("parent"))
+    return roll_up(own.unionByName(more), counts).where("total > 0")
 
 
 def parent_cycles(parents: DataFrame) -> DataFrame:

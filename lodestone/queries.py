@@ -506,7 +506,16 @@ d as (select 'n' || c_nationkey as id, count(*) as n from customer where c_natio
 select ancestor as id, cast(sum(n) as bigint) as total from up join d on d.id = up.id group by ancestor having sum(n) > 0""")
 def tree_pruned(t):
     counts = t("customer").where("c_nationkey < 9").groupBy(F.concat(F.lit("n"), F.col("c_nationkey").cast("string")).alias("id")).agg(F.count("*").alias("direct"))
-    return G.roll_up(_good_tree(t), counts).where("total > 0").select("id", "total")
+    return G.pruned(_good_tree(t), counts).select("id", "total")
+
+
+@query()
+def hierarchy_outline(t):
+    """The roll-up of customers over nations and regions with cyclic and undeclared parents, in pre-order by ``path``; connected are those with orders."""
+    has = t("orders").select(F.col("o_custkey").alias("c_custkey")).distinct().withColumn("o", F.lit(1))
+    counts = t("customer").join(has, "c_custkey", "left").groupBy(F.concat(F.lit("n"), F.col("c_nationkey").cast("string")).alias("id")).agg(F.count("*").alias("direct"), F.count("o").alias("connected"))
+    declared = 2 * F.substring("id", 2, 20).cast("long") + F.col("id").startswith("n").cast("long")
+    return G.outline(_tree(t).withColumn("ord", declared), counts)
 
 
 _CYCLIC = "(select n_nationkey as id, case when n_nationkey < 5 then (n_nationkey + 1) % 5 when n_nationkey % 3 = 0 then n_nationkey - 3 end as parent from nation)"

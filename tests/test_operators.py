@@ -131,3 +131,34 @@ def test_suggest_closest_beyond_a_thousand_brands(spark, tmp_path):
     brands = [chr(0x4E00 + k) * 8 for k in range(1500)]
     spark.createDataFrame([(b,) for b in brands], "p_brand string").write.parquet(f"{tmp_path}/part.parquet")
     assert dict(queries.QUERIES["suggest_closest"](spark, str(tmp_path)).collect()) == {b[1:] + "x": b for b in brands}
+
+
+#: A cycle a-b, c below it, a self-parent s with child k, a root r with children in declared order y, x, and an undeclared parent.
+BROKEN = [("a", "b", 0), ("b", "a", 1), ("c", "a", 2), ("s", "s", 3), ("k", "s", 4), ("r", None, 5), ("y", "r", 6), ("x", "r", 7), ("z", "y", 8), ("u", "gone", 9), ("e", "r", 10)]
+COUNTS = [("a", 1, 1), ("b", 2, 0), ("c", 4, 1), ("s", 8, 2), ("k", 16, 3), ("y", 32, 4), ("z", 64, 5), ("u", 128, 6), ("new", 256, 7)]
+
+
+def broken(spark):
+    return spark.createDataFrame(BROKEN, "id string, parent string, ord int"), spark.createDataFrame(COUNTS, "id string, direct int, connected int")
+
+
+def test_outline_of_a_broken_hierarchy(spark):
+    got = [(r["id"], r["depth"], r["direct"], r["total"], r["connected"]) for r in graph.outline(*broken(spark)).orderBy("path").collect()]
+    assert got == [
+        ("r", 0, 0, 96, 9), ("y", 1, 32, 96, 9), ("z", 2, 64, 64, 5), ("x", 1, 0, 0, 0), ("e", 1, 0, 0, 0), ("u", 0, 128, 128, 6),
+        ("a", 0, 1, 1, 1), ("b", 0, 2, 2, 0), ("c", 0, 4, 4, 1), ("s", 0, 8, 8, 2), ("k", 0, 16, 16, 3),
+    ]
+
+
+def test_totals_count_no_cycle_twice(spark):
+    assert {("a", 1, 1), ("b", 2, 2), ("c", 4, 4), ("r", 0, 96), ("u", 128, 128)} <= set(rows(graph.roll_up(*broken(spark)).select("id", "direct", "total")))
+
+
+def test_pruned_tree(spark):
+    got = rows(graph.pruned(*broken(spark)).select("id", "total"))
+    assert got == [("a", 1), ("b", 2), ("c", 4), ("k", 16), ("new", 256), ("r", 96), ("s", 24), ("u", 128), ("y", 96), ("z", 64)]
+
+
+def test_ancestors_of_a_chain_beyond_a_hundred(spark):
+    deep = spark.createDataFrame([(k, k - 1 if k else None) for k in range(105)], "id int, parent int")
+    assert graph.ancestors(deep).where("id = 104").count() == 105
