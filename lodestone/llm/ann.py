@@ -33,6 +33,7 @@ CURVES, AXES, BITS = 4, 6, 8
 WINDOW = 128
 RUN = 256
 SHARD_ROWS = 16_384
+QUERY_BLOCK = 4_096
 
 
 def hilbert(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -109,7 +110,8 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_i
     return out
 
 
-def _search(good: DataFrame, d: int, k: int) -> DataFrame:
+def _windows(good: DataFrame, d: int, k: int) -> tuple[DataFrame, DataFrame]:
+    """The rows on all curves, and the neighbours ``(query_id, vec_id, score)`` that the windows find."""
     spark = good.sparkSession
 
     def keyed(batches):
@@ -155,6 +157,11 @@ def _search(good: DataFrame, d: int, k: int) -> DataFrame:
     n = partitions(spark)
     curves = cut(good.mapInArrow(keyed, schema).repartitionByRange(n, "curve", "key", "id").sortWithinPartitions("curve", "key", "id"))
     near = curves.mapInArrow(windows, "query_id long, vec_id long, score double").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    return curves, cut(near)
+
+
+def _search(good: DataFrame, d: int, k: int) -> DataFrame:
+    curves, near = _windows(good, d, k)
     ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     first = near.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") == k).select("query_id", F.col("score").alias("bound"))
 
@@ -170,9 +177,12 @@ def _search(good: DataFrame, d: int, k: int) -> DataFrame:
     crowd = sized.groupBy("shard").agg(F.ceil(F.count("*") / SHARD_ROWS).cast("int").alias("parts"))
     by_shard = sized.join(crowd, "shard").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
     queries = own.where("q").select(F.col("id").alias("query_id"), "v").distinct().join(first, "query_id", "left")
-    # the stated query set meets every shard of rows, in blocks; there is one row for each shard
+    # the stated query set meets every shard of rows in blocks of some QUERY_BLOCK queries; there is one row for each shard
+    blocks = max(1, -(-own.where("q").count() // QUERY_BLOCK))
+    queries = queries.withColumn("block", F.pmod(F.xxhash64("query_id", "v"), F.lit(blocks)).cast("int"))
+    by_block = by_shard.select("shard", "part", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), "key", "id", "v")
     shard_list = crowd.select("shard", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-    everywhere = queries.crossJoin(shard_list).select("query_id", "v", "bound", "shard", "part").toDF("query_id", "v", "bound", "to_shard", "to_part")
+    everywhere = queries.crossJoin(shard_list).select("query_id", "v", "bound", "shard", "part", "block").toDF("query_id", "v", "bound", "to_shard", "to_part", "to_block")
 
     def search(left: pa.Table, right: pa.Table) -> pa.Table:
         out_q, out_id, out_s = [], [], []
@@ -212,9 +222,9 @@ def _search(good: DataFrame, d: int, k: int) -> DataFrame:
             out_q, out_id, out_s = np.repeat(qid, some.sum(1)), kept_id[some], kept_s[some]
         return pa.table({"query_id": pa.array(out_q, pa.int64()), "vec_id": pa.array(out_id, pa.int64()), "score": pa.array(out_s, pa.float64())})
 
-    rest = everywhere.groupBy("to_shard", "to_part").cogroup(by_shard.select("shard", "part", "key", "id", "v").groupBy("shard", "part")).applyInArrow(search, "query_id long, vec_id long, score double")
-    # a row of equal id in two places is one candidate
-    both = rest.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    rest = everywhere.groupBy("to_shard", "to_part", "to_block").cogroup(by_block.groupBy("shard", "part", "block")).applyInArrow(search, "query_id long, vec_id long, score double")
+    # a row of equal id in two places is one candidate; what the windows found takes part
+    both = near.unionByName(rest).groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     return both.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 

@@ -240,3 +240,15 @@ def test_pipeline_stages_keep_columns(spark, tmp_path):
         current = spark.read.parquet(str(tmp_path / name))
         assert 0 < current.count() <= source.count()
     assert corpus_pipeline.run(spark, d).select("doc_id").distinct().count() == current.count()
+
+
+def test_nearest_meets_rows_in_blocks_of_queries(spark, monkeypatch):
+    """No task gets all queries, and the results are those of one block."""
+    rng = np.random.default_rng(9)
+    df = spark.createDataFrame([(k, [float(x) for x in rng.normal(size=8)]) for k in range(200)], "vec_id long, embedding array<double>")
+    monkeypatch.setattr(ann, "QUERY_BLOCK", 10_000)
+    one = sorted(map(tuple, ann.nearest(df, F.col("vec_id") % 2 == 0, 5).collect()))
+    monkeypatch.setattr(ann, "QUERY_BLOCK", 10)
+    many = ann.nearest(df, F.col("vec_id") % 2 == 0, 5)
+    assert sorted(map(tuple, many.collect())) == one and len(one) == 500
+    assert "to_block" in many._jdf.queryExecution().toString()
