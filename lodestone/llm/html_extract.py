@@ -26,6 +26,7 @@ from __future__ import annotations
 import html
 import re
 import zlib
+from collections import Counter
 from dataclasses import dataclass
 from html.parser import HTMLParser
 
@@ -35,7 +36,7 @@ from pyspark.sql import DataFrame
 
 #: Fixed by HTML: elements without content, elements whose text is no text, and elements that begin a block.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template iframe svg math object head title textarea select".split())
+RAW = frozenset("script style noscript template iframe svg head title textarea select".split())
 BLOCK = frozenset("address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul br".split())
 TAGS = ("html", "body", "main", "article", "section", "div", "p", "h1", "h2", "h3", "ul", "ol", "li", "a", "b", "span", "nav", "header", "footer", "aside", "form", "table", "tr", "td", "figure", "blockquote", "button", "label", "pre", "input")
 PLACE = {t: i for i, t in enumerate(TAGS)}
@@ -160,11 +161,12 @@ def features(nodes: list[Node]) -> np.ndarray:
         for t in node.attributes:
             x[k, len(TAGS) + zlib.crc32(t.encode()) % ATTRIBUTE_SLOTS] = 1
         kids = [c for c in node.children if isinstance(c, Node)]
+        alike = Counter(c.tag for c in kids)
         for i, c in enumerate(kids):
             depth[c.order] = depth[k] + 1
             within[c.order] = (i + 0.5) / len(kids)
             x[c.order, -1] = len(kids)
-            x[c.order, -2] = sum(o.tag == c.tag for o in kids) if len(kids) < 200 else len(kids)
+            x[c.order, -2] = alike[c.tag]
     parent = np.array([0 if m.parent is None else m.parent.order for m in nodes])
     whole = max(chars[0], 1)
     f = 2 * len(TAGS) + ATTRIBUTE_SLOTS

@@ -252,3 +252,15 @@ def test_nearest_meets_rows_in_blocks_of_queries(spark, monkeypatch):
     many = ann.nearest(df, F.col("vec_id") % 2 == 0, 5)
     assert sorted(map(tuple, many.collect())) == one and len(one) == 500
     assert "to_block" in many._jdf.queryExecution().toString()
+
+
+def test_siblings_of_a_tag_are_counted_at_any_size():
+    for n in (3, 300):
+        nodes = html_extract.elements(html_extract.parse("<div>" + "<p>word</p>" * n + "<aside>x</aside></div>"))
+        x = html_extract.features(nodes)
+        assert {(m.tag, int(x[m.order, -2])) for m in nodes[2:]} == {("p", n), ("aside", 1)}
+
+
+def test_formulas_and_objects_are_read():
+    page = "<article><p>Let <math><mi>x</mi></math> be as in <object>the figure</object>, and so on for a while.</p></article>"
+    assert html_extract.main_text(page, html_extract.train()) == "Let x be as in the figure, and so on for a while."
