@@ -74,7 +74,8 @@ def host_of(url: Column) -> Column:
 
 
 def path_of(url: Column) -> Column:
-    return F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^.*?://[^/?#]*(/[^?#]*)", 1)
+    """After that host from ``/`` up to ``?``, ``#`` or the end; empty where no ``/`` follows the host."""
+    return F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^.*?://[^/?#]*((?:/[^?#]*)?)", 1)
 
 
 def index_rules(urls: DataFrame, rules: list[Rule]) -> DataFrame:

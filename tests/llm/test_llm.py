@@ -264,3 +264,10 @@ def test_siblings_of_a_tag_are_counted_at_any_size():
 def test_formulas_and_objects_are_read():
     page = "<article><p>Let <math><mi>x</mi></math> be as in <object>the figure</object>, and so on for a while.</p></article>"
     assert html_extract.main_text(page, html_extract.train()) == "Let x be as in the figure, and so on for a while."
+
+
+def test_url_within_a_url_has_no_path_of_its_own(spark):
+    urls = ["http://example.org?u=http://x.org/en/1", "http://example.org#http://x.org/en/1", "http://example.org", "http://a.com/b?u=http://example.org/en/1", "http://://x.org/en/1"]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = [(r["host"], r["path"], r["rule"]) for r in url_filter.judge(df, url_filter.standard_rules()).orderBy("page_id").collect()]
+    assert got == [("example.org", "", None), ("example.org", "", None), ("example.org", "", None), ("a.com", "/b", None), (":", "//x.org/en/1", None)]
