@@ -4,23 +4,28 @@ Documents whose shingle sets have a Jaccard similarity of at least ``percent`` /
 result has each document's component.  Shingles are hashed to 64 bits, sets are told apart by a 64-bit
 hash of their own.
 
-1. One pass describes every document: size of its set, the set's hash, and a parity sketch (each of
-   SKETCH bits is the parity of the shingles hashed there).  Two sketches differ in no more bits than
-   their sets differ in shingles, so a sketch proves most unlike sets unlike, and never a like one.
-   Equal sets are one set from here on.
-2. Shingles are ordered from rare to frequent by counts over all documents, kept for SLOTS hash slots
-   (a table of fixed size).  Two linked sets share a shingle among the first n - ceil(t n) + 1 of each.
-3. Relations first: lists of some of each set's prefix shingles, the same in like sets, sorted by
-   size, give neighbours; for each set the likeliest neighbour is verified exactly.  That joins a group
-   of copies by about one verification a set.
-4. Then all prefix shingles: a list whose sets have one component already is skipped whole, for its
-   answers derive from those verified.  Other lists are sorted by size and swept: sets whose sizes or
-   positions rule a link out are skipped, as are pairs of one component (a set takes over the answers
-   of the set that it was found like), and pairs that sketches prove unlike.  What remains is
-   verified exactly, the likeliest pair of any two components first, as it may decide the others.
-
-A list of more than BLOCK sets is dealt in blocks, and each pair of blocks is a key of its own.  No
-pair is left out: each is skipped only where a bound or an earlier answer decides it.
+1. One pass describes every document: size of its set, the set's hash, a parity sketch (each of
+   SKETCH bits is the parity of the shingles hashed there) and its LOW least shingles by another hash.
+   Two sketches differ in no more bits than their sets differ in shingles, so a sketch proves most
+   unlike sets unlike, and never a like one.  Equal sets are one set from here on.
+2. Set relations: among the sets that share a least shingle with a set, or with such a one, the
+   foremost (most copies, then by hash) that sketches estimate to be like it is its head.  A member is
+   kept as its difference to its head.  Two members x, y of one head have |x - y| = |dx| + |dy| - 2 |dx
+   and dy in common|, so a member's answers derive from the differences: those near enough to the
+   group's centre are linked to it without looking at any pair, and only the others need partners,
+   with which their differences must share shingles.
+3. Index lists: the first shingles, from rare to frequent by counts over all documents (kept for SLOTS
+   hash slots, a table of fixed size), of every set; and in the same way the first shingles of the
+   differences of members that step 2 leaves open, with lists of their own for each head.
+4. A list stands in order of what its sets ask of a partner.  A set's position in the list bounds what
+   it can still share, so its partners are one stretch of the list, and the rest is skipped; lists of
+   one head or one component are skipped whole.  Pairs of one head (their differences' lists tell),
+   of one component, or that sketches prove unlike go too.  What remains is verified exactly, the
+   likeliest pair of any two components first, as it may decide the others.
+
+A list of more than BLOCK sets is dealt in blocks, and each pair of blocks is a key of its own; a head
+of more than GROUP members meets them in parts.  No pair is left out: each is skipped only where a
+bound or an earlier answer decides it.
 
 Defined results: null or empty texts, and those without words, have n_shingles 0 and are linked with
 nothing; documents of equal id stay rows of their own; a null id is never a component's name unless
@@ -42,7 +47,12 @@ from .common import components, fixed_binary, from_fixed, key_runs, mix64, parti
 SLOTS_LOG = 17
 SKETCH = 1024
 BLOCK = 1024
-FIRST = 6
+LOW = 4
+GROUP = 2000
+#: Sketches that differ in more bits tell nothing of likeness; sets that differ in more than this part of their sizes are unlike.
+SATURATED, LIKE = 460, 0.55
+#: Sets that a task remembers, so that copies in it are handled once; more are handled later.
+SEEN = 200_000
 #: Sets of more shingles take whole sketches into the sweep, others folded ones.
 LONG = 512
 BLOOM_BITS = 1 << 23
@@ -140,84 +150,73 @@ def unfolded(column) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return folded.view("u8"), whole.view("u8"), long
 
 
-def fine_sketch(s: np.ndarray) -> bytes:
-    """A parity sketch with at least four bits for each shingle; half of one is the sketch of half its size, folded."""
-    size = 1 << max(10, int(4 * len(s) - 1).bit_length())
-    return np.packbits((np.bincount((mix64(s) % np.uint64(size)).astype("i8"), minlength=size) & 1).astype(bool)).tobytes()
-
-
-def fine_differ(x: bytes, y: bytes) -> int:
-    a, b = np.frombuffer(x, "u1"), np.frombuffer(y, "u1")
-    while len(a) > len(b):
-        a = a[: len(a) // 2] ^ a[len(a) // 2 :]
-    while len(b) > len(a):
-        b = b[: len(b) // 2] ^ b[len(b) // 2 :]
-    return int(np.bitwise_count(a ^ b).sum(dtype="i8"))
-
-
 def needed(n: np.ndarray, percent: int) -> np.ndarray:
     """The least overlap of a set of n with any set that it is linked to."""
     return -(-n * percent // 100)
 
 
+def difference(x: np.ndarray, head: np.ndarray, frequency: np.ndarray) -> np.ndarray:
+    """Shingles of just one of two sets: first those that the head lacks, each from rare to frequent."""
+    both = np.sort(np.concatenate([x, head]))
+    twice = np.r_[False, both[1:] == both[:-1]]
+    own = both[~(twice | np.r_[twice[1:], False])]
+    at = np.minimum(np.searchsorted(head, own), len(head) - 1)
+    return own[np.lexsort((own, frequency[own >> np.uint64(64 - SLOTS_LOG)], head[at] == own))]
+
+
 def join(docs: DataFrame, percent: int = 90, words: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows ``(doc_id, n_shingles, component_id)``, one for each row of ``docs``."""
     spark = docs.sparkSession
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     n_parts = partitions(spark)
+    up, down = 100 + percent, 100 - percent
 
     def describe(batches):
         total = np.zeros(1 << SLOTS_LOG, "i8")
+        seen: set[int] = set()
         for b, sets in sets_of(batches, words):
-            yield pa.record_batch({"doc_id": b.column(0), "n": pa.array([len(s) for s in sets], pa.int64()), "sid": pa.array([set_id(s) for s in sets], pa.int64()), "sketch": fixed_binary(bits := np.stack([sketch(s) for s in sets])), "brief": fixed_binary(brief(bits))})
+            ids = [set_id(s) for s in sets]
+            bits: list[bytes | None] = [None] * len(sets)
+            briefs, low = bits[:], bits[:]
+            for i, (s, key) in enumerate(zip(sets, ids)):
+                if len(s) and key not in seen:  # copies in one task are described once
+                    if len(seen) < SEEN:
+                        seen.add(key)
+                    own = sketch(s)
+                    bits[i], briefs[i] = own.tobytes(), brief(own[None])[0].tobytes()
+                    mixed = mix64(s ^ _ODD[1])
+                    low[i] = s[np.argpartition(mixed, LOW - 1)[:LOW] if len(s) > LOW else slice(None)].view("i8").tolist()
+            yield pa.record_batch({"doc_id": b.column(0), "n": pa.array([len(s) for s in sets], pa.int64()), "sid": pa.array(ids, pa.int64()), "sketch": pa.array(bits, pa.binary()), "brief": pa.array(briefs, pa.binary()), "low": pa.array(low, pa.list_(pa.int64())), "slot": np.zeros(len(sets), bool)})
             total += np.bincount(np.concatenate(sets) >> np.uint64(64 - SLOTS_LOG), minlength=len(total))
         some = np.flatnonzero(total)
         empty = pa.nulls(len(some), pa.binary())
-        yield pa.record_batch({"doc_id": some, "n": total[some], "sid": np.zeros(len(some), "i8"), "sketch": empty, "brief": empty})
-
-    # one pass: a row for each document, and a task's counts of slots as rows without a sketch
-    passed = stored(source.mapInArrow(describe, "doc_id long, n long, sid long, sketch binary, brief binary"))
-    described = passed.where("sketch is not null")
-    sets = stored(described.where("n > 0").groupBy("sid").agg(F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.min("sketch").alias("sketch"), F.min("brief").alias("brief")))
-    slots = passed.where("sketch is null").groupBy(F.col("doc_id").alias("slot")).agg(F.sum("n").alias("n")).toArrow()  # SLOTS rows at most
+        yield pa.record_batch({"doc_id": some, "n": total[some], "sid": np.zeros(len(some), "i8"), "sketch": empty, "brief": empty, "low": pa.nulls(len(some), pa.list_(pa.int64())), "slot": np.ones(len(some), bool)})
+
+    # one pass: a row for each document, and a task's counts of slots as rows of their own
+    passed = stored(source.mapInArrow(describe, "doc_id long, n long, sid long, sketch binary, brief binary, low array<long>, slot boolean"))
+    described = passed.where("not slot").select("doc_id", "n", "sid")
+    known = passed.where("not slot and n > 0").groupBy("sid")
+    sets = stored(known.agg(F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.count("*").alias("copies"), *[F.first(k, True).alias(k) for k in ("sketch", "brief", "low")]))
+    slots = passed.where("slot").groupBy(F.col("doc_id").alias("slot")).agg(F.sum("n").alias("n")).toArrow()  # SLOTS rows at most
     frequency = np.zeros(1 << SLOTS_LOG, "i8")
     frequency[slots.column("slot").to_numpy()] = slots.column("n").to_numpy()
     shared = spark.sparkContext.broadcast(frequency)
-
-    def prefixes(most: int | None):
-        def run(batches):
-            seen: set[int] = set()
-            for _, found in sets_of(batches, words):
-                token, sid, n, pos = [], [], [], []
-                for s in found:
-                    if not len(s) or (key := set_id(s)) in seen:
-                        continue
-                    if len(seen) < 200_000:  # copies in one task are one set; more are one later
-                        seen.add(key)
-                    order = s[np.lexsort((s, shared.value[s >> np.uint64(64 - SLOTS_LOG)]))]
-                    k = len(s) - int(needed(np.array(len(s)), percent)) + 1
-                    at = np.arange(k, dtype="i4")
-                    if most and k > most:  # the same choice in like sets
-                        at = np.sort(at[np.argpartition(mix64(order[:k] ^ _ODD[1]), most)[:most]])
-                    token.append(order[at])
-                    sid.append(np.full(len(at), key, "i8"))
-                    n.append(np.full(len(at), len(s), "i4"))
-                    pos.append(at)
-                if token:
-                    yield pa.record_batch({"token": np.concatenate(token).view("i8"), "sid": np.concatenate(sid), "n": np.concatenate(n), "pos": np.concatenate(pos)})
-
-        return source.mapInArrow(run, "token long, sid long, n int, pos int")
+    facts = lambda a, n, s: sets.select(F.col("sid").alias(a), F.col("n").alias(n), F.col("sketch").alias(s))
 
     def apart(batches):
         """Adds the number of differing sketch bits to pairs."""
         for b in batches:
             if b.num_rows:
                 x, y = from_fixed(b.column("sa"), "u8"), from_fixed(b.column("sb"), "u8")
-                yield pa.record_batch({"a": b.column("a"), "b": b.column("b"), "na": b.column("na"), "nb": b.column("nb"), "differ": np.bitwise_count(x ^ y).sum(1).astype("i8")})
+                yield pa.record_batch({k: b.column(k) for k in ("a", "b", "na", "nb")} | {"differ": np.bitwise_count(x ^ y).sum(1).astype("i8")})
+
+    def sketched(pairs: DataFrame) -> DataFrame:
+        """Pairs ``(a, b)`` with their sizes and the number of differing bits of their sketches."""
+        both = pairs.select("a", "b").join(facts("a", "na", "sa"), "a").join(facts("b", "nb", "sb"), "b")
+        return both.mapInArrow(apart, "a long, b long, na long, nb long, differ long")
 
-    def fetch(pairs: DataFrame) -> DataFrame:
-        """The sets named by pairs ``(a, b)``: ``sid, items``."""
-        wanted = pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).distinct()
+    def fetch(wanted: DataFrame) -> DataFrame:
+        """The sets named by ``wanted(sid)``: ``sid, items``."""
 
         def bits(batches):
             m = np.zeros(BLOOM_BITS, bool)
@@ -235,35 +234,21 @@ def join(docs: DataFrame, percent: int = 90, words: int = 3, id_col: str = "doc_
 
         def held(batches):
             seen: set[int] = set()
-            known = np.unpackbits(bloom.value).astype(bool)
+            mask = np.unpackbits(bloom.value).astype(bool)
             for _, found in sets_of(batches, words):
                 ids = np.array([set_id(s) for s in found], "i8")
                 h = mix64(ids.view("u8"))
-                some = known[(h % np.uint64(BLOOM_BITS)).astype("i8")] & known[(h // np.uint64(BLOOM_BITS) % np.uint64(BLOOM_BITS)).astype("i8")]
+                some = mask[(h % np.uint64(BLOOM_BITS)).astype("i8")] & mask[(h // np.uint64(BLOOM_BITS) % np.uint64(BLOOM_BITS)).astype("i8")]
                 take = []
                 for i in np.flatnonzero(some):
                     if len(found[i]) and ids[i] not in seen:
-                        if len(seen) < 200_000:
+                        if len(seen) < SEEN:
                             seen.add(ids[i])
                         take.append(i)
                 if take:
-                    yield pa.record_batch({"sid": ids[take], "items": pa.array([found[i].tobytes() for i in take], pa.binary()), "fine": pa.array([fine_sketch(found[i]) for i in take], pa.binary())})
-
-        items = source.mapInArrow(held, "sid long, items binary, fine binary").groupBy("sid").agg(F.first("items").alias("items"), F.first("fine").alias("fine"))
-        return stored(items.join(wanted, "sid"))
+                    yield pa.record_batch({"sid": ids[take], "items": pa.array([found[i].tobytes() for i in take], pa.binary())})
 
-    def pruned(pairs: DataFrame, items: DataFrame) -> DataFrame:
-        """Pairs that fine sketches leave open; for long sets these tell far more than the fixed ones."""
-
-        def check(batches):
-            for b in batches:
-                differ = np.array([fine_differ(x, y) for x, y in zip(b.column("xs").to_pylist(), b.column("ys").to_pylist())], "i8")
-                ok = (100 + percent) * differ <= (100 - percent) * b.column("n").to_numpy()
-                yield pa.record_batch({"a": b.column("a"), "b": b.column("b"), "differ": differ}).filter(pa.array(ok))
-
-        side = lambda k, f, n: items.select(F.col("sid").alias(k), F.col("fine").alias(f), (F.octet_length("items") / 8).cast("long").alias(n))
-        both = pairs.select("a", "b").join(side("a", "xs", "na"), "a").join(side("b", "ys", "nb"), "b")
-        return both.select("a", "b", "xs", "ys", (F.col("na") + F.col("nb")).alias("n")).mapInArrow(check, "a long, b long, differ long")
+        return stored(source.mapInArrow(held, "sid long, items binary").groupBy("sid").agg(F.first("items").alias("items")).join(wanted, "sid"))
 
     def verified(pairs: DataFrame, items: DataFrame) -> DataFrame:
         """Of pairs of sets those that are linked, by the sets themselves."""
@@ -281,41 +266,77 @@ def join(docs: DataFrame, percent: int = 90, words: int = 3, id_col: str = "doc_
         both = left.join(items.select(F.col("sid").alias("b"), F.col("items").alias("ys")), "b").select("a", "b", "xs", "ys")
         return stored(both.mapInArrow(check, "a long, b long"))
 
-    def neighbours(batches):
-        """Pairs of the same shingle next to each other or but one, in order of size."""
-        tail = None
+    # a head for each set: of the sets that share one of its least shingles, at one remove or two, the foremost
+    rank = -F.shiftleft("copies", 32) + F.pmod(F.xxhash64("sid"), F.lit(1 << 32))
+    lows = stored(sets.select("sid", rank.alias("rank"), F.explode("low").alias("token")))
+    foremost = [F.min_by("head", "rank").alias("head"), F.min("rank").alias("rank")]
+    once = lows.groupBy("token").agg(F.min_by("sid", "rank").alias("head"), F.min("rank").alias("rank"), F.count("*").alias("k")).where("k > 1").drop("k")
+    near = lows.select("sid", "token").join(once, "token")
+    own = near.groupBy("sid").agg(*foremost)
+    far = lows.select("sid", "token").join(own, "sid").groupBy("token").agg(*foremost)
+    far = lows.select("sid", "token").join(far, "token").groupBy("sid").agg(*foremost)
+    heads = stored(near.select("sid", "head", "rank").union(far.select("sid", "head", "rank")).where("sid <> head").distinct())
+    # what two sets differ in, estimated from their sketches; a head of little likeness is none
+    estimate = -F.log1p(-2 * F.col("differ") / SKETCH) * (SKETCH / 2)
+    like = sketched(heads.select(F.col("sid").alias("a"), F.col("head").alias("b"))).where(F.col("differ") <= SATURATED).where(estimate <= LIKE * (F.col("na") + F.col("nb")))
+    lead = like.select(F.col("a").alias("sid"), F.col("b").alias("head")).join(heads, ["sid", "head"])
+    lead = stored(lead.groupBy("sid").agg(F.min_by("head", "rank").alias("head")))
+    for used in (lows, heads):
+        release(used)
+
+    # members as differences to their head
+    def differences(batches):
         for b in batches:
-            if not b.num_rows:
-                continue
-            t = pa.Table.from_batches([b]) if tail is None else pa.concat_tables([tail, pa.Table.from_batches([b])])
-            token, sid, n = (t.column(k).to_numpy() for k in ("token", "sid", "n"))
-            for step in (1, 2):
-                ok = (token[step:] == token[:-step]) & (sid[step:] != sid[:-step]) & (100 * n[:-step].astype("i8") >= percent * n[step:])
-                if step == 1 and tail is not None:
-                    ok[: tail.num_rows - 1] = False
-                yield pa.record_batch({"a": np.minimum(sid[:-step], sid[step:])[ok], "b": np.maximum(sid[:-step], sid[step:])[ok]})
-            tail = t.slice(max(0, t.num_rows - 2))
-
-    facts = lambda a, n, s: sets.select(F.col("sid").alias(a), F.col("n").alias(n), F.col("sketch").alias(s))
-    bound = (100 - percent) * (F.col("na") + F.col("nb")) >= (100 + percent) * F.col("differ")
-
-    def sketched(pairs: DataFrame) -> DataFrame:
-        """Pairs that whole sketches leave open, with the number of differing bits."""
-        both = pairs.join(facts("a", "na", "sa"), "a").join(facts("b", "nb", "sb"), "b")
-        return both.mapInArrow(apart, "a long, b long, na long, nb long, differ long").where(bound).select("a", "b", "differ")
-
-    # relations first; a range partitioning deals even one shingle's list over many tasks, in order
-    few = stored(prefixes(FIRST))
-    near = few.repartitionByRange(n_parts, "token", "n", "sid").sortWithinPartitions("token", "n", "sid")
-    near = near.mapInArrow(neighbours, "a long, b long").distinct()
-    near = stored(sketched(near).groupBy("b").agg(F.min_by("a", F.struct("differ", "a")).alias("a")).select("a", "b"))
-    release(few)
-    items = fetch(near)
-    links = verified(near, items)
+            own = [difference(np.frombuffer(x, "u8"), np.frombuffer(y, "u8"), shared.value) for x, y in zip(b.column("items").to_pylist(), b.column("top").to_pylist())]
+            yield pa.record_batch({"head": b.column("head"), "sid": b.column("sid"), "n": (pa.compute.binary_length(b.column("items")).to_numpy() // 8).astype("i8"), "dn": np.array([len(x) for x in own], "i8"), "own": pa.array([x.tobytes() for x in own], pa.binary())})
+
+    items = fetch(lead.select("sid").union(lead.select("head")).distinct())
+    groups = lead.groupBy("head").agg(F.ceil(F.count("*") / GROUP).cast("int").alias("salts"))
+    members = lead.join(groups, "head").withColumn("salt", F.pmod(F.xxhash64("sid"), F.col("salts")).cast("int")).join(items, "sid").select("head", "salt", "sid", "items")
+    tops = groups.select("head", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")).join(items.toDF("head", "top"), "head")
+    deltas = stored(members.join(tops, ["head", "salt"]).mapInArrow(differences, "head long, sid long, n long, dn long, own binary"))
     release(items)
+    excess = lambda dn: up * dn - down * F.col("n")  # noqa: E731  two members are linked iff their excesses are at most 2 * up * (what their differences share)
+    weighed = deltas.select("head", "sid", excess(F.col("dn")).alias("w")).union(groups.join(facts("head", "n", "_s"), "head").select("head", F.col("head").alias("sid"), excess(F.lit(0)).alias("w")))
+    centre = weighed.groupBy("head").agg(F.min_by("sid", "w").alias("m"), F.min("w").alias("wm"))
+    placed = weighed.join(centre, "head")
+    links = stored(placed.where("w <= -wm and sid <> m").select(F.col("m").alias("a"), F.col("sid").alias("b")))
+    outer = placed.where("w > -wm").groupBy("head", "wm").agg(F.min("w").alias("wf"))
     parts = components(links)
+    marks = stored(sets.select("sid").join(lead, "sid", "left").join(parts, F.col("sid") == F.col("node"), "left").select("sid", F.coalesce("head", "sid").alias("head"), F.coalesce("component", "sid").alias("part")))
+
+    # index lists: shingles of sets, and for members that their head's answers don't decide, of their differences
+    def prefixes(batches):
+        seen: set[int] = set()
+        for _, found in sets_of(batches, words):
+            token, sid, n, pos = [], [], [], []
+            for s in found:
+                if not len(s) or (key := set_id(s)) in seen:
+                    continue
+                if len(seen) < SEEN:
+                    seen.add(key)
+                k = len(s) - int(needed(np.array(len(s)), percent)) + 1
+                token.append(s[np.lexsort((s, shared.value[s >> np.uint64(64 - SLOTS_LOG)]))[:k]])
+                sid.append(np.full(k, key, "i8"))
+                n.append(np.full(k, len(s), "i4"))
+                pos.append(np.arange(k, dtype="i4"))
+            if token:
+                size = np.concatenate(n)
+                yield pa.record_batch({"token": np.concatenate(token).view("i8"), "sid": np.concatenate(sid), "n": size, "dn": size, "pos": np.concatenate(pos), "delta": np.zeros(len(size), bool), "more": np.zeros(len(size), bool)})
+
+    def partial(batches):
+        for b in batches:
+            col = {k: b.column(k).to_numpy() for k in ("head", "sid", "n", "dn", "wm", "wf")}
+            w = up * col["dn"] - down * col["n"]
+            partner = np.where(w > -col["wm"], col["wm"], col["wf"])  # the least excess of those it may be linked to
+            k = np.maximum(col["dn"] - np.maximum(1, -(-(w + partner) // (2 * up))) + 1, 0)
+            if not k.sum():
+                continue
+            token = np.concatenate([np.frombuffer(x, "u8")[:m] for x, m in zip(b.column("own").to_pylist(), k.tolist())])
+            token = mix64(token ^ np.repeat(mix64(col["head"].view("u8")), k))
+            pos = np.arange(k.sum()) - np.repeat(np.cumsum(k) - k, k)
+            yield pa.record_batch({"token": token.view("i8"), "sid": np.repeat(col["sid"], k), "n": np.repeat(col["n"], k).astype("i4"), "dn": np.repeat(col["dn"], k).astype("i4"), "pos": pos.astype("i4"), "delta": np.ones(len(pos), bool), "more": np.zeros(len(pos), bool)})
 
-    # then every prefix shingle
     def listed(batches):
         """Rows of shingles that two sets have, each set once; only one row is held over."""
         held = None
@@ -341,63 +362,68 @@ def join(docs: DataFrame, percent: int = 90, words: int = 3, id_col: str = "doc_
             last = group[-1] if b is not None else len(first)  # the last set may go on in the next batch
             take = first[:last][any_of[:last]]
             if len(take):
-                yield t.take(pa.array(take)).select(["token", "sid", "n", "pos"]).to_batches()[0]
+                yield t.take(pa.array(take)).drop_columns(["more"]).to_batches()[0]
             if b is not None:
                 held = t.slice(int(first[-1]), 1)
                 held = held.set_column(held.schema.get_field_index("more"), "more", pa.array([bool(any_of[-1])]))
 
-    index = prefixes(None).withColumn("more", F.lit(False)).repartition(n_parts, "token").sortWithinPartitions("token", "sid").mapInArrow(listed, "token long, sid long, n int, pos int")
-    whole = stored(index.join(parts, F.col("sid") == F.col("node"), "left").select("token", "sid", "n", "pos", F.coalesce("component", "sid").alias("part")))
-    mixed = whole.groupBy("token").agg(F.min("part").alias("_lo"), F.max("part").alias("_hi"), F.count("*").alias("size")).where("_lo <> _hi").select("token", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
-    index = whole.join(mixed, "token").join(sets.select("sid", F.when(F.col("n") > LONG, F.col("sketch")).otherwise(F.col("brief")).alias("bits")), "sid")
+    row = "token long, sid long, n int, dn int, pos int, delta boolean"
+    index = source.mapInArrow(prefixes, row + ", more boolean").union(deltas.join(outer, "head").select("head", "sid", "n", "dn", "wm", "wf", "own").mapInArrow(partial, row + ", more boolean"))
+    index = index.repartition(n_parts, "token").sortWithinPartitions("token", "sid").mapInArrow(listed, row)
+    # w: what a set asks of a partner; cap: the most that a partner may ask which it meets in this list, by its position
+    weight = F.when(F.col("delta"), up * F.col("dn").cast("long") - down * F.col("n")).otherwise(2 * percent * F.col("n").cast("long"))
+    whole = stored(index.join(marks, "sid").select("token", "sid", "n", "part", F.when(F.col("delta"), F.col("sid")).otherwise(F.col("head")).alias("head"), weight.alias("w"), (2 * up * (F.col("dn") - F.col("pos")).cast("long") - weight).alias("cap")))
+    # a list whose sets have one component or one head has nothing to tell
+    lists = whole.groupBy("token").agg(*[f(k).alias(f"{k}_{f.__name__}") for k in ("part", "head") for f in (F.min, F.max)], F.min("w").alias("least"), F.count("*").alias("size"))
+    lists = lists.where("part_min <> part_max and head_min <> head_max").select("token", "least", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
+    index = whole.join(lists, "token").where("cap >= least").join(sets.select("sid", F.when(F.col("n") > LONG, F.col("sketch")).otherwise(F.col("brief")).alias("bits")), "sid")
     index = index.withColumn("block", F.pmod(F.xxhash64("sid", F.lit(9)), F.col("blocks")).cast("int"))
     deal = F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least("block", k).alias("first"), F.greatest("block", k).alias("second"))))
-    index = index.withColumn("_p", deal).select("token", "_p.first", "_p.second", "block", "sid", "n", "pos", "part", "bits")
+    index = index.withColumn("_p", deal).select("token", "_p.first", "_p.second", "block", "sid", "n", "w", "cap", "part", "head", "bits")
 
     def sweep(batches):
         for run in key_runs(batches, ["token", "first", "second"], 8192):
             size = run.num_rows
             col = lambda k: run.column(k).to_numpy()
-            sid, n, pos, part, block = (col(k).astype("i8") for k in ("sid", "n", "pos", "part", "block"))
+            sid, n, w, cap, part, head, block = (col(k).astype("i8") for k in ("sid", "n", "w", "cap", "part", "head", "block"))
             group = np.repeat(np.arange(len(s := starts_of(col("token"), col("first"), col("second")))), np.diff(np.r_[s, size]))
             cross = col("first") != col("second")
-            folded, wide, long = unfolded(run.column("bits"))
+            folded, fine, long = unfolded(run.column("bits"))
+            met = []
             alive = np.arange(size)
             for step in range(1, size):
                 alive = alive[alive + step < size]
-                j = alive + step
-                alive = alive[(group[alive] == group[j]) & (100 * n[alive] >= percent * n[j])]
+                # rows stand by what they ask: beyond a set's cap, the rest of the list is skipped
+                alive = alive[(group[alive] == group[alive + step]) & (w[alive + step] <= cap[alive])]
                 if not len(alive):
                     break
                 i, j = alive, alive + step
-                ok = (part[i] != part[j]) & ~(cross[i] & (block[i] == block[j]))
-                # position: what can still be shared before, at and after this shingle
-                ok &= 1 + np.minimum(pos[i], pos[j]) + np.minimum(n[i] - pos[i], n[j] - pos[j]) - 1 >= needed(n[j], percent)
+                ok = (w[i] <= cap[j]) & (part[i] != part[j]) & (head[i] != head[j]) & (sid[i] != sid[j]) & ~(cross[i] & (block[i] == block[j]))
                 i, j = i[ok], j[ok]
-                most = (100 - percent) * (n[i] + n[j])
-                ok = (100 + percent) * np.bitwise_count(folded[i] ^ folded[j]).sum(1).astype("i8") <= most
+                most = down * (n[i] + n[j])
+                ok = up * np.bitwise_count(folded[i] ^ folded[j]).sum(1).astype("i8") <= most
                 both = np.flatnonzero(ok & long[i] & long[j])
-                ok[both] = (100 + percent) * np.bitwise_count(wide[i[both]] ^ wide[j[both]]).sum(1).astype("i8") <= most[both]
+                ok[both] = up * np.bitwise_count(fine[i[both]] ^ fine[j[both]]).sum(1).astype("i8") <= most[both]
                 if ok.any():
-                    yield pa.record_batch({"a": np.minimum(sid[i], sid[j])[ok], "b": np.maximum(sid[i], sid[j])[ok]})
-
-    open_pairs = index.repartition(n_parts, "token", "first", "second").sortWithinPartitions("token", "first", "second", "n", "sid").mapInArrow(sweep, "a long, b long")
-    left = stored(sketched(open_pairs.distinct()))
-    release(whole)
+                    met.append(np.stack([np.minimum(sid[i], sid[j])[ok], np.maximum(sid[i], sid[j])[ok]], 1))
+            if met:
+                pairs = np.unique(np.concatenate(met), axis=0)
+                yield pa.record_batch({"a": np.ascontiguousarray(pairs[:, 0]), "b": np.ascontiguousarray(pairs[:, 1])})
+
+    open_pairs = index.repartition(n_parts, "token", "first", "second").sortWithinPartitions("token", "first", "second", "w", "sid").mapInArrow(sweep, "a long, b long")
+    left = stored(sketched(open_pairs.distinct()).where(down * (F.col("na") + F.col("nb")) >= up * F.col("differ")).select("a", "b", "differ"))
+    for used in (whole, deltas):
+        release(used)
     if not left.isEmpty():
-        items = fetch(left)
-        left = stored(pruned(left, items))
+        items = fetch(left.select(F.col("a").alias("sid")).union(left.select("b")).distinct())
         for turn in range(2):
             # the likeliest pair of two components first: most others derive their answers from it
             named = left.join(parts.toDF("a", "pa"), "a", "left").join(parts.toDF("b", "pb"), "b", "left")
-            named = named.select("a", "b", "differ", F.coalesce("pa", "a").alias("pa"), F.coalesce("pb", "b").alias("pb")).where("pa <> pb")
-            left = stored(named)
+            left = stored(named.select("a", "b", "differ", F.coalesce("pa", "a").alias("pa"), F.coalesce("pb", "b").alias("pb")).where("pa <> pb"))
+            best = left
             if turn < 1:
-                best = named.groupBy(F.least("pa", "pb"), F.greatest("pa", "pb")).agg(F.min_by(F.struct("a", "b"), F.struct("differ", "a", "b")).alias("x")).select("x.a", "x.b")
-                best = stored(best)
+                best = stored(left.groupBy(F.least("pa", "pb"), F.greatest("pa", "pb")).agg(F.min_by(F.struct("a", "b"), F.struct("differ", "a", "b")).alias("x")).select("x.a", "x.b"))
                 left = stored(left.join(best, ["a", "b"], "left_anti").select("a", "b", "differ"))
-            else:
-                best = left
             links = links.union(verified(best, items))
             if left.isEmpty():
                 break
