@@ -32,10 +32,13 @@ import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import key_runs, partitions, starts_of
+from .common import key_runs, mix64, partitions, starts_of
 
-BLOCK_BYTES = 10 << 20
+BLOCK_BYTES, BLOCK_DOCS = 8 << 20, 50_000
+#: Bytes of a block that are hashed at once.
+SLICE_BYTES = 1 << 19
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -92,58 +95,92 @@ def _merge_long(parts: list[bytes], ranks: dict[bytes, int]) -> list[int]:
 
 #: A space or newline before more white space or the end, or characters that not every library takes as white space.
 _ODD = re.compile(r"[ \n](?:\s|\Z)|[\x1c-\x1f\x85\u180e]")
-
-
-def chunks(text: str) -> list[str] | None:
-    """Pieces of a text that no pre-token spans: a single space opens one, as it joins the next word, and so does a newline.
-
-    None where a space or newline before other white space needs the pattern on the whole text.
+#: White space of one byte, and first bytes of longer white space.
+_MAY_BE_WHITE = np.zeros(256, bool)
+_MAY_BE_WHITE[[*range(9, 14), *range(28, 33), 0xC2, 0xE1, 0xE2, 0xE3]] = True
+_FACTOR = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _uncut(data: np.ndarray, texts: list[bytes], ends: np.ndarray) -> np.ndarray:
+    """Which texts hold white space that needs the pattern on the whole text."""
+    cuts = (data == 0x20) | (data == 0x0A)
+    after = np.r_[_MAY_BE_WHITE[data[1:]], True]
+    after[np.unique(ends[ends > 0]) - 1] = True
+    following = np.r_[data[1:], np.uint8(0)]
+    odd = cuts & after | (data >= 28) & (data <= 31) | (data == 0xC2) & (following == 0x85) | (data == 0xE1) & (following == 0xA0)
+    out = np.zeros(len(texts), bool)
+    for k in np.unique(np.searchsorted(ends, np.flatnonzero(odd), side="right")).tolist():
+        out[k] = _ODD.search(texts[k].decode()) is not None
+    return out
+
+
+def chunk_codes(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """Texts as chunks: pieces that no pre-token spans, each from one space or newline to the next.
+
+    A single space opens a chunk, as it joins the next word, and so does a newline; a text where one
+    stands before other white space or the end is one chunk.  Gives the distinct chunks, the number of
+    each text's chunks one after the other, and where each text's chunks end.
     """
-    if _ODD.search(text):
-        return None
-    first, *rest = text.replace("\n", " \n").split(" ")
-    return [first, *[x if x[0] == "\n" else " " + x for x in rest]]
-
-
-def _checksum(texts: list[str]) -> int:
+    ends = np.cumsum([len(t) for t in texts])
+    data = np.frombuffer(b"".join(texts), "u1")
+    if not len(data):
+        return [], np.empty(0, "i8"), np.zeros(len(texts), "i8")
+    opens = (data == 0x20) | (data == 0x0A)
+    lengths = np.diff(np.r_[0, ends])
+    opens &= ~np.repeat(_uncut(data, texts, ends), lengths)
+    opens[(ends - lengths)[lengths > 0]] = True
+    starts = np.flatnonzero(opens)
+    sizes = np.diff(np.r_[starts, len(data)])
+    slices = np.unique(np.r_[0, np.searchsorted(starts, np.arange(SLICE_BYTES, len(data), SLICE_BYTES)), len(starts)])
+    powers = np.multiply.accumulate(np.full(int(sizes.max()) + 1, _FACTOR))
+    hashes = np.empty(len(starts), "u8")
+
+    def part(lo: int, hi: int) -> tuple[slice, np.ndarray]:
+        end = int(starts[hi]) if hi < len(starts) else len(data)
+        return slice(int(starts[lo]), end), np.arange(int(starts[lo]), end) - np.repeat(starts[lo:hi], sizes[lo:hi])
+
+    for lo, hi in zip(slices[:-1].tolist(), slices[1:].tolist()):
+        where, at = part(lo, hi)
+        hashes[lo:hi] = np.add.reduceat((data[where].astype("u8") + np.uint64(1)) * powers[at], starts[lo:hi] - where.start)
+    _, first, codes = np.unique(mix64(hashes ^ sizes.astype("u8") * _FACTOR), return_index=True, return_inverse=True)
+    same = bool((sizes[first][codes] == sizes).all())
+    for lo, hi in zip(slices[:-1].tolist(), slices[1:].tolist()):
+        if same:  # by their bytes too
+            where, at = part(lo, hi)
+            same = bool((data[where] == data[np.repeat(starts[first[codes[lo:hi]]], sizes[lo:hi]) + at]).all())
+    raw = data.tobytes()
+    if same:
+        distinct = [raw[s : s + n] for s, n in zip(starts[first].tolist(), sizes[first].tolist())]
+    else:  # two chunks of one hash
+        table: dict[bytes, int] = {}
+        codes = np.array([table.setdefault(raw[s : s + n], len(table)) for s, n in zip(starts.tolist(), sizes.tolist())], "i8")
+        distinct = list(table)
+    return distinct, codes, np.searchsorted(starts, ends)
+
+
+def _checksum(texts: list[bytes]) -> int:
     return zlib.crc32(np.array([len(t) for t in texts], "<i8").tobytes())
 
 
-def _chunked(texts: list[str], pattern: regex.Pattern) -> tuple[dict[str, list[str]], list[list[str]]]:
-    """Every text as chunks, and every distinct chunk's pre-tokens.
-
-    A text that can't be cut is one chunk; its name can't be that of another chunk.
-    """
-    docs, words = [], {}
-    for k, text in enumerate(texts):
-        found = chunks(text)
-        if found is None:
-            found = [f"  {k}"]
-            words[found[0]] = pattern.findall(text)
-        docs.append(found)
-    for chunk in set().union(*docs).difference(words):
-        words[chunk] = pattern.findall(chunk)
-    return words, docs
-
-
-def _ordered(words: dict[str, list[str]], buckets: int) -> tuple[list[bytes], np.ndarray]:
+def _ordered(words: list[list[str]], buckets: int) -> tuple[list[bytes], np.ndarray]:
     """The block's distinct words by bucket and bytes, and each one's bucket: the same in both readings."""
-    distinct = sorted({w.encode() for some in words.values() for w in some})
+    distinct = sorted({w.encode() for some in words for w in some})
     bucket = np.fromiter([zlib.crc32(w) % buckets for w in distinct], "i8", len(distinct))
     order = np.argsort(bucket, kind="stable")
     return [distinct[i] for i in order], bucket[order]
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list, list[str]]]:
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list, list[bytes]]]:
+    """Documents in blocks of about BLOCK_BYTES and not more than BLOCK_DOCS: number, ids, texts."""
     ids: list = []
-    texts: list[str] = []
+    texts: list[bytes] = []
     size, k, part = 0, 0, TaskContext.get().partitionId()
     for b in batches:
-        for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+        for i, t in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary()).to_pylist()):
             ids.append(i)
-            texts.append(t or "")
+            texts.append(t or b"")
             size += len(texts[-1])
-            if size >= BLOCK_BYTES:
+            if size >= BLOCK_BYTES or len(ids) >= BLOCK_DOCS:
                 yield part << 24 | k, ids, texts
                 ids, texts, size, k = [], [], 0, k + 1
     if ids:
@@ -159,6 +196,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
     spark = docs.sparkSession
     ranks = spark.sparkContext.broadcast(read_ranks(ranks_path))
     source = docs.select(id_col, text_col)
+    id_type_name, id_kind = dict(docs.dtypes)[id_col], to_arrow_type(docs.schema[id_col].dataType)
 
     buckets = 2 * partitions(spark)
     id_type = "<u2" if max(ranks.value.values()) < 65536 else "<u4"
@@ -166,7 +204,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
     def words(batches):
         compiled = regex.compile(pattern)
         for block, _, texts in _blocks(batches):
-            distinct, bucket = _ordered(_chunked(texts, compiled)[0], buckets)
+            distinct, bucket = _ordered([compiled.findall(c.decode()) for c in chunk_codes(texts)[0]], buckets)
             starts = starts_of(bucket)
             ends = np.r_[starts[1:], len(bucket)]
             body = [_pack(np.array([len(w) for w in distinct[lo:hi]])) + b"".join(distinct[lo:hi]) for lo, hi in zip(starts, ends)]
@@ -192,22 +230,21 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
     def sequences(batches):
         compiled = regex.compile(pattern)
         for block, ids, texts in _blocks(batches):
-            words, docs = _chunked(texts, compiled)
+            found, codes, ends = chunk_codes(texts)
+            words = [compiled.findall(c.decode()) for c in found]
             number_of = {w: i for i, w in enumerate(_ordered(words, buckets)[0])}
-            chunk_no = {c: i for i, c in enumerate(words)}
-            parts = [np.fromiter(map(chunk_no.__getitem__, d), "i8", len(d)) for d in docs]
-            order = np.argsort(-np.bincount(np.concatenate(parts), minlength=len(words)), kind="stable")
+            order = np.argsort(-np.bincount(codes, minlength=len(words)), kind="stable")
             rank = np.empty(len(order), "i8")
             rank[order] = np.arange(len(order))  # frequent chunks get small numbers
-            lists = list(words.values())
-            flat = np.array([number_of[w.encode()] for i in order.tolist() for w in lists[i]], "i8")
-            head = _pack(np.array([len(lists[i]) for i in order.tolist()])) + flat.astype("<u4").tobytes()
-            del words, lists, chunk_no, docs
+            flat = np.array([number_of[w.encode()] for i in order.tolist() for w in words[i]], "i8")
+            head = _pack(np.array([len(words[i]) for i in order.tolist()], "i8")) + flat.astype("<u4").tobytes()
+            parts = np.split(rank[codes], ends[:-1])
+            del words, found, number_of, codes
             check = _checksum(texts)
-            yield pa.record_batch({"block": pa.array([block], pa.int64()), "check": pa.array([check], pa.int64()), "doc": pa.array([None], pa.int64()), "body": pa.array([head], pa.binary()), "head": pa.array([True])})
+            yield pa.record_batch({"block": pa.array([block], pa.int64()), "check": pa.array([check], pa.int64()), "doc": pa.nulls(1, id_kind), "body": pa.array([head], pa.binary()), "head": pa.array([True])})
             for at in range(0, len(ids), 2000):
                 some = ids[at : at + 2000]
-                yield pa.record_batch({"block": np.full(len(some), block, "i8"), "check": np.full(len(some), check, "i8"), "doc": pa.array(some, pa.int64()), "body": pa.array([_pack(rank[x]) for x in parts[at : at + 2000]], pa.binary()), "head": np.zeros(len(some), bool)})
+                yield pa.record_batch({"block": np.full(len(some), block, "i8"), "check": np.full(len(some), check, "i8"), "doc": pa.array(some, id_kind), "body": pa.array([_pack(x) for x in parts[at : at + 2000]], pa.binary()), "head": np.zeros(len(some), bool)})
 
     def reassemble(left: pa.Table, right: pa.Table) -> pa.Table:
         top = right.filter(right.column("head"))
@@ -236,8 +273,8 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
         .repartition(partitions(spark), "bucket").sortWithinPartitions("bucket")
         .mapInArrow(number, "block long, check long, bucket long, body binary")
     )
-    texts = source.mapInArrow(sequences, "block long, check long, doc long, body binary, head boolean")
-    return dictionary.groupBy("block").cogroup(texts.groupBy("block")).applyInArrow(reassemble, f"{id_col} long, ids binary")
+    texts = source.mapInArrow(sequences, f"block long, check long, doc {id_type_name}, body binary, head boolean")
+    return dictionary.groupBy("block").cogroup(texts.groupBy("block")).applyInArrow(reassemble, f"`{id_col}` {id_type_name}, ids binary")
 
 
 def _pack(x: np.ndarray) -> bytes:
