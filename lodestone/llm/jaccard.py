@@ -150,6 +150,21 @@ def unfolded(column) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return folded.view("u8"), whole.view("u8"), long
 
 
+def fine_sketch(s: np.ndarray) -> bytes:
+    """A parity sketch of at least a bit for each shingle; half of one folded on the other is the sketch of half its size."""
+    size = 1 << max(10, int(len(s) - 1).bit_length())
+    return np.packbits((np.bincount((mix64(s) % np.uint64(size)).astype("i8"), minlength=size) & 1).astype(bool)).tobytes()
+
+
+def fine_differ(x: bytes, y: bytes) -> int:
+    a, b = np.frombuffer(x, "u1"), np.frombuffer(y, "u1")
+    while len(a) > len(b):
+        a = a[: len(a) // 2] ^ a[len(a) // 2 :]
+    while len(b) > len(a):
+        b = b[: len(b) // 2] ^ b[len(b) // 2 :]
+    return int(np.bitwise_count(a ^ b).sum(dtype="i8"))
+
+
 def needed(n: np.ndarray, percent: int) -> np.ndarray:
     """The least overlap of a set of n with any set that it is linked to."""
     return -(-n * percent // 100)
@@ -177,26 +192,27 @@ def join(docs: DataFrame, percent: int = 90, words: int = 3, id_col: str = "doc_
         for b, sets in sets_of(batches, words):
             ids = [set_id(s) for s in sets]
             bits: list[bytes | None] = [None] * len(sets)
-            briefs, low = bits[:], bits[:]
+            briefs, fine, low = bits[:], bits[:], bits[:]
             for i, (s, key) in enumerate(zip(sets, ids)):
                 if len(s) and key not in seen:  # copies in one task are described once
                     if len(seen) < SEEN:
                         seen.add(key)
                     own = sketch(s)
                     bits[i], briefs[i] = own.tobytes(), brief(own[None])[0].tobytes()
+                    fine[i] = fine_sketch(s) if len(s) > LONG else None
                     mixed = mix64(s ^ _ODD[1])
                     low[i] = s[np.argpartition(mixed, LOW - 1)[:LOW] if len(s) > LOW else slice(None)].view("i8").tolist()
-            yield pa.record_batch({"doc_id": b.column(0), "n": pa.array([len(s) for s in sets], pa.int64()), "sid": pa.array(ids, pa.int64()), "sketch": pa.array(bits, pa.binary()), "brief": pa.array(briefs, pa.binary()), "low": pa.array(low, pa.list_(pa.int64())), "slot": np.zeros(len(sets), bool)})
+            yield pa.record_batch({"doc_id": b.column(0), "n": pa.array([len(s) for s in sets], pa.int64()), "sid": pa.array(ids, pa.int64()), "sketch": pa.array(bits, pa.binary()), "brief": pa.array(briefs, pa.binary()), "fine": pa.array(fine, pa.binary()), "low": pa.array(low, pa.list_(pa.int64())), "slot": np.zeros(len(sets), bool)})
             total += np.bincount(np.concatenate(sets) >> np.uint64(64 - SLOTS_LOG), minlength=len(total))
         some = np.flatnonzero(total)
         empty = pa.nulls(len(some), pa.binary())
-        yield pa.record_batch({"doc_id": some, "n": total[some], "sid": np.zeros(len(some), "i8"), "sketch": empty, "brief": empty, "low": pa.nulls(len(some), pa.list_(pa.int64())), "slot": np.ones(len(some), bool)})
+        yield pa.record_batch({"doc_id": some, "n": total[some], "sid": np.zeros(len(some), "i8"), "sketch": empty, "brief": empty, "fine": empty, "low": pa.nulls(len(some), pa.list_(pa.int64())), "slot": np.ones(len(some), bool)})
 
     # one pass: a row for each document, and a task's counts of slots as rows of their own
-    passed = stored(source.mapInArrow(describe, "doc_id long, n long, sid long, sketch binary, brief binary, low array<long>, slot boolean"))
+    passed = stored(source.mapInArrow(describe, "doc_id long, n long, sid long, sketch binary, brief binary, fine binary, low array<long>, slot boolean"))
     described = passed.where("not slot").select("doc_id", "n", "sid")
     known = passed.where("not slot and n > 0").groupBy("sid")
-    sets = stored(known.agg(F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.count("*").alias("copies"), *[F.first(k, True).alias(k) for k in ("sketch", "brief", "low")]))
+    sets = stored(known.agg(F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.count("*").alias("copies"), *[F.first(k, True).alias(k) for k in ("sketch", "brief", "fine", "low")]))
     slots = passed.where("slot").groupBy(F.col("doc_id").alias("slot")).agg(F.sum("n").alias("n")).toArrow()  # SLOTS rows at most
     frequency = np.zeros(1 << SLOTS_LOG, "i8")
     frequency[slots.column("slot").to_numpy()] = slots.column("n").to_numpy()
@@ -215,6 +231,21 @@ def join(docs: DataFrame, percent: int = 90, words: int = 3, id_col: str = "doc_
         both = pairs.select("a", "b").join(facts("a", "na", "sa"), "a").join(facts("b", "nb", "sb"), "b")
         return both.mapInArrow(apart, "a long, b long, na long, nb long, differ long")
 
+    def finer(batches):
+        """Of pairs of long sets those that sketches in proportion to the sets leave open."""
+        for b in batches:
+            differ = np.array([fine_differ(x, y) for x, y in zip(b.column("fa").to_pylist(), b.column("fb").to_pylist())], "i8")
+            yield b.select(["a", "b", "na", "nb", "differ"]).filter(pa.array(up * differ <= down * (b.column("na").to_numpy() + b.column("nb").to_numpy())))
+
+    def opened(pairs: DataFrame) -> DataFrame:
+        """Pairs that sketches of all sizes leave open."""
+        left = sketched(pairs).where(down * (F.col("na") + F.col("nb")) >= up * F.col("differ"))
+        long = (F.col("na") > LONG) & (F.col("nb") > LONG)
+        left = stored(left)
+        fine = lambda k: sets.select(F.col("sid").alias(k), F.col("fine").alias(f"f{k}"))
+        both = left.where(long).join(fine("a"), "a").join(fine("b"), "b").select("a", "b", "na", "nb", "differ", "fa", "fb")
+        return stored(left.where(~long).union(both.mapInArrow(finer, "a long, b long, na long, nb long, differ long")).select("a", "b", "differ"))
+
     def fetch(wanted: DataFrame) -> DataFrame:
         """The sets named by ``wanted(sid)``: ``sid, items``."""
 
@@ -411,7 +442,7 @@ def join(docs: DataFrame, percent: int = 90, words: int = 3, id_col: str = "doc_
                 yield pa.record_batch({"a": np.ascontiguousarray(pairs[:, 0]), "b": np.ascontiguousarray(pairs[:, 1])})
 
     open_pairs = index.repartition(n_parts, "token", "first", "second").sortWithinPartitions("token", "first", "second", "w", "sid").mapInArrow(sweep, "a long, b long")
-    left = stored(sketched(open_pairs.distinct()).where(down * (F.col("na") + F.col("nb")) >= up * F.col("differ")).select("a", "b", "differ"))
+    left = opened(open_pairs.distinct())
     for used in (whole, deltas):
         release(used)
     if not left.isEmpty():
