@@ -34,11 +34,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import key_runs, mix64, partitions, starts_of
+from .common import binary_array, key_runs, partitions, starts_of
 
 BLOCK_BYTES, BLOCK_DOCS = 8 << 20, 50_000
-#: Bytes of a block that are hashed at once.
-SLICE_BYTES = 1 << 19
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -98,7 +96,6 @@ _ODD = re.compile(r"[ \n](?:\s|\Z)|[\x1c-\x1f\x85\u180e]")
 #: White space of one byte, and first bytes of longer white space.
 _MAY_BE_WHITE = np.zeros(256, bool)
 _MAY_BE_WHITE[[*range(9, 14), *range(28, 33), 0xC2, 0xE1, 0xE2, 0xE3]] = True
-_FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _uncut(data: np.ndarray, texts: list[bytes], ends: np.ndarray) -> np.ndarray:
@@ -130,32 +127,8 @@ def chunk_codes(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray
     opens &= ~np.repeat(_uncut(data, texts, ends), lengths)
     opens[(ends - lengths)[lengths > 0]] = True
     starts = np.flatnonzero(opens)
-    sizes = np.diff(np.r_[starts, len(data)])
-    slices = np.unique(np.r_[0, np.searchsorted(starts, np.arange(SLICE_BYTES, len(data), SLICE_BYTES)), len(starts)])
-    powers = np.multiply.accumulate(np.full(int(sizes.max()) + 1, _FACTOR))
-    hashes = np.empty(len(starts), "u8")
-
-    def part(lo: int, hi: int) -> tuple[slice, np.ndarray]:
-        end = int(starts[hi]) if hi < len(starts) else len(data)
-        return slice(int(starts[lo]), end), np.arange(int(starts[lo]), end) - np.repeat(starts[lo:hi], sizes[lo:hi])
-
-    for lo, hi in zip(slices[:-1].tolist(), slices[1:].tolist()):
-        where, at = part(lo, hi)
-        hashes[lo:hi] = np.add.reduceat((data[where].astype("u8") + np.uint64(1)) * powers[at], starts[lo:hi] - where.start)
-    _, first, codes = np.unique(mix64(hashes ^ sizes.astype("u8") * _FACTOR), return_index=True, return_inverse=True)
-    same = bool((sizes[first][codes] == sizes).all())
-    for lo, hi in zip(slices[:-1].tolist(), slices[1:].tolist()):
-        if same:  # by their bytes too
-            where, at = part(lo, hi)
-            same = bool((data[where] == data[np.repeat(starts[first[codes[lo:hi]]], sizes[lo:hi]) + at]).all())
-    raw = data.tobytes()
-    if same:
-        distinct = [raw[s : s + n] for s, n in zip(starts[first].tolist(), sizes[first].tolist())]
-    else:  # two chunks of one hash
-        table: dict[bytes, int] = {}
-        codes = np.array([table.setdefault(raw[s : s + n], len(table)) for s, n in zip(starts.tolist(), sizes.tolist())], "i8")
-        distinct = list(table)
-    return distinct, codes, np.searchsorted(starts, ends)
+    coded = binary_array(data, np.r_[starts, len(data)]).dictionary_encode()
+    return coded.dictionary.to_pylist(), coded.indices.to_numpy().astype("i8"), np.searchsorted(starts, ends)
 
 
 def _checksum(texts: list[bytes]) -> int:
