@@ -60,17 +60,26 @@ class _Tree(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = self.at = Node("html", [], None)
-        self.raw = 0
-
-    def up_to(self, tags: tuple[str, ...], stop: frozenset[str] | tuple[str, ...]) -> None:
-        """Closes the nearest open element of ``tags``, unless one of ``stop`` is nearer."""
-        n = self.at
-        while n is not None and n.tag not in tags:
-            if n.tag in stop:
-                return
-            n = n.parent
-        if n is not None and n.parent is not None:
-            self.at = n.parent
+        self.path = [self.root]  # open elements
+        self.places: dict[str, list[int]] = {}  # where on the path each tag stands; under "" any block
+
+    def enter(self, n: Node) -> None:
+        for k in (n.tag, "") if n.tag in BLOCK else (n.tag,):
+            self.places.setdefault(k, []).append(len(self.path))
+        self.path.append(n)
+        self.at = n
+
+    def up_to(self, tags: tuple[str, ...], stop: tuple[str, ...]) -> None:
+        """Closes the nearest open element of ``tags``, unless one of ``stop`` is nearer; each element is left once."""
+        nearest = lambda names: max((x[-1] for k in names if (x := self.places.get(k))), default=0)
+        place = nearest(tags)
+        if not place or nearest(stop) > place:
+            return
+        while len(self.path) > place:
+            n = self.path.pop()
+            for k in (n.tag, "") if n.tag in BLOCK else (n.tag,):
+                self.places[k].pop()
+        self.at = self.path[-1]
 
     def handle_starttag(self, tag, attributes):
         if tag in ("html", "body"):
@@ -85,7 +94,7 @@ class _Tree(HTMLParser):
         n = Node(tag, attributes, self.at)
         self.at.children.append(n)
         if tag not in VOID:
-            self.at = n
+            self.enter(n)
 
     def handle_startendtag(self, tag, attributes):
         self.handle_starttag(tag, attributes)
@@ -94,7 +103,7 @@ class _Tree(HTMLParser):
 
     def handle_endtag(self, tag):
         # formatting does not end a block, and a block does not end what holds it
-        self.up_to((tag,), BLOCK if tag not in BLOCK else ("body",))
+        self.up_to((tag,), ("",) if tag not in BLOCK else ())
 
     def handle_data(self, data):
         self.at.children.append(data)
@@ -268,7 +277,7 @@ def made_page(rng: np.random.Generator) -> tuple[Node, dict[int, bool]]:
     def box(parent, part, content=False):
         tag = str(rng.choice(ELEMENTS[part]))
         names = naming(part)
-        if tag == "div" and not names:
+        if tag == "div" and not names and not (content and rng.random() < 0.7):
             names = (str(rng.choice(NAMES[part])),)
         return make(parent, tag, content, names=names)
 
@@ -311,12 +320,14 @@ def made_page(rng: np.random.Generator) -> tuple[Node, dict[int, bool]]:
     def paragraph(parent):
         kind = rng.random()
         if kind < 0.58:
-            p = make(parent, "p", True)
+            p = make(parent, "p" if style < 0.7 else "div", True) if style < 0.85 else parent
             if rng.random() < 0.2:
                 b = make(p, "b", True, words(rng.integers(1, 60)))
                 if rng.random() < 0.3:
                     make(b, "br", True)
             p.children.append(words(int(rng.choice([1, 2, 4, 30, 60, 120]) * (0.5 + rng.random())) + 1))
+            if p is parent:
+                make(p, "br", True)
             if rng.random() < 0.2:
                 make(p, "a", True, words(rng.integers(1, 4)))
                 p.children.append(words(4))
@@ -333,6 +344,7 @@ def made_page(rng: np.random.Generator) -> tuple[Node, dict[int, bool]]:
             for _ in range(3):
                 make(tr, "td", True, words(rng.integers(1, 5)))
 
+    style = rng.random()  # paragraphs are p, or div, or stand in the article itself
     root = Node("html", [], None)
     truth[id(root)] = True
     body = root
@@ -345,15 +357,18 @@ def made_page(rng: np.random.Generator) -> tuple[Node, dict[int, bool]]:
     main = box(body, "content", True)
     if rng.random() < 0.4:
         main = box(main, "content", True)
-    if rng.random() < 0.8:
+    bare = style >= 0.85 and rng.random() < 0.5  # an article that is nothing but its text
+    if bare:
+        main.children.append(words(rng.integers(40, 300)))
+    if rng.random() < 0.8 and not bare:
         make(main, "h1", True, words(rng.integers(1, 15)))
-    short = rng.random()
+    short = 1.0 if bare else rng.random()
     if short < 0.2:  # a heading and a few words
         p = make(main, "p", True)
         make(p, "b", True, words(rng.integers(1, 6))) if rng.random() < 0.5 else p.children.append(words(rng.integers(1, 6)))
         if rng.random() < 0.5:
             make(p, "br", True)
-    for _ in range(0 if short < 0.2 else rng.integers(1, 4) if short < 0.5 else rng.integers(1, 14)):
+    for _ in range(0 if bare or short < 0.2 else rng.integers(1, 4) if short < 0.5 else rng.integers(1, 14)):
         paragraph(main)
         if rng.random() < 0.06:
             boilerplate(main, str(rng.choice(["ad", "aside", "notice", "form"])))
