@@ -11,7 +11,7 @@ A stored dataset is a table with one row for each shard, in any store that Spark
 * ``shard``: ascending with the keys; ``n_ids`` and ``n_docs``.
 
 Keys are document ids; a null id sorts first.  Documents of equal id are told apart by their
-occurrence (0, 1, ...), in the order of their texts.
+occurrence in their shard (0, 1, ...), in the order of their texts' first 64 characters.
 
 Defined results: a null text is empty and has the end id alone; an empty table gives an empty
 dataset; other columns are ignored; a document longer than a shard gets a shard of its own.
@@ -138,7 +138,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        # a text that holds one of these goes to the tokenizer as it is
+        self.added = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
         self.spaced = spaced
         self.end_ids = {"": b""}
         self.known = _Pieces()
@@ -250,6 +251,9 @@ class Encoder:
         rows = []
         for t in texts:
             before = len(new)
+            if any(x in t for x in self.added):
+                rows.append(([False], before, before))
+                continue
             parts = t.replace("\n", " \n" if self.spaced else " ").split(" ")
             found = list(map(ids_of, parts[1:] if self.spaced else parts))
             rows.append((found, before, len(new)))
@@ -283,7 +287,7 @@ def write(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, id_col:
     def shards(batches: Iterator[pa.RecordBatch]):
         encoder = Encoder.of(tokenizer_path, spaced=True)
         part, k, held, ids, total = TaskContext.get().partitionId(), 0, [], [], 0
-        previous, occurrence = object(), 0
+        previous, occurrence = object(), -1
 
         def full():
             keys = np.array(ids, KEY)
@@ -293,12 +297,12 @@ def write(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, id_col:
             for at in range(0, b.num_rows, 1000):
                 some = b.slice(at, 1000)
                 for key, raw in zip(some.column(0).to_pylist(), encoder([t or "" for t in some.column(1).to_pylist()])):
-                    occurrence = occurrence + 1 if key == previous else 0
-                    previous = key
                     document = np.frombuffer(raw + end, "<u4")
                     if held and total + len(document) > SHARD_IDS:
                         yield full()
-                        k, held, ids, total = k + 1, [], [], 0
+                        k, held, ids, total, previous = k + 1, [], [], 0, object()
+                    occurrence = occurrence + 1 if key == previous else 0
+                    previous = key
                     held.append(document)
                     ids.append((key or 0, key is None, occurrence))
                     total += len(document)
@@ -306,7 +310,10 @@ def write(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, id_col:
             yield full()
 
     arrow = pa.schema([(n, {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}[t]) for n, t in (x.split() for x in SCHEMA.split(", "))])
-    ordered = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).repartitionByRange(partitions(spark), "id").sortWithinPartitions("id", "text")
+    ordered = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    # texts of one id, or of none, may fill many tasks: how they begin and a number part them
+    keys = ["id", F.substring(F.coalesce("text", F.lit("")), 1, 64), F.monotonically_increasing_id()]
+    ordered = ordered.repartitionByRange(partitions(spark), *keys).sortWithinPartitions("id", F.coalesce("text", F.lit("")))
     ordered.mapInArrow(shards, SCHEMA).write.mode("overwrite").parquet(path)
 
 
@@ -338,26 +345,31 @@ def scan(store: DataFrame) -> DataFrame:
 
 
 def lookup(store: DataFrame, keys: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Keyed access: ``(doc_id, occurrence, ids)`` for the wanted ids (first occurrences; ``ids`` as uint32).
+    """Keyed access: ``(shard, doc_id, occurrence, ids)`` for every document of the wanted ids (``ids`` as uint32).
 
-    Shards are chosen by their key ranges; in a shard each key costs one bucket and one slot.  Ids
-    that are null or that no shard holds get no row.
+    Shards are chosen by their key ranges; in a shard each occurrence costs one bucket and one slot.
+    Payloads are read only of shards chosen; where the choice is small, Spark broadcasts it and they
+    stay where they lie.  Ids that are null or that no shard holds get no row.
     """
     wanted = keys.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id")).distinct()
     ranges = store.where("first_key is not null").select("shard", "first_key", "last_key")
-    chosen = wanted.join(ranges, (F.col("doc_id") >= F.col("first_key")) & (F.col("doc_id") <= F.col("last_key"))).select("shard", "doc_id").toDF("to_shard", "doc_id")
-
-    def find(left: pa.Table, right: pa.Table) -> pa.Table:
-        got = []
-        if left.num_rows:
-            for row in right.to_pylist():
-                ids = left.column("doc_id").to_numpy()
-                k = np.zeros(len(ids), KEY)
-                k["id"] = ids
-                got += [(int(i), 0, x.astype("<u4").tobytes()) for i, x in zip(ids, read_keys(row, k)) if x is not None]
-        return pa.table({"doc_id": pa.array([g[0] for g in got], pa.int64()), "occurrence": pa.array([g[1] for g in got], pa.int64()), "ids": pa.array([g[2] for g in got], pa.binary())})
-
-    return chosen.groupBy("to_shard").cogroup(store.groupBy("shard")).applyInArrow(find, "doc_id long, occurrence long, ids binary")
+    chosen = wanted.join(ranges, F.col("doc_id").between(F.col("first_key"), F.col("last_key"))).groupBy("shard").agg(F.collect_list("doc_id").alias("wanted"))
+
+    def find(batches):
+        for b in batches:
+            for row in b.to_pylist():
+                ids, k = np.array(row["wanted"], "i8"), 0
+                while len(ids):  # occurrence by occurrence, until a key has no more
+                    keys = np.zeros(len(ids), KEY)
+                    keys["id"], keys["occurrence"] = ids, k
+                    found = read_keys(row, keys)
+                    has = np.array([x is not None for x in found])
+                    if has.any():
+                        yield pa.record_batch({"shard": np.full(has.sum(), row["shard"], "i8"), "doc_id": ids[has], "occurrence": np.full(has.sum(), k, "i8"), "ids": pa.array([x.astype("<u4").tobytes() for x in found if x is not None], pa.binary())})
+                    ids, k = ids[has], k + 1
+
+    hit = store.join(chosen, "shard").select("shard", "n_docs", "width", "displace", "fingerprints", "starts", "lengths", "payload", "wanted")
+    return hit.mapInArrow(find, "shard long, doc_id long, occurrence long, ids binary")
 
 
 def op7_token_store(spark, sf_dir):
