@@ -31,6 +31,8 @@ from .token_store import Encoder
 
 GROUP_PIECES = 16_384
 FULL = 0.985
+#: A level leaves at most 0.7 of its pieces, so this many suffice for any table; a sequence id has room for them.
+LEVELS = 31
 
 
 @dataclass(frozen=True)
@@ -112,9 +114,10 @@ def best_fit(lengths: np.ndarray, capacity: Capacity, score: str = "norm") -> np
 def pack(pieces: DataFrame, length_col: str, key: list[str], capacity: Capacity = Capacity(), score: str = "norm") -> DataFrame:
     """Adds ``sequence_id`` and ``offset`` to ``pieces``, whose columns ``key`` tell rows apart.
 
-    Rows that are equal in ``key`` and length may share a place in the order, so a count tells them
-    apart too.  A group's rows are numbers only: key, length and result.
+    Groups are dealt by a number that each row gets, so that repeated rows spread like others; ``pieces``
+    should thus be stored.  A group's rows are numbers only: key, length and result.
     """
+    pieces = pieces.withColumn("_row", F.monotonically_increasing_id())
     kinds = dict(pieces.dtypes)
     schema = ", ".join([*[f"`{k}` {kinds[k]}" for k in pieces.columns], "sequence_id long", "offset long", "filled double"])
     spark = pieces.sparkSession
@@ -124,7 +127,7 @@ def pack(pieces: DataFrame, length_col: str, key: list[str], capacity: Capacity
     def group(level: int):
         def run(t: pa.Table) -> pa.Table:
             g = t.column("_group")[0].as_py()
-            t = t.drop_columns(["_group"]).sort_by([(k, "ascending") for k in [*key, length_col]])
+            t = t.drop_columns(["_group"]).sort_by([(k, "ascending") for k in [*key, length_col, "_row"]])
             lengths = t.column(arrow_length).to_numpy()
             bins = best_fit(lengths, capacity, score)
             order = np.argsort(bins, kind="stable")
@@ -142,22 +145,22 @@ def pack(pieces: DataFrame, length_col: str, key: list[str], capacity: Capacity
     whole = pieces.where(F.col(length_col) >= capacity.tokens)
     done = whole.select("*", F.shiftleft(F.monotonically_increasing_id(), 5).alias("sequence_id"), F.lit(0).cast("long").alias("offset"), F.lit(1.0).alias("filled"))
     rest = pieces.where(F.col(length_col) < capacity.tokens)
-    for level in range(1, 31):
-        n = rest.count()
-        if not n:
-            break
+    n, level = rest.count(), 0
+    while n:
+        level += 1
         groups = max(1, -(-n // GROUP_PIECES))
-        placed = rest.withColumn("_group", F.pmod(F.xxhash64(*key, length_col, F.lit(level)), F.lit(groups)))
+        placed = rest.withColumn("_group", F.pmod(F.xxhash64("_row", F.lit(level)), F.lit(groups)))
         placed = cut(placed.groupBy("_group").applyInArrow(group(level), schema))
         if groups == 1:
             done = done.unionByName(placed)
             break
         done = done.unionByName(placed.where(F.col("filled") >= FULL))
         rest = placed.where(F.col("filled") < FULL).select(*pieces.columns)
-        if rest.count() > 0.7 * n:  # nothing is gained by going on: keep this level's places
+        before, n = n, rest.count()
+        if n > 0.7 * before or level == LEVELS:  # nothing is gained by going on: keep this level's places
             done = done.unionByName(placed.where(F.col("filled") < FULL))
             break
-    return done.drop("filled")
+    return done.drop("filled", "_row")
 
 
 def pieces_of(docs: DataFrame, tokenizer_path: str, end_id: int, tokens: int, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
