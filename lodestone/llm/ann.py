@@ -100,7 +100,7 @@ def best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
 def nearest(rows: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """Rows ``(query_id, rank, vec_id, score)`` for the rows where ``is_query`` holds, against all rows."""
     good = rows.where(F.col(id_col).isNotNull() & usable(vector_col)).select(F.col(id_col).cast("long").alias("id"), F.coalesce(is_query, F.lit(False)).alias("q"), F.col(vector_col).cast("array<double>").alias("v"))
-    sizes = [r["d"] for r in good.select(F.size("v").alias("d")).distinct().limit(1000).collect()]
+    sizes = [r["d"] for r in good.select(F.size("v").alias("d")).distinct().collect()]
     found = [_search(good.where(F.size("v") == d), d, k) for d in sizes]
     if not found:
         return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
@@ -195,8 +195,8 @@ def _search(good: DataFrame, d: int, k: int) -> DataFrame:
             qid, q = left.column("query_id").to_numpy(), from_fixed(left.column("v"), "f8")
             bound = left.column("bound").to_numpy(zero_copy_only=False).astype("f8")
             bound = np.where(np.isnan(bound), -np.inf, bound)
-            length = np.sqrt((q**2).sum(1))
-            open_run = q @ centre.T + length[:, None] * radius[None] + 1e-9 * (1 + np.abs(bound[:, None])) >= bound[:, None]
+            length, reach = np.sqrt((q**2).sum(1)), np.sqrt((v**2).sum(1).max())
+            open_run = q @ centre.T + length[:, None] * radius[None] + 1e-9 * (1 + np.abs(np.where(np.isfinite(bound), bound, 0)) + length * reach)[:, None] >= bound[:, None]
             kept_s = np.full((len(q), k), -np.inf)
             kept_id = np.full((len(q), k), np.iinfo("i8").max)
             for r, lo in enumerate(starts):
@@ -206,7 +206,7 @@ def _search(good: DataFrame, d: int, k: int) -> DataFrame:
                     continue
                 rough = q[who] @ v[lo:hi].T
                 floor = np.maximum(bound[who], kept_s[who, -1])
-                hit_q, hit_r = np.nonzero(rough >= (floor - 1e-9 * (1 + np.abs(floor)))[:, None])
+                hit_q, hit_r = np.nonzero(rough >= (floor - 1e-9 * (1 + np.abs(np.where(np.isfinite(floor), floor, 0)) + length[who] * reach))[:, None])
                 ok = ids[lo:hi][hit_r] != qid[who][hit_q]
                 hit_q, hit_r = hit_q[ok], hit_r[ok]
                 exact = np.zeros(len(hit_q))

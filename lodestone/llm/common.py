@@ -16,6 +16,8 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder every executor sees: ``spark.checkpoint.dir``, or one of our own where it is unset."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         found = getattr(spark, "_lodestone_dir", None) or tempfile.mkdtemp(prefix="spark-")
         spark._lodestone_dir = found
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():

@@ -85,7 +85,7 @@ def near_duplicates(rows: DataFrame, threshold: float = 0.93, id_col: str = "vec
     keyed = keyed.withColumn("key", F.xxhash64("v"))
     entries = keyed.groupBy("label", "key", "v").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"))
     # the longest vectors tell how many tables are needed; usually all have one length
-    sizes = [r["d"] for r in good.select(F.size("v").alias("d")).distinct().limit(1000).collect()]
+    sizes = [r["d"] for r in good.select(F.size("v").alias("d")).distinct().collect()]
     entries = cut(entries)
     found = [_sweep(entries.where(F.size("v") == d), d, threshold) for d in sizes]
     copies = keyed.join(entries.select("label", "key", "v", "rep", "copies"), ["label", "key", "v"]) if sizes else None

@@ -43,7 +43,6 @@ def test_token_store(spark, tmp_path):
     from tokenizers import Tokenizer
 
     k = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
-    k.encode_special_tokens = True
     d = docs(spark).union(docs(spark, TEXTS[5:6]))  # id 0 twice
     path = str(tmp_path / "s")
     token_store.write(d, path, P.path("byte_bpe_50k.json"), 2)
@@ -68,7 +67,6 @@ def test_pieces_give_the_ids_of_whole_texts():
     for name, spaced in (("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)):
         e = token_store.Encoder(P.path(name), spaced)
         k = Tokenizer.from_file(P.path(name))
-        k.encode_special_tokens = True
         for t, raw in zip(texts, e(texts)):
             assert np.frombuffer(raw, "<u4").tolist() == k.encode(t, add_special_tokens=False).ids, ascii(t)
 
@@ -271,3 +269,69 @@ def test_url_within_a_url_has_no_path_of_its_own(spark):
     df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
     got = [(r["host"], r["path"], r["rule"]) for r in url_filter.judge(df, url_filter.standard_rules()).orderBy("page_id").collect()]
     assert got == [("example.org", "", None), ("example.org", "", None), ("example.org", "", None), ("a.com", "/b", None), (":", "//x.org/en/1", None)]
+
+
+def test_special_token_in_a_text_is_what_the_library_makes_of_it():
+    from tokenizers import Tokenizer
+
+    for name, spaced in (("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)):
+        k, e = Tokenizer.from_file(P.path(name)), token_store.Encoder(P.path(name), spaced)
+        for t in ("a <|endoftext|> b", "x<|endoftext|>", "< |endoftext|>", "<|ENDOFTEXT|> plain words"):
+            assert np.frombuffer(e([t])[0], "<u4").tolist() == k.encode(t, add_special_tokens=False).ids
+
+
+def test_lookup_gives_every_occurrence(spark, tmp_path):
+    d = spark.createDataFrame([(1, "a"), (1, "b"), (1, "b"), (2, None), (None, "x"), (None, "x"), (5, "y")], "doc_id long, text string")
+    path = str(tmp_path / "s")
+    token_store.write(d, path, P.path("byte_bpe_50k.json"), 2)
+    got = token_store.lookup(spark.read.parquet(path), spark.createDataFrame([(1,), (3,), (5,), (None,)], "doc_id long")).collect()
+    assert sorted(r["doc_id"] for r in got) == [1, 1, 1, 5]
+
+
+def test_articles_without_names_and_deep_pages():
+    import time
+
+    trees, prose = html_extract.train(), "Lorem ipsum dolor sit amet, consectetur adipiscing elit, sed do eiusmod. " * 33
+    assert html_extract.main_text(f"<nav><a href=/>Home</a><a href=/b>About</a></nav><div>{prose}</div>", trees) == prose.strip()
+    paragraphs = "".join(f"<div>{prose[:300]}</div>" for _ in range(30))
+    assert html_extract.main_text(f"<div>{paragraphs}</div>", trees) == "\n".join([prose[:300].strip()] * 30)
+    began = time.time()
+    html_extract.main_text("<div>" + "<b>x" * 8000 + "<p>y</p>" * 500 + "</i>" * 8000, trees)
+    assert time.time() - began < 10
+    for broken in ("<", "<div", "</p></p>", "<p>a<p>b</div></table>c", "&#x110000; &bogus;", "<script>if (a<b) {"):
+        html_extract.main_text(broken, trees)
+
+
+def test_repeated_rows_spread_over_packing_groups(spark):
+    rows = spark.range(40_000).selectExpr("cast(null as long) doc_id", "0 piece", "0L ids_crc32", "600L length")
+    got = packing.pack(rows, "length", ["doc_id", "piece", "ids_crc32"]).groupBy("sequence_id").agg({"length": "sum", "*": "count"}).collect()
+    assert sum(r["count(1)"] for r in got) == 40_000 and max(r["sum(length)"] for r in got) <= 2048
+
+
+@pytest.mark.parametrize("call", [
+    lambda s, d: bpe.encode(d, P.path("byte_bpe_50k.tiktoken"), P.PATTERN),
+    lambda s, d: jaccard.join(d),
+    lambda s, d: packing.packed_documents(d),
+])
+def test_empty_table(spark, tmp_path, call):
+    assert call(spark, stored(docs(spark, []), tmp_path)).count() == 0
+
+
+def test_jaccard_of_a_large_group_of_near_copies(spark):
+    """A group whose members differ from their head, and some only from each other: against brute force."""
+    rng = random.Random(5)
+    base = [f"w{rng.randint(0, 400)}" for _ in range(120)]
+    texts = []
+    for _ in range(150):
+        w = list(base)
+        for _ in range(rng.choice([0, 1, 2, 3, 4, 5])):
+            w[rng.choice([rng.randrange(120), 7, 50])] = rng.choice(["new" + str(rng.randint(0, 9)), "other"])
+        texts.append(" ".join(w))
+    sets = brute_sets(texts, 3)
+    label = list(range(len(texts)))
+    for a, b in itertools.combinations(range(len(texts)), 2):
+        if 100 * len(sets[a] & sets[b]) >= 90 * len(sets[a] | sets[b]) and label[a] != label[b]:
+            old, new = max(label[a], label[b]), min(label[a], label[b])
+            label = [new if x == old else x for x in label]
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.join(docs(spark, texts)).collect()}
+    assert got == dict(enumerate(label)) and len(set(label)) > 3
