@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import difflib
+import bisect
 import re
 
 import pandas as pd
@@ -36,22 +37,47 @@ def terms(vocab: DataFrame) -> list[tuple[str, str, bool]]:
 
 
 def finder(found: list[tuple[str, str, bool]]):
-    """A function of a text and the spans taken already: its hits ``(start, end, surface, target)``."""
-    compiled = [(re.compile(rf"(?<!\w){re.escape(s)}(?!\w)", 0 if c else re.I), s.lower(), s, t) for s, t, c in found]
+    """A function of a text and the spans taken already: its hits ``(start, end, surface, target)``.
+
+    One automaton of all surfaces reads a text once; of hits that overlap, the one earlier in ``found`` stays.
+    """
+    import ahocorasick
+
+    places: dict[str, list[int]] = {}
+    for k, (s, _, _) in enumerate(found):
+        places.setdefault(_lowered(s), []).append(k)
+    automaton = ahocorasick.Automaton()
+    for key, value in places.items():
+        automaton.add_word(key, (len(key), value))
+    if places:
+        automaton.make_automaton()
+    word = re.compile(r"\w")
 
     def hits(text: str, taken: list[tuple[int, int]]) -> list[tuple[int, int, str, str]]:
-        low, taken, out = text.lower(), list(taken), []
-        for p, key, s, t in compiled:
-            if key in low:
-                for m in p.finditer(text):
-                    if all(m.end() <= x or m.start() >= y for x, y in taken):
-                        taken.append(m.span())
-                        out.append((*m.span(), s, t))
+        met = []
+        for last, (length, value) in automaton.iter(_lowered(text)) if places else ():
+            a, b = last + 1 - length, last + 1
+            if (a and word.match(text, a - 1)) or word.match(text, b):
+                continue
+            met += [(k, a, b) for k in value if not found[k][2] or text[a:b] == found[k][0]]
+        starts = sorted(taken)
+        out = []
+        for k, a, b in sorted(met):
+            at = bisect.bisect_left(starts, (a, b))
+            if (at == 0 or starts[at - 1][1] <= a) and (at == len(starts) or starts[at][0] >= b):
+                starts.insert(at, (a, b))
+                out.append((a, b, found[k][0], found[k][1]))
         return out
 
     return hits
 
 
+def _lowered(text: str) -> str:
+    """In small letters, of the same length."""
+    low = text.lower()
+    return low if len(low) == len(text) else "".join(x if len(x := c.lower()) == 1 else c for c in text)
+
+
 def match(texts: DataFrame, vocab: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Hits ``(id, start, surface, target)``: longest surface first (ties by surface), none overlaps an earlier one.
 

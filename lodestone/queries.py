@@ -349,7 +349,9 @@ def pointer_bounds(t):
 @query("select c_custkey, c_nationkey from customer where c_nationkey not in (select n_nationkey from nation where n_nationkey % 4 <> 0) and exists (select 1 from nation where n_nationkey % 4 <> 0)")
 def undeclared_dim(t):
     declared = t("nation").where("n_nationkey % 4 <> 0").select(F.col("n_nationkey").alias("c_nationkey"))
-    return t("customer").join(declared, "c_nationkey", "left_anti").select("c_custkey", "c_nationkey")
+    # only where anything is declared
+    any_declared = declared.limit(1).select(F.lit(True).alias("_any"))
+    return t("customer").join(declared, "c_nationkey", "left_anti").withColumn("_any", F.lit(True)).join(any_declared, "_any", "left_semi").select("c_custkey", "c_nationkey")
 
 
 _TREE = "(select 'n' || n_nationkey as id, case when n_nationkey % 7 = 0 then 'gone' when n_nationkey % 7 = 1 then 'n' || ((n_nationkey + 7) % 28) else 'r' || n_regionkey end as parent from nation union all select 'r' || r_regionkey, null from region)"
@@ -529,7 +531,7 @@ def parent_cycles(t):
 
 # --- the cyclic graph ----------------------------------------------------------------------------
 
-_G2 = "(select distinct cast(user_id % 100 as bigint) as src, cast(json_extract_string(props, '$.k') as bigint) as dst from events where event_id % 80 = 0 and event_id < 10000 and user_id % 100 <> cast(json_extract_string(props, '$.k') as bigint))"
+_G2 = "(select distinct cast(user_id % 100 as bigint) as src, cast(json_extract_string(props, '$.k') as bigint) as dst from events where user_id % 100 <> cast(json_extract_string(props, '$.k') as bigint))"
 
 
 def _links(events):
@@ -537,11 +539,6 @@ def _links(events):
     return events.select((F.col("user_id") % 100).cast("long").alias("src"), k.alias("dst")).where("src <> dst").distinct()
 
 
-def _cyclic(t):
-    """The part of the graph that the SQL of the ego graph and component queries names."""
-    return _links(t("events").where((F.col("event_id") % 80 == 0) & (F.col("event_id") < 10000)))
-
-
 def _whole(t):
     """The graph of all events."""
     return _links(t("events"))
@@ -561,20 +558,20 @@ ego as (select coalesce(u.id, d.id) as id, cast(case when coalesce(u.hop, 99) <=
 
 @query(_EGO + ' select id, "column" from ego')
 def ego_nodes(t):
-    e = _cyclic(t)
+    e = _whole(t)
     return G.ego(e, _busiest(e), 2)[0]
 
 
 @query(_EGO + f" select src, dst from {_G2} where src in (select id from ego) and dst in (select id from ego)")
 def ego_edges(t):
-    e = _cyclic(t)
+    e = _whole(t)
     return G.ego(e, _busiest(e), 2)[1]
 
 
 @query(f"""with recursive r as (select src as a, dst as b from {_G2} union select r.a, e.dst from r join {_G2} e on e.src = r.b)
 select x.a as id, least(x.a, min(x.b)) as component from r x join r y on x.a = y.b and x.b = y.a where x.a <> x.b group by x.a""")
 def scc(t):
-    return G.strong_components(_cyclic(t))
+    return G.strong_components(_whole(t))
 
 
 @query()
@@ -586,7 +583,7 @@ def back_edges(t):
 
 @query(_EGO + """ select id, "column", cast((dense_rank() over (order by "column") - 1) * 240 as double) as x, cast((row_number() over (partition by "column" order by id) - (count(*) over (partition by "column") + 1) / 2) * 80 as double) as y from ego""")
 def layout_grid(t):
-    e = _cyclic(t)
+    e = _whole(t)
     return G.grid(G.ego(e, _busiest(e), 2)[0])
 
 

@@ -3,6 +3,7 @@
 import duckdb
 import pytest
 
+import lodestone.page_queries  # noqa: F401  registers its queries
 from lodestone.queries import ORACLES, QUERIES
 
 DATA = "/root/testdata/sf0.001"
