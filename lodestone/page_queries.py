@@ -206,7 +206,7 @@ def card_pointers(t):
     return t("orders").select("o_orderkey", F.explode(E.card_references(text)).alias("r")).select("o_orderkey", "r.target", "r.effect")
 
 
-@query("select o_orderkey, o_orderpriority || ' and ' || o_orderstatus as plain from orders")
+@query("select o_orderkey, o_orderpriority || ' and ' || o_orderstatus || 'no' as plain from orders")
 def plain_prose(t):
     """Wikitext of links, bold and templates as plain text."""
     text = F.concat(F.lit("'''[[Page|"), F.col("o_orderpriority"), F.lit("]]''' and  [["), F.col("o_orderstatus"), F.lit("]]<ref>no</ref>"))
