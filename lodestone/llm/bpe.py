@@ -36,7 +36,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import binary_array, key_runs, partitions, starts_of
 
-BLOCK_BYTES, BLOCK_DOCS = 8 << 20, 50_000
+BLOCK_BYTES, BLOCK_DOCS = 14 << 20, 50_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -121,14 +121,14 @@ def chunk_codes(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray
     ends = np.cumsum([len(t) for t in texts])
     data = np.frombuffer(b"".join(texts), "u1")
     if not len(data):
-        return [], np.empty(0, "i8"), np.zeros(len(texts), "i8")
+        return [], np.empty(0, "i4"), np.zeros(len(texts), "i8")
     opens = (data == 0x20) | (data == 0x0A)
     lengths = np.diff(np.r_[0, ends])
     opens &= ~np.repeat(_uncut(data, texts, ends), lengths)
     opens[(ends - lengths)[lengths > 0]] = True
     starts = np.flatnonzero(opens)
     coded = binary_array(data, np.r_[starts, len(data)]).dictionary_encode()
-    return coded.dictionary.to_pylist(), coded.indices.to_numpy().astype("i8"), np.searchsorted(starts, ends)
+    return coded.dictionary.to_pylist(), coded.indices.to_numpy(), np.searchsorted(starts, ends)
 
 
 def _checksum(texts: list[bytes]) -> int:
@@ -148,7 +148,8 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list, list
     ids: list = []
     texts: list[bytes] = []
     size, k, part = 0, 0, TaskContext.get().partitionId()
-    for b in batches:
+    some = (b.slice(at, 500) for b in batches for at in range(0, b.num_rows, 500))
+    for b in some:
         for i, t in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary()).to_pylist()):
             ids.append(i)
             texts.append(t or b"")
@@ -207,8 +208,8 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
             words = [compiled.findall(c.decode()) for c in found]
             number_of = {w: i for i, w in enumerate(_ordered(words, buckets)[0])}
             order = np.argsort(-np.bincount(codes, minlength=len(words)), kind="stable")
-            rank = np.empty(len(order), "i8")
-            rank[order] = np.arange(len(order))  # frequent chunks get small numbers
+            rank = np.empty(len(order), "i4")
+            rank[order] = np.arange(len(order), dtype="i4")  # frequent chunks get small numbers
             flat = np.array([number_of[w.encode()] for i in order.tolist() for w in words[i]], "i8")
             head = _pack(np.array([len(words[i]) for i in order.tolist()], "i8")) + flat.astype("<u4").tobytes()
             parts = np.split(rank[codes], ends[:-1])
