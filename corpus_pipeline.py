@@ -2,6 +2,10 @@
 
 Each stage works on all that its predecessor kept, written as Parquet and read again.  All but the
 last return the columns of documents.
+
+Null and empty texts are empty documents: they are rated and scored like others, link with nothing,
+and are packed as their end id alone.  Repeated rows are each rated and scored; the Jaccard stage keeps
+one of rows that repeat id and text, and all rows without an id.  An empty table stays empty.
 """
 
 from __future__ import annotations
