@@ -2,6 +2,7 @@
 
 
 import itertools
+import math
 import random
 import zlib
 
@@ -144,6 +145,53 @@ def test_near_duplicates_against_brute_force(spark):
     assert all(got[k]["component_id"] == k and got[k]["kept"] and not got[k]["n_links"] for k in range(len(rows), len(rows) + 7))
 
 
+def exact_links(ids, vectors, labels):
+    """Links, and the smallest id of each component, by comparing all pairs."""
+    n = len(ids)
+    u = [np.asarray(v) / np.linalg.norm(v) for v in vectors]
+    hit = [[i != j and labels[i] == labels[j] and len(u[i]) == len(u[j]) and float(u[i] @ u[j]) >= 0.93 for j in range(n)] for i in range(n)]
+    low = list(ids)
+    for _ in range(n):
+        low = [min([low[i], *[low[j] for j in range(n) if hit[i][j]]]) for i in range(n)]
+    return sorted(zip(ids, map(sum, hit), low, [i == c for i, c in zip(ids, low)]))
+
+
+def test_near_duplicates_mixed_lengths_repeated_ids_and_clashing_columns(spark):
+    rng = np.random.default_rng(8)
+    rows = []
+    for d in (1, 2, 5, 64):
+        base = rng.normal(size=(6, d))
+        for k in range(18):
+            rows.append((len(rows), (base[k % 6] + rng.normal(size=d) * 0.15).tolist(), k % 2))
+    rows += [(3, rows[40][1], 0), (60, rows[60][1], rows[60][2]), (61, [2 * x for x in rows[60][1]], rows[60][2])]
+    # on the threshold itself, a hair above and below, and a squared length beyond the largest double
+    c = 0.93
+    rows += [(200, [1.0, 0.0, 0.0], 5), (201, [c + 1e-9, math.sqrt(1 - (c + 1e-9) ** 2), 0.0], 5), (202, [c - 1e-9, -math.sqrt(1 - (c - 1e-9) ** 2), 0.0], 5)]
+    want = exact_links([r[0] for r in rows], [r[1] for r in rows], [r[2] for r in rows])
+    null = [(None, rows[0][1], 0), (None, None, None), (300, [1e300, 1e300, 1e300, 0.0], 9), (301, [1e300, 1e300, 1e300, 1e298], 9)]
+    df = spark.createDataFrame([(*r, "x", 1) for r in rows + null], "vec_id long, embedding array<double>, label int, eid string, copies int")
+    got = [tuple(r) for r in near_dedup.near_duplicates(df).collect()]
+    assert sorted(r for r in got if r[0] is not None and r[0] < 300) == want
+    assert sorted(r for r in got if r[0] is not None and r[0] >= 300) == [(300, 1, 300, True), (301, 1, 300, False)]
+    assert [r for r in got if r[0] is None] == [(None, 0, None, True)] * 2
+    assert near_dedup.near_duplicates(df.where("vec_id < 0")).collect() == []
+
+
+def test_near_duplicates_in_a_cell_of_many_blocks(spark):
+    rng = np.random.default_rng(9)
+    n, d = 1500, 64
+    base = rng.normal(size=d)
+    v = base + rng.normal(size=(n, d)) * 0.2
+    df = spark.createDataFrame([(k, x.tolist(), 1) for k, x in enumerate(v)], "vec_id long, embedding array<double>, label int")
+    u = v / np.linalg.norm(v, axis=1, keepdims=True)
+    links = (u @ u.T >= 0.93).sum(1) - 1
+    got = {r["vec_id"]: r for r in near_dedup.near_duplicates(df).collect()}
+    # the tables are set for a recall of 0.9995 at the threshold; none is linked in excess
+    assert all(got[k]["n_links"] <= links[k] for k in range(n))
+    assert sum(got[k]["n_links"] for k in range(n)) >= 0.9995 * links.sum()
+    assert {got[k]["component_id"] for k in range(n)} == {0}
+
+
 def test_nearest_against_brute_force(spark):
     df, rows = vectors(spark)
     v = np.array([r[1] for r in rows])
