@@ -1,7 +1,7 @@
 """URL filters: pattern rules found through their rarest literal token (operator 4, DataFrame functions only).
 
 A rule has a regular expression over ``host + path`` and the literal tokens that every matching url
-holds.  Tokens are runs of letters, digits and hyphens.  How often each token occurs is counted over
+holds.  Tokens are runs of letters and runs of digits.  How often each token occurs is counted over
 all urls; a rule is indexed by its rarest one.  A url's tokens fetch the rules indexed by them, and
 only those rules' regular expressions run.  A rule without a literal token runs on every url.
 
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from .common import table
 
 BROADCAST_RULES = 50_000
-TOKEN = r"[A-Za-z0-9-]+"
+TOKEN = r"[A-Za-z]+|[0-9]+"
 
 
 @dataclass(frozen=True)
@@ -45,26 +45,29 @@ class Rule:
 def site_rule(rule: str, verdict: str) -> Rule:
     """A rule ``host/path``: fits the host and its subdomains where the path starts with the rule's.
 
-    The last token of the path may go on in a url, so it is a literal only if something ends it.
+    The last token of the rule may go on in a url, so it is a literal only if something ends it.
     """
     host, slash, path = rule.partition("/")
     pattern = rf"^([^/]*\.)?{re.escape(host)}{re.escape(slash + path)}"
-    whole = re.findall(TOKEN, host) + re.findall(TOKEN + r"(?=[^A-Za-z0-9-])", slash + path)
+    whole = [m.group() for m in re.finditer(TOKEN, host + slash + path) if m.end() < len(rule)]
     return Rule(rule, verdict, pattern, tuple(dict.fromkeys(whole)))
 
 
 #: Fixed by the query's contract.
 SITE_RULES = (("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block"))
-#: Words in a host's label that mark it as unwanted; the query's own choice.
-UNWANTED = ("adult", "ads", "bet", "bets", "casino", "farm", "pills", "porn", "spam", "xxx")
-LABELS = ("ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm")
+#: Whole words of a host's labels, beside other words, digits or hyphens, that mark a site as junk; the query's own choice.
+UNWANTED = ("adult", "ads", "bet", "bets", "bingo", "casino", "casinos", "escort", "escorts", "pills", "poker", "porn", "slots", "spam", "viagra", "warez", "xxx")
+
+
+def word_pattern(words: str) -> str:
+    """Over a host: one of the words, with no letter beside it, in any label but the last."""
+    return rf"^([^/]*[^a-z/])?({words})([^a-z./][^./]*)?\."
 
 
 def standard_rules() -> list[Rule]:
-    """The contract's rules, and unlisted ones that block hosts by a label that advertises junk."""
-    labels = [Rule(f"label:{x}", "block", rf"^([^/]*\.)?{re.escape(x)}\.", (x,), listed=False) for x in LABELS]
-    words = [Rule(f"word:{x}", "block", rf"^([^/]*\.)?{x}\.", (x,), listed=False) for x in UNWANTED]
-    return [*[site_rule(*x) for x in SITE_RULES], *labels, *words]
+    """The contract's rules, and unlisted ones that block hosts whose labels hold a word of junk sites."""
+    words = [Rule(f"word:{x}", "block", word_pattern(x), (x,), listed=False) for x in UNWANTED]
+    return [*[site_rule(*x) for x in SITE_RULES], *words]
 
 
 def host_of(url: Column) -> Column:
@@ -144,12 +147,12 @@ def op4_sql() -> str:
     fits = [(r, v, f"(host = '{h}' or ends_with(host, '.{h}')) and starts_with(path, '/{p}')") for r, v in longest for h, _, p in [r.partition("/")]]
     rule = "case " + " ".join(f"when {c} then '{r}'" for r, _, c in fits) + " end"
     verdict = "case " + " ".join(f"when {c} then '{v}'" for _, v, c in fits)
-    junk = "|".join([*LABELS, *UNWANTED])
+    junk = word_pattern("|".join(UNWANTED))
     return f"""
     with p as (select page_id, coalesce(url, '') u from pages),
     q as (select page_id, case when contains(u, '://') then substr(u, strpos(u, '://') + 3) else '' end rest from p),
     h as (select page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') host,
                  regexp_extract(rest, '^[^/?#]*(/[^?#]*)', 1) path from q)
     select page_id, host, path, {rule} as rule,
-           {verdict} when regexp_matches(host, '(^|\\.)({junk})\\.') then 'block' else 'allow' end as verdict
+           {verdict} when regexp_matches(host, '{junk}') then 'block' else 'allow' end as verdict
     from h"""

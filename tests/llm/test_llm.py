@@ -319,6 +319,19 @@ def test_url_within_a_url_has_no_path_of_its_own(spark):
     assert got == [("example.org", "", None), ("example.org", "", None), ("example.org", "", None), ("a.com", "/b", None), (":", "//x.org/en/1", None)]
 
 
+def test_url_words_beside_others_and_empty_table(spark):
+    import duckdb
+
+    block = ["http://mega-casino.net/", "https://BETS24.com", "http://spam2farm.co.uk/x", "http://a.xxx.b/", "http://x_poker.com?a"]
+    allow = ["http://dairy-farm.com/", "http://adsorb.com/", "http://alphabet.com", "http://x.porn/", "http://news.com/casino/", "http://my-casino.org/"]
+    df = spark.createDataFrame(list(enumerate(block + allow)), "page_id long, url string")
+    got = [tuple(r) for r in url_filter.judge(df, url_filter.standard_rules()).select("page_id", "host", "path", "rule", "verdict").orderBy("page_id").collect()]
+    assert [g[4] for g in got] == ["block"] * len(block) + ["allow"] * len(allow)
+    pages = df.toPandas()  # noqa: F841  read by the SQL
+    assert sorted(duckdb.sql(url_filter.op4_sql()).fetchall()) == got
+    assert url_filter.judge(df.where("page_id < 0"), url_filter.standard_rules()).collect() == []
+
+
 def test_special_token_in_a_text_is_what_the_library_makes_of_it():
     from tokenizers import Tokenizer
 
