@@ -58,8 +58,15 @@ def hops(edges: DataFrame, roots: DataFrame, depth: int) -> DataFrame:
     return seen
 
 
-def ego(edges: DataFrame, roots: DataFrame, depth: int) -> tuple[DataFrame, DataFrame]:
-    """The ego graph: nodes with their column (upstream negative; ties upstream) and the edges among them."""
+def ego(edges: DataFrame, roots: DataFrame, depth: int, known: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """The ego graph: nodes with their column (upstream negative; ties upstream) and the edges among them.
+
+    A root that is not in ``known(id)``, where given, fails the query.
+    """
+    if known is not None:
+        found = roots.join(known.select("id", F.lit(True).alias("_known")).distinct(), "id", "left")
+        fault = F.raise_error(F.concat(F.lit("no such node: "), F.col("id").cast("string"))).cast("boolean")
+        roots = found.where(F.coalesce("_known", fault)).select("id")
     down = hops(edges, roots, depth).withColumnRenamed("hop", "down")
     up = hops(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")), roots, depth).withColumnRenamed("hop", "up")
     far = F.lit(1 << 30)

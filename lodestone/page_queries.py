@@ -109,7 +109,7 @@ def wiki_minted_nodes(t):
 def wiki_minted_again(t):
     """The records left out because their id was minted already, one warning each."""
     pages = _part_pages(t)
-    return W.parse_swept(pages, _part_manifest(pages), [])[2]
+    return W.parse_swept(pages, _part_manifest(pages), [])[2].select("id", "wiki")
 
 
 # --- fixed pages ----------------------------------------------------------------------------------

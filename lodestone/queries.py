@@ -304,6 +304,12 @@ def _entity_edges(t):
     return e(t("customer"), key("n", "c_nationkey"), key("c", "c_custkey")).unionByName(e(t("orders"), key("c", "o_custkey"), key("o", "o_orderkey"))).unionByName(e(t("lineitem"), key("o", "l_orderkey"), key("p", "l_partkey"))).unionByName(e(t("lineitem"), key("s", "l_suppkey"), key("p", "l_partkey"))).distinct()
 
 
+def _edges_of_entities(t):
+    """Nations' customers and customers' orders."""
+    end = lambda p, c: F.concat(F.lit(p), F.col(c).cast("string"))
+    return t("customer").select(end("n", "c_nationkey").alias("src"), end("c", "c_custkey").alias("dst")).unionByName(t("orders").select(end("c", "o_custkey").alias("src"), end("o", "o_orderkey").alias("dst"))).distinct()
+
+
 def _entity_nodes(t):
     out = None
     for name, prefix, col in (("nation", "n", "n_nationkey"), ("customer", "c", "c_custkey"), ("orders", "o", "o_orderkey"), ("part", "p", "p_partkey"), ("supplier", "s", "s_suppkey")):
