@@ -21,6 +21,7 @@ from __future__ import annotations
 import codecs
 import re
 import struct
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from heapq import heapify, heappop, heappush
@@ -28,6 +29,7 @@ from itertools import chain, groupby
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  methods of arrays
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
@@ -39,6 +41,8 @@ MERGES = 2
 #: Parts up to this length are kept by a worker, up to this number of them; others are merged each time.
 KEPT_CHARS, KEPT_PARTS = 48, 1_000_000
 SLICE_CHARS = 2 << 20
+#: Up to this number of symbols the agenda is a list, above it a heap.
+SHORT, NEVER = 40, float("inf")
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -106,6 +110,8 @@ class Vocabulary:
         self.bytes = {int(p[3:5], 16): i for i, (p, k) in enumerate(zip(self.pieces, self.kinds)) if k == BYTE}
         user = sorted((p for p, i in self.ids.items() if self.kinds[i] == USER), key=len, reverse=True)
         self.user = re.compile("|".join(map(re.escape, user))) if user else None
+        self.joins = {p[i : i + 2] for p in self.ids for i in range(len(p) - 1)}
+        self.runs: dict[str, tuple[int, ...]] = {}
         #: no piece goes on with a space after another character, so cuts before spaces are safe
         self.cuts = not user and not any(re.search(f"[^{SPACE}]{SPACE}", p) for p in self.ids)
 
@@ -131,11 +137,34 @@ class Vocabulary:
         return out + list(part[at:]), fixed
 
     def merge(self, part: str) -> list[int]:
-        """Ids of one part by the agenda."""
-        symbols, fixed = self.symbols(part)
+        """Ids of one part by the agenda; runs of characters between which no piece reaches are merged apart."""
+        if self.user is not None:
+            return self._merged(*self.symbols(part))
+        out: list[int] = []
+        start, joins = 0, self.joins
+        for i in range(1, len(part)):
+            if part[i - 1 : i + 1] not in joins:
+                out += self._run(part[start:i])
+                start = i
+        out += self._run(part[start:])
+        return out
+
+    def _run(self, run: str) -> tuple[int, ...]:
+        ids = self.runs.get(run)
+        if ids is None:
+            ids = tuple(self._merged(list(run), set()))
+            if len(run) <= KEPT_CHARS and len(self.runs) < KEPT_PARTS // 2:
+                self.runs[run] = ids
+        return ids
+
+    def _merged(self, symbols: list[str], fixed: set[int]) -> list[int]:
         made: dict[str, tuple[str, str]] = {}
+        if len(symbols) > SHORT or fixed or self.unused:
+            symbols = agenda(symbols, fixed, self.order, self.unused, made)
+        else:
+            symbols = short_agenda(symbols, self.order)
         out: list[int] = []
-        for s in agenda(symbols, fixed, self.order, self.unused, made):
+        for s in symbols:
             self._emit(s, made, out)
         return out
 
@@ -191,6 +220,21 @@ def agenda(symbols: list[str], fixed: set[int], order: dict[str, float], unused:
     return [s for s in symbols if s is not None]
 
 
+def short_agenda(symbols: list[str], order: dict[str, float]) -> list[str]:
+    """The same for a few symbols: the agenda is a list in order of place, whose first least entry is the next."""
+    agenda = [order.get(a + b, NEVER) for a, b in zip(symbols, symbols[1:])]
+    while agenda and (best := min(agenda)) != NEVER:
+        i = agenda.index(best)
+        pair = symbols[i] + symbols[i + 1]
+        symbols[i : i + 2] = [pair]
+        del agenda[i]
+        if i:
+            agenda[i - 1] = order.get(symbols[i - 1] + pair, NEVER)
+        if i < len(agenda):
+            agenda[i] = order.get(pair + symbols[i + 1], NEVER)
+    return symbols
+
+
 class Encoder:
     """Known parts of one worker; new ones are merged and compared with the library's ids."""
 
@@ -199,27 +243,27 @@ class Encoder:
 
         self.vocabulary = Vocabulary.of(model)
         self.library = sentencepiece.SentencePieceProcessor(model_proto=model)
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.known: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         listed = [self.vocabulary.parts(t) for t in texts]
         known = self.known
-        new = {p: tuple(self.vocabulary.merge(p)) for p in set(chain.from_iterable(listed)).difference(known)}
+        new = {p: array("i", self.vocabulary.merge(p)).tobytes() for p in set(chain.from_iterable(listed)).difference(known)}
         self._check(new)
         known.update(new)
-        out = [np.fromiter(chain.from_iterable(map(known.__getitem__, parts)), "<i4") for parts in listed]
+        out = [np.frombuffer(b"".join(map(known.__getitem__, parts)), "i4") for parts in listed]
         full = len(known) > KEPT_PARTS
         for p in new:
             if full or len(p) > KEPT_CHARS:
                 del known[p]
         return out
 
-    def _check(self, new: dict[str, tuple[int, ...]]) -> None:
+    def _check(self, new: dict[str, bytes]) -> None:
         """Parts begin with the space that the library itself puts before a text, so each can be given to it alone."""
         own = [p for p in new if not self.vocabulary.prefix or p[0] == SPACE]
         plain = [(p[1:] if self.vocabulary.prefix else p).replace(SPACE, " ") for p in own]
         for p, t, ids in zip(own, plain, self.library.encode(plain, num_threads=1)):
-            if t and tuple(ids) != new[p]:
+            if t and array("i", ids).tobytes() != new[p]:
                 raise RuntimeError(f"the library encodes {t[:50]!r} differently")
 
 
@@ -280,32 +324,49 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
     return docs.select(F.col(id_col), F.col(text_col).cast("string").alias("_text")).mapInArrow(run, f"`{id_col}` {id_type}, ids array<int>")
 
 
-def decoder(vocabulary: Vocabulary):
-    """A function of a document's ids: its text."""
-    plain = [b"" if k == CONTROL else vocabulary.unknown_text.encode() if k == UNKNOWN else p.replace(SPACE, " ").encode() for p, k in zip(vocabulary.pieces, vocabulary.kinds)]
-    single = {i: bytes([b]) for b, i in vocabulary.bytes.items()}
-    for i, b in single.items():
-        plain[i] = b
-    first = [p.replace(SPACE, " ", 1)[1:].replace(SPACE, " ").encode() if p.startswith(SPACE) and k in (NORMAL, USER, UNUSED) else plain[i] for i, (p, k) in enumerate(zip(vocabulary.pieces, vocabulary.kinds))]
-
-    control = {i for i, k in enumerate(vocabulary.kinds) if k == CONTROL}
-
-    def decode(ids: list[int]) -> str:
-        if ids and (min(ids) < 0 or max(ids) >= len(plain)):
+class Decoder:
+    """The table of the pieces' bytes, looked up for many documents at once."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        self.prefix = vocabulary.prefix
+        self.plain = [
+            b"" if k == CONTROL else vocabulary.unknown_text.encode() if k == UNKNOWN else bytes([int(p[3:5], 16)]) if k == BYTE else p.replace(SPACE, " ").encode()
+            for p, k in zip(vocabulary.pieces, vocabulary.kinds)
+        ]
+        self.control = np.array([k == CONTROL for k in vocabulary.kinds])
+        #: what stands first loses the space that encoding put before it
+        self.spaced = np.array([p.startswith(SPACE) and k in (NORMAL, USER, UNUSED) for p, k in zip(vocabulary.pieces, vocabulary.kinds)])
+        self.at = np.cumsum([0, *map(len, self.plain)])
+        self.data = np.frombuffer(b"".join(self.plain), "u1")
+
+    def texts(self, flat: np.ndarray, ends: np.ndarray) -> list[str]:
+        """Texts of documents whose ids stand one after the other, each up to its end."""
+        if len(flat) and (flat.min() < 0 or flat.max() >= len(self.plain)):
             raise ValueError("an id outside the vocabulary")
-        runs = [ids]
-        if not control.isdisjoint(ids):  # control pieces are nothing, but bytes before and after one don't join
-            runs = [list(run) for is_control, run in groupby(ids, control.__contains__) if not is_control]
+        size = self.at[flat + 1] - self.at[flat]
+        stop = np.cumsum(size)
+        raw = self.data[np.repeat(self.at[flat] - (stop - size), size) + np.arange(stop[-1] if len(stop) else 0)].tobytes()
+        starts = np.r_[0, ends[:-1]]
+        odd = set(np.searchsorted(ends, np.flatnonzero(self.control[flat]), side="right").tolist())
         out = []
-        for k, run in enumerate(runs):
-            if vocabulary.prefix and not k and run:  # the first piece loses the space that encoding put before it
-                raw = first[run[0]] + b"".join(map(plain.__getitem__, run[1:]))
+        for k, (lo, hi) in enumerate(zip(starts.tolist(), ends.tolist())):
+            if lo == hi:
+                out.append("")
+            elif k in odd:
+                out.append(self._with_control(flat[lo:hi]))
             else:
-                raw = b"".join(map(plain.__getitem__, run))
-            out.append(_text(raw))
-        return "".join(out)
+                first = int(stop[lo - 1]) if lo else 0
+                out.append(_text(raw[first + int(self.prefix and self.spaced[flat[lo]]) : int(stop[hi - 1])]))
+        return out
 
-    return decode
+    def _with_control(self, ids: np.ndarray) -> str:
+        """Control pieces are nothing, but bytes before and after one don't join."""
+        out = []
+        for is_control, run in groupby(ids.tolist(), lambda i: bool(self.control[i])):
+            if not is_control:
+                raw = b"".join(map(self.plain.__getitem__, run := list(run)))
+                out.append(_text(raw[1:] if self.prefix and not out and self.spaced[run[0]] else raw))
+        return "".join(out)
 
 
 def _text(raw: bytes) -> str:
@@ -329,11 +390,13 @@ def decode(encoded: DataFrame, model_path: str, keep: list[str], out: str = "dec
     kinds = dict(encoded.dtypes)
 
     def run(batches):
-        text_of = decoder(_encoder(model.value).vocabulary)
+        table = Decoder(_encoder(model.value).vocabulary)
         for b in batches:
             for at in range(0, b.num_rows, 256):
                 part = b.slice(at, 256)
-                texts = [text_of(ids or []) for ids in part.column("ids").to_pylist()]
+                ids = part.column("ids")
+                ends = np.cumsum(ids.value_lengths().fill_null(0).to_numpy())
+                texts = table.texts(ids.flatten().to_numpy(zero_copy_only=False).astype("i8"), ends)
                 yield pa.record_batch([*[part.column(k) for k in keep], pa.array(texts, pa.string())], names=[*keep, out])
 
     return encoded.select(*keep, "ids").mapInArrow(run, ", ".join([*[f"`{k}` {kinds[k]}" for k in keep], f"{out} string"]))
@@ -346,12 +409,13 @@ def mismatches(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_co
 
     def run(batches):
         encoder = _encoder(model.value)
-        text_of = decoder(encoder.vocabulary)
+        table = Decoder(encoder.vocabulary)
         for keys, texts in _slices(batches):
             theirs = encoder.library.encode(texts, num_threads=1)
-            ours = [x.tolist() for x in encoder.encode(texts)]
+            ours = encoder.encode(texts)
+            back = table.texts(np.concatenate([*ours, np.empty(0, "i8")]).astype("i8"), np.cumsum([len(x) for x in ours]))
             decoded = encoder.library.decode(theirs, num_threads=1)
-            bad = [(k, "ids" if a != b else "text") for k, a, b, t in zip(keys, ours, theirs, decoded) if a != b or text_of(a) != t]
+            bad = [(k, "ids" if a.tolist() != b else "text") for k, a, b, t, u in zip(keys, ours, theirs, back, decoded) if a.tolist() != b or t != u]
             yield pa.record_batch([pa.array([k for k, _ in bad], kind), pa.array([w for _, w in bad], pa.string())], names=[id_col, "what"])
 
     return docs.select(F.col(id_col), F.col(text_col).cast("string").alias("_text")).mapInArrow(run, f"`{id_col}` {id_type}, what string")
