@@ -39,7 +39,7 @@ SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 MERGES = 2
 #: Parts up to this length are kept by a worker, up to this number of them; others are merged each time.
-KEPT_CHARS, KEPT_PARTS = 48, 1_000_000
+KEPT_CHARS, KEPT_PARTS = 48, 400_000
 SLICE_CHARS = 2 << 20
 #: Up to this number of symbols the agenda is a list, above it a heap.
 SHORT, NEVER = 40, float("inf")
