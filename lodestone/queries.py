@@ -535,29 +535,50 @@ def parent_cycles(t):
     return G.parent_cycles(t("nation").select(n.alias("id"), F.when(n < 5, (n + 1) % 5).when(n % 3 == 0, n - 3).alias("parent")))
 
 
-# --- the cyclic graph ----------------------------------------------------------------------------
+# --- the trade graph -------------------------------------------------------------------------------
 
-_G2 = "(select distinct cast(user_id % 100 as bigint) as src, cast(json_extract_string(props, '$.k') as bigint) as dst from events where user_id % 100 <> cast(json_extract_string(props, '$.k') as bigint))"
-
-
-def _links(events):
-    k = F.get_json_object("props", "$.k").cast("long")
-    return events.select((F.col("user_id") % 100).cast("long").alias("src"), k.alias("dst")).where("src <> dst").distinct()
+#: The least row of its kind stands for rows that are alike: orders with the same line, parts of one model.
+_LIKE = {"lineitem": (2, "l_orderkey", "l_partkey, l_quantity, l_discount, l_tax"), "part": (3, "p_partkey", "p_brand, p_size, p_type")}
+#: Nations have customers and suppliers, customers orders, orders and suppliers parts; finished orders report back.
+_HAS = [("customer", "c_nationkey", 0, "c_custkey", 1), ("supplier", "s_nationkey", 0, "s_suppkey", 4), ("orders", "o_custkey", 1, "o_orderkey", 2), ("lineitem", "l_orderkey", 2, "l_partkey", 3), ("lineitem", "l_suppkey", 4, "l_partkey", 3), ("orders where o_orderstatus = 'F'", "o_orderkey", 2, "o_custkey", 1)]
+_G2 = (
+    "(" + " union ".join(f"select cast(5 * {a} + {i} as bigint) as src, cast(5 * {b} + {j} as bigint) as dst from {t}" for t, a, i, b, j in _HAS)
+    + "".join(
+        f" union select 5 * unnest([k, m]) + {kind}, 5 * unnest([m, k]) + {kind} from (select {key} as k, min({key}) over (partition by {by}) as m from {t}) where k <> m"
+        for t, (kind, key, by) in _LIKE.items()
+    ) + ")"
+)
 
 
 def _whole(t):
-    """The graph of all events."""
-    return _links(t("events"))
+    """Edges of nations, customers, orders, parts and suppliers; an id is five times the key plus the kind, 0 to 4.
+
+    Finished orders with their customers, orders alike and models of parts make many components of many sizes.
+    """
+    node = lambda c, kind: (5 * F.col(c).cast("long") + kind)
+    out = None
+    for name, a, i, b, j in _HAS:
+        df = t(name.split(" where ")[0])
+        e = (df.where(name.split(" where ")[1]) if " where " in name else df).select(node(a, i).alias("src"), node(b, j).alias("dst"))
+        out = e if out is None else out.unionByName(e)
+    for name, (kind, key, by) in _LIKE.items():
+        keys = by.split(", ")
+        rows = t(name).select(key, *keys)
+        pairs = rows.join(rows.groupBy(*keys).agg(F.min(key).alias("m")), keys).where(F.col(key) != F.col("m"))
+        ends = F.array(F.struct(node(key, kind).alias("src"), node("m", kind).alias("dst")), F.struct(node("m", kind).alias("src"), node(key, kind).alias("dst")))
+        out = out.unionByName(pairs.select(F.explode(ends).alias("e")).select("e.*"))
+    return G.checkpointed(out.distinct())
 
 
 def _busiest(e):
-    ends = e.select(F.col("src").alias("id")).union(e.select("dst"))
-    return ends.groupBy("id").count().orderBy(F.desc("count"), "id").limit(1).select("id")
+    """The node of the most edges on its poorer side: it has both ways to go."""
+    return G.degree(e).orderBy(F.least("n_in", "n_out").desc(), "id").limit(1).select("id")
 
 
-_ROOT = f"(select id from (select src as id from {_G2} union all select dst from {_G2}) group by id order by count(*) desc, id limit 1)"
-_EGO = f"""with recursive root as {_ROOT}, down as (select id, 0 as hop from root union all select e.dst, hop + 1 from down d join {_G2} e on e.src = d.id where hop < 2),
-up as (select id, 0 as hop from root union all select e.src, hop + 1 from up d join {_G2} e on e.dst = d.id where hop < 2),
+_GRAPH = f"with recursive g as materialized {_G2}"
+_EGO = _GRAPH + """, root as (select id from (select src as id, 0 as i, 1 as o from g union all select dst, 1, 0 from g) group by id order by least(sum(i), sum(o)) desc, id limit 1),
+down as (select id, 0 as hop from root union all select e.dst, hop + 1 from down d join g e on e.src = d.id where hop < 2),
+up as (select id, 0 as hop from root union all select e.src, hop + 1 from up d join g e on e.dst = d.id where hop < 2),
 d as (select id, min(hop) hop from down group by id), u as (select id, min(hop) hop from up group by id),
 ego as (select coalesce(u.id, d.id) as id, cast(case when coalesce(u.hop, 99) <= coalesce(d.hop, 99) then -u.hop else d.hop end as integer) as "column" from u full join d on u.id = d.id)"""
 
@@ -568,13 +589,13 @@ def ego_nodes(t):
     return G.ego(e, _busiest(e), 2)[0]
 
 
-@query(_EGO + f" select src, dst from {_G2} where src in (select id from ego) and dst in (select id from ego)")
+@query(_EGO + " select src, dst from g where src in (select id from ego) and dst in (select id from ego)")
 def ego_edges(t):
     e = _whole(t)
     return G.ego(e, _busiest(e), 2)[1]
 
 
-@query(f"""with recursive r as (select src as a, dst as b from {_G2} union select r.a, e.dst from r join {_G2} e on e.src = r.b)
+@query(_GRAPH + """, r as (select src as a, dst as b from g union select r.a, e.dst from r join g e on e.src = r.b)
 select x.a as id, least(x.a, min(x.b)) as component from r x join r y on x.a = y.b and x.b = y.a where x.a <> x.b group by x.a""")
 def scc(t):
     return G.strong_components(_whole(t))
@@ -583,7 +604,7 @@ def scc(t):
 @query()
 def back_edges(t):
     """The edges that close a cycle in each node's own ego graph; ``graph`` is that node."""
-    e = G.checkpointed(_whole(t))
+    e = _whole(t)
     return G.back_edges(G.egos(e, e.select(F.col("src").alias("id")).union(e.select("dst")), 2)[1])
 
 
