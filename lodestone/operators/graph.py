@@ -284,6 +284,17 @@ def back_edges(edges: DataFrame) -> DataFrame:
     return edges.groupBy("graph").applyInPandas(walk, edges.select("graph", "src", "dst").schema)
 
 
+def cycle_edges(edges: DataFrame) -> DataFrame:
+    """``back_edges`` of each strong component, walked on its own from its smallest node; ``graph`` is the component.
+
+    An edge between components closes no cycle, so nothing larger than a component meets in one task.
+    """
+    own = written(strong_components(edges))
+    a, b = own.toDF("src", "graph"), own.toDF("dst", "_other")
+    inner = edges.select("src", "dst").where("src <> dst").distinct().join(a, "src").join(b, "dst").where("graph = _other")
+    return back_edges(inner.select("graph", "src", "dst"))
+
+
 def grid(nodes: DataFrame, pitch: int = 80, across: int = 240) -> DataFrame:
     """Places of an ego graph's nodes: columns side by side, rows centred in each column."""
     w = Window.partitionBy("column")

@@ -2,18 +2,16 @@
 
 from __future__ import annotations
 
-import difflib
 import bisect
+import difflib
 import re
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StringType
 
-#: A vocabulary is data of the caller's; beyond this many surfaces it is not broadcast.
-MOST_SURFACES = 200_000
-
 
 def accepted(vocab: DataFrame) -> DataFrame:
     """Surfaces of 3 characters or more, or of 2 if all are capital letters; distinct pairs, with case sensitivity for all-capital ones."""
@@ -28,48 +26,21 @@ def collisions(vocab: DataFrame) -> DataFrame:
     return vocab.groupBy(F.lower("surface").alias("folded")).agg(F.countDistinct("target").alias("targets")).where("targets > 1")
 
 
-def terms(vocab: DataFrame) -> list[tuple[str, str, bool]]:
-    """Accepted surfaces with target and case sensitivity, longest first; gathered only up to MOST_SURFACES."""
-    rows = accepted(vocab).limit(MOST_SURFACES + 1).collect()
-    if len(rows) > MOST_SURFACES:
-        raise ValueError("the vocabulary is too large to broadcast")
-    return sorted(((r["surface"], r["target"], r["case_sensitive"]) for r in rows), key=lambda r: (-len(r[0]), r[0], r[1]))
-
-
-def finder(found: list[tuple[str, str, bool]]):
-    """A function of a text and the spans taken already: its hits ``(start, end, surface, target)``.
+#: Words, and runs of other characters that a surface without words may begin with.
+_TOKEN = re.compile(r"(\w+)|(\W{3,})")
+_WORD = re.compile(r"\w")
 
-    One automaton of all surfaces reads a text once; of hits that overlap, the one earlier in ``found`` stays.
-    """
-    import ahocorasick
-
-    places: dict[str, list[int]] = {}
-    for k, (s, _, _) in enumerate(found):
-        places.setdefault(_lowered(s), []).append(k)
-    automaton = ahocorasick.Automaton()
-    for key, value in places.items():
-        automaton.add_word(key, (len(key), value))
-    if places:
-        automaton.make_automaton()
-    word = re.compile(r"\w")
-
-    def hits(text: str, taken: list[tuple[int, int]]) -> list[tuple[int, int, str, str]]:
-        met = []
-        for last, (length, value) in automaton.iter(_lowered(text)) if places else ():
-            a, b = last + 1 - length, last + 1
-            if (a and word.match(text, a - 1)) or word.match(text, b):
-                continue
-            met += [(k, a, b) for k in value if not found[k][2] or text[a:b] == found[k][0]]
-        starts = sorted(taken)
-        out = []
-        for k, a, b in sorted(met):
-            at = bisect.bisect_left(starts, (a, b))
-            if (at == 0 or starts[at - 1][1] <= a) and (at == len(starts) or starts[at][0] >= b):
-                starts.insert(at, (a, b))
-                out.append((a, b, found[k][0], found[k][1]))
-        return out
 
-    return hits
+def tokens(low: str) -> dict[str, list[int]]:
+    """A text's words, and of other runs every three characters, with their places."""
+    out: dict[str, list[int]] = {}
+    for m in _TOKEN.finditer(low):
+        if m.group(1):
+            out.setdefault(m.group(1), []).append(m.start())
+        else:
+            for k in range(m.start(), m.end() - 2):
+                out.setdefault(low[k : k + 3], []).append(k)
+    return out
 
 
 def _lowered(text: str) -> str:
@@ -78,23 +49,95 @@ def _lowered(text: str) -> str:
     return low if len(low) == len(text) else "".join(x if len(x := c.lower()) == 1 else c for c in text)
 
 
-def match(texts: DataFrame, vocab: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Hits ``(id, start, surface, target)``: longest surface first (ties by surface), none overlaps an earlier one.
+def settle(text: str, met: list[tuple[int, str, object, bool]], taken: list[tuple[int, int]]) -> list[tuple[int, int, str, object]]:
+    """Hits ``(start, end, surface, target)`` of the candidates ``(start, surface, target, case sensitive)`` of a text.
 
-    One compiled alternation finds candidates for all surfaces at once, per batch of texts.  The
-    vocabulary is gathered only up to MOST_SURFACES.
+    A candidate counts if the surface stands there, between no word characters.  The longest come first, then
+    by surface, target and place; what overlaps one before it or a span taken already is dropped.
+    """
+    low, ordered = _lowered(text), []
+    for a, surface, target, sensitive in met:
+        b = a + len(surface)
+        if a < 0 or low[a:b] != _lowered(surface) or sensitive and text[a:b] != surface:
+            continue
+        if (a and _WORD.match(text, a - 1)) or _WORD.match(text, b):
+            continue
+        ordered.append((-len(surface), surface, target, a))
+    starts, out = sorted(taken), []
+    for size, surface, target, a in sorted(ordered):
+        b = a - size
+        at = bisect.bisect_left(starts, (a, b))
+        if (at == 0 or starts[at - 1][1] <= a) and (at == len(starts) or starts[at][0] >= b):
+            starts.insert(at, (a, b))
+            out.append((a, b, surface, target))
+    return out
+
+
+def anchors(vocab: DataFrame, counts: DataFrame) -> DataFrame:
+    """Each accepted surface with its token that the fewest texts have: ``token, offset, surface, target, case_sensitive``.
+
+    ``counts(token, n)`` are of the texts.  A surface has all its words whole in a text, or, without
+    words, its first three characters; so the rarest finds every place.  Of targets of one surface the least counts.
     """
-    found = terms(vocab)
 
-    def run(batches):
-        hits = finder(found)
+    def split(batches):
         for b in batches:
-            out = [(i, start, s, t) for i, text in zip(b[id_col], b[text_col]) if text for start, _, s, t in hits(text, [])]
-            yield pd.DataFrame(out, columns=[id_col, "start", "surface", "target"])
-
-    kind = dict(texts.dtypes)[id_col]
+            rows = []
+            for surface, target, sensitive in zip(b["surface"], b["target"], b["case_sensitive"]):
+                found = tokens(_lowered(surface))
+                words = [t for t in found if _WORD.match(t)] or [_lowered(surface)[:3]]
+                rows += [(t, found[t][0], surface, target, sensitive) for t in words]
+            yield pd.DataFrame(rows, columns=["token", "offset", "surface", "target", "case_sensitive"])
+
+    kind = dict(vocab.dtypes)["target"]
+    own = accepted(vocab).groupBy("surface").agg(F.min("target").alias("target"), F.first("case_sensitive").alias("case_sensitive"))
+    each = own.mapInPandas(split, f"token string, offset int, surface string, target {kind}, case_sensitive boolean")
+    ranked = each.join(counts, "token", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    least = ranked.groupBy("surface").agg(F.min(F.struct("n", "token", "offset", "target", "case_sensitive")).alias("r"))
+    return least.where("r.n > 0").select("r.token", "r.offset", "surface", "r.target", "r.case_sensitive")
+
+
+def hits(df: DataFrame, vocab: DataFrame, text_col: str, out: str = "hits", claimed: Callable[[str], list[tuple[int, int]]] | None = None) -> DataFrame:
+    """``df`` with ``out``, the hits of its text as ``array<struct<start,stop,surface,target>>`` in order of place.
+
+    Works on distinct texts and on vocabularies of any size: texts and surfaces meet in a join by each
+    surface's rarest token, and candidates are settled text by text.  A frequent token draws only surfaces
+    all of whose words are as frequent; adaptive execution splits its key.  Spans that ``claimed`` gives of a
+    text are taken before.  Null texts have no hits.
+    """
     target = dict(vocab.dtypes)["target"]
-    return texts.select(id_col, text_col).mapInPandas(run, f"`{id_col}` {kind}, start int, surface string, target {target}")
+    kind = f"array<struct<start:int,stop:int,surface:string,target:{target}>>"
+    key = ["_k1", "_k2"]
+    keyed = df.withColumns({"_k1": F.xxhash64(text_col), "_k2": F.xxhash64(F.lit("2"), text_col)})
+    texts = keyed.where(F.col(text_col).isNotNull()).groupBy(*key).agg(F.first(text_col).alias("_text"))
+
+    def split(batches):
+        for b in batches:
+            for at in range(0, len(b), 200):
+                part = b.iloc[at : at + 200]
+                rows = [(k1, k2, t, p) for k1, k2, text in zip(part["_k1"], part["_k2"], part["_text"]) for t, p in tokens(_lowered(text)).items()]
+                yield pd.DataFrame(rows, columns=["_k1", "_k2", "token", "places"])
+
+    def settled(batches):
+        for b in batches:
+            rows = []
+            for k1, k2, text, met in zip(b["_k1"], b["_k2"], b["_text"], b["met"]):
+                every = [(p - m["offset"], m["surface"], m["target"], m["case_sensitive"]) for m in met for p in m["places"]]
+                found = sorted(settle(text, every, claimed(text) if claimed else []))
+                rows.append((k1, k2, [dict(zip(("start", "stop", "surface", "target"), x)) for x in found]))
+            yield pd.DataFrame(rows, columns=["_k1", "_k2", out])
+
+    places = texts.mapInPandas(split, "_k1 long, _k2 long, token string, places array<int>")
+    met = places.join(anchors(vocab, places.groupBy("token").agg(F.count("*").alias("n"))), "token")
+    each = met.groupBy(*key).agg(F.collect_list(F.struct("places", "offset", "surface", "target", "case_sensitive")).alias("met"))
+    found = texts.join(each, key).mapInPandas(settled, f"_k1 long, _k2 long, `{out}` {kind}")
+    return keyed.join(found, key, "left").select(*df.columns, F.coalesce(out, F.array().cast(kind)).alias(out))
+
+
+def match(texts: DataFrame, vocab: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Hits ``(id, start, surface, target)``: longest surface first (ties by surface), none overlaps an earlier one."""
+    own = texts.select(F.col(id_col), F.col(text_col).alias("_said"))
+    return hits(own, vocab, "_said", "_hits").select(id_col, F.explode("_hits").alias("h")).select(id_col, "h.start", "h.surface", "h.target")
 
 
 def resolve(hits: DataFrame, id_col: str) -> DataFrame:

@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .functions import text as T
-from .operators import match as M
 from .operators import references as E
 from .operators import wikitext as W
 from .queries import query
@@ -102,14 +101,14 @@ _MINTED = f"select *, 'part-' || trim(regexp_replace(lower(name), '[^a-z0-9]+',
 def wiki_minted_nodes(t):
     """Of records that get one id the first in page order stays."""
     pages = _part_pages(t)
-    return W.parse_swept(pages, _part_manifest(pages), [])[0].select("id", "name", "wiki")
+    return W.parse_swept(pages, _part_manifest(pages), None)[0].select("id", "name", "wiki")
 
 
 @query(f"select id, wiki from (select *, row_number() over (partition by id order by p_partkey) n from ({_MINTED})) where n > 1")
 def wiki_minted_again(t):
     """The records left out because their id was minted already, one warning each."""
     pages = _part_pages(t)
-    return W.parse_swept(pages, _part_manifest(pages), [])[2].select("id", "wiki")
+    return W.parse_swept(pages, _part_manifest(pages), None)[2].select("id", "wiki")
 
 
 # --- fixed pages ----------------------------------------------------------------------------------
@@ -120,7 +119,7 @@ def _relics(t):
     effect = F.concat(F.lit("Boosts Relic "), _text("r"), F.lit("'s second effect (based on Fire Node "), (F.col("k") + 1).cast("string"), F.lit(") and "), F.lit("[[Ace of Cups]]"))
     line = F.concat(F.lit("|-\n| "), _text("k"), F.lit("\n| "), F.col("n_name"), F.lit("\n| x\n| "), effect, F.lit("\n| +5%\n| y\n"))
     page = _pages(n, F.lit("Relics"), line, F.lit("{| class=x\n! a\n|-\n! b\n"), F.lit("|}"))
-    return W.parse_relics(page, [])
+    return W.parse_relics(page, None)
 
 
 @query("select 'relic-' || n_nationkey as id, n_name as name, 'relics' as system, 'Boosts Relic ' || n_regionkey || '''s second effect (based on Fire Node ' || (n_nationkey + 1) || ') and Ace of Cups' as effect, '+5%' as per_level from nation")
@@ -140,7 +139,7 @@ def wiki_relic_edges(t):
 def _refine(t):
     n = t("nation").select(F.col("n_nationkey").alias("k"), "n_name", F.col("n_regionkey").alias("r"))
     line = F.concat(F.lit("{{RN|"), _text("k"), F.lit("|effect= Gives "), F.col("n_name"), F.lit("|req= "), _text("r"), F.lit(", "), (F.col("k") + 100).cast("string"), F.lit("}}\n"))
-    return W.parse_refine_tree(_pages(n, F.lit("Minerals/Refine Tree"), line, F.lit(""), F.lit("")), [], "Minerals/Refine_Tree")
+    return W.parse_refine_tree(_pages(n, F.lit("Minerals/Refine Tree"), line, F.lit(""), F.lit("")), None, "Minerals/Refine_Tree")
 
 
 @query("select 'refine-node-' || n_nationkey as id, 'Refine Node ' || n_nationkey as name, 'Gives ' || n_name as effect from nation")
@@ -190,11 +189,11 @@ def governed_inputs(t):
 @query("""select c_custkey, unnest(['n' || c_nationkey, 'segment']) as target, unnest([2, null]) as effect, unnest([true, true]) as vocabulary, unnest([false, true]) as input from customer""")
 def vocabulary_references(t):
     """Vocabulary hits with what they point at, once each, and inputs."""
-    terms = M.terms(t("nation").select(F.col("n_name").alias("surface"), F.concat(F.lit("n"), _text("n_nationkey")).alias("target")).union(t("customer").select("c_mktsegment", F.lit("segment")).distinct()))
+    words = t("nation").select(F.col("n_name").alias("surface"), F.concat(F.lit("n"), _text("n_nationkey")).alias("target")).union(t("customer").select("c_mktsegment", F.lit("segment")).distinct())
     nation = F.concat(F.lit("NATION_"), _text("c_nationkey"))
     text = F.concat(nation, F.lit("'s third effect, again "), nation, F.lit(" third effect (based on "), F.lower("c_mktsegment"), F.lit(", "), F.col("c_mktsegment"), F.lit("es)"))
     text = F.when(F.col("c_mktsegment") == F.upper("c_mktsegment"), F.replace(text, F.lower("c_mktsegment"), F.col("c_mktsegment"))).otherwise(text)
-    x = t("customer").select("c_custkey", F.explode(E.references(text, terms)).alias("r"))
+    x = E.referenced(t("customer").select("c_custkey", text.alias("text")), words).select("c_custkey", F.explode("refs").alias("r"))
     return x.select("c_custkey", "r.target", "r.effect", "r.vocabulary", "r.input")
 
 

@@ -210,23 +210,23 @@ def vocab_collisions(t):
     return M.collisions(_vocabulary(t))
 
 
-_TERMS = ("idiot", "the and", "with", "license", "version 2.0", "apache license")
-
-
-def _hits(t):
-    spark = SparkSession.getActiveSession()
-    vocab = spark.createDataFrame([(s, k) for k, s in enumerate(_TERMS)], "surface string, target int")
-    return M.match(t("documents"), vocab, "doc_id", "text")
+def _said(t):
+    """Every pair of words that stand side by side in a conversation, as a surface; the first conversation is its target."""
+    words = F.regexp_extract_all("text", F.lit("[\\p{L}\\p{N}_]+"), F.lit(0))
+    each = t("conversations").select("conv_id", words.alias("w")).where("size(w) > 1")
+    pair = F.transform(F.sequence(F.lit(1), F.size("w") - 1), lambda k: F.concat_ws(" ", F.get("w", k - 1), F.get("w", k)))
+    return each.select(F.explode(pair).alias("surface"), F.col("conv_id").alias("target")).groupBy("surface").agg(F.min("target").alias("target"))
 
 
 @query()
 def vocab_match(t):
-    return _hits(t)
+    """Documents against the word pairs of all conversations, some 331,000 surfaces at sf0.1."""
+    return M.match(t("documents"), _said(t), "doc_id", "text")
 
 
 @query()
 def resolve_refs(t):
-    return M.resolve(_hits(t), "doc_id")
+    return M.resolve(M.match(t("documents"), _said(t), "doc_id", "text"), "doc_id")
 
 
 @query("select doc_id, cast(strpos(lower(text), 'licensed under') as bigint) as marker, contains(lower(text), 'licensed under') as is_input from documents")
@@ -603,9 +603,8 @@ def scc(t):
 
 @query()
 def back_edges(t):
-    """The edges that close a cycle in each node's own ego graph; ``graph`` is that node."""
-    e = _whole(t)
-    return G.back_edges(G.egos(e, e.select(F.col("src").alias("id")).union(e.select("dst")), 2)[1])
+    """The edges that close a cycle in a walk of each strong component; ``graph`` is the component."""
+    return G.cycle_edges(_whole(t))
 
 
 @query(_EGO + """ select id, "column", cast((dense_rank() over (order by "column") - 1) * 240 as double) as x, cast((row_number() over (partition by "column" order by id) - (count(*) over (partition by "column") + 1) / 2) * 80 as double) as y from ego""")

@@ -82,18 +82,12 @@ def brute_back(edges):
     return found
 
 
-def test_graph_of_all_events(spark, tmp_path):
-    """Edges beyond event 10,000, and of ids that no stride meets, count."""
-    pairs = [(1, 2), (2, 3), (3, 1), (3, 4), (4, 5), (5, 4), (6, 7), (8, 8), (7, 9), (9, 6)]
-    ids = [0, 3, 5, 7, 11, 13, 20_000, 20_001, 20_003, 20_080]
-    data = [(i, s, f'{{"k": {d}}}') for i, (s, d) in zip(ids, pairs)]
-    spark.createDataFrame(data, "event_id long, user_id long, props string").write.parquet(f"{tmp_path}/events.parquet")
-    e = {(s, d) for s, d in pairs if s != d}
-    want = {(root, *b) for root in {x for p in e for x in p} for b in brute_back(brute_ego(e, root, 2)[1])}
-    assert {x[0] for x in want} >= {1, 4, 6}
-    assert set(rows(queries.QUERIES["back_edges"](spark, str(tmp_path)))) == want
-    # the busiest node is 3, or 4 with as many edges; ties go to the smaller
-    assert dict(rows(queries.flagship(spark, str(tmp_path)))) == brute_ego(e, 3, 2)[0]
+def test_cycle_edges_of_components(spark):
+    """Each component is walked on its own; edges between components and self edges close nothing."""
+    e = {(1, 2), (2, 3), (3, 1), (3, 4), (4, 5), (5, 4), (6, 7), (8, 8), (7, 9), (9, 6), (9, 7), (1, 3), (5, 6)}
+    own = [{1, 2, 3}, {4, 5}, {6, 7, 9}]
+    want = {(min(c), *b) for c in own for b in brute_back(sorted((s, d) for s, d in e if s in c and d in c and s != d))}
+    assert set(rows(graph.cycle_edges(spark.createDataFrame(sorted(e), "src long, dst long")))) == want and len(want) == 4
 
 
 def test_ego_graphs_of_many_roots(spark):

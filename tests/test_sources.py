@@ -79,8 +79,8 @@ def test_template_instances_balance_braces():
 
 def test_references_inputs_pointers_and_claims(spark):
     d = spark.createDataFrame([(1, "Relics 1, 2 and 3's second effect"), (2, "Boosts Gold (based on Gems) and Fire Node 3"), (3, "King of Cups' gold"), (4, None)], "k int, t string")
-    terms = [("King", "k", False), ("Gold", "g", False), ("Gems", "m", False)]
-    got = {r["k"]: [tuple(x) for x in r["refs"]] for r in d.select("k", references.references(d.t, terms).alias("refs")).collect()}
+    words = spark.createDataFrame([("King", "k"), ("Gold", "g"), ("Gems", "m")], "surface string, target string")
+    got = {r["k"]: [tuple(x) for x in r["refs"]] for r in references.referenced(d, words, "t").collect()}
     assert got[1] == [("relic-1", 1, False, False), ("relic-2", 1, False, False), ("relic-3", 1, False, False)]
     assert got[2] == [("g", None, True, False), ("m", None, True, True), ("fire-node-3", None, False, False)]
     assert got[3] == [("tarot-king-of-cups", None, False, False), ("g", None, True, False)] and got[4] == []
