@@ -1,4 +1,4 @@
-"""Sinks: record files, graph documents, coverage lines, page snapshots."""
+"""Sinks: record files, graph documents, coverage lines; ``publish`` replaces whole snapshots."""
 
 from __future__ import annotations
 
@@ -9,10 +9,6 @@ from pyspark.sql import functions as F
 
 from ..operators.merge import first_wins
 
-#: Fixed value: a snapshot with fewer pages than this share of the last one is refused.
-FLOOR = 0.8
-
-
 def filled(df: DataFrame, drop: tuple[str, ...] = ()) -> Column:
     """Each row as JSON with sorted keys, without nulls and empty lists."""
     kind = dict(df.dtypes)
@@ -72,31 +68,3 @@ def coverage_lines(groups: DataFrame) -> DataFrame:
     """A Markdown table of ``groups(system, covered, total)``: whole percents, 0 of nothing is 0."""
     percent = F.expr("if(total = 0, 0, (100 * covered) div total)")
     return groups.select("system", F.format_string("| %s | %d | %d | %d%% |", "system", "covered", "total", percent).alias("value"))
-
-
-def write_pages(pages: DataFrame, path: str, target: str) -> DataFrame:
-    """Writes ``pages(title, text)`` to ``target``, one row a page with its file name; returns names of the last snapshot, at ``path``, that it lacks.
-
-    Nothing is written where a title has a character no file name can have, or where the new snapshot
-    has less than FLOOR of the pages of the last one.
-    """
-    from pyspark.errors import AnalysisException
-
-    from ..functions.text import page_file
-
-    spark = pages.sparkSession
-    named = pages.select(page_file(F.col("title")).alias("file"), "title", "text")
-    bad = named.where(F.contains("file", F.lit("\0"))).limit(1).collect()
-    if bad:
-        raise ValueError("a title has a character that no file name can have")
-    try:
-        old = spark.read.parquet(path).select("file")
-        before = old.count()
-    except AnalysisException:
-        old, before = None, 0
-    if pages.count() < FLOOR * before:
-        raise ValueError(f"the snapshot shrinks from {before} pages to less than {FLOOR} of them")
-    gone = spark.createDataFrame([], "file string") if old is None else old.join(named.select("file"), "file", "left_anti")
-    # the snapshot goes to a folder of its own; a pointer swap is the caller's, so a failed write harms nothing
-    named.write.mode("errorifexists").parquet(target)
-    return gone

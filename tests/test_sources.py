@@ -57,15 +57,6 @@ def test_records_and_graph_round_trip(spark, tmp_path):
     assert whole["version"] == 1 and [list(n) for n in whole["nodes"]] == [["aliases", "id", "kind", "name", "system"], ["id", "kind", "name", "system"]]
 
 
-def test_snapshot_that_shrinks_is_refused(spark, tmp_path):
-    pages = spark.createDataFrame([(f"P {k}", "t") for k in range(10)], "title string, text string")
-    one, two = str(tmp_path / "one"), str(tmp_path / "two")
-    assert sinks.write_pages(pages, one, one).count() == 0
-    with pytest.raises(ValueError):
-        sinks.write_pages(pages.where("title < 'P 7'"), one, two)
-    assert [r[0] for r in sinks.write_pages(pages.where("title < 'P 8'"), one, two).orderBy("file").collect()] == ["P_8.wikitext", "P_9.wikitext"]
-
-
 def test_tables_carry_rows_down_and_skip_odd_rows():
     text = '{|\n|+ Cap\n! A !! B\n|-\n| rowspan="2" | x || 1\n|-\n| 2\n|-\n| y\n|-\n! colspan=2 | mid\n|-\n| [[p|q]] || {{k|a||b}}\n|}'
     rows = [(r[2].strip(), [c.strip() for c in r[4]]) for r in wikitext.table_rows(text)]
