@@ -46,8 +46,8 @@ def plain_wikitext(c: Column, passes: int = 5) -> Column:
 
 
 def derive_op(c: Column) -> Column:
-    """The operation that a notation's prefix stands for; null without one."""
-    out = F.lit(None).cast("string")
+    """The operation that a notation's prefix stands for, white space around it aside; null without one."""
+    c, out = normalise_space(c), F.lit(None).cast("string")
     for prefix, op in reversed(OP_PREFIXES):
         out = F.when(F.startswith(c, F.lit(prefix)), op).otherwise(out)
     return out

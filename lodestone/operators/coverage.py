@@ -50,7 +50,7 @@ def report(systems: DataFrame, nodes: DataFrame, edges: DataFrame, inventory: Da
     parts = [
         lines(summary, 0, F.col("line"), rank="k"),
         lines(shares, 1, F.col("value"), name="system"),
-        lines(tree, 2, said, path="path", name="id"),
+        lines(tree.withColumn("path", F.array("position")), 2, said, path="path", name="id"),
         lines(nodes.where(F.size("effects") > 0).join(pointing, "id", "left_anti"), 3, code("id"), name="id"),
         lines(seen.where("_linked is null"), 4, code("id"), name="id"),
         lines(loops, 5, member, rank="-count", name="component", item="id"),

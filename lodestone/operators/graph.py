@@ -199,35 +199,68 @@ def placed(parents: DataFrame) -> DataFrame:
 
 def roll_up(parents: DataFrame, counts: DataFrame) -> DataFrame:
     """Direct and total counts in a hierarchy: ``id, direct, total`` from ``counts(id, direct)``; ids whose chain reaches a cycle stand alone."""
-    return _totals(placed(parents.select("id", "parent")), counts, ["direct"]).select("id", "direct", F.col("direct_total").alias("total"))
+    tree = placed(parents.select("id", "parent")).withColumn("ord", F.lit(0))
+    return tour(tree, counts, ["direct"]).select("id", "direct", F.col("direct_total").alias("total"))
 
 
-def _totals(tree: DataFrame, counts: DataFrame, columns: list[str]) -> DataFrame:
-    """``id``, each column, and its sum over the id's subtree as ``<column>_total``."""
-    base = tree.select("id").join(counts, "id", "left").select("id", *[F.coalesce(c, F.lit(0)).alias(c) for c in columns])
-    total = ancestors(tree).join(base, "id").groupBy("ancestor").agg(*[F.sum(c).alias(f"{c}_total") for c in columns])
-    return base.join(total, F.col("id") == F.col("ancestor")).drop("ancestor")
+def numbered(df: DataFrame, order: list, number: str) -> DataFrame:
+    """``df`` with each row's place in a total order, from 0; nothing is sorted in one task.
+
+    Rows are dealt by ranges and sorted within them; how many each range has tells where it starts.
+    """
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    fixed = written(ranged.withColumns({"_range": F.spark_partition_id(), "_row": F.monotonically_increasing_id()}))
+    starts = fixed.groupBy("_range").agg(F.min("_row").alias("_first"), F.count("*").alias("_n"))  # a row for each range
+    before = F.coalesce(F.sum("_n").over(Window.partitionBy(F.lit(0)).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = starts.select("_range", "_first", before.alias("_before"))
+    return fixed.join(F.broadcast(starts), "_range").withColumn(number, F.col("_row") - F.col("_first") + F.col("_before")).drop("_range", "_row", "_first", "_before")
+
+
+def tour(tree: DataFrame, counts: DataFrame, columns: list[str]) -> DataFrame:
+    """A walk of ``tree(id, parent, ord)`` in order: ``id, position, depth``, each column, and its sum over the subtree as ``<column>_total``.
+
+    The walk's steps, one into and one out of each node, are a list whose next steps follow from first
+    children and next siblings.  Sums from each step to the list's end come by pointer doubling: each round
+    adds what the next pointer has and jumps to where that one points, so a tree of any shape takes
+    log n rounds.  No pointer meets another, so no join has a hot key.  Ids must be unique and parents known.
+    """
+    base = tree.select("id", "parent", "ord").join(counts.select("id", *columns), "id", "left").select("id", "parent", "ord", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in columns])
+    n = written(numbered(base, ["parent", "ord", "id"], "k"))
+    sibling = n.select((F.col("k") - 1).alias("k"), F.col("parent").alias("_of"), F.lit(True).alias("_more"))
+    child = n.where("parent is not null").groupBy(F.col("parent").alias("id")).agg(F.min("k").alias("_child"))
+    up = n.select(F.col("id").alias("parent"), F.col("k").alias("_up"))
+    linked = n.join(sibling, "k", "left").join(child, "id", "left").join(up, "parent", "left")
+    into, out_of = F.col("k") * 2, F.col("k") * 2 + 1
+    after = F.when(F.col("_more") & F.col("_of").eqNullSafe(F.col("parent")), (F.col("k") + 1) * 2).otherwise(F.col("_up") * 2 + 1)
+    sums = ["_in", "_level", *columns]
+    step = lambda at, to, inside, level, own: F.struct(at.alias("at"), to.alias("to"), F.lit(inside).cast("long").alias("_in"), F.lit(level).cast("long").alias("_level"), *[(F.col(c) if own else F.lit(0).cast("long")).alias(c) for c in columns])
+    steps = written(linked.select(F.explode(F.array(step(into, F.coalesce(F.col("_child") * 2, out_of), 1, 1, True), step(out_of, after, 0, -1, False))).alias("s")).select("s.*"), count=F.col("to").isNotNull())
+    while steps.counted:
+        ahead = steps.select(F.col("at").alias("to"), F.col("to").alias("_to"), *[F.col(c).alias(f"_{c}") for c in sums])
+        then = written(steps.join(ahead, "to", "left").select("at", F.col("_to").alias("to"), *[(F.col(c) + F.coalesce(f"_{c}", F.lit(0))).alias(c) for c in sums]), count=F.col("to").isNotNull())
+        release(steps)
+        steps = then
+    ends = steps.where("at % 2 = 1").select(F.expr("at div 2").alias("k"), *[F.col(c).alias(f"_{c}_after") for c in columns])
+    starts = steps.where("at % 2 = 0").select(F.expr("at div 2").alias("k"), "_in", "_level", *[F.col(c).alias(f"_{c}_from") for c in columns])
+    size = steps.agg(F.max("_in").alias("_size"))  # one row
+    out = n.join(starts, "k").join(ends, "k").crossJoin(F.broadcast(size))
+    return out.select("id", (F.col("_size") - F.col("_in")).alias("position"), (-F.col("_level")).cast("int").alias("depth"), *columns, *[(F.col(f"_{c}_from") - F.col(f"_{c}_after")).alias(f"{c}_total") for c in columns])
 
 
 def outline(parents: DataFrame, counts: DataFrame) -> DataFrame:
-    """The roll-up in the order of a walk: ``id, depth, direct, total, connected, path``.
+    """The roll-up in the order of a walk: ``id, position, depth, direct, total, connected``.
 
     From ``parents(id, parent, ord)`` and ``counts(id, direct, connected)``, where ``ord`` is the order of
-    declaration; ``connected`` is summed over the subtree as ``total`` is.  Rows sorted by ``path`` stand
-    in pre-order: parents first, children as declared, and after all trees the ids whose chain reaches
+    declaration; ``connected`` is summed over the subtree as ``total`` is.  Positions are those of a
+    pre-order walk: parents first, children as declared, and after all trees the ids whose chain reaches
     a cycle, flat at depth 0 with their own counts.  Undeclared parents make roots, and counts of
     undeclared ids are left out.
     """
-    tree = checkpointed(placed(parents))
     known = parents.select(F.col("id").alias("parent")).distinct()
     lost = parent_cycles(parents.join(known, "parent", "left_semi").select("id", "parent")).withColumn("_lost", F.lit(1))
-    sums = _totals(tree.select("id", "parent"), counts, ["direct", "connected"])
-    own = tree.select(F.col("id").alias("ancestor"), F.col("ord").cast("long").alias("ord"))
-    chain = ancestors(tree.select("id", "parent")).join(own, "ancestor").groupBy("id").agg(F.max("hop").alias("depth"), F.array_sort(F.collect_list(F.struct((-F.col("hop")).alias("up"), "ord"))).alias("chain"))
-    path = F.concat(F.array(F.coalesce("_lost", F.lit(0)).cast("long")), F.transform("chain", lambda x: x["ord"]))
-    # ids out of a cycle already carry their own count as the total: nothing is placed below them
-    rows = chain.join(lost, "id", "left").join(sums, "id")
-    return rows.select("id", "depth", "direct", F.col("direct_total").alias("total"), F.col("connected_total").alias("connected"), path.alias("path"))
+    tree = placed(parents).join(lost, "id", "left").withColumn("ord", F.struct(F.coalesce("_lost", F.lit(0)).alias("lost"), F.col("ord").cast("long").alias("ord")))
+    # ids out of a cycle have nothing below them, so their own counts are their totals
+    return tour(tree, counts, ["direct", "connected"]).select("id", "position", "depth", "direct", F.col("direct_total").alias("total"), F.col("connected_total").alias("connected"))
 
 
 def pruned(parents: DataFrame, counts: DataFrame) -> DataFrame:

@@ -5,13 +5,17 @@ from __future__ import annotations
 import bisect
 import difflib
 import re
+import zlib
 from collections.abc import Callable
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StringType
 
+from ..sources.shared import written
+
 
 def accepted(vocab: DataFrame) -> DataFrame:
     """Surfaces of 3 characters or more, or of 2 if all are capital letters; distinct pairs, with case sensitivity for all-capital ones."""
@@ -73,11 +77,11 @@ def settle(text: str, met: list[tuple[int, str, object, bool]], taken: list[tupl
     return out
 
 
-def anchors(vocab: DataFrame, counts: DataFrame) -> DataFrame:
-    """Each accepted surface with its token that the fewest texts have: ``token, offset, surface, target, case_sensitive``.
+def surface_tokens(vocab: DataFrame) -> DataFrame:
+    """Accepted surfaces by each of their tokens: ``token, offset, surface, target, case_sensitive``.
 
-    ``counts(token, n)`` are of the texts.  A surface has all its words whole in a text, or, without
-    words, its first three characters; so the rarest finds every place.  Of targets of one surface the least counts.
+    A surface has all its words whole in a text, or, without words, its first three characters.  Of
+    targets of one surface the least counts.
     """
 
     def split(batches):
@@ -91,32 +95,60 @@ def anchors(vocab: DataFrame, counts: DataFrame) -> DataFrame:
 
     kind = dict(vocab.dtypes)["target"]
     own = accepted(vocab).groupBy("surface").agg(F.min("target").alias("target"), F.first("case_sensitive").alias("case_sensitive"))
-    each = own.mapInPandas(split, f"token string, offset int, surface string, target {kind}, case_sensitive boolean")
-    ranked = each.join(counts, "token", "left").withColumn("n", F.coalesce("n", F.lit(0)))
-    least = ranked.groupBy("surface").agg(F.min(F.struct("n", "token", "offset", "target", "case_sensitive")).alias("r"))
-    return least.where("r.n > 0").select("r.token", "r.offset", "surface", "r.target", "r.case_sensitive")
+    return own.mapInPandas(split, f"token string, offset int, surface string, target {kind}, case_sensitive boolean")
+
+
+def sieve(rows: DataFrame) -> np.ndarray:
+    """A bit for the hash of each ``token``: what it lets through is a superset of the tokens, so it only spares traffic.
+
+    Its size follows the number of tokens, to 8 MB at most; beyond, it lets more through.
+    """
+    bits = 1 << max(10, min(26, (16 * rows.agg(F.approx_count_distinct("token")).first()[0]).bit_length()))
+    at = (F.crc32(F.col("token").cast("binary")) % bits).alias("at")
+    words = rows.select(at).groupBy(F.expr("at div 64").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at % 64 as int))")).alias("v")).collect()
+    out = np.zeros(bits // 64, "i8")
+    for r in words:
+        out[r["word"]] = r["v"]
+    return np.unpackbits(out.view("u1"), bitorder="little").view(bool)
 
 
 def hits(df: DataFrame, vocab: DataFrame, text_col: str, out: str = "hits", claimed: Callable[[str], list[tuple[int, int]]] | None = None) -> DataFrame:
     """``df`` with ``out``, the hits of its text as ``array<struct<start,stop,surface,target>>`` in order of place.
 
-    Works on distinct texts and on vocabularies of any size: texts and surfaces meet in a join by each
-    surface's rarest token, and candidates are settled text by text.  A frequent token draws only surfaces
-    all of whose words are as frequent; adaptive execution splits its key.  Spans that ``claimed`` gives of a
-    text are taken before.  Null texts have no hits.
+    Works on distinct texts and on vocabularies of any size: texts and surfaces meet in a join by the token of
+    each surface that the fewest rows have, and candidates are settled text by text.  Two sieves keep other
+    tokens from travelling: of the vocabulary while tokens are counted, of the chosen ones for the join.
+    A frequent token draws only surfaces all of whose words are as frequent; adaptive execution splits its
+    key.  Spans that ``claimed`` gives of a text are taken before.  Null texts have no hits.
     """
+    spark = df.sparkSession
     target = dict(vocab.dtypes)["target"]
     kind = f"array<struct<start:int,stop:int,surface:string,target:{target}>>"
     key = ["_k1", "_k2"]
-    keyed = df.withColumns({"_k1": F.xxhash64(text_col), "_k2": F.xxhash64(F.lit("2"), text_col)})
-    texts = keyed.where(F.col(text_col).isNotNull()).groupBy(*key).agg(F.first(text_col).alias("_text"))
 
-    def split(batches):
+    def passing(sieve):
+        shared = spark.sparkContext.broadcast(np.packbits(sieve))
+        return lambda: np.unpackbits(shared.value).view(bool)
+
+    def rows_of(bits, batches, places):
+        known = bits()
         for b in batches:
             for at in range(0, len(b), 200):
                 part = b.iloc[at : at + 200]
-                rows = [(k1, k2, t, p) for k1, k2, text in zip(part["_k1"], part["_k2"], part["_text"]) for t, p in tokens(_lowered(text)).items()]
-                yield pd.DataFrame(rows, columns=["_k1", "_k2", "token", "places"])
+                rows = []
+                for r in zip(*(part[c] for c in part.columns)):
+                    found = tokens(_lowered(r[-1]))
+                    kept = [t for t in found if known[zlib.crc32(t.encode()) % len(known)]]
+                    rows += [(*r[:-1], t, found[t]) for t in kept] if places else [(t,) for t in kept]
+                yield pd.DataFrame(rows, columns=[*key, "token", "places"] if places else ["token"])
+
+    surfaces = surface_tokens(vocab)
+    in_vocabulary = passing(sieve(surfaces))
+    seen = df.where(F.col(text_col).isNotNull()).select(F.col(text_col).alias("_text"))
+    counts = seen.mapInPandas(lambda batches: rows_of(in_vocabulary, batches, False), "token string").groupBy("token").agg(F.count("*").alias("n"))
+    ranked = surfaces.join(counts, "token", "left").groupBy("surface").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "token", "offset", "target", "case_sensitive")).alias("r"))
+    anchors = written(ranked.where("r.n > 0").select("r.token", "r.offset", "surface", "r.target", "r.case_sensitive"))
+    chosen = passing(sieve(anchors))
 
     def settled(batches):
         for b in batches:
@@ -127,10 +159,11 @@ def hits(df: DataFrame, vocab: DataFrame, text_col: str, out: str = "hits", clai
                 rows.append((k1, k2, [dict(zip(("start", "stop", "surface", "target"), x)) for x in found]))
             yield pd.DataFrame(rows, columns=["_k1", "_k2", out])
 
-    places = texts.mapInPandas(split, "_k1 long, _k2 long, token string, places array<int>")
-    met = places.join(anchors(vocab, places.groupBy("token").agg(F.count("*").alias("n"))), "token")
-    each = met.groupBy(*key).agg(F.collect_list(F.struct("places", "offset", "surface", "target", "case_sensitive")).alias("met"))
-    found = texts.join(each, key).mapInPandas(settled, f"_k1 long, _k2 long, `{out}` {kind}")
+    keyed = df.withColumns({"_k1": F.xxhash64(text_col), "_k2": F.xxhash64(F.lit("2"), text_col)})
+    texts = keyed.where(F.col(text_col).isNotNull()).groupBy(*key).agg(F.first(text_col).alias("_text"))
+    places = texts.mapInPandas(lambda batches: rows_of(chosen, batches, True), "_k1 long, _k2 long, token string, places array<int>")
+    met = places.join(anchors, "token").groupBy(*key).agg(F.collect_list(F.struct("places", "offset", "surface", "target", "case_sensitive")).alias("met"))
+    found = texts.join(met, key).mapInPandas(settled, f"_k1 long, _k2 long, `{out}` {kind}")
     return keyed.join(found, key, "left").select(*df.columns, F.coalesce(out, F.array().cast(kind)).alias(out))
 
 

@@ -21,11 +21,15 @@ def overlay(base: DataFrame, over: DataFrame, key: str, fields: Iterable[str]) -
 
 
 def upsert(base: DataFrame, over: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of ``over`` replace those of ``base`` with their keys whole; the base's position stays."""
+    """Rows of ``over`` replace those of ``base`` with their keys whole; the position of the key's first row stays.
+
+    One aggregate: the last row and the first position of a key are combined before the shuffle.
+    """
     both = base.withColumn("_rank", F.lit(0)).unionByName(over.withColumn("_rank", F.lit(1)))
-    w = Window.partitionBy(*keys)
-    placed = both.withColumns({"_first": F.min(F.struct("_rank", "_ord")).over(w), "_n": F.row_number().over(w.orderBy(F.desc("_rank"), F.desc("_ord")))})
-    return placed.where("_n = 1").withColumns({"_new": F.col("_first._rank"), "_ord": F.col("_first._ord")}).drop("_rank", "_first", "_n")
+    values = [c for c in base.columns if c not in keys and c != "_ord"]
+    place = F.struct("_rank", "_ord")
+    got = both.groupBy(*keys).agg(F.max_by(F.struct(*values, F.lit(0).alias("_")), place).alias("_last"), F.min(place).alias("_first"))
+    return got.select(*keys, *[F.col(f"_last.`{c}`").alias(c) for c in values], F.col("_first._rank").alias("_new"), F.col("_first._ord").alias("_ord"))
 
 
 def first_wins(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -34,9 +38,14 @@ def first_wins(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 
 
 def last_wins(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """The last row of each key, and the number of rows that it replaced."""
-    w = Window.partitionBy(*keys)
-    return df.withColumns({"_n": F.row_number().over(w.orderBy(*[F.desc(c) for c in order])), "discarded": F.count("*").over(w) - 1}).where("_n = 1").drop("_n")
+    """The last row of each key, the number ``discarded`` of rows that it replaced, and ``first``, the order of the key's first row, whose position it takes.
+
+    One aggregate, combined before the shuffle, so a key of very many rows costs no more than another.
+    """
+    values = [c for c in df.columns if c not in keys]
+    place = F.struct(*order)
+    got = df.groupBy(*keys).agg(F.max_by(F.struct(*values), place).alias("_last"), F.min(place).alias("first"), (F.count("*") - 1).alias("discarded"))
+    return got.select(*keys, *[F.col(f"_last.`{c}`").alias(c) for c in values], "discarded", "first")
 
 
 def suppress(df: DataFrame, rules: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:

@@ -73,13 +73,13 @@ def strip_markup(t):
     return t("pages").select("page_id", T.strip_tags(F.col("html")).alias("text"))
 
 
-_NOTATION = "case l_linenumber % 4 when 0 then '+' when 1 then 'x' when 2 then '^' else '' end || cast(l_quantity as bigint)"
+_NOTATION = "case l_linenumber % 5 when 0 then '+' when 1 then 'x' when 2 then '^' when 3 then '  +' else '' end || cast(l_quantity as bigint)"
 
 
-@query(f"""select n as notation, case when n like '^%' then 'exp' when n like 'x%' then 'mult' when n like '+%' then 'add' end as op, count(*) as times
+@query(f"""select n as notation, case when trim(n) like '^%' then 'exp' when trim(n) like 'x%' then 'mult' when trim(n) like '+%' then 'add' end as op, count(*) as times
 from (select {_NOTATION} as n from lineitem) group by 1, 2""")
 def derive_op(t):
-    n = F.concat(F.when(F.col("l_linenumber") % 4 == 0, "+").when(F.col("l_linenumber") % 4 == 1, "x").when(F.col("l_linenumber") % 4 == 2, "^").otherwise(""), F.col("l_quantity").cast("long").cast("string"))
+    n = F.concat(F.when(F.col("l_linenumber") % 5 == 0, "+").when(F.col("l_linenumber") % 5 == 1, "x").when(F.col("l_linenumber") % 5 == 2, "^").when(F.col("l_linenumber") % 5 == 3, "  +").otherwise(""), F.col("l_quantity").cast("long").cast("string"))
     return t("lineitem").select(n.alias("notation")).select("notation", T.derive_op(F.col("notation")).alias("op")).groupBy("notation", "op").agg(F.count("*").alias("times"))
 
 
@@ -171,9 +171,9 @@ def minted_first_wins(t):
 _LINE = "l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate"
 
 
-@query(f"""select l_orderkey, l_linenumber, l_partkey, discarded from (select *, row_number() over (partition by l_orderkey, l_linenumber order by {', '.join(c + ' desc' for c in _LINE.split(', '))}) n, count(*) over (partition by l_orderkey, l_linenumber) - 1 discarded from lineitem) where n = 1""")
+@query(f"""select l_orderkey, l_linenumber, l_partkey, discarded, first_partkey from (select *, min(l_partkey) over (partition by l_orderkey, l_linenumber) as first_partkey, row_number() over (partition by l_orderkey, l_linenumber order by {', '.join(c + ' desc' for c in _LINE.split(', '))}) n, count(*) over (partition by l_orderkey, l_linenumber) - 1 discarded from lineitem) where n = 1""")
 def last_wins(t):
-    return R.last_wins(t("lineitem"), ["l_orderkey", "l_linenumber"], _LINE.split(", ")).select("l_orderkey", "l_linenumber", "l_partkey", "discarded")
+    return R.last_wins(t("lineitem"), ["l_orderkey", "l_linenumber"], _LINE.split(", ")).select("l_orderkey", "l_linenumber", "l_partkey", "discarded", F.col("first.l_partkey").alias("first_partkey"))
 
 
 @query("select 0 as _src_ord, o_orderkey as id, o_orderstatus as kind from orders union all select 1, event_id, event_type from events")
@@ -298,10 +298,11 @@ def unmatched_rules(t):
 # --- the entity graph ----------------------------------------------------------------------------
 
 
-def _entity_edges(t):
+def _entity_edges(t, distinct=True):
     e = lambda df, s, d: df.select(s.alias("src"), d.alias("dst"))
     key = lambda p, c: F.concat(F.lit(p), F.col(c).cast("string"))
-    return e(t("customer"), key("n", "c_nationkey"), key("c", "c_custkey")).unionByName(e(t("orders"), key("c", "o_custkey"), key("o", "o_orderkey"))).unionByName(e(t("lineitem"), key("o", "l_orderkey"), key("p", "l_partkey"))).unionByName(e(t("lineitem"), key("s", "l_suppkey"), key("p", "l_partkey"))).distinct()
+    out = e(t("customer"), key("n", "c_nationkey"), key("c", "c_custkey")).unionByName(e(t("orders"), key("c", "o_custkey"), key("o", "o_orderkey"))).unionByName(e(t("lineitem"), key("o", "l_orderkey"), key("p", "l_partkey"))).unionByName(e(t("lineitem"), key("s", "l_suppkey"), key("p", "l_partkey")))
+    return out.distinct() if distinct else out
 
 
 def _edges_of_entities(t):
@@ -387,7 +388,7 @@ def not_covered(t):
 
 @query(f"select id from {_NODES} where (id like 'c%' or id like 's%') and id not in (select src from {_EDGES} where dst not like 'o%')")
 def unresolved(t):
-    src = _entity_edges(t).where(~F.col("dst").startswith("o")).select(F.col("src").alias("id"))
+    src = _entity_edges(t, False).where(~F.col("dst").startswith("o")).select(F.col("src").alias("id"))
     return _entity_nodes(t).where("id like 'c%' or id like 's%'").join(src, "id", "left_anti").select("id")
 
 
@@ -423,7 +424,7 @@ def degree(t):
 
 @query(f"select id from {_NODES} where id not in (select src from {_EDGES} where src not like 'n%' union select dst from {_EDGES} where src not like 'n%')")
 def orphans(t):
-    return G.orphans(_entity_nodes(t).select("id"), _entity_edges(t).where("src not like 'n%'"))
+    return G.orphans(_entity_nodes(t).select("id"), _entity_edges(t, False).where("src not like 'n%'"))
 
 
 @query(f"select src as id, count(*) as n, min(dst) as first, max(dst) as last from {_EDGES} group by src")
@@ -517,9 +518,17 @@ def tree_pruned(t):
     return G.pruned(_good_tree(t), counts).select("id", "total")
 
 
-@query()
+@query(f"""with recursive h as materialized (select id, parent, 2 * cast(substr(id, 2) as bigint) + case when id like 'n%' then 1 else 0 end as ord from {_TREE}),
+up as (select id, parent as top, 1 as hop from h where parent in (select id from h) union all select u.id, g.parent, hop + 1 from up u join h g on g.id = u.top where g.parent in (select id from h) and hop < 60),
+tree as materialized (select id, ord, case when parent in (select id from h) and id not in (select id from up where hop = 60) then parent end as parent, case when id in (select id from up where hop = 60) then 1 else 0 end as lost from h),
+walk as (select id, id as top, 0 as depth, [lost, ord] as path from tree where parent is null union all select t.id, w.top, depth + 1, list_concat(w.path, [t.lost, t.ord]) from walk w join tree t on t.parent = w.id),
+own as (select 'n' || c_nationkey as id, count(*) as d, count(*) filter (where c_custkey in (select o_custkey from orders)) as c from customer group by 1),
+chain as (select id, id as anc from tree union all select c.id, t.parent from chain c join tree t on t.id = c.anc where t.parent is not null)
+select w.id, row_number() over (order by w.path) - 1 as position, w.depth, cast(coalesce(o.d, 0) as bigint) as direct, cast((select coalesce(sum(d), 0) from chain join own on own.id = chain.id where anc = w.id) as bigint) as total,
+    cast((select coalesce(sum(c), 0) from chain join own on own.id = chain.id where anc = w.id) as bigint) as connected
+from walk w left join own o on o.id = w.id""")
 def hierarchy_outline(t):
-    """The roll-up of customers over nations and regions with cyclic and undeclared parents, in pre-order by ``path``; connected are those with orders."""
+    """The roll-up of customers over nations and regions with cyclic and undeclared parents, in pre-order by ``position``; connected are those with orders."""
     has = t("orders").select(F.col("o_custkey").alias("c_custkey")).distinct().withColumn("o", F.lit(1))
     counts = t("customer").join(has, "c_custkey", "left").groupBy(F.concat(F.lit("n"), F.col("c_nationkey").cast("string")).alias("id")).agg(F.count("*").alias("direct"), F.count("o").alias("connected"))
     declared = 2 * F.substring("id", 2, 20).cast("long") + F.col("id").startswith("n").cast("long")

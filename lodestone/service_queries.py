@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import SparkSession
+from pyspark.sql import SparkSession, Window
 from pyspark.sql import functions as F
 
 from .functions import text as T
@@ -27,11 +27,15 @@ def _responses(t):
     page = F.struct(F.regexp_replace(F.substring_index("url", "?", 1), "/[^/]*$", "").alias("title"), F.when(~F.contains("url", F.lit("ref=")), slots).alias("revisions"))
     listed = F.array_sort(F.collect_list(F.struct("page_id", page.alias("page"))))
     answer = p.groupBy("start", "request").agg(F.map_from_entries(F.transform(listed, lambda x: F.struct(x["page_id"].cast("string").alias("k"), x["page"].alias("v")))).alias("pages"))
-    last = answer.groupBy("start").agg(F.max("request").alias("last"))
-    token = lambda c: F.when(c > 0, F.concat(F.lit("from-"), c.cast("string"))).otherwise("")
-    more = F.when(F.col("request") < F.col("last"), F.struct(token(F.col("request") + 1).alias("gapcontinue"), F.lit("gapcontinue||").alias("continue")))
-    payload = F.to_json(F.struct(F.struct("pages").alias("query"), more.alias("continue")))
-    return answer.join(last, "start").select("start", "request", token(F.col("request")).alias("token"), payload.alias("payload"))
+    w = Window.partitionBy("start").orderBy("request")  # some forty requests
+    token = lambda c: F.concat(F.lit("from-"), c.cast("string"))
+    asked = F.when(F.row_number().over(w) > 1, token(F.col("request"))).otherwise("")
+    after = F.lead("request").over(w)
+    answer = answer.withColumns({"token": asked, "more": F.when(after.isNotNull(), F.struct(token(after).alias("gapcontinue"), F.lit("gapcontinue||").alias("continue")))})
+    said = answer.select("start", "request", "token", F.to_json(F.struct(F.struct("pages").alias("query"), F.col("more").alias("continue"))).alias("payload"))
+    # a start between others that has no pages has an answer too
+    every = t("pages").agg(F.max("page_id").alias("top")).where("top is not null").select(F.explode(F.sequence(F.lit(0), F.floor(F.col("top") / _CHAIN).cast("int"))).alias("start"))
+    return said.unionByName(every.join(said, "start", "left_anti").select("start", F.lit(0).alias("request"), F.lit("").alias("token"), F.lit("{}").alias("payload")))
 
 
 @query("select regexp_replace(split_part(url, '?', 1), '/[^/]*$', '') as title, arg_max(coalesce(html, ''), page_id) as text from pages where not contains(url, 'ref=') group by 1")

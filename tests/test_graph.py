@@ -51,3 +51,45 @@ def test_names_travel_a_long_ring_by_doubling(spark, monkeypatch):
     monkeypatch.setattr(G, "written", lambda *a, **b: writes.append(1) or real(*a, **b))
     assert found(spark, [*zip(ring, ring[1:] + ring[:1]), (ring[0], -1), (-1, -2)]) == dict.fromkeys(ring, min(ring))
     assert len(writes) < 100
+
+
+def walked(tree, direct):
+    """Pre-order with depths and sums, by recursion without a stack limit."""
+    below = {}
+    for i, parent, o in sorted(tree, key=lambda x: (x[2], x[0])):
+        below.setdefault(parent, []).append(i)
+    out, todo = [], [(i, 0) for i in reversed(below.get(None, []))]
+    while todo:
+        i, depth = todo.pop()
+        out.append([i, depth, direct.get(i, 0), direct.get(i, 0)])
+        todo += [(c, depth + 1) for c in reversed(below.get(i, []))]
+    up, row = {i: p for i, p, _ in tree}, {r[0]: r for r in out}
+    for i, *_ in reversed(out):
+        if up[i] is not None:
+            row[up[i]][3] += row[i][3]
+    return [(i, k, *rest) for k, (i, *rest) in enumerate(out)]
+
+
+def toured(spark, tree, direct):
+    got = G.tour(spark.createDataFrame(tree, "id string, parent string, ord long"), spark.createDataFrame(list(direct.items()) or [("none", 1)], "id string, direct long"), ["direct"])
+    return sorted(got.select("id", "position", "depth", "direct", "direct_total").collect(), key=lambda r: r[1])
+
+
+def test_a_tour_is_the_walk_of_a_random_forest(spark):
+    rng = random.Random(3)
+    names = [f"n{k}" for k in range(300)]
+    rng.shuffle(names)
+    tree = [(n, rng.choice(names[max(0, k - 40) : k]) if k and rng.random() < 0.95 else None, rng.randrange(9)) for k, n in enumerate(names)]
+    direct = {n: rng.randrange(5) for n in names[::2]} | {"stranger": 9}
+    assert [tuple(r) for r in toured(spark, tree, direct)] == walked(tree, direct)
+
+
+def test_a_tour_of_a_deep_chain_a_flat_tree_and_nothing(spark):
+    """Ten thousand levels need no more rounds than ten thousand children."""
+    chain = [(f"c{k}", f"c{k - 1}" if k else None, 0) for k in range(10_000)]
+    got = toured(spark, chain, {"c9999": 1, "c5": 2})
+    assert [(r["id"], r["depth"]) for r in got] == [(f"c{k}", k) for k in range(10_000)] and [r["direct_total"] for r in got[:7]] == [3] * 6 + [1]
+    flat = [("root", None, 0)] + [(f"c{k}", "root", -k) for k in range(3000)]
+    got = toured(spark, flat, {})
+    assert [r["id"] for r in got[:3]] == ["root", "c2999", "c2998"] and {r["depth"] for r in got[1:]} == {1}
+    assert toured(spark, [], {}) == []
