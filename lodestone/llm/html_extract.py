@@ -399,11 +399,47 @@ def train(pages: int = 800, seed: int = 10) -> Trees:
     return _trained[pages, seed]
 
 
-def decode(nodes: list[Node], margin: np.ndarray, keep: float = 0.2) -> np.ndarray:
+#: Elements that HTML itself sets beside the text.
+BESIDE = frozenset("nav footer aside form button dialog menu".split())
+#: Blocks of prose that say nothing of themselves where they have no attributes.
+PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre dl dd dt figure figcaption".split())
+
+
+def prose(nodes: list[Node]) -> tuple[np.ndarray, np.ndarray]:
+    """Characters of each element's whole text, and of those inside links or beside the text."""
+    whole, other = np.zeros(len(nodes)), np.zeros(len(nodes))
+    for n in reversed(nodes):
+        k = n.order
+        whole[k] += sum(len(c.strip()) for c in n.children if not isinstance(c, Node)) * (n.tag not in RAW)
+        if n.tag == "a" or n.tag in BESIDE:
+            other[k] = whole[k]
+        if n.parent is not None:
+            whole[n.parent.order] += whole[k]
+            other[n.parent.order] += other[k]
+    return whole, other
+
+
+def last_resort(nodes: list[Node], margin: np.ndarray) -> int | None:
+    """Where all was rejected: the best-scored block that is not beside the text, nor in such a one, and holds more prose than links."""
+    whole, other = prose(nodes)
+    beside = np.zeros(len(nodes), bool)
+    best = None
+    for n in nodes[1:]:
+        k = n.order
+        beside[k] = beside[n.parent.order] or n.tag in BESIDE or n.tag in RAW or margin[k] < -3 and bool(n.attributes)
+        if beside[k] or n.tag not in BLOCK or whole[k] <= 2 * other[k] or whole[k] < 25:
+            continue
+        if best is None or margin[k] > margin[best]:
+            best = k
+    return best
+
+
+def decode(nodes: list[Node], margin: np.ndarray, keep: float = 0.2, sure: int | None = None) -> np.ndarray:
     """Whether each element is content, parents decided first.
 
     An element's evidence is its own margin and ``keep`` of its parent's evidence, within bounds;
-    formatting without attributes shares its block's choice.  Below a rejected
+    formatting without attributes shares its block's choice, and prose without attributes that of a box
+    that was accepted.  ``sure`` and what holds it are accepted whatever their margins.  Below a rejected
     element all are rejected unless that one is a plain wrapper holding something clearly better; an
     accepted element stays open to boilerplate of its own.
     """
@@ -414,6 +450,11 @@ def decode(nodes: list[Node], margin: np.ndarray, keep: float = 0.2) -> np.ndarr
             best[n.parent.order] = max(best[n.parent.order], best[n.order])
     chosen = np.zeros(len(nodes), bool)
     closed = np.zeros(len(nodes), bool)
+    above = set()
+    while sure is not None:
+        above.add(sure)
+        sure = nodes[sure].parent.order if nodes[sure].parent is not None else None
+    whole, other = prose(nodes)
     for k, n in enumerate(nodes):
         if n.parent is None:
             chosen[k], evidence[k] = True, 0
@@ -426,6 +467,12 @@ def decode(nodes: list[Node], margin: np.ndarray, keep: float = 0.2) -> np.ndarr
         if n.tag not in BLOCK and not n.attributes:  # formatting belongs to its block
             evidence[k], chosen[k] = evidence[p], chosen[p]
             continue
+        if n.tag in PROSE and not n.attributes and n.parent.parent is not None and chosen[p] and 2 * other[k] < whole[k]:
+            evidence[k] = max(evidence[k], evidence[p])  # a paragraph is as good as its box
+        if n.tag in ("nav", "footer"):
+            evidence[k] = min(evidence[k], -1)
+        if k in above:
+            evidence[k] = max(evidence[k], 0.5)
         chosen[k] = evidence[k] > 0
         closed[k] = not chosen[k] and not (n.tag in ("div", "section", "main", "table", "tr", "td", "tbody", "center", "form") and best[k] > 1.5 and margin[k] > -2.5)
     return chosen
@@ -467,8 +514,15 @@ def main_text(page: str | None, trees: Trees) -> str:
     nodes = elements(root)
     if all(n.tag not in BLOCK and not n.attributes for n in nodes[1:]):
         return "\n".join(blocks(root, np.ones(len(nodes), bool)))
-    x = features(nodes)
-    return "\n".join(blocks(root, decode(nodes, trees.margin(x))))
+    margin = trees.margin(features(nodes))
+    text = "\n".join(blocks(root, decode(nodes, margin)))
+    if not text and (best := last_resort(nodes, margin)) is not None:
+        chosen = decode(nodes, margin, sure=best)
+        inside = np.zeros(len(nodes), bool)
+        for n in nodes:
+            inside[n.order] = n.order == best or n.parent is not None and inside[n.parent.order]
+        text = "\n".join(blocks(root, chosen & inside))
+    return text
 
 
 def extract(pages: DataFrame, trees: Trees | None = None, html_col: str = "html") -> DataFrame:

@@ -191,3 +191,28 @@ def test_queries_give_the_contracts_rows(spark):
     found, _ = clustered(vectors, 40, 5)
     rows = registry.QUERIES["op12_centroids"](spark, sf).collect()
     assert sorted((r["vec_id"], r["cluster"], r["distance"]) for r in rows) == sorted(found)
+
+
+# --- articles of ordinary layouts (10) --------------------------------------------------------------
+
+
+def test_short_articles_in_ordinary_layouts_are_kept():
+    from lodestone.llm import html_extract
+
+    trees = html_extract.train()
+    p = "This is a plain sentence of about eighty characters that says something, really."
+    cookie = '<div class="cookie">We use cookies. <a href=x>OK</a></div>'
+    menu = "<nav><a href=a>Home</a><a href=b>News</a></nav>"
+    cases = {
+        f'<div id="content"><p>{p}</p></div>': p,
+        f'{cookie}<div class="content"><p>{p}</p><p>{p}</p></div>': f"{p}\n{p}",
+        f'{cookie}<div id="content">{f"<p>{p} {p}</p>" * 8}</div>': "\n".join([f"{p} {p}"] * 8),
+        f'{menu}<main><div class="post"><p>{p} <span>{p}</span></p></div></main>': f"{p} {p}",
+        f'<article><div class="post"><h1>T</h1><p>{p}</p></div></article>': f"T\n{p}",
+        f'{cookie}<div id="content"><h1>Title</h1><p>{p}</p><p>{p}</p></div>': f"Title\n{p}\n{p}",
+        f"<html><head><title>x</title></head><body>{menu}<div id=content><p>{p}</p></div><footer>c 2020</footer></body></html>": p,
+        f"<article><p>{p} {p}</p><footer>Share this</footer></article>": f"{p} {p}",
+        menu: "",
+        "<script>var a = 1;</script>": "",
+    }
+    assert {k: html_extract.main_text(k, trees) for k in cases} == cases
