@@ -142,7 +142,7 @@ def hits(df: DataFrame, vocab: DataFrame, text_col: str, out: str = "hits", clai
                     rows += [(*r[:-1], t, found[t]) for t in kept] if places else [(t,) for t in kept]
                 yield pd.DataFrame(rows, columns=[*key, "token", "places"] if places else ["token"])
 
-    surfaces = surface_tokens(vocab)
+    surfaces = written(surface_tokens(vocab))
     in_vocabulary = passing(sieve(surfaces))
     seen = df.where(F.col(text_col).isNotNull()).select(F.col(text_col).alias("_text"))
     counts = seen.mapInPandas(lambda batches: rows_of(in_vocabulary, batches, False), "token string").groupBy("token").agg(F.count("*").alias("n"))
