@@ -216,3 +216,23 @@ def test_short_articles_in_ordinary_layouts_are_kept():
         "<script>var a = 1;</script>": "",
     }
     assert {k: html_extract.main_text(k, trees) for k in cases} == cases
+
+
+# --- quality on small samples (5) -------------------------------------------------------------------
+
+
+def test_low_quality_is_found_with_few_labels_and_scores_are_the_plain_sum(spark):
+    """Held-out documents at sf0.01 (329 labels), and every score against all pairs of slots one by one."""
+    from lodestone.llm import quality_fm
+
+    sf = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{sf}/{n}.parquet") for n in ("documents", "labels"))
+    out = quality_fm.op5_quality(spark, sf).join(labels.where("quality is not null"), "doc_id").where("held_out").toPandas()
+    bad, good = out[out.quality == 0], out[out.quality == 1]
+    assert (bad.predicted == 0).mean() > 0.9 and (good.predicted == 1).mean() > 0.9
+    m = quality_fm.train(docs, labels)
+    for r in docs.limit(5).collect():
+        at, x = quality_fm.features(r["text"][:300], {})
+        pairs = sum(float(m.factors[a] @ m.factors[b]) * float(x[i]) * float(x[j]) for i, a in enumerate(at) for j, b in enumerate(at) if i < j)
+        plain = 1 / (1 + np.exp(-(m.bias + sum(float(m.linear[a]) * float(v) for a, v in zip(at, x)) + pairs)))
+        assert abs(m.scores([(at, x)])[0] - plain) < 1e-4
