@@ -35,18 +35,40 @@ _TOKEN = re.compile(r"(\w+)|(\W{3,})")
 _WORD = re.compile(r"\w")
 
 
-def tokens(low: str) -> dict[str, list[int]]:
-    """A text's words, and of other runs every three characters, with their places."""
+def tokens(low: str, known: np.ndarray | None = None) -> dict[str, list[int]]:
+    """A text's words and pairs of words side by side, and of other runs every three characters, with their places.
+
+    With the bits of a sieve, only those that it lets through.
+    """
     out: dict[str, list[int]] = {}
+    bits = 0 if known is None else len(known)
+    last = None
+
+    def add(token: str, at: int) -> None:
+        if not bits or known[zlib.crc32(token.encode()) % bits]:
+            out.setdefault(token, []).append(at)
+
     for m in _TOKEN.finditer(low):
-        if m.group(1):
-            out.setdefault(m.group(1), []).append(m.start())
+        a, b = m.span()
+        if m.lastindex == 1:
+            add(low[a:b], a)
+            if last is not None:
+                add(low[last:b], last)
+            last = a
         else:
-            for k in range(m.start(), m.end() - 2):
-                out.setdefault(low[k : k + 3], []).append(k)
+            for k in range(a, b - 2):
+                add(low[k : k + 3], k)
     return out
 
 
+def own_tokens(low: str) -> list[tuple[str, int]]:
+    """Those that a surface has wherever it stands: its pairs of words, else its only word, else its first three characters."""
+    words = [m.span() for m in re.finditer(r"\w+", low)]
+    if len(words) > 1:
+        return [(low[a:b], a) for (a, _), (_, b) in zip(words, words[1:])]
+    return [(low[a:b], a) for a, b in words] or [(low[:3], 0)]
+
+
 def _lowered(text: str) -> str:
     """In small letters, of the same length."""
     low = text.lower()
@@ -80,17 +102,14 @@ def settle(text: str, met: list[tuple[int, str, object, bool]], taken: list[tupl
 def surface_tokens(vocab: DataFrame) -> DataFrame:
     """Accepted surfaces by each of their tokens: ``token, offset, surface, target, case_sensitive``.
 
-    A surface has all its words whole in a text, or, without words, its first three characters.  Of
-    targets of one surface the least counts.
+    A surface has all its words whole in a text, side by side.  Of targets of one surface the least counts.
     """
 
     def split(batches):
         for b in batches:
             rows = []
             for surface, target, sensitive in zip(b["surface"], b["target"], b["case_sensitive"]):
-                found = tokens(_lowered(surface))
-                words = [t for t in found if _WORD.match(t)] or [_lowered(surface)[:3]]
-                rows += [(t, found[t][0], surface, target, sensitive) for t in words]
+                rows += [(t, at, surface, target, sensitive) for t, at in dict(reversed(own_tokens(_lowered(surface)))).items()]
             yield pd.DataFrame(rows, columns=["token", "offset", "surface", "target", "case_sensitive"])
 
     kind = dict(vocab.dtypes)["target"]
@@ -118,8 +137,8 @@ def hits(df: DataFrame, vocab: DataFrame, text_col: str, out: str = "hits", clai
     Works on distinct texts and on vocabularies of any size: texts and surfaces meet in a join by the token of
     each surface that the fewest rows have, and candidates are settled text by text.  Two sieves keep other
     tokens from travelling: of the vocabulary while tokens are counted, of the chosen ones for the join.
-    A frequent token draws only surfaces all of whose words are as frequent; adaptive execution splits its
-    key.  Spans that ``claimed`` gives of a text are taken before.  Null texts have no hits.
+    A frequent token draws only surfaces all of whose pairs of words are as frequent; adaptive execution splits
+    its key.  Spans that ``claimed`` gives of a text are taken before.  Null texts have no hits.
     """
     spark = df.sparkSession
     target = dict(vocab.dtypes)["target"]
@@ -137,9 +156,8 @@ def hits(df: DataFrame, vocab: DataFrame, text_col: str, out: str = "hits", clai
                 part = b.iloc[at : at + 200]
                 rows = []
                 for r in zip(*(part[c] for c in part.columns)):
-                    found = tokens(_lowered(r[-1]))
-                    kept = [t for t in found if known[zlib.crc32(t.encode()) % len(known)]]
-                    rows += [(*r[:-1], t, found[t]) for t in kept] if places else [(t,) for t in kept]
+                    found = tokens(_lowered(r[-1]), known)
+                    rows += [(*r[:-1], t, p) for t, p in found.items()] if places else [(t,) for t in found]
                 yield pd.DataFrame(rows, columns=[*key, "token", "places"] if places else ["token"])
 
     surfaces = written(surface_tokens(vocab))

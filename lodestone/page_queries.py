@@ -6,12 +6,15 @@ from these must be the rows themselves, which its SQL takes straight from the ta
 
 from __future__ import annotations
 
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from .functions import text as T
 from .operators import references as E
 from .operators import wikitext as W
 from .queries import query
+from .sources import files
+from .sources.shared import new_path
 
 
 def _pages(rows, page, line, head, tail):
@@ -210,3 +213,82 @@ def plain_prose(t):
     """Wikitext of links, bold and templates as plain text."""
     text = F.concat(F.lit("'''[[Page|"), F.col("o_orderpriority"), F.lit("]]''' and  [["), F.col("o_orderstatus"), F.lit("]]<ref>no</ref>"))
     return t("orders").select("o_orderkey", T.plain_wikitext(text).alias("plain"))
+
+
+# --- cards and elements ---------------------------------------------------------------------------
+
+_CARD = "(select *, 'tarot-' || trim(regexp_replace(lower(s_name), '[^a-z0-9]+', '-', 'g'), '-') as id, 'Relic ' || s_suppkey || ' and NATION_' || s_nationkey || ' (based on Fire Node 2)' as said from supplier)"
+
+
+def _cards(t):
+    s = t("supplier").select(F.col("s_suppkey").alias("k"), "s_name", "s_nationkey")
+    said = F.concat(F.lit("Relic "), _text("k"), F.lit(" and NATION_"), _text("s_nationkey"), F.lit(" (based on Fire Node 2)"))
+    line = F.concat(F.lit("{{Tarot Cards|card_name="), F.col("s_name"), F.lit("|effect= |effect1='''Swords''' 3's second effect|effect2="), said, F.lit("\n}}\n"))
+    words = t("nation").select(F.concat(F.lit("NATION_"), _text("n_nationkey")).alias("surface"), F.concat(F.lit("n"), _text("n_nationkey")).alias("target"))
+    return W.parse_cards(_pages(s, F.lit("Tarot"), line, F.lit("Cards\n"), F.lit("")), words)
+
+
+@query(f"select id, s_name as name, 'Swords 3''s second effect' as first, said as second from {_CARD}")
+def wiki_card_nodes(t):
+    """Cards of a page with their effects in order; blank ones are left out."""
+    text = lambda k: F.get("effects", F.lit(k))["text"]
+    return _cards(t)[0].select("id", "name", text(0).alias("first"), text(1).alias("second"))
+
+
+@query(f"""select id as "from", 'tarot-three-of-swords' as "to", 'boosts' as rel, 'Swords 3''s second effect' as note, 1 as targets_effect, 'provisional' as confidence from {_CARD}
+union all select id, 'relic-' || s_suppkey, 'boosts', said, null, 'provisional' from {_CARD} union all select id, 'n' || s_nationkey, 'boosts', said, null, 'uncertain' from {_CARD}
+union all select 'fire-node-2', id, 'boosts', said, null, 'provisional' from {_CARD}""")
+def wiki_card_edges(t):
+    """Suit and number, entities, vocabulary and inputs of cards, each with its note and confidence."""
+    return _cards(t)[1].select("from", "to", "rel", "note", "targets_effect", "confidence")
+
+
+def _element_page(t):
+    """Factors by nation, whose name only its first row has, and upgrades of one element."""
+    s = t("supplier").select("s_suppkey", "s_nationkey")
+    first = s.groupBy("s_nationkey").agg(F.min("s_suppkey").alias("least"))
+    s = s.join(first, "s_nationkey").withColumn("k", F.struct("s_nationkey", "s_suppkey"))
+    key = _text("s_suppkey")
+    head = F.when(F.col("s_suppkey") == F.col("least"), F.concat(F.lit('! rowspan="9" | Nation'), _text("s_nationkey"), F.lit("\n"))).otherwise("")
+    factor = F.concat(F.lit("\n|-\n"), head, F.lit("! Factor "), key, F.lit("\n| Boosts Relic "), key, F.lit("'s first effect\n| "), F.when(F.col("s_suppkey") % 2 == 0, F.concat(F.lit("Refine Node "), key)).otherwise("None"))
+    upgrade = F.concat(F.lit("\n|-\n| "), key, F.lit("\n| 4 AP\n| Relic "), key, F.lit("'s first effect\nand more"))
+    page = F.lit("Elements")
+    a = _pages(s, page, factor, F.lit("=== Element Factors ===\n{| class=x\n! a"), F.lit("\n|}\n"))
+    b = _pages(s, page, upgrade, F.lit("=== Element Upgrades ===\n==== Fire ====\n{|\n! b"), F.lit("\n|}\n"))
+    return a.join(b.select("page", F.col("text").alias("more")), "page").select("page", F.concat("text", "more").alias("text"))
+
+
+@query("""select 'nation' || s_nationkey || '-factor-' || s_suppkey as id, 'Nation' || s_nationkey || ' Factor ' || s_suppkey as name, 'stat' as kind, 'Boosts Relic ' || s_suppkey || '''s first effect' as effect from supplier
+union all select 'fire-node-' || s_suppkey, 'Fire Node ' || s_suppkey, 'upgrade', 'Relic ' || s_suppkey || '''s first effect and more' from supplier""")
+def wiki_element_nodes(t):
+    """Factors under a header that is carried down, and upgrades with continued lines."""
+    return W.parse_elements(_element_page(t), None)[0].select("id", "name", "kind", F.get("effects", F.lit(0))["text"].alias("effect"))
+
+
+@query("""with f as (select s_suppkey as k, 'nation' || s_nationkey || '-factor-' || s_suppkey as id from supplier)
+select 'relic-' || k as "from", id as "to", 'boosts' as rel, 'Boosts Relic ' || k || '''s first effect' as note, null::integer as targets_effect, 'provisional' as confidence from f
+union all select 'refine-node-' || k, id, 'unlocks', 'Refine Node ' || k, null, 'documented' from f where k % 2 = 0
+union all select 'fire-node-' || k, 'relic-' || k, 'boosts', 'Relic ' || k || '''s first effect and more', 0, 'provisional' from f""")
+def wiki_element_edges(t):
+    """Descriptions run into their factor, unlocks are documented, upgrades point at effects."""
+    return W.parse_elements(_element_page(t), None)[1].select("from", "to", "rel", "note", "targets_effect", "confidence")
+
+
+@query("""with p as (select *, p_partkey // 500 as doc, row_number() over (partition by p_partkey // 500 order by p_partkey) - 1 as k from part)
+select 'node' as what, 'p' || p_partkey as id, p_name as said, cast(k as bigint) as ord, cast(2 + 6 * k as integer) as line from p
+union all select 'problem', 'part-' || doc, 'nodes.' || k || '.kind: not one of relic, stat, tree-node, currency, tarot-card, upgrade, group', null, cast(2 + 6 * k as integer) from p where p_size = 7
+union all select 'problem', 'part-' || doc, 'nodes.' || k || '.colour: unknown field', null, cast(2 + 6 * k as integer) from p where p_size = 8""")
+def records_read_back(t):
+    """Record files of 500 parts each, written as YAML and loaded again with their lines and problems."""
+    spark = SparkSession.getActiveSession()
+    folder = new_path(spark, "records")
+    p = t("part").select(F.col("p_partkey").alias("k"), "p_name", "p_brand", "p_size", F.floor(F.col("p_partkey") / 500).alias("doc"))
+    kind = F.when(F.col("p_size") == 7, "star").otherwise("stat")
+    extra = F.when(F.col("p_size") == 8, "  colour: red\n").otherwise("  cost: 4 AP\n")
+    line = F.concat(F.lit("- id: p"), _text("k"), F.lit("\n  name: '"), F.col("p_name"), F.lit("'\n  system: '"), F.col("p_brand"), F.lit("'\n  kind: "), kind, F.lit("\n"), extra, F.lit("  aliases: []\n"))
+    texts = _pages(p, F.concat(F.lit("part-"), _text("doc")), line, F.lit("nodes:\n"), F.lit(""))
+    texts.repartition("page").write.partitionBy("page").text(folder)
+    got = files.load_dataset(spark, f"{folder}/*/*.txt")
+    nodes = got.nodes.select(F.lit("node").alias("what"), "id", F.col("name").alias("said"), F.col("_ord").alias("ord"), F.col("_line").alias("line"))
+    page = F.regexp_extract("path", "page=([^/]*)", 1)
+    return nodes.unionByName(got.problems.select(F.lit("problem").alias("what"), page.alias("id"), F.col("message").alias("said"), F.lit(None).cast("long").alias("ord"), F.col("line").cast("int").alias("line")))
