@@ -27,6 +27,7 @@ import html
 import re
 import zlib
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 from html.parser import HTMLParser
 
@@ -508,13 +509,28 @@ def blocks(root: Node, chosen: np.ndarray) -> list[str]:
 
 def main_text(page: str | None, trees: Trees) -> str:
     """One page's main text."""
-    if not page:
-        return ""
-    root = parse(page)
-    nodes = elements(root)
-    if all(n.tag not in BLOCK and not n.attributes for n in nodes[1:]):
-        return "\n".join(blocks(root, np.ones(len(nodes), bool)))
-    margin = trees.margin(features(nodes))
+    return main_texts([page], trees)[0]
+
+
+def main_texts(pages: list[str | None], trees: Trees) -> list[str]:
+    """The pages' main texts; the trees rate the elements of all together."""
+    parsed = [(root := parse(p), elements(root)) if p else (None, []) for p in pages]
+    plain = [all(n.tag not in BLOCK and not n.attributes for n in nodes[1:]) for _, nodes in parsed]
+    rated = [features(nodes) for (_, nodes), alone in zip(parsed, plain) if not alone]
+    margins = trees.margin(np.concatenate(rated)) if rated else np.empty(0)
+    out, at = [], 0
+    for (root, nodes), alone in zip(parsed, plain):
+        if root is None:
+            out.append("")
+        elif alone:
+            out.append("\n".join(blocks(root, np.ones(len(nodes), bool))))
+        else:
+            out.append(_decoded(root, nodes, margins[at : at + len(nodes)]))
+            at += len(nodes)
+    return out
+
+
+def _decoded(root: Node, nodes: list[Node], margin: np.ndarray) -> str:
     text = "\n".join(blocks(root, decode(nodes, margin)))
     if not text and (best := last_resort(nodes, margin)) is not None:
         chosen = decode(nodes, margin, sure=best)
@@ -525,6 +541,20 @@ def main_text(page: str | None, trees: Trees) -> str:
     return text
 
 
+def _slices(column: pa.Array, chars: int = 1 << 20, rows: int = 200) -> Iterator[list[str | None]]:
+    """Pages of about a million characters together."""
+    held: list[str | None] = []
+    size = 0
+    for page in column.to_pylist():
+        held.append(page)
+        size += len(page or "")
+        if size >= chars or len(held) >= rows:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
 def extract(pages: DataFrame, trees: Trees | None = None, html_col: str = "html") -> DataFrame:
     """Adds ``text`` and ``n_chars`` to ``pages`` (in place of columns so named) and drops the html."""
     kept = [c for c in pages.columns if c not in ("text", "n_chars", html_col)]
@@ -534,7 +564,7 @@ def extract(pages: DataFrame, trees: Trees | None = None, html_col: str = "html"
         for b in batches:
             for lo in range(0, b.num_rows, 500):
                 some = b.slice(lo, 500)
-                texts = [main_text(h, shared.value) for h in some.column(len(kept)).to_pylist()]
+                texts = [t for part in _slices(some.column(len(kept))) for t in main_texts(part, shared.value)]
                 yield pa.record_batch([*some.columns[: len(kept)], pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=[*kept, "text", "n_chars"])
 
     kinds = dict(pages.dtypes)
