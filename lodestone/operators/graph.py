@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.shared import release, shared_dir, written
+from ..sources.shared import new_path, release, shared_dir, written
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
@@ -66,10 +66,7 @@ def ego(edges: DataFrame, roots: DataFrame, depth: int, known: DataFrame | None
         roots = found.where(F.coalesce("_known", fault)).select("id")
     down = hops(edges, roots, depth).withColumnRenamed("hop", "down")
     up = hops(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")), roots, depth).withColumnRenamed("hop", "up")
-    far = F.lit(1 << 30)
-    both = up.join(down, "id", "full")
-    column = F.when(F.coalesce("up", far) <= F.coalesce("down", far), -F.col("up")).otherwise(F.col("down"))
-    nodes = both.select("id", column.cast("int").alias("column"))
+    nodes = _columns(up, down)
     return nodes, valid_edges(edges.select("src", "dst").distinct(), nodes)
 
 
@@ -94,6 +91,69 @@ def egos(edges: DataFrame, roots: DataFrame, depth: int) -> tuple[DataFrame, Dat
     return nodes, inner.join(nodes.select("graph", F.col("id").alias("dst")), ["graph", "dst"], "left_semi").select("graph", "src", "dst")
 
 
+#: Neighbours in one list; a node with more has several lists.
+LIST = 10_000
+
+
+def adjacency(edges: DataFrame) -> DataFrame:
+    """Sorted neighbour lists both ways: ``id, way, part, neighbours``, ``way`` being ``in`` or ``out``.
+
+    A node with more than LIST neighbours has as many lists as keep each below some LIST, dealt by the
+    neighbour's hash, so that a hub is no single row.
+    """
+    e = edges.select("src", "dst").distinct()
+    both = e.select(F.col("src").alias("id"), F.lit("out").alias("way"), F.col("dst").alias("other")).unionByName(e.select(F.col("dst").alias("id"), F.lit("in").alias("way"), F.col("src").alias("other")))
+    many = both.groupBy("id", "way").agg(F.count("*").alias("_n")).where(F.col("_n") > LIST)
+    dealt = both.join(many, ["id", "way"], "left").withColumn("part", F.coalesce(F.pmod(F.xxhash64("other"), F.ceil(F.col("_n") / LIST)), F.lit(0)).cast("int"))
+    return dealt.groupBy("id", "way", "part").agg(F.array_sort(F.collect_list("other")).alias("neighbours"))
+
+
+class Adjacency:
+    """Neighbour lists stored in buckets of their node, one table for each way.
+
+    A hop reads the tables as they lie: the frontier is brought to the buckets, and the edges are never shuffled.
+    """
+
+    def __init__(self, edges: DataFrame, buckets: int = 64):
+        self.spark = edges.sparkSession
+        self.names = {}
+        lists = written(adjacency(edges))
+        for way in ("out", "in"):
+            path = new_path(self.spark, f"adjacency-{way}")
+            self.names[way] = path.rsplit("/", 1)[-1].replace("-", "_")
+            own = lists.where(F.col("way") == way).select("id", "part", "neighbours")
+            own.write.option("path", path).bucketBy(buckets, "id").sortBy("id").saveAsTable(self.names[way])
+        release(lists)
+
+    def lists(self, way: str) -> DataFrame:
+        return self.spark.table(self.names[way])
+
+    def hops(self, roots: DataFrame, way: str, depth: int) -> DataFrame:
+        """Least number of hops from ``roots(id)``, up to ``depth``: ``id, hop``."""
+        frontier = roots.select("id").distinct().withColumn("hop", F.lit(0))
+        seen = frontier
+        for k in range(1, depth + 1):
+            step = self.lists(way).join(frontier.select("id"), "id", "left_semi").select(F.explode("neighbours").alias("id")).distinct()
+            frontier = step.join(seen.select("id"), "id", "left_anti").withColumn("hop", F.lit(k))
+            seen = seen.unionByName(frontier)
+        return seen
+
+    def ego(self, roots: DataFrame, depth: int) -> DataFrame:
+        """The ego graph's nodes with their column, as ``ego`` has them."""
+        return _columns(self.hops(roots, "in", depth).withColumnRenamed("hop", "up"), self.hops(roots, "out", depth).withColumnRenamed("hop", "down"))
+
+    def drop(self) -> None:
+        for name in self.names.values():
+            self.spark.sql(f"drop table if exists {name}")
+
+
+def _columns(up: DataFrame, down: DataFrame) -> DataFrame:
+    """Upstream nodes left (negative), downstream ones right; ties upstream."""
+    far = F.lit(1 << 30)
+    column = F.when(F.coalesce("up", far) <= F.coalesce("down", far), -F.col("up")).otherwise(F.col("down"))
+    return up.join(down, "id", "full").select("id", column.cast("int").alias("column"))
+
+
 def reachable(edges: DataFrame, limit: int = 64) -> DataFrame:
     """All pairs ``(a, b)`` with a path from a to b, by doubling; for graphs whose closure is small."""
     pairs = checkpointed(edges.select(F.col("src").alias("a"), F.col("dst").alias("b")).distinct())
@@ -263,6 +323,13 @@ def outline(parents: DataFrame, counts: DataFrame) -> DataFrame:
     return tour(tree, counts, ["direct", "connected"]).select("id", "position", "depth", "direct", F.col("direct_total").alias("total"), F.col("connected_total").alias("connected"))
 
 
+def siblings(df: DataFrame, parent: str, name: str, listed: tuple[str, ...] = (), collation: str = "UNICODE") -> DataFrame:
+    """``df`` with ``place`` among rows of one parent: names of the list in its order, then all others as the collation sorts them; ties by code points."""
+    known = F.array_position(F.array(*map(F.lit, listed)).cast("array<string>"), F.col(name).cast("string"))
+    w = Window.partitionBy(parent).orderBy(F.when(known > 0, known).otherwise(len(listed) + 1), F.collate(F.col(name), collation), F.collate(F.col(name), "UTF8_BINARY"))
+    return df.withColumn("place", F.row_number().over(w))
+
+
 def pruned(parents: DataFrame, counts: DataFrame) -> DataFrame:
     """The roll-up ``id, direct, total`` without zero totals: an id that is its own parent is a root with its children, and counted ids that are not declared get a root row."""
     own = parents.select("id", F.when(F.col("parent") != F.col("id"), F.col("parent")).alias("parent"))

@@ -425,9 +425,11 @@ def orphans(t):
     return G.orphans(_entity_nodes(t).select("id"), _entity_edges(t, False).where("src not like 'n%'"))
 
 
-@query(f"select src as id, count(*) as n, min(dst) as first, max(dst) as last from {_EDGES} group by src")
+@query(f"""with e as {_EDGES} select src as id, 'out' as way, count(*) as n, string_agg(dst, ' ' order by dst) as neighbours from e group by 1 union all select dst, 'in', count(*), string_agg(src, ' ' order by src) from e group by 1""")
 def adjacency(t):
-    return _entity_edges(t).groupBy(F.col("src").alias("id")).agg(F.count("*").alias("n"), F.min("dst").alias("first"), F.max("dst").alias("last"))
+    """Sorted neighbour lists both ways."""
+    lists = G.adjacency(_entity_edges(t, False))
+    return lists.groupBy("id", "way").agg(F.sum(F.size("neighbours")).alias("n"), F.array_join(F.array_sort(F.flatten(F.collect_list("neighbours"))), " ").alias("neighbours"))
 
 
 # --- aggregations --------------------------------------------------------------------------------
@@ -596,6 +598,13 @@ def ego_nodes(t):
     return G.ego(e, _busiest(e), 2)[0]
 
 
+@query(_EGO + ' select id, "column" from ego')
+def ego_stored(t):
+    """The ego graph's nodes by stored neighbour lists: no hop shuffles an edge."""
+    e = _whole(t)
+    return G.Adjacency(e).ego(_busiest(e), 2)
+
+
 @query(_EGO + " select src, dst from g where src in (select id from ego) and dst in (select id from ego)")
 def ego_edges(t):
     e = _whole(t)

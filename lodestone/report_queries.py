@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from .operators import coverage, validate
+from .operators import coverage, graph, validate
 from .operators import wikitext as W
 from .page_queries import _part_manifest, _part_pages
 from .queries import _TREE, _edges_of_entities, _tree, query
@@ -126,14 +126,24 @@ def later_occurrences(t):
     return t("lineitem").withColumn("n", n).where("n > 1").select("l_orderkey", "l_linenumber", "l_partkey")
 
 
-@query("select n_regionkey, n_name, row_number() over (partition by n_regionkey order by coalesce(nullif(list_position(['NATION_7', 'NATION_3', 'NATION_11'], n_name), 0), 99), n_name) as place from nation")
+_LISTED = ("NATION_7", "NATION_3", "NATION_11")
+
+
+@query(f"select n_regionkey, n_name, row_number() over (partition by n_regionkey order by coalesce(nullif(list_position({list(_LISTED)}, n_name), 0), 99), n_name) as place from nation")
 def sibling_rank(t):
     """Siblings in the order of a list, then all others by name."""
-    from pyspark.sql import Window
-
-    listed = F.array_position(F.array(*map(F.lit, ("NATION_7", "NATION_3", "NATION_11"))), F.col("n_name"))
-    w = Window.partitionBy("n_regionkey").orderBy(F.when(listed > 0, listed).otherwise(99), "n_name")
-    return t("nation").select("n_regionkey", "n_name", F.row_number().over(w).alias("place"))
+    return graph.siblings(t("nation"), "n_regionkey", "n_name", _LISTED).select("n_regionkey", "n_name", "place")
+
+
+@query("""with w as (select distinct lang, regexp_extract(text, '[a-zA-ZäöüßéèêçñóíáúÄÖÜÉÈÑÓÍÁ]+') as word from documents), k as (select lang, word, translate(lower(replace(word, 'ß', 'ss')), 'äöüéèêçñóíáú', 'aoueeecnoiau') as key from w where word <> '')
+select lang, key, rank() over (partition by lang order by key) as place, count(*) as spellings from k group by 1, 2""")
+def locale_rank(t):
+    """The words that open documents, ranked within a language as readers sort them: accents and case aside."""
+    word = F.regexp_extract("text", "[a-zA-ZäöüßéèêçñóíáúÄÖÜÉÈÑÓÍÁ]+", 0)
+    words = t("documents").select("lang", word.alias("word")).where("word <> ''").distinct()
+    plain = F.translate(F.lower(F.replace(F.col("word"), F.lit("ß"), F.lit("ss"))), "äöüéèêçñóíáú", "aoueeecnoiau")
+    one = words.groupBy("lang", F.collate("word", "UNICODE_CI_AI").alias("word")).agg(F.count("*").alias("spellings"), F.min(plain).alias("key"))
+    return graph.siblings(one, "lang", "word", (), "UNICODE_CI_AI").select("lang", "key", F.col("place").cast("long").alias("place"), "spellings")
 
 
 @query("select coalesce(n_nationkey, k) as id, n_nationkey is not null as declared, cast(coalesce(n, 0) as bigint) as n from (select n_nationkey from nation where n_nationkey % 4 > 0) full join (select c_nationkey as k, count(*) as n from customer where c_nationkey % 3 > 0 group by 1) on n_nationkey = k")

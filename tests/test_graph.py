@@ -93,3 +93,32 @@ def test_a_tour_of_a_deep_chain_a_flat_tree_and_nothing(spark):
     got = toured(spark, flat, {})
     assert [r["id"] for r in got[:3]] == ["root", "c2999", "c2998"] and {r["depth"] for r in got[1:]} == {1}
     assert toured(spark, [], {}) == []
+
+
+def test_neighbour_lists_of_a_hub_are_several_and_hops_shuffle_no_edge(spark, monkeypatch, capsys):
+    from test_operators import brute_ego
+
+    monkeypatch.setattr(G, "LIST", 10)
+    edges = {(0, k) for k in range(1, 40)} | {(k, k + 1) for k in range(1, 30)} | {(5, 0), (7, 0)}
+    df = spark.createDataFrame(sorted(edges) + [(0, 1)], "src long, dst long")
+    lists = G.adjacency(df).collect()
+    hub = [r["neighbours"] for r in lists if (r["id"], r["way"]) == (0, "out")]
+    assert len(hub) > 2 and sorted(x for part in hub for x in part) == list(range(1, 40)) and all(p == sorted(p) for p in hub)
+    store = G.Adjacency(df, buckets=4)
+    try:
+        for root in (0, 5, 12):
+            assert dict(store.ego(spark.createDataFrame([(root,)], "id long"), 2).collect()) == brute_ego(edges, root, 2)[0]
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        store.lists("out").join(spark.createDataFrame([(0,)], "id long"), "id", "left_semi").explain()
+        plan = capsys.readouterr().out
+        assert plan.count("Exchange") == 1 and "Bucketed: true" in plan  # the frontier alone is brought to the buckets
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        store.drop()
+
+
+def test_siblings_stand_as_readers_sort_them(spark):
+    names = ["zebra", "Éclair", "eclipse", "apple", "Öl", "oak", "second", "first"]
+    df = spark.createDataFrame([("p", n) for n in names], "parent string, name string")
+    got = [r["name"] for r in G.siblings(df, "parent", "name", ("first", "second")).orderBy("place").collect()]
+    assert got == ["first", "second", "apple", "Éclair", "eclipse", "oak", "Öl", "zebra"]
