@@ -5,6 +5,7 @@ import pytest
 
 import lodestone.page_queries  # noqa: F401  registers its queries
 import lodestone.report_queries  # noqa: F401  registers its queries
+import lodestone.service_queries  # noqa: F401  registers its queries
 from lodestone.queries import ORACLES, QUERIES
 
 DATA = "/root/testdata/sf0.001"
