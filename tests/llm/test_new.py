@@ -236,3 +236,42 @@ def test_low_quality_is_found_with_few_labels_and_scores_are_the_plain_sum(spark
         pairs = sum(float(m.factors[a] @ m.factors[b]) * float(x[i]) * float(x[j]) for i, a in enumerate(at) for j, b in enumerate(at) if i < j)
         plain = 1 / (1 + np.exp(-(m.bias + sum(float(m.linear[a]) * float(v) for a, v in zip(at, x)) + pairs)))
         assert abs(m.scores([(at, x)])[0] - plain) < 1e-4
+
+
+# --- the pipeline's stages --------------------------------------------------------------------------
+
+
+def test_stages_keep_rows_whole_with_nulls_repeats_and_nothing(spark, tmp_path):
+    """Every stage on its own: kept rows are rows of its input, filters decide row by row, near copies leave one; an empty table stays empty."""
+    import corpus_pipeline as C
+
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choices("abcdefghij", k=5))
+    clean = [" ".join(word() for _ in range(60)) for _ in range(120)]
+    foul = [" ".join(rng.choice(["idiot", "moron", "hate", word()]) for _ in range(60)) for _ in range(40)]
+    junk = ["$$$ !!! " * 40 for _ in range(20)]
+    texts = clean + foul + junk
+    near = clean[0].rsplit(" ", 1)[0] + " zzzzz"
+    rows = [(k, t, "en", "web", len(t)) for k, t in enumerate(texts)] + [(500, near, "en", "web", 9), (501, clean[1], None, None, None), (502, None, "en", "web", 0), (503, "", "en", "web", 0), (7, clean[7], "en", "web", 1), (None, clean[9], "en", "web", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    labels = [(k, 0 if t in junk else 1, 1 if t in foul else 0) for k, t in enumerate(texts)] + [(3, None, None), (None, 1, 1)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    given = {tuple(r) for r in docs.collect()}
+    for name, stage in C.STAGES[:-1]:
+        kept = stage(spark, docs, str(tmp_path))
+        assert kept.columns == docs.columns
+        got = [tuple(r) for r in kept.collect()]
+        assert set(got) <= given and stage(spark, docs.where("false"), str(tmp_path)).isEmpty()
+        ids = {r[0] for r in got}
+        if name == "toxicity":
+            assert not ids & set(range(120, 160)) and ids >= set(range(120)) | {500, 501, 502, 503}
+        elif name == "quality":
+            assert not ids & set(range(160, 180)) and ids >= set(range(120))
+        else:
+            assert {0, 1, 7, 160, 502, 503} <= ids and not ids & {500, 501, *range(161, 180)} and [r[0] for r in got].count(7) == 1
+    packed = C.packing_stage(spark, docs, str(tmp_path))
+    assert packed.groupBy("sequence_id").agg(F.sum("length").alias("n")).where("n > 2048").isEmpty()
+    assert packed.count() == len(rows) and C.packing_stage(spark, docs.where("false"), str(tmp_path)).isEmpty()
+    more = docs.withColumn("score", F.lit("x")).withColumn("toxic", F.lit("y"))
+    for name, stage in C.STAGES[:-1]:
+        assert stage(spark, more, str(tmp_path)).columns == more.columns
