@@ -179,12 +179,10 @@ def entity_references(t):
     return x.select("l_orderkey", "l_linenumber", F.col("e.target").alias("target"), F.substring(F.col("text"), F.col("e.start") + 1, F.col("e.stop") - F.col("e.start")).alias("said"))
 
 
-@query("""select o_orderkey, unnest([' ' || o_orderkey, ' ' || o_custkey || ') tail']) as governed from orders""")
+@query("""select o_orderkey, unnest([' ' || o_orderkey || ') b', ' ' || o_custkey || ') tail']) as governed from orders""")
 def governed_inputs(t):
-    """What an input phrase governs: to the bracket that closes around it, else to the end."""
-    text = F.concat(F.lit("((a based on "), _text("o_orderkey"), F.lit(")) then by amount of "), _text("o_custkey"), F.lit(") tail"))
-    text = F.regexp_replace(text, r"\(\(", "(")
-    text = F.regexp_replace(text, r"\)\)", ")")
+    """What an input phrase governs: to the bracket that closes all around it, else to the end."""
+    text = F.concat(F.lit("((a based on "), _text("o_orderkey"), F.lit(") b) then by amount of "), _text("o_custkey"), F.lit(") tail"))
     x = t("orders").select("o_orderkey", text.alias("text")).select("o_orderkey", "text", F.explode(E.governed_spans("text")).alias("e"))
     return x.select("o_orderkey", F.substring(F.col("text"), F.col("e.start") + 1, F.col("e.stop") - F.col("e.start")).alias("governed"))
 

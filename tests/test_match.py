@@ -46,3 +46,16 @@ def test_a_vocabulary_of_any_size(spark):
     df = spark.range(0, 200).selectExpr("id", "concat('see Name ', id * 1499, ' OF item, not name ', id, 'x of item') text")
     got = match.match(df, words, "id", "text").collect()
     assert sorted((r["id"], r["target"], r["start"]) for r in got) == [(k, k * 1499, 4) for k in range(200)]
+
+
+def test_spans_in_expressions_are_those_of_the_plain_functions(spark):
+    from lodestone.operators import references
+
+    rng = random.Random(4)
+    bits = ["Relics 1, 2 and 003", "relic 7", "RELICS 5&6", "refine tree node 12", "Refine node 4", "fire node 3", "Earth  Node 10", "King of Cups", "ace of  SWORDS", "xrelic 1", "based on", "by amount of", "Based On", "(", ")", "((", "and", "é", "😀 ", "nodes", "wind node", "of cups"]
+    texts = ["".join(rng.choice(bits) + rng.choice([" ", " ", ", ", ""]) for _ in range(rng.randrange(14))) for _ in range(600)] + [None, "", "based on", "(based on)"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    for r in df.select("id", references.entity_spans("text").alias("e"), references.governed_spans("text").alias("g")).collect():
+        t = texts[r["id"]] or ""
+        assert [tuple(x) for x in r["e"]] == references.entities(t), t
+        assert [tuple(x) for x in r["g"]] == references.input_spans(t), t
