@@ -78,12 +78,38 @@ def numbered_label(kind: Column, number: Column, name: Column) -> Column:
     return F.when((F.coalesce(name, F.lit("")) == "") | (name == bare), bare).otherwise(F.concat(bare, F.lit(" ("), name, F.lit(")")))
 
 
-def safe_url(path: Column, base: str) -> Column:
-    """A link under ``base``: no anchor, spaces to underscores, empty and dot segments dropped, the others percent-encoded."""
-    bare = F.replace(F.substring_index(path, "#", 1), F.lit(" "), F.lit("_"))
-    segments = F.filter(F.split(bare, "/"), lambda s: ~s.isin("", ".", ".."))
-    encoded = F.transform(segments, lambda s: F.replace(F.url_encode(s), F.lit("+"), F.lit("%20")))
-    return F.when(F.size(encoded) > 0, F.concat(F.lit(base), F.array_join(encoded, "/")))
+def url_component(c: Column) -> Column:
+    """Percent-encoded as a part of a path or fragment: letters, digits and ``-_.!~*'()`` stay."""
+    out = F.url_encode(c)
+    for code, mark in (("+", "%20"), ("%7E", "~"), ("%21", "!"), ("%27", "'"), ("%28", "("), ("%29", ")")):
+        out = F.replace(out, F.lit(code), F.lit(mark))
+    return out
+
+
+def safe_url(page: Column, base: str) -> Column:
+    """A link under ``base`` to a page and its anchor: spaces to underscores, empty and dot segments dropped, the others percent-encoded; null without any."""
+    title = F.replace(normalise_ends(F.substring_index(page, "#", 1)), F.lit(" "), F.lit("_"))
+    anchor = F.replace(F.when(F.contains(page, F.lit("#")), F.substr(page, F.instr(page, "#") + 1)).otherwise(""), F.lit(" "), F.lit("_"))
+    segments = F.transform(F.filter(F.split(title, "/"), lambda s: ~s.isin("", ".", "..")), url_component)
+    return F.when(F.size(segments) > 0, F.concat(F.lit(base), F.array_join(segments, "/"), F.when(anchor != "", F.concat(F.lit("#"), url_component(anchor))).otherwise("")))
+
+
+def normalise_ends(c: Column) -> Column:
+    """Without white space at either end."""
+    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+
+
+#: Sources that are not pages, and what is said of them.
+SOURCES = {"observed": "observed in game", "il2cpp": "game binary", "discord": "community report"}
+
+
+def source_label(source: Column, base: str) -> tuple[Column, Column]:
+    """What is said of a source, and a link to it where it is a page (``wiki:`` and its title)."""
+    page = F.when(F.startswith(source, F.lit("wiki:")), F.substr(source, F.lit(6)))
+    said = source
+    for key, text in SOURCES.items():
+        said = F.when(source == key, text).otherwise(said)
+    return F.coalesce(page, said), safe_url(page, base)
 
 
 def query_param(url: Column, name: str) -> Column:

@@ -88,7 +88,12 @@ def page_key(t):
     return t("pages").select("page_id", T.page_file(F.col("url")).alias("file"))
 
 
-@query("""select page_id, 'https://base.invalid/' || array_to_string(list_transform(list_filter(string_split(replace(split_part(url, '#', 1), ' ', '_'), '/'), lambda s: s not in ('', '.', '..')), lambda s: url_encode(s)), '/') as link from pages""")
+#: An encoded component and the whole link in SQL.
+_PART = "replace(replace(replace(replace(replace(url_encode({0}), '%21', '!'), '%27', ''''), '%28', '('), '%29', ')'), '%2A', '*')"
+_LINK = "'https://base.invalid/' || array_to_string(list_transform(list_filter(string_split(replace(trim(split_part({0}, '#', 1)), ' ', '_'), '/'), lambda s: s not in ('', '.', '..')), lambda s: " + _PART.format("s") + "), '/') || case when strpos({0}, '#') > 0 and strpos({0}, '#') < length({0}) then '#' || " + _PART.format("replace(substr({0}, strpos({0}, '#') + 1), ' ', '_')") + " else '' end"
+
+
+@query(f"select page_id, {_LINK.format('url')} as link from pages")
 def safe_url(t):
     return t("pages").select("page_id", T.safe_url(F.col("url"), "https://base.invalid/").alias("link"))
 
@@ -98,10 +103,16 @@ def url_params(t):
     return t("pages").select("page_id", T.query_param(F.col("url"), "page").alias("page"), F.coalesce(T.query_param(F.col("url"), "ref"), F.lit("none")).alias("ref"))
 
 
-@query("select page_id, case when url like 'https://%' then 'secure' when url like 'http://%' then 'plain' else 'other' end as label, case when url like 'http%' then url end as href from pages")
+_SOURCE = "(select page_id, case when page_id % 5 = 0 then 'observed' when page_id % 5 = 1 then 'il2cpp' when page_id % 5 = 2 then 'discord' when page_id % 5 = 3 then 'wiki:' || url || ' it''s (new)' else url end as source, url || ' it''s (new)' as page from pages)"
+
+
+@query(f"select page_id, case source when 'observed' then 'observed in game' when 'il2cpp' then 'game binary' when 'discord' then 'community report' else case when source like 'wiki:%' then page else source end end as label, case when source like 'wiki:%' then {_LINK.format('page')} end as href from {_SOURCE}")
 def source_label(t):
-    u = F.col("url")
-    return t("pages").select("page_id", F.when(u.startswith("https://"), "secure").when(u.startswith("http://"), "plain").otherwise("other").alias("label"), F.when(u.startswith("http"), u).alias("href"))
+    """What is said of a source, and the link where it is a page."""
+    k = F.col("page_id") % 5
+    source = F.when(k == 0, "observed").when(k == 1, "il2cpp").when(k == 2, "discord").when(k == 3, F.concat(F.lit("wiki:"), "url", F.lit(" it's (new)"))).otherwise(F.col("url"))
+    label, href = T.source_label(F.col("source"), "https://base.invalid/")
+    return t("pages").select("page_id", source.alias("source")).select("page_id", label.alias("label"), href.alias("href"))
 
 
 @query("select n_nationkey, case when n_nationkey % 5 = 0 then 'Nation ' || n_nationkey else 'Nation ' || n_nationkey || ' (' || n_name || ')' end as label from nation")

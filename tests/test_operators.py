@@ -156,3 +156,13 @@ def test_pruned_tree(spark):
 def test_ancestors_of_a_chain_beyond_a_hundred(spark):
     deep = spark.createDataFrame([(k, k - 1 if k else None) for k in range(105)], "id int, parent int")
     assert graph.ancestors(deep).where("id = 104").count() == 105
+
+
+def test_links_keep_their_prefix_and_anchor(spark):
+    pages = ["A b/c d#e f!", "javascript:alert(1)", "../../x", "", "#only", " /./.. ", "é/ü~*'()", None, "a#"]
+    d = spark.createDataFrame([(p,) for p in pages], "p string")
+    got = [r[0] for r in d.select(text.safe_url(F.col("p"), "B/")).collect()]
+    assert got == ["B/A_b/c_d#e_f!", "B/javascript%3Aalert(1)", "B/x", None, None, None, "B/%C3%A9/%C3%BC~*'()", None, "B/a"]
+    said = d.select(*text.source_label(F.concat(F.lit("wiki:"), "p"), "B/")).first()
+    assert tuple(said) == ("A b/c d#e f!", "B/A_b/c_d#e_f!")
+    assert spark.range(1).select(*text.source_label(F.lit("discord"), "B/")).first()[:] == ("community report", None)
