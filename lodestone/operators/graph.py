@@ -267,13 +267,16 @@ def numbered(df: DataFrame, order: list, number: str) -> DataFrame:
     """``df`` with each row's place in a total order, from 0; nothing is sorted in one task.
 
     Rows are dealt by ranges and sorted within them; how many each range has tells where it starts.
+    What is written for that can be released once the result is no longer read.
     """
     ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
     fixed = written(ranged.withColumns({"_range": F.spark_partition_id(), "_row": F.monotonically_increasing_id()}))
     starts = fixed.groupBy("_range").agg(F.min("_row").alias("_first"), F.count("*").alias("_n"))  # a row for each range
     before = F.coalesce(F.sum("_n").over(Window.partitionBy(F.lit(0)).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     starts = starts.select("_range", "_first", before.alias("_before"))
-    return fixed.join(F.broadcast(starts), "_range").withColumn(number, F.col("_row") - F.col("_first") + F.col("_before")).drop("_range", "_row", "_first", "_before")
+    out = fixed.join(F.broadcast(starts), "_range").withColumn(number, F.col("_row") - F.col("_first") + F.col("_before")).drop("_range", "_row", "_first", "_before")
+    out.written_path = fixed.written_path
+    return out
 
 
 def tour(tree: DataFrame, counts: DataFrame, columns: list[str]) -> DataFrame:
@@ -285,7 +288,9 @@ def tour(tree: DataFrame, counts: DataFrame, columns: list[str]) -> DataFrame:
     log n rounds.  No pointer meets another, so no join has a hot key.  Ids must be unique and parents known.
     """
     base = tree.select("id", "parent", "ord").join(counts.select("id", *columns), "id", "left").select("id", "parent", "ord", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in columns])
-    n = written(numbered(base, ["parent", "ord", "id"], "k"))
+    ordered = numbered(base, ["parent", "ord", "id"], "k")
+    n = written(ordered)
+    release(ordered)
     sibling = n.select((F.col("k") - 1).alias("k"), F.col("parent").alias("_of"), F.lit(True).alias("_more"))
     child = n.where("parent is not null").groupBy(F.col("parent").alias("id")).agg(F.min("k").alias("_child"))
     up = n.select(F.col("id").alias("parent"), F.col("k").alias("_up"))

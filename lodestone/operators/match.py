@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StringType
 
-from ..sources.shared import written
+from ..sources.shared import release, written
 
 
 def accepted(vocab: DataFrame) -> DataFrame:
@@ -166,6 +166,7 @@ def hits(df: DataFrame, vocab: DataFrame, text_col: str, out: str = "hits", clai
     counts = seen.mapInPandas(lambda batches: rows_of(in_vocabulary, batches, False), "token string").groupBy("token").agg(F.count("*").alias("n"))
     ranked = surfaces.join(counts, "token", "left").groupBy("surface").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "token", "offset", "target", "case_sensitive")).alias("r"))
     anchors = written(ranked.where("r.n > 0").select("r.token", "r.offset", "surface", "r.target", "r.case_sensitive"))
+    release(surfaces)
     chosen = passing(sieve(anchors))
 
     def settled(batches):
