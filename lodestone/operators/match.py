@@ -35,29 +35,30 @@ _TOKEN = re.compile(r"(\w+)|(\W{3,})")
 _WORD = re.compile(r"\w")
 
 
-def tokens(low: str, known: np.ndarray | None = None) -> dict[str, list[int]]:
+def tokens(low: str, known: bytes | None = None) -> dict[str, list[int]]:
     """A text's words and pairs of words side by side, and of other runs every three characters, with their places.
 
     With the bits of a sieve, only those that it lets through.
     """
     out: dict[str, list[int]] = {}
-    bits = 0 if known is None else len(known)
-    last = None
-
-    def add(token: str, at: int) -> None:
-        if not bits or known[zlib.crc32(token.encode()) % bits]:
-            out.setdefault(token, []).append(at)
-
+    known = known or b"\1"
+    bits, hashed, last = len(known), zlib.crc32, None
     for m in _TOKEN.finditer(low):
         a, b = m.span()
         if m.lastindex == 1:
-            add(low[a:b], a)
+            token = low[a:b]
+            if known[hashed(token.encode()) % bits]:
+                out.setdefault(token, []).append(a)
             if last is not None:
-                add(low[last:b], last)
+                token = low[last:b]
+                if known[hashed(token.encode()) % bits]:
+                    out.setdefault(token, []).append(last)
             last = a
         else:
             for k in range(a, b - 2):
-                add(low[k : k + 3], k)
+                token = low[k : k + 3]
+                if known[hashed(token.encode()) % bits]:
+                    out.setdefault(token, []).append(k)
     return out
 
 
@@ -122,7 +123,7 @@ def sieve(rows: DataFrame) -> np.ndarray:
 
     Its size follows the number of tokens, to 8 MB at most; beyond, it lets more through.
     """
-    bits = 1 << max(10, min(26, (16 * rows.agg(F.approx_count_distinct("token")).first()[0]).bit_length()))
+    bits = 1 << max(10, min(26, (64 * rows.agg(F.approx_count_distinct("token")).first()[0]).bit_length()))
     at = (F.crc32(F.col("token").cast("binary")) % bits).alias("at")
     words = rows.select(at).groupBy(F.expr("at div 64").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at % 64 as int))")).alias("v")).collect()
     out = np.zeros(bits // 64, "i8")
@@ -147,7 +148,7 @@ def hits(df: DataFrame, vocab: DataFrame, text_col: str, out: str = "hits", clai
 
     def passing(sieve):
         shared = spark.sparkContext.broadcast(np.packbits(sieve))
-        return lambda: np.unpackbits(shared.value).view(bool)
+        return lambda: np.unpackbits(shared.value).tobytes()  # a byte for each bit is the quickest to ask
 
     def rows_of(bits, batches, places):
         known = bits()
