@@ -132,7 +132,11 @@ def choose(candidates: list[tuple[str, int, int]], n1: int, n0: int, most: int)
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int = SAMPLE, most_words: int = 200) -> Ordinal:
-    """Fits the model on labelled documents: all usable ones, or ``sample`` of them chosen by hash."""
+    """Fits the model on labelled documents: all usable ones, or ``sample`` of them chosen by hash.
+
+    The features are at most ``most_words`` stems, those that tell most of toxic documents; documents are rated
+    whole whatever the bound.
+    """
     one = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min(label).alias("y"), F.max(label).alias("_most")).where("y = _most").select("doc_id", "y")
     by_hash = lambda y, n: one.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
     chosen = by_hash(1, sample * 3 // 8).union(by_hash(0, sample - sample * 3 // 8))
