@@ -10,6 +10,8 @@ import yaml
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .shared import written
+
 #: The fields of each section, those that a record must have, and the words of closed vocabularies.
 FIELDS = {
     "systems": "id string, name string, parent string",
@@ -39,11 +41,24 @@ class Dataset(NamedTuple):
     problems: DataFrame
 
 
+def _parsed(text: str):
+    """The nodes and the value of a YAML text, from one parse; libyaml's where it is there, whose faults the plain loader words."""
+    for kind in (getattr(yaml, "CSafeLoader", yaml.SafeLoader), yaml.SafeLoader):
+        loader = kind(text)
+        try:
+            root = loader.get_single_node()
+            return root, None if root is None else loader.construct_document(root)
+        except yaml.YAMLError:
+            if kind is yaml.SafeLoader:
+                raise
+        finally:
+            loader.dispose()
+
+
 def _records(text: str, sections: list[str]):
     """(section, position, line, record as JSON, its field names, error) of one YAML text; no object tags are constructed."""
     try:
-        root = yaml.compose(text, Loader=yaml.SafeLoader)
-        value = yaml.safe_load(text)
+        root, value = _parsed(text)
     except yaml.YAMLError as e:
         yield None, 0, 0, None, [], str(e).split("\n")[0]
         return
@@ -80,7 +95,7 @@ def load_dataset(spark: SparkSession, path: str) -> Dataset:
     ``_line`` is a record's line in its file, ``_ord`` its position, ``_set`` the fields that it sets.
     Files, records and fields of wrong form are in ``problems`` (severity, message, line, path).
     """
-    rows = yaml_records(spark, path, list(FIELDS))
+    rows = written(yaml_records(spark, path, list(FIELDS)), "records")  # each file is parsed once, not for every rule
     problem = lambda df, message: df.select(F.lit("error").alias("severity"), message.alias("message"), F.col("_line").alias("line"), "path")
     problems = problem(rows.where("error is not null"), F.col("error"))
     out = []
@@ -88,13 +103,11 @@ def load_dataset(spark: SparkSession, path: str) -> Dataset:
         own = rows.where((F.col("section") == section) & F.col("error").isNull()).withColumn("r", F.from_json("payload", schema))
         names = own.select("r.*").columns
         at = F.concat(F.lit(f"{section}."), F.col("_ord").cast("string"), F.lit("."))
-        unknown = own.select("*", F.explode(F.array_except("fields", F.array(*map(F.lit, names)))).alias("f"))
-        problems = problems.unionByName(problem(unknown, F.concat(at, F.col("f"), F.lit(": unknown field"))))
-        for f in REQUIRED[section]:
-            problems = problems.unionByName(problem(own.where(F.col(f"r.`{f}`").isNull()), F.concat(at, F.lit(f"{f}: missing"))))
-        for (of, f), words in WORDS.items():
-            if of == section:
-                problems = problems.unionByName(problem(own.where(~F.col(f"r.`{f}`").isin(words)), F.concat(at, F.lit(f"{f}: not one of {', '.join(words)}"))))
+        unknown = F.transform(F.array_except("fields", F.array(*map(F.lit, names))), lambda f: F.concat(at, f, F.lit(": unknown field")))
+        broken = [F.when(F.col(f"r.`{f}`").isNull(), F.concat(at, F.lit(f"{f}: missing"))) for f in REQUIRED[section]]
+        broken += [F.when(~F.col(f"r.`{f}`").isin(words), F.concat(at, F.lit(f"{f}: not one of {', '.join(words)}"))) for (of, f), words in WORDS.items() if of == section]
+        said = own.select("_line", "path", F.explode(F.concat(unknown, F.array(*broken))).alias("said")).where("said is not null")
+        problems = problems.unionByName(problem(said, F.col("said")))
         out.append(own.select("r.*", "_line", "_ord", F.col("fields").alias("_set")))
     return Dataset(*out, problems)
 

@@ -103,3 +103,16 @@ def test_merged_counts_of_the_corpus(spark):
     at = os.environ["LODESTONE_CORPUS"]
     nodes, edges, unmatched = build.merged(*(files.load_dataset(spark, f"{at}/{k}.yaml") for k in ("derived", "relationships")))
     assert (nodes.count(), edges.count(), unmatched.count()) == (943, 1528, 0)
+
+
+def test_record_files_are_parsed_once_for_all_rules(spark, tmp_path, capsys):
+    (tmp_path / "d.yaml").write_text("nodes:\n- id: a\n  name: A\n  system: s\n  kind: odd\n  colour: red\n- name: B\n")
+    d = files.load_dataset(spark, str(tmp_path / "d.yaml"))
+    want = ["nodes.0.colour: unknown field", "nodes.0.kind: not one of relic, stat, tree-node, currency, tarot-card, upgrade, group", *(f"nodes.1.{f}: missing" for f in ("id", "kind", "system"))]
+    assert sorted(r["message"] for r in d.problems.collect()) == want
+    d.problems.explain()
+    assert "InPandas" not in capsys.readouterr().out
+
+
+def test_faults_are_worded_by_the_plain_loader():
+    assert [r[-1] for r in files._records("nodes: [", ["nodes"])] == ["while parsing a flow node"] and list(files._records("", ["nodes"])) == []
