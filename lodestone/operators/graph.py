@@ -30,27 +30,46 @@ def prune_dangling(edges: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataF
     return seen.where("reason is null").select(*edges.columns), seen.where("reason is not null").select(*edges.columns, "reason")
 
 
-def degree(edges: DataFrame) -> DataFrame:
-    """Number of distinct neighbours each way: ``id, n_in, n_out``."""
-    e = edges.select("src", "dst").distinct()
+def stored(edges: DataFrame, buckets: int = 64) -> DataFrame:
+    """Distinct edges ``(src, dst)`` in a table of buckets of their source, sorted.
+
+    They travel once, for this; joins and groups by ``src`` then read them as they lie, and the columns
+    are compressed, which a checkpoint's are not.
+    """
+    path = new_path(edges.sparkSession, "edges")
+    name = path.rsplit("/", 1)[-1].replace("-", "_")
+    own = edges.select("src", "dst").repartition(buckets, "src").distinct()
+    own.write.option("path", path).option("compression", "zstd").bucketBy(buckets, "src").sortBy("src", "dst").saveAsTable(name)
+    return edges.sparkSession.table(name)
+
+
+def degree(edges: DataFrame, distinct: bool = False) -> DataFrame:
+    """Number of distinct neighbours each way: ``id, n_in, n_out``; ``distinct`` says that no edge is there twice."""
+    e = edges.select("src", "dst") if distinct else edges.select("src", "dst").distinct()
     ends = e.select(F.col("src").alias("id"), F.lit(0).alias("i"), F.lit(1).alias("o")).unionByName(e.select(F.col("dst").alias("id"), F.lit(1).alias("i"), F.lit(0).alias("o")))
     return ends.groupBy("id").agg(F.sum("i").alias("n_in"), F.sum("o").alias("n_out"))
 
 
 def orphans(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """Nodes without an edge."""
-    ends = edges.select(F.col("src").alias("id")).union(edges.select(F.col("dst").alias("id")))
-    return nodes.join(ends, "id", "left_anti")
+    return without(nodes, edges.select(F.col("src").alias("id")).union(edges.select(F.col("dst").alias("id"))))
+
+
+def without(nodes: DataFrame, ids: DataFrame) -> DataFrame:
+    """Nodes whose ``id`` isn't among ``ids``; repeats of those are put together before they travel."""
+    return nodes.join(ids.select("id").distinct(), "id", "left_anti")
 
 
 def hops(edges: DataFrame, roots: DataFrame, depth: int) -> DataFrame:
-    """Least number of hops along the edges from ``roots(id)``, up to ``depth``: ``id, hop``."""
-    frontier = roots.select("id").distinct().withColumn("hop", F.lit(0))
+    """Least number of hops along the edges from ``roots(id)``, up to ``depth``: ``id, hop``.
+
+    Each frontier is written, so that where it is small the edges are read where they lie.
+    """
+    frontier = written(roots.select("id").distinct().withColumn("hop", F.lit(0)))
     seen = frontier
-    e = edges.select("src", "dst").distinct()
     for k in range(1, depth + 1):
-        step = frontier.join(e, frontier["id"] == e["src"]).select(F.col("dst").alias("id")).distinct()
-        frontier = step.join(seen.select("id"), "id", "left_anti").withColumn("hop", F.lit(k))
+        step = edges.join(frontier.select(F.col("id").alias("src")), "src", "left_semi").select(F.col("dst").alias("id")).distinct()
+        frontier = written(step.join(seen.select("id"), "id", "left_anti").withColumn("hop", F.lit(k)))
         seen = seen.unionByName(frontier)
     return seen
 
@@ -64,10 +83,11 @@ def ego(edges: DataFrame, roots: DataFrame, depth: int, known: DataFrame | None
         found = roots.join(known.select("id", F.lit(True).alias("_known")).distinct(), "id", "left")
         fault = F.raise_error(F.concat(F.lit("no such node: "), F.col("id").cast("string"))).cast("boolean")
         roots = found.where(F.coalesce("_known", fault)).select("id")
+    roots = written(roots.select("id").distinct())
     down = hops(edges, roots, depth).withColumnRenamed("hop", "down")
     up = hops(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")), roots, depth).withColumnRenamed("hop", "up")
-    nodes = _columns(up, down)
-    return nodes, valid_edges(edges.select("src", "dst").distinct(), nodes)
+    nodes = written(_columns(up, down))
+    return nodes, valid_edges(edges.select("src", "dst"), nodes).distinct()
 
 
 def egos(edges: DataFrame, roots: DataFrame, depth: int) -> tuple[DataFrame, DataFrame]:
@@ -95,17 +115,22 @@ def egos(edges: DataFrame, roots: DataFrame, depth: int) -> tuple[DataFrame, Dat
 LIST = 10_000
 
 
-def adjacency(edges: DataFrame) -> DataFrame:
+def adjacency(edges: DataFrame, buckets: int = 64) -> DataFrame:
     """Sorted neighbour lists both ways: ``id, way, part, neighbours``, ``way`` being ``in`` or ``out``.
 
-    A node with more than LIST neighbours has as many lists as keep each below some LIST, dealt by the
+    A node with more than LIST edges has as many lists as keep each below some LIST, dealt by the
     neighbour's hash, so that a hub is no single row.
     """
-    e = edges.select("src", "dst").distinct()
-    both = e.select(F.col("src").alias("id"), F.lit("out").alias("way"), F.col("dst").alias("other")).unionByName(e.select(F.col("dst").alias("id"), F.lit("in").alias("way"), F.col("src").alias("other")))
-    many = both.groupBy("id", "way").agg(F.count("*").alias("_n")).where(F.col("_n") > LIST)
-    dealt = both.join(many, ["id", "way"], "left").withColumn("part", F.coalesce(F.pmod(F.xxhash64("other"), F.ceil(F.col("_n") / LIST)), F.lit(0)).cast("int"))
-    return dealt.groupBy("id", "way", "part").agg(F.array_sort(F.collect_list("other")).alias("neighbours"))
+    out, back = (_lists(edges.select(F.col(a).alias("id"), F.col(b).alias("other")), buckets) for a, b in (("src", "dst"), ("dst", "src")))
+    return out.select("id", F.lit("out").alias("way"), "part", "neighbours").unionByName(back.select("id", F.lit("in").alias("way"), "part", "neighbours"))
+
+
+def _lists(ends: DataFrame, buckets: int) -> DataFrame:
+    """``id, part, neighbours`` of ``ends(id, other)``: only counts travel before the ends do, and those once, to buckets of their node."""
+    many = written(ends.groupBy("id").agg(F.count("*").alias("_n")).where(F.col("_n") > LIST))
+    dealt = ends.repartition(buckets, "id").join(F.broadcast(many), "id", "left")  # one row for LIST edges at most
+    dealt = dealt.withColumn("part", F.coalesce(F.pmod(F.xxhash64("other"), F.ceil(F.col("_n") / LIST)), F.lit(0)).cast("int"))
+    return dealt.groupBy("id", "part").agg(F.array_sort(F.collect_set("other")).alias("neighbours"))
 
 
 class Adjacency:
@@ -117,29 +142,28 @@ class Adjacency:
     def __init__(self, edges: DataFrame, buckets: int = 64):
         self.spark = edges.sparkSession
         self.names = {}
-        lists = written(adjacency(edges))
-        for way in ("out", "in"):
+        for way, a, b in (("out", "src", "dst"), ("in", "dst", "src")):
             path = new_path(self.spark, f"adjacency-{way}")
             self.names[way] = path.rsplit("/", 1)[-1].replace("-", "_")
-            own = lists.where(F.col("way") == way).select("id", "part", "neighbours")
-            own.write.option("path", path).bucketBy(buckets, "id").sortBy("id").saveAsTable(self.names[way])
-        release(lists)
+            own = _lists(edges.select(F.col(a).alias("id"), F.col(b).alias("other")), buckets)
+            own.write.option("path", path).option("compression", "zstd").bucketBy(buckets, "id").sortBy("id").saveAsTable(self.names[way])
 
     def lists(self, way: str) -> DataFrame:
         return self.spark.table(self.names[way])
 
     def hops(self, roots: DataFrame, way: str, depth: int) -> DataFrame:
         """Least number of hops from ``roots(id)``, up to ``depth``: ``id, hop``."""
-        frontier = roots.select("id").distinct().withColumn("hop", F.lit(0))
+        frontier = written(roots.select("id").distinct().withColumn("hop", F.lit(0)))
         seen = frontier
         for k in range(1, depth + 1):
             step = self.lists(way).join(frontier.select("id"), "id", "left_semi").select(F.explode("neighbours").alias("id")).distinct()
-            frontier = step.join(seen.select("id"), "id", "left_anti").withColumn("hop", F.lit(k))
+            frontier = written(step.join(seen.select("id"), "id", "left_anti").withColumn("hop", F.lit(k)))
             seen = seen.unionByName(frontier)
         return seen
 
     def ego(self, roots: DataFrame, depth: int) -> DataFrame:
         """The ego graph's nodes with their column, as ``ego`` has them."""
+        roots = written(roots.select("id").distinct())
         return _columns(self.hops(roots, "in", depth).withColumnRenamed("hop", "up"), self.hops(roots, "out", depth).withColumnRenamed("hop", "down"))
 
     def drop(self) -> None:
@@ -168,9 +192,104 @@ def reachable(edges: DataFrame, limit: int = 64) -> DataFrame:
     return pairs
 
 
+#: Rows of a task, where a table's size is known before it is dealt out.
+TASK = 2_000_000
+
+
+def _dealt(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """``df`` in as many partitions as keep each near TASK rows, where the session's own would be larger."""
+    own = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(rows // TASK + 1, *keys) if rows > own * TASK else df
+
+
 def strong_components(edges: DataFrame) -> DataFrame:
     """Strongly connected components of more than one node: ``id, component`` (the smallest member).
 
+    Nodes with edges both ways between them are one component, so these pairs are put together first: edges
+    travel once, by their pair of ends, to find them (``_mutual``).  Edges of the rest into nodes that nothing
+    leaves, and out of nodes that nothing enters, lie on no cycle and go before the rest is named by components
+    (``_between``); what is left after that is a graph of components, whose own are found by ``_phases``.
+    """
+    e = edges.select("src", "dst").where("src is not null and dst is not null and src <> dst")
+    up = F.col("src") < F.col("dst")
+    ends = e.select(F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b"), F.when(up, 1).otherwise(2).cast("byte").alias("way"))
+    pairs = written(ends.repartition(64, "a", "b").groupBy("a", "b").agg(F.bit_or("way").alias("way")), count=F.col("way") < 3)
+    both = connected(pairs.where("way = 3").select("a", "b"))
+    one = pairs.where("way < 3").select(F.when(F.col("way") == 1, F.col("a")).otherwise(F.col("b")).alias("src"), F.when(F.col("way") == 1, F.col("b")).otherwise(F.col("a")).alias("dst"))
+    found = _phases(_between(one, pairs.counted, both))
+    release(pairs)
+    if found is None:
+        return both.select("id", F.col("name").alias("component"))
+    # a pair's component is named by its smallest member, so the smallest name of components put together is theirs
+    of = found.select(F.col("id").alias("name"), "component")
+    return both.join(of, "name", "left").select("id", F.coalesce("component", "name").alias("component")).unionByName(of.join(both.select("name").distinct(), "name", "left_anti").select(F.col("name").alias("id"), "component"))
+
+
+def connected(pairs: DataFrame) -> DataFrame:
+    """Each node of undirected ``pairs(a, b)`` with the smallest node it is connected to: ``id, name``.
+
+    Every node points at its smallest neighbour, if that is smaller; pointers are followed to their end, and pairs
+    are named by these ends for the next round, without those that are in one.
+    """
+    e, names = written(pairs.where("a <> b"), count=F.lit(True)), None
+    while e.counted or names is None:
+        near = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b"))).groupBy("a").agg(F.min("b").alias("b"))
+        now = written(near.select(F.col("a").alias("id"), F.least("a", "b").alias("name")))
+        moved = True
+        while moved:
+            # ends bear their own name: they need no look-up, and no name of many nodes is a key among ids
+            on = now.where("id <> name").select(F.col("id").alias("name"), F.col("name").alias("_next"))
+            then = written(now.join(on, "name", "left").select("id", F.coalesce("_next", "name").alias("name"), F.col("_next").isNotNull().alias("_moved")), count=F.col("_moved"))
+            release(now)
+            now, moved = then, then.counted > 0
+        now_names = now.select("id", "name")
+        if names is None:
+            then_names = written(now_names)
+        else:
+            then_names = written(names.join(now_names.toDF("name", "_next"), "name", "left").select("id", F.coalesce("_next", "name").alias("name")))
+            release(names)
+        a, b = now_names.toDF("a", "_a"), now_names.toDF("b", "_b")
+        left = written(e.join(a, "a").join(b, "b").where("_a <> _b").select(F.col("_a").alias("a"), F.col("_b").alias("b")).distinct(), count=F.lit(True))
+        release(e, now)
+        e, names = left, then_names
+    release(e)
+    return names
+
+
+def _between(one: DataFrame, rows: int, names: DataFrame) -> DataFrame:
+    """Edges among the components ``names(id, name)`` of ``one(src, dst)`` that may lie on a cycle; written, with their number."""
+
+    def named(ids):  # components of ids
+        return ids.join(names, "id", "left").select(F.coalesce("name", "id").alias("name")).distinct()
+
+    def members(found):  # all ids of components
+        return found.join(names, "name", "left").select(F.coalesce("id", "name").alias("id"))
+
+    leaving = members(named(_dealt(one.select(F.col("src").alias("id")).distinct(), rows, "id")))
+    e = written(_dealt(one, rows, "dst").join(_dealt(leaving.withColumnRenamed("id", "dst"), rows, "dst"), "dst", "left_semi").select("src", "dst"), count=F.lit(True))
+    a, b = names.toDF("src", "_src"), names.toDF("dst", "_dst")
+    on = e.join(a, "src", "left").join(b, "dst", "left").select(F.coalesce("_src", "src").alias("src"), F.coalesce("_dst", "dst").alias("dst"))
+    left = written(on.where("src <> dst").distinct(), count=F.lit(True))
+    release(e)
+    return _trimmed(left)
+
+
+def _trimmed(e: DataFrame) -> DataFrame:
+    """``e`` without edges out of nodes that nothing enters or into nodes that nothing leaves, as often as an eighth goes."""
+    while e.counted:
+        kept = e.join(e.select(F.col("src").alias("dst")).distinct(), "dst", "left_semi")
+        kept = written(kept.join(kept.select(F.col("dst").alias("src")).distinct(), "src", "left_semi").select("src", "dst"), count=F.lit(True))
+        few = kept.counted > e.counted * 7 / 8
+        release(e)
+        e = kept
+        if few:
+            break
+    return e
+
+
+def _phases(e: DataFrame) -> DataFrame | None:
+    """Strong components ``id, component`` of distinct written edges, which are released; None without any.
+
     Every phase gives the nodes random priorities and works from all local minima at once: a node's
     ``f`` is the least node that reaches it and its ``b`` the least one that it reaches over edges inside
     one ``f``.  Nodes of one component share both, and where the two are equal they are its name: those
@@ -181,15 +300,8 @@ def strong_components(edges: DataFrame) -> DataFrame:
     A node with very many edges makes a large join key, which adaptive execution splits; minima are
     combined before each shuffle.
     """
-    e = written(edges.select("src", "dst").where("src is not null and dst is not null and src <> dst").distinct())
     found, phase = None, 0
-    while True:
-        kept = e.join(e.select(F.col("dst").alias("src")).distinct(), "src", "left_semi")
-        kept = written(kept.join(kept.select(F.col("src").alias("dst")).distinct(), "dst", "left_semi").select("src", "dst"), count=F.lit(True))
-        release(e)
-        e = kept
-        if not e.counted:
-            break
+    while e.counted:
         f = _least_reaching(e, phase)
         inner = written(e.join(f.toDF("src", "fs"), "src").join(f.toDF("dst", "fd"), "dst").where("fs = fd").select("src", "dst"))
         b = _least_reaching(inner.select(F.col("dst").alias("src"), F.col("src").alias("dst")), phase)
@@ -197,12 +309,12 @@ def strong_components(edges: DataFrame) -> DataFrame:
         own = both.where("f = b").select("id", F.col("f").alias("pivot"))
         found = own if found is None else found.unionByName(own)
         rest = both.where("f <> b")
-        left = written(inner.join(rest.toDF("src", "fs", "bs"), "src").join(rest.toDF("dst", "fd", "bd"), "dst").where("bs = bd").select("src", "dst"))
+        left = written(inner.join(rest.toDF("src", "fs", "bs"), "src").join(rest.toDF("dst", "fd", "bd"), "dst").where("bs = bd").select("src", "dst"), count=F.lit(True))
         release(e, f, b, inner)
-        e, phase = left, phase + 1
+        e, phase = _trimmed(left), phase + 1
     release(e)
     if found is None:
-        return edges.sparkSession.createDataFrame([], edges.select(F.col("src").alias("id"), F.col("src").alias("component")).schema)
+        return None
     named = found.groupBy("pivot").agg(F.min("id").alias("component"), F.count("*").alias("_n")).where("_n > 1")
     return found.join(named, "pivot").select("id", "component")
 
@@ -357,18 +469,18 @@ def parent_cycles(parents: DataFrame) -> DataFrame:
 def back_edges(edges: DataFrame) -> DataFrame:
     """Edges ``(graph, src, dst)`` of small graphs that close a cycle in a depth-first walk in order of ids.
 
-    A walk is sequential, so each graph is one group; the graphs are ego graphs of bounded depth.
+    A walk is sequential, so each graph is walked in one task; the graphs are ego graphs of bounded depth
+    or strong components.  A task walks one after the other as they come sorted, holding one at a time.
     """
+    import itertools
 
     def walk(g):
-        import pandas as pd
-
         out: dict = {}
-        for s, d in sorted(zip(g["src"], g["dst"])):
+        for s, d in g:
             out.setdefault(s, []).append(d)
         state: dict = {}
         found = []
-        for root in sorted(set(g["src"]) | set(g["dst"])):
+        for root in sorted({x for edge in g for x in edge}):
             if root in state:
                 continue
             state[root] = 1
@@ -380,13 +492,25 @@ def back_edges(edges: DataFrame) -> DataFrame:
                     state[at] = 2
                     stack.pop()
                 elif state.get(to) == 1:
-                    found.append((g["graph"].iloc[0], at, to))
+                    found.append((at, to))
                 elif to not in state:
                     state[to] = 1
                     stack.append((to, iter(out.get(to, ()))))
-        return pd.DataFrame(found, columns=["graph", "src", "dst"])
+        return found
+
+    def walks(batches):
+        import pyarrow as pa
+
+        rows = (r for b in batches for r in zip(*(c.to_pylist() for c in b.columns)))
+        found = ((name, *edge) for name, g in itertools.groupby(rows, lambda r: r[0]) for edge in walk([r[1:] for r in g]))
+        while some := list(itertools.islice(found, 10_000)):
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*some), kinds)], names=["graph", "src", "dst"])
+
+    from pyspark.sql.pandas.types import to_arrow_type
 
-    return edges.groupBy("graph").applyInPandas(walk, edges.select("graph", "src", "dst").schema)
+    own = edges.select("graph", "src", "dst")
+    kinds = [to_arrow_type(f.dataType) for f in own.schema]
+    return own.repartition("graph").sortWithinPartitions("graph", "src", "dst").mapInArrow(walks, own.schema)
 
 
 def cycle_edges(edges: DataFrame) -> DataFrame:
@@ -396,7 +520,8 @@ def cycle_edges(edges: DataFrame) -> DataFrame:
     """
     own = written(strong_components(edges))
     a, b = own.toDF("src", "graph"), own.toDF("dst", "_other")
-    inner = edges.select("src", "dst").where("src <> dst").distinct().join(a, "src").join(b, "dst").where("graph = _other")
+    # an edge is inside a component if both ends name it: found before repeats are dropped, as few are
+    inner = edges.select("src", "dst").where("src <> dst").join(a, "src").join(b, "dst").where("graph = _other").distinct()
     return back_edges(inner.select("graph", "src", "dst"))
 
 

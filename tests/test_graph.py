@@ -122,3 +122,47 @@ def test_siblings_stand_as_readers_sort_them(spark):
     df = spark.createDataFrame([("p", n) for n in names], "parent string, name string")
     got = [r["name"] for r in G.siblings(df, "parent", "name", ("first", "second")).orderBy("place").collect()]
     assert got == ["first", "second", "apple", "Éclair", "eclipse", "oak", "Öl", "zebra"]
+
+
+def plan_of(df, capsys):
+    df.explain()
+    return capsys.readouterr().out
+
+
+def test_pairs_that_point_at_each_other_need_no_phases(spark, monkeypatch):
+    """Stars and chains of such pairs, joined by edges one way, are named before any name has to travel."""
+    monkeypatch.setattr(G, "_least_reaching", None)
+    pairs = [(9, k) for k in range(20, 25)] + [(20, 30), (30, 31), (50, 51), (60, 61)]
+    edges = [*pairs, *((b, a) for a, b in pairs), (24, 50), (50, 60), (1, 9), (61, 70), (7, 7)]
+    assert found(spark, edges) == components(edges)
+
+
+def test_a_cycle_over_pairs_is_one_component(spark):
+    edges = [(5, 6), (6, 5), (6, 8), (8, 9), (9, 8), (9, 3), (3, 5), (9, 40), (40, 41), (41, 40)]
+    assert found(spark, edges) == components(edges)
+
+
+def test_connected_nodes_of_random_pairs(spark):
+    rng = random.Random(4)
+    pairs = [(rng.randrange(200), rng.randrange(200)) for _ in range(120)]
+    got = dict(G.connected(spark.createDataFrame(pairs, "a long, b long")).collect())
+    assert got == components([(a, b) for a, b in pairs] + [(b, a) for a, b in pairs])
+
+
+def test_walks_of_graphs_share_tasks(spark, capsys):
+    edges = [(g, a, b) for g in range(500) for a, b in ((1, 2), (2, 3), (3, 1))]
+    df = G.back_edges(spark.createDataFrame(edges, "graph long, src long, dst long"))
+    assert sorted(map(tuple, df.collect())) == [(g, 3, 1) for g in range(500)]
+    assert "FlatMapGroupsInPandas" not in plan_of(df, capsys)
+
+
+def test_ends_are_put_together_before_they_meet_the_nodes(spark, capsys):
+    nodes, edges = spark.createDataFrame([(k,) for k in range(5)], "id long"), spark.createDataFrame([(1, 2)] * 50, "src long, dst long")
+    df = G.orphans(nodes, edges)
+    assert sorted(r["id"] for r in df.collect()) == [0, 3, 4] and "HashAggregate" in plan_of(df, capsys)
+
+
+def test_stored_edges_are_distinct_and_not_shuffled_again(spark, capsys):
+    e = G.stored(spark.createDataFrame([(1, 2), (1, 2), (2, 3)], "src long, dst long"), buckets=4)
+    assert sorted(map(tuple, e.collect())) == [(1, 2), (2, 3)]
+    assert "Exchange" not in plan_of(e.groupBy("src").count(), capsys)
