@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.shared import written
 from ..sources.sinks import coverage_lines
 from . import graph
 
@@ -24,9 +25,10 @@ def report(systems: DataFrame, nodes: DataFrame, edges: DataFrame, inventory: Da
     line, as continued lines of one list item, so a loop of any size is whole.
     """
     spark = nodes.sparkSession
-    e = graph.valid_edges(edges.select(F.col("from").alias("src"), F.col("to").alias("dst")).distinct(), nodes)
+    # several sections read these: they are worked out once
+    e = written(graph.valid_edges(edges.select(F.col("from").alias("src"), F.col("to").alias("dst")), nodes).distinct())
     ends = e.select(F.col("src").alias("id")).union(e.select("dst")).distinct().withColumn("_linked", F.lit(1))
-    seen = nodes.join(ends, "id", "left")
+    seen = written(nodes.select("id", "system").join(ends, "id", "left"))
 
     def lines(df: DataFrame, section: int, value: Column, path: str | None = None, rank: str = "0", name: str = "''", item: str = "''") -> DataFrame:
         at = F.col(path) if path else F.array().cast("array<bigint>")
@@ -43,7 +45,7 @@ def report(systems: DataFrame, nodes: DataFrame, edges: DataFrame, inventory: Da
     said = F.concat(F.repeat(F.lit("  "), F.col("depth")), F.format_string("- **%s** — %d nodes, %d connected", "name", "total", "connected"), own)
 
     pointing = edges.where("rel <> 'requires'").select(F.col("from").alias("id"))
-    loops = graph.strong_components(e)
+    loops = written(graph.strong_components(e))
     loops = loops.join(loops.groupBy("component").count(), "component")
     member = F.when(F.col("id") == F.col("component"), code("id")).otherwise(F.format_string("  → `%s`", "id"))
 
@@ -64,6 +66,7 @@ def report(systems: DataFrame, nodes: DataFrame, edges: DataFrame, inventory: Da
     body = parts[0]
     for p in parts[1:]:
         body = body.unionByName(p)
+    body = written(body)  # asked twice which sections it has
 
     tables = {1: ["| System | Connected | Total | Coverage |", "|---|---|---|---|"], 6: ["| Page | Bytes |", "|---|---|"]}
     heads = [(s, 0, [], k, "", "", line) for s, h in enumerate(HEADINGS) if s != 7 or inventory is not None for k, line in enumerate([h, "", *tables.get(s, [])])]

@@ -85,3 +85,10 @@ def test_card_names_that_clash_are_told(spark):
     vocab = spark.createDataFrame([("anvil", "relic-1")], "surface string, target string")
     clash = wikitext.parse_cards(pages, vocab)[2]
     assert [tuple(r) for r in clash.collect()] == [("Anvil", "tarot-anvil")]
+
+
+def test_sections_share_what_they_read(spark, capsys):
+    """Links, loops and the hierarchy are worked out once, not again wherever a section or a heading asks for them."""
+    coverage.report(*small(spark)).explain()
+    plan = capsys.readouterr().out
+    assert "_linked" not in plan and "SortMergeJoin" not in plan
