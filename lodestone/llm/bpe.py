@@ -23,6 +23,7 @@ import base64
 import hashlib
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,6 +38,8 @@ from pyspark.sql.pandas.types import to_arrow_type
 from .common import binary_array, key_runs, partitions, starts_of
 
 BLOCK_BYTES, BLOCK_DOCS = 14 << 20, 50_000
+#: Bytes of text that are cut into chunks at a time.
+PIECE = 1 << 20
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -111,36 +114,57 @@ def _uncut(data: np.ndarray, texts: list[bytes], ends: np.ndarray) -> np.ndarray
     return out
 
 
-def chunk_codes(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+def chunk_codes(texts: list[bytes]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """Texts as chunks: pieces that no pre-token spans, each from one space or newline to the next.
 
     A single space opens a chunk, as it joins the next word, and so does a newline; a text where one
     stands before other white space or the end is one chunk.  Gives the distinct chunks, the number of
-    each text's chunks one after the other, and where each text's chunks end.
+    each text's chunks one after the other, and where each text's chunks end.  Texts are looked at some
+    PIECE bytes at a time, so that masks of their bytes stay small.
     """
-    ends = np.cumsum([len(t) for t in texts])
-    data = np.frombuffer(b"".join(texts), "u1")
-    if not len(data):
-        return [], np.empty(0, "i4"), np.zeros(len(texts), "i8")
-    opens = (data == 0x20) | (data == 0x0A)
-    lengths = np.diff(np.r_[0, ends])
-    opens &= ~np.repeat(_uncut(data, texts, ends), lengths)
-    opens[(ends - lengths)[lengths > 0]] = True
-    starts = np.flatnonzero(opens)
-    coded = binary_array(data, np.r_[starts, len(data)]).dictionary_encode()
-    return coded.dictionary.to_pylist(), coded.indices.to_numpy(), np.searchsorted(starts, ends)
+    sizes = np.fromiter(map(len, texts), "i8", len(texts))
+    parts, counts = [], np.zeros(len(texts), "i8")
+    lo = 0
+    while lo < len(texts):
+        hi = lo + max(1, int(np.searchsorted(np.cumsum(sizes[lo:]), PIECE)))
+        some, lengths, ends = texts[lo:hi], sizes[lo:hi], np.cumsum(sizes[lo:hi])
+        data = np.frombuffer(b"".join(some), "u1")
+        if len(data):
+            opens = (data == 0x20) | (data == 0x0A)
+            opens &= ~np.repeat(_uncut(data, some, ends), lengths)
+            opens[(ends - lengths)[lengths > 0]] = True
+            starts = np.flatnonzero(opens)
+            counts[lo:hi] = np.diff(np.r_[0, np.searchsorted(starts, ends)])
+            parts.append(binary_array(data, np.r_[starts, len(data)]))
+        lo = hi
+    coded = pa.chunked_array(parts, pa.binary()).dictionary_encode().unify_dictionaries()
+    if not parts:
+        return pa.array([], pa.binary()), np.empty(0, "i4"), counts
+    return coded.chunk(0).dictionary, np.concatenate([c.indices.to_numpy() for c in coded.chunks]), np.cumsum(counts)
+
+
+def _words(chunks: pa.Array, compiled: regex.Pattern) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """Distinct pre-tokens of chunks, how many each chunk has, and their numbers one after the other."""
+    number: dict[str, int] = {}
+    sizes, flat = array("i"), array("i")
+    for at in range(0, len(chunks), 10_000):
+        for c in chunks.slice(at, 10_000).to_pylist():
+            found = compiled.findall(c.decode())
+            sizes.append(len(found))
+            flat.extend([number.setdefault(w, len(number)) for w in found])
+    return [w.encode() for w in number], np.array(sizes, "i8"), np.array(flat, "i8")
 
 
 def _checksum(texts: list[bytes]) -> int:
     return zlib.crc32(np.array([len(t) for t in texts], "<i8").tobytes())
 
 
-def _ordered(words: list[list[str]], buckets: int) -> tuple[list[bytes], np.ndarray]:
-    """The block's distinct words by bucket and bytes, and each one's bucket: the same in both readings."""
-    distinct = sorted({w.encode() for some in words for w in some})
-    bucket = np.fromiter([zlib.crc32(w) % buckets for w in distinct], "i8", len(distinct))
-    order = np.argsort(bucket, kind="stable")
-    return [distinct[i] for i in order], bucket[order]
+def _ordered(words: list[bytes], buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """The order of a block's distinct words by bucket and bytes, and each one's bucket: the same in both readings."""
+    order = np.array(sorted(range(len(words)), key=words.__getitem__), "i8")
+    bucket = np.fromiter([zlib.crc32(words[i]) % buckets for i in order], "i8", len(words))
+    stable = np.argsort(bucket, kind="stable")
+    return order[stable], bucket[stable]
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list, list[bytes]]]:
@@ -157,6 +181,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list, list
             if size >= BLOCK_BYTES or len(ids) >= BLOCK_DOCS:
                 yield part << 24 | k, ids, texts
                 ids, texts, size, k = [], [], 0, k + 1
+                pa.default_memory_pool().release_unused()  # what a block took, for the workers beside this one
     if ids:
         yield part << 24 | k, ids, texts
 
@@ -178,7 +203,11 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
     def words(batches):
         compiled = regex.compile(pattern)
         for block, _, texts in _blocks(batches):
-            distinct, bucket = _ordered([compiled.findall(c.decode()) for c in chunk_codes(texts)[0]], buckets)
+            chunks = chunk_codes(texts)[0]
+            some = (chunks.slice(at, 10_000).to_pylist() for at in range(0, len(chunks), 10_000))
+            found = [w.encode() for w in {w for part in some for c in part for w in compiled.findall(c.decode())}]
+            order, bucket = _ordered(found, buckets)
+            distinct = [found[i] for i in order]
             starts = starts_of(bucket)
             ends = np.r_[starts[1:], len(bucket)]
             body = [_pack(np.array([len(w) for w in distinct[lo:hi]])) + b"".join(distinct[lo:hi]) for lo, hi in zip(starts, ends)]
@@ -204,16 +233,19 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
     def sequences(batches):
         compiled = regex.compile(pattern)
         for block, ids, texts in _blocks(batches):
-            found, codes, ends = chunk_codes(texts)
-            words = [compiled.findall(c.decode()) for c in found]
-            number_of = {w: i for i, w in enumerate(_ordered(words, buckets)[0])}
-            order = np.argsort(-np.bincount(codes, minlength=len(words)), kind="stable")
+            chunks, codes, ends = chunk_codes(texts)
+            words, sizes, own = _words(chunks, compiled)
+            place = np.empty(len(words), "u4")
+            place[_ordered(words, buckets)[0]] = np.arange(len(words), dtype="u4")
+            order = np.argsort(-np.bincount(codes, minlength=len(sizes)), kind="stable")
             rank = np.empty(len(order), "i4")
             rank[order] = np.arange(len(order), dtype="i4")  # frequent chunks get small numbers
-            flat = np.array([number_of[w.encode()] for i in order.tolist() for w in words[i]], "i8")
-            head = _pack(np.array([len(words[i]) for i in order.tolist()], "i8")) + flat.astype("<u4").tobytes()
+            many = sizes[order]
+            first = (np.cumsum(sizes) - sizes)[order]
+            flat = place[own[np.repeat(first - (np.cumsum(many) - many), many) + np.arange(len(own))]]
+            head = _pack(many) + flat.astype("<u4").tobytes()
             parts = np.split(rank[codes], ends[:-1])
-            del words, found, number_of, codes
+            del chunks, words, own, flat, codes
             check = _checksum(texts)
             yield pa.record_batch({"block": pa.array([block], pa.int64()), "check": pa.array([check], pa.int64()), "doc": pa.nulls(1, id_kind), "body": pa.array([head], pa.binary()), "head": pa.array([True])})
             for at in range(0, len(ids), 2000):

@@ -40,6 +40,22 @@ def test_bpe_round_trip(spark, tmp_path):
     assert bpe.encode(stored(docs(spark, []), tmp_path / "e"), path, P.PATTERN).count() == 0
 
 
+def test_a_block_is_cut_into_chunks_in_little_memory():
+    """Masks of a whole block's bytes took several times its size in every worker."""
+    import tracemalloc
+
+    texts = [b"some words\nand more " * 500 for _ in range(1000)] + [b"", "\u00a0two  gaps\u2003\n".encode(), b""]
+    tracemalloc.start()
+    chunks, codes, ends = bpe.chunk_codes(texts)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 5 * sum(map(len, texts))
+    found, lo = chunks.to_pylist(), 0
+    for t, hi in zip(texts, ends.tolist()):
+        assert b"".join(found[c] for c in codes[lo:hi]) == t
+        lo = hi
+
+
 def test_token_store(spark, tmp_path):
     from tokenizers import Tokenizer
 
