@@ -6,12 +6,14 @@ import bisect
 import difflib
 import re
 import zlib
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import ArrayType, DoubleType, StringType
 
 from ..sources.shared import release, written
@@ -30,6 +32,8 @@ def collisions(vocab: DataFrame) -> DataFrame:
     return vocab.groupBy(F.lower("surface").alias("folded")).agg(F.countDistinct("target").alias("targets")).where("targets > 1")
 
 
+#: Tokens or candidates that a worker holds as Python objects, beside those of one text.
+AT_ONCE = 20_000
 #: Words, and runs of other characters that a surface without words may begin with.
 _TOKEN = re.compile(r"(\w+)|(\W{3,})")
 _WORD = re.compile(r"\w")
@@ -132,6 +136,20 @@ def sieve(rows: DataFrame) -> np.ndarray:
     return np.unpackbits(out.view("u1"), bitorder="little").view(bool)
 
 
+def by_size(b: pa.RecordBatch, column: str, most: int) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch whose lists in ``column`` have ``most`` elements together, or of one row.
+
+    A batch holds 10,000 texts whatever they met; as Python objects their candidates take ten times the
+    room that they have in the batch, so only some stand as such at a time.
+    """
+    ends = np.cumsum(b.column(column).value_lengths().to_numpy())
+    lo = 0
+    while lo < b.num_rows:
+        hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + most, side="right")))
+        yield b.slice(lo, hi - lo)
+        lo = hi
+
+
 def hits(df: DataFrame, vocab: DataFrame, text_col: str, out: str = "hits", claimed: Callable[[str], list[tuple[int, int]]] | None = None) -> DataFrame:
     """``df`` with ``out``, the hits of its text as ``array<struct<start,stop,surface,target>>`` in order of place.
 
@@ -144,6 +162,7 @@ def hits(df: DataFrame, vocab: DataFrame, text_col: str, out: str = "hits", clai
     spark = df.sparkSession
     target = dict(vocab.dtypes)["target"]
     kind = f"array<struct<start:int,stop:int,surface:string,target:{target}>>"
+    result = to_arrow_type(df.sparkSession.createDataFrame([], f"x {kind}").schema["x"].dataType)
     key = ["_k1", "_k2"]
 
     def passing(sieve):
@@ -151,15 +170,16 @@ def hits(df: DataFrame, vocab: DataFrame, text_col: str, out: str = "hits", clai
         return lambda: np.unpackbits(shared.value).tobytes()  # a byte for each bit is the quickest to ask
 
     def rows_of(bits, batches, places):
-        known = bits()
+        known, columns = bits(), [*key, "token", "places"] if places else ["token"]
         for b in batches:
-            for at in range(0, len(b), 200):
-                part = b.iloc[at : at + 200]
-                rows = []
-                for r in zip(*(part[c] for c in part.columns)):
-                    found = tokens(_lowered(r[-1]), known)
-                    rows += [(*r[:-1], t, p) for t, p in found.items()] if places else [(t,) for t in found]
-                yield pd.DataFrame(rows, columns=[*key, "token", "places"] if places else ["token"])
+            rows = []
+            for r in zip(*(b[c] for c in b.columns)):
+                found = tokens(_lowered(r[-1]), known)
+                rows += [(*r[:-1], t, p) for t, p in found.items()] if places else [(t,) for t in found]
+                if len(rows) >= AT_ONCE:
+                    yield pd.DataFrame(rows, columns=columns)
+                    rows = []
+            yield pd.DataFrame(rows, columns=columns)
 
     surfaces = written(surface_tokens(vocab))
     in_vocabulary = passing(sieve(surfaces))
@@ -172,18 +192,27 @@ def hits(df: DataFrame, vocab: DataFrame, text_col: str, out: str = "hits", clai
 
     def settled(batches):
         for b in batches:
-            rows = []
-            for k1, k2, text, met in zip(b["_k1"], b["_k2"], b["_text"], b["met"]):
-                every = [(p - m["offset"], m["surface"], m["target"], m["case_sensitive"]) for m in met for p in m["places"]]
-                found = sorted(settle(text, every, claimed(text) if claimed else []))
-                rows.append((k1, k2, [dict(zip(("start", "stop", "surface", "target"), x)) for x in found]))
-            yield pd.DataFrame(rows, columns=["_k1", "_k2", out])
+            for some in by_size(b, "met", AT_ONCE):
+                met = some.column("met").flatten()
+                offset, surface, goal, sensitive = (met.field(k).to_pylist() for k in ("offset", "surface", "target", "case_sensitive"))
+                sizes, places = met.field("places").value_lengths().to_numpy(), met.field("places").flatten().to_numpy()
+                each = np.repeat(np.arange(len(sizes)), sizes)
+                every = [(p - offset[i], surface[i], goal[i], sensitive[i]) for p, i in zip(places.tolist(), each.tolist())]
+                ends = np.r_[0, np.cumsum(sizes)][np.cumsum(some.column("met").value_lengths().to_numpy())]
+                rows, upto, lo = [], [0], 0
+                for text, hi in zip(some.column("_text").to_pylist(), ends.tolist()):
+                    rows += sorted(settle(text, every[lo:hi], claimed(text) if claimed else []))
+                    upto.append(len(rows))
+                    lo = hi
+                columns = [pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else [[]] * 4, result.value_type)]
+                found = pa.ListArray.from_arrays(pa.array(upto, pa.int32()), pa.StructArray.from_arrays(columns, fields=list(result.value_type)))
+                yield pa.record_batch([some.column("_k1"), some.column("_k2"), found], names=["_k1", "_k2", out])
 
     keyed = df.withColumns({"_k1": F.xxhash64(text_col), "_k2": F.xxhash64(F.lit("2"), text_col)})
     texts = keyed.where(F.col(text_col).isNotNull()).groupBy(*key).agg(F.first(text_col).alias("_text"))
     places = texts.mapInPandas(lambda batches: rows_of(chosen, batches, True), "_k1 long, _k2 long, token string, places array<int>")
     met = places.join(anchors, "token").groupBy(*key).agg(F.collect_list(F.struct("places", "offset", "surface", "target", "case_sensitive")).alias("met"))
-    found = texts.join(met, key).mapInPandas(settled, f"_k1 long, _k2 long, `{out}` {kind}")
+    found = texts.join(met, key).mapInArrow(settled, f"_k1 long, _k2 long, `{out}` {kind}")
     return keyed.join(found, key, "left").select(*df.columns, F.coalesce(out, F.array().cast(kind)).alias(out))
 
 

@@ -3,6 +3,9 @@
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
+
 from lodestone.operators import match
 
 
@@ -40,6 +43,22 @@ def test_hits_are_those_of_a_plain_scan(spark):
     assert match.hits(df, words.where("false"), "text").where("size(hits) > 0").isEmpty() and match.hits(df.where("false"), words, "text").isEmpty()
 
 
+def test_candidates_stand_as_objects_only_some_at_a_time():
+    """A batch of 10,000 texts, whatever they met, used to be turned into objects at once."""
+    met = pa.array([[{"surface": "a b"}] * n for n in (0, 3, match.AT_ONCE + 1, 0, match.AT_ONCE - 5, 5, 1)])
+    parts = list(match.by_size(pa.record_batch({"k": np.arange(7), "met": met}), "met", match.AT_ONCE))
+    assert [p.column("k").to_pylist() for p in parts] == [[0, 1], [2], [3, 4, 5], [6]]
+    assert pa.concat_arrays([p.column("met") for p in parts]).equals(met)
+
+
+def test_more_candidates_than_stand_at_a_time(spark, monkeypatch):
+    monkeypatch.setattr(match, "AT_ONCE", 3)
+    rows = [(k, "one two, two three; one two " * (k % 5) if k else None) for k in range(40)]
+    words = spark.createDataFrame([("one two", 1), ("two three", 2), ("three", 3)], "surface string, target int")
+    for r in match.hits(spark.createDataFrame(rows, "id long, text string").coalesce(1), words, "text").collect():
+        assert [tuple(x) for x in r["hits"]] == plainly(rows[r["id"]][1], [("one two", 1), ("two three", 2), ("three", 3)])
+
+
 def test_a_vocabulary_of_any_size(spark):
     """More surfaces than any task could be given as a list; each text finds its own."""
     words = spark.range(0, 300_000).selectExpr("concat('name ', id, ' of item') surface", "id target")
