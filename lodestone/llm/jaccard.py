@@ -179,6 +179,34 @@ def difference(x: np.ndarray, head: np.ndarray, frequency: np.ndarray) -> np.nda
     return own[np.lexsort((own, frequency[own >> np.uint64(64 - SLOTS_LOG)], head[at] == own))]
 
 
+def partnered(token: np.ndarray, n: np.ndarray, dn: np.ndarray, pos: np.ndarray, delta: np.ndarray, percent: int) -> np.ndarray:
+    """Which rows of index lists, sorted by token, some other row of their list may be linked to, by what both ask and can share.
+
+    The first and last list may go on in other batches, so all of their rows stay.
+    """
+    up, down = 100 + percent, 100 - percent
+    n, dn, pos = n.astype("i8"), dn.astype("i8"), pos.astype("i8")
+    asks = np.where(delta, up * dn - down * n, 2 * percent * n)
+    shares = 2 * up * (dn - pos) - asks
+
+    def of_others(x):
+        """The least of the other rows of the list."""
+        order = np.lexsort((x, token))
+        lo = starts_of(token[order])
+        size = np.diff(np.r_[lo, len(x)])
+        far = np.iinfo("i8").max
+        least = np.repeat(x[order][lo], size)
+        second = np.repeat(np.where(size > 1, x[order][np.minimum(lo + 1, len(x) - 1)], far), size)
+        out = np.empty(len(x), "i8")
+        own = np.zeros(len(x), bool)
+        own[lo] = True
+        out[order] = np.where(own, second, least)
+        return out
+
+    keep = (of_others(asks) <= shares) & (asks <= -of_others(-shares))
+    return keep | (token == token[0]) | (token == token[-1])
+
+
 def join(docs: DataFrame, percent: int = 90, words: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows ``(doc_id, n_shingles, component_id)``, one for each row of ``docs``."""
     spark = docs.sparkSession
@@ -247,7 +275,7 @@ def join(docs: DataFrame, percent: int = 90, words: int = 3, id_col: str = "doc_
         return stored(left.where(~long).union(both.mapInArrow(finer, "a long, b long, na long, nb long, differ long")).select("a", "b", "differ"))
 
     def fetch(wanted: DataFrame) -> DataFrame:
-        """The sets named by ``wanted(sid)``: ``sid, items``."""
+        """The sets named by ``wanted(sid)``: ``sid, items`` and the other columns of ``wanted``, for each of its rows."""
 
         def bits(batches):
             m = np.zeros(BLOOM_BITS, bool)
@@ -259,7 +287,7 @@ def join(docs: DataFrame, percent: int = 90, words: int = 3, id_col: str = "doc_
 
         # a filter of fixed size tells most sets that aren't wanted; it only saves their shuffle
         filled = np.zeros(BLOOM_BITS // 8, "u1")
-        for row in wanted.coalesce(8).mapInArrow(bits, "m binary").toLocalIterator():
+        for row in wanted.select("sid").coalesce(8).mapInArrow(bits, "m binary").toLocalIterator():
             filled |= np.frombuffer(row["m"], "u1")
         bloom = spark.sparkContext.broadcast(filled)
 
@@ -321,10 +349,11 @@ def join(docs: DataFrame, percent: int = 90, words: int = 3, id_col: str = "doc_
             own = [difference(np.frombuffer(x, "u8"), np.frombuffer(y, "u8"), shared.value) for x, y in zip(b.column("items").to_pylist(), b.column("top").to_pylist())]
             yield pa.record_batch({"head": b.column("head"), "sid": b.column("sid"), "n": (pa.compute.binary_length(b.column("items")).to_numpy() // 8).astype("i8"), "dn": np.array([len(x) for x in own], "i8"), "own": pa.array([x.tobytes() for x in own], pa.binary())})
 
-    items = fetch(lead.select("sid").union(lead.select("head")).distinct())
     groups = lead.groupBy("head").agg(F.ceil(F.count("*") / GROUP).cast("int").alias("salts"))
-    members = lead.join(groups, "head").withColumn("salt", F.pmod(F.xxhash64("sid"), F.col("salts")).cast("int")).join(items, "sid").select("head", "salt", "sid", "items")
-    tops = groups.select("head", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")).join(items.toDF("head", "top"), "head")
+    salted = lead.join(groups, "head").select("sid", "head", F.pmod(F.xxhash64("sid"), F.col("salts")).cast("int").alias("salt"), F.lit(False).alias("first"))
+    items = fetch(salted.union(groups.select("head", "head", "salts", F.lit(True))))
+    members = items.where("not first").select("head", "salt", "sid", "items")
+    tops = items.where("first").select("head", F.explode(F.sequence(F.lit(0), F.col("salt") - 1)).alias("salt"), F.col("items").alias("top"))
     deltas = stored(members.join(tops, ["head", "salt"]).mapInArrow(differences, "head long, sid long, n long, dn long, own binary"))
     release(items)
     excess = lambda dn: up * dn - down * F.col("n")  # noqa: E731  two members are linked iff their excesses are at most 2 * up * (what their differences share)
@@ -392,6 +421,8 @@ def join(docs: DataFrame, percent: int = 90, words: int = 3, id_col: str = "doc_
             first = np.flatnonzero(fresh)
             last = group[-1] if b is not None else len(first)  # the last set may go on in the next batch
             take = first[:last][any_of[:last]]
+            if len(take):
+                take = take[partnered(token[take], *(t.column(k).to_numpy()[take] for k in ("n", "dn", "pos", "delta")), percent)]
             if len(take):
                 yield t.take(pa.array(take)).drop_columns(["more"]).to_batches()[0]
             if b is not None:

@@ -394,6 +394,26 @@ def test_empty_table(spark, tmp_path, call):
     assert call(spark, stored(docs(spark, []), tmp_path)).count() == 0
 
 
+def test_jaccard_index_rows_without_a_partner_do_not_travel():
+    """Of a list's rows those stay that another row may be linked to; the lists at both ends may go on, and stay whole."""
+    rng = np.random.default_rng(3)
+    token = np.sort(rng.integers(0, 60, 300))
+    n = rng.integers(20, 400, 300).astype("i4")
+    delta = rng.random(300) < 0.3
+    dn = np.where(delta, rng.integers(1, 20, 300), n).astype("i4")
+    pos = rng.integers(0, np.maximum(1, n // 8)).astype("i4")
+    w = np.where(delta, 190 * dn.astype("i8") - 10 * n, 180 * n.astype("i8"))
+    cap = 2 * 190 * (dn.astype("i8") - pos) - w
+    kept = jaccard.partnered(token, n, dn, pos, delta, 90)
+    for i in range(300):
+        other = (token == token[i]) & (np.arange(300) != i)
+        linked = (other & (w <= cap[i]) & (w[i] <= cap)).any()
+        assert kept[i] or not linked
+        if token[i] not in (token[0], token[-1]) and not ((w[other] <= cap[i]).any() and (w[i] <= cap[other]).any()):
+            assert not kept[i]
+    assert kept.mean() < 0.8
+
+
 def test_jaccard_of_a_large_group_of_near_copies(spark):
     """A group whose members differ from their head, and some only from each other: against brute force."""
     rng = random.Random(5)
