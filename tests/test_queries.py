@@ -39,3 +39,16 @@ def test_entry(spark):
     import __spark_entry__
 
     assert __spark_entry__.entry(spark).count() > 0
+
+
+def test_prose_of_one_row_group_is_read_by_many_tasks(spark, tmp_path):
+    """A row group is one task's, and the matcher's work is that of its rows."""
+    from pyspark.sql import functions as F
+
+    import __spark_entry__
+
+    rows = spark.range(0, 400, 1, 1).selectExpr("id l_orderkey", "cast(id % 7 as int) l_linenumber", "id % 10 l_suppkey")
+    rows.write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = __spark_entry__.queries()["entity_references"](spark, str(tmp_path))
+    assert got.count() == 400 * 6
+    assert got.select(F.spark_partition_id().alias("p")).distinct().count() == int(spark.conf.get("spark.sql.shuffle.partitions"))
