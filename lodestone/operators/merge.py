@@ -20,12 +20,25 @@ def overlay(base: DataFrame, over: DataFrame, key: str, fields: Iterable[str]) -
     return both.select(key, *[pick(f).alias(f) for f in fields], F.when(F.col("_has").isNull(), 1).otherwise(0).alias("_new"), F.coalesce("_b_ord", "_o_ord").alias("_ord"))
 
 
-def upsert(base: DataFrame, over: DataFrame, keys: list[str]) -> DataFrame:
+#: Rows of a task where tables are dealt in proportion to their size.
+TASK_ROWS = 250_000
+
+
+def parts_for(table: DataFrame) -> int:
+    """So many partitions that a task of ``table`` has some TASK_ROWS rows, however large it is; stored tables know their counts."""
+    return max(table.sparkSession.sparkContext.defaultParallelism, -(-table.count() // TASK_ROWS))
+
+
+def upsert(base: DataFrame, over: DataFrame, keys: list[str], parts: int | None = None) -> DataFrame:
     """Rows of ``over`` replace those of ``base`` with their keys whole; the position of the key's first row stays.
 
-    One aggregate: the last row and the first position of a key are combined before the shuffle.
+    One aggregate: the last row and the first position of a key are combined before the shuffle.  Where most
+    keys have few rows, combining only sorts each task's rows once more: with ``parts``, rows are dealt to so
+    many tasks first.
     """
     both = base.withColumn("_rank", F.lit(0)).unionByName(over.withColumn("_rank", F.lit(1)))
+    if parts:
+        both = both.repartition(parts, *keys)
     values = [c for c in base.columns if c not in keys and c != "_ord"]
     place = F.struct("_rank", "_ord")
     got = both.groupBy(*keys).agg(F.max_by(F.struct(*values, F.lit(0).alias("_")), place).alias("_last"), F.min(place).alias("_first"))

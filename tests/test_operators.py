@@ -166,3 +166,19 @@ def test_links_keep_their_prefix_and_anchor(spark):
     said = d.select(*text.source_label(F.concat(F.lit("wiki:"), "p"), "B/")).first()
     assert tuple(said) == ("A b/c d#e f!", "B/A_b/c_d#e_f!")
     assert spark.range(1).select(*text.source_label(F.lit("discord"), "B/")).first()[:] == ("community report", None)
+
+
+def test_upsert_by_dealt_rows_is_the_same(spark):
+    base = spark.createDataFrame([("a", 1, 3), ("a", 2, 1), ("b", 3, 2), (None, 4, 4)], "id string, v int, _ord int")
+    over = spark.createDataFrame([("b", 9, 7), ("c", 8, 8), ("c", 7, 9)], "id string, v int, _ord int")
+    want = {("a", 1, 0, 1), ("b", 9, 0, 2), (None, 4, 0, 4), ("c", 7, 1, 8)}
+    for parts in (None, 3):
+        assert {tuple(r) for r in merge.upsert(base, over, ["id"], parts).select("id", "v", "_new", "_ord").collect()} == want
+
+
+def test_upsert_replace_has_tasks_in_proportion_to_its_rows(spark, monkeypatch):
+    """Shuffle partitions are a fixed number, and a table that grows would grow every task."""
+    monkeypatch.setattr(merge, "TASK_ROWS", 100, raising=False)
+    n = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").count()
+    got = queries.QUERIES["upsert_replace"](spark, "/root/testdata/sf0.001")
+    assert got.rdd.getNumPartitions() == -(-n // 100)
