@@ -25,10 +25,12 @@ def report(systems: DataFrame, nodes: DataFrame, edges: DataFrame, inventory: Da
     line, as continued lines of one list item, so a loop of any size is whole.
     """
     spark = nodes.sparkSession
+    # files are far smaller than their rows, and a broadcast would be planned by the files
+    large = nodes.hint("merge")
     # several sections read these: they are worked out once
-    e = written(graph.valid_edges(edges.select(F.col("from").alias("src"), F.col("to").alias("dst")), nodes).distinct())
+    e = written(graph.valid_edges(edges.select(F.col("from").alias("src"), F.col("to").alias("dst")), large).distinct())
     ends = e.select(F.col("src").alias("id")).union(e.select("dst")).distinct().withColumn("_linked", F.lit(1))
-    seen = written(nodes.select("id", "system").join(ends, "id", "left"))
+    seen = written(large.select("id", "system").join(ends, "id", "left"))
 
     def lines(df: DataFrame, section: int, value: Column, path: str | None = None, rank: str = "0", name: str = "''", item: str = "''") -> DataFrame:
         at = F.col(path) if path else F.array().cast("array<bigint>")
@@ -53,7 +55,7 @@ def report(systems: DataFrame, nodes: DataFrame, edges: DataFrame, inventory: Da
         lines(summary, 0, F.col("line"), rank="k"),
         lines(shares, 1, F.col("value"), name="system"),
         lines(tree.withColumn("path", F.array("position")), 2, said, path="path", name="id"),
-        lines(nodes.where(F.size("effects") > 0).join(pointing, "id", "left_anti"), 3, code("id"), name="id"),
+        lines(large.where(F.size("effects") > 0).join(pointing, "id", "left_anti"), 3, code("id"), name="id"),
         lines(seen.where("_linked is null"), 4, code("id"), name="id"),
         lines(loops, 5, member, rank="-count", name="component", item="id"),
     ]

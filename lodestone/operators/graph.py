@@ -266,7 +266,9 @@ def _between(one: DataFrame, rows: int, names: DataFrame) -> DataFrame:
         return found.join(names, "name", "left").select(F.coalesce("id", "name").alias("id"))
 
     leaving = members(named(_dealt(one.select(F.col("src").alias("id")).distinct(), rows, "id")))
-    e = written(_dealt(one, rows, "dst").join(_dealt(leaving.withColumnRenamed("id", "dst"), rows, "dst"), "dst", "left_semi").select("src", "dst"), count=F.lit(True))
+    # nodes by the files of their edges would look small enough to broadcast
+    leaving = _dealt(leaving.withColumnRenamed("id", "dst"), rows, "dst").hint("merge")
+    e = written(_dealt(one, rows, "dst").join(leaving, "dst", "left_semi").select("src", "dst"), count=F.lit(True))
     a, b = names.toDF("src", "_src"), names.toDF("dst", "_dst")
     on = e.join(a, "src", "left").join(b, "dst", "left").select(F.coalesce("_src", "src").alias("src"), F.coalesce("_dst", "dst").alias("dst"))
     left = written(on.where("src <> dst").distinct(), count=F.lit(True))

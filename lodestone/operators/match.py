@@ -254,6 +254,9 @@ def closest(values: DataFrame, candidates: DataFrame) -> DataFrame:
     the longer one's length at least, and 3/7 of either string's characters are in the other.  With all
     characters in one order, rarest first, such a pair shares one of the first 4/7 (and one) of each;
     only pairs that do, and whose lengths and character counts allow the ratio, are scored.
+
+    Only the tokens' numbers are broadcast, a row for each character and number of its occurrence; how many
+    rows strings make as tokens is not known before.
     """
     v = values.select(F.col("value").alias("s")).where("s is not null").distinct()
     c = candidates.select(F.col("candidate").alias("s")).where("s is not null").distinct()
@@ -261,13 +264,13 @@ def closest(values: DataFrame, candidates: DataFrame) -> DataFrame:
     rarity = tv.unionByName(tc).groupBy("token").agg(F.count("*").alias("n"))
 
     def first(tokens):
-        ranked = tokens.join(rarity, "token").groupBy("s").agg(F.array_sort(F.collect_list(F.struct("n", "token"))).alias("ts"))
+        ranked = tokens.join(F.broadcast(rarity), "token").groupBy("s").agg(F.array_sort(F.collect_list(F.struct("n", "token"))).alias("ts"))
         size = F.size("ts")
         return ranked.select("s", F.explode(F.slice("ts", F.lit(1), size - F.ceil(size * 3 / F.lit(7)).cast("int") + 1)).alias("t")).select("s", "t.token")
 
     a, b = first(tv).withColumnRenamed("s", "value"), first(tc).withColumnRenamed("s", "candidate")
     lv, lc = F.length("value"), F.length("candidate")
-    pairs = a.join(b, "token").where(20 * F.least(lv, lc) >= 6 * (lv + lc)).select("value", "candidate").distinct()
+    pairs = a.join(b.hint("merge"), "token").where(20 * F.least(lv, lc) >= 6 * (lv + lc)).select("value", "candidate").distinct()
     counts = lambda s: F.regexp_extract_all(s, F.lit("(?s)."), F.lit(0))
     held = lambda s, x: F.length(s) - F.length(F.replace(F.col(s), x, F.lit("")))
     common = F.aggregate(F.transform(F.array_distinct(counts("value")), lambda x: F.least(held("value", x), held("candidate", x)) / F.length(x)), F.lit(0.0), lambda p, q: p + q)

@@ -56,14 +56,14 @@ def build(spark: SparkSession, derived: Dataset, curated: Dataset, root: str, pa
             yield f"{n} error(s), nothing is written: " + "; ".join(r["message"] for r in first)
 
     systems = curated.systems
-    tables = {
-        "problems": problems, "nodes": nodes, "edges": edges, "systems": systems,
-        "graph": sinks.graph_json(place(nodes), place(edges), systems.withColumn("_ord", F.struct(F.lit(0).alias("_new"), F.col("_ord").cast(dict(nodes.dtypes)["_ord"]).alias("_ord")))),
-        "report": coverage.report(systems, nodes, edges, inventory, pages),
-    }
     try:
-        # what stops a build is staged first, so that a refused one does no more
+        # what stops a build is staged first, so that a refused one does no more: the report's parts are written as it is planned
         publish.publish(spark, root, {"problems": problems}, checks, {"problems": {"errors": "count_if(severity = 'error')"}}, dry=True)
+        tables = {
+            "problems": problems, "nodes": nodes, "edges": edges, "systems": systems,
+            "graph": sinks.graph_json(place(nodes), place(edges), systems.withColumn("_ord", F.struct(F.lit(0).alias("_new"), F.col("_ord").cast(dict(nodes.dtypes)["_ord"]).alias("_ord")))),
+            "report": coverage.report(systems, nodes, edges, inventory, pages),
+        }
         return publish.publish(spark, root, tables, checks, {"problems": {"errors": "count_if(severity = 'error')", "warnings": "count_if(severity = 'warning')"}}, dry=check_only)
     finally:
         release(nodes, edges, problems)
@@ -72,7 +72,7 @@ def build(spark: SparkSession, derived: Dataset, curated: Dataset, root: str, pa
 def repeated_ids(nodes: DataFrame) -> DataFrame:
     """An error for each id that one file has again."""
     first = nodes.groupBy("id").agg(F.min("_ord").alias("_first"))
-    again = nodes.join(first, "id").where("_ord > _first")
+    again = nodes.join(first.hint("merge"), "id").where("_ord > _first")
     return again.select(F.lit("error").alias("severity"), F.format_string("duplicate node id '%s' in one file", "id").alias("message"), F.col("_line").alias("line"))
 
 

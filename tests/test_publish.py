@@ -184,3 +184,30 @@ def test_a_build_publishes_all_or_nothing(spark, tmp_path):
         with pytest.raises(publish.Refused, match=reason):
             built(spark, tmp_path, d, c)
     assert publish.current(spark, root, "nodes").count() == 3 and len(listed(root)) == len([n for n in listed(root) if n.startswith(("version-", ".", "_current"))])
+
+
+def broadcasts(spark, since):
+    """Rows of each broadcast in the final plans of executions from number ``since`` on."""
+    store = spark._jsparkSession.sharedState().statusStore()
+    items = lambda seq: [seq.apply(i) for i in range(seq.size())]
+    for x in items(store.executionsList())[since:]:
+        values = store.executionMetrics(x.executionId())
+        for node in items(store.planGraph(x.executionId()).allNodes()):
+            if node.name() == "BroadcastExchange":
+                said = [values.get(m.accumulatorId()) for m in items(node.metrics()) if m.name() == "number of output rows"]
+                yield from (int(v.get().replace(",", "")) for v in said if v.isDefined())
+
+
+def test_a_build_broadcasts_no_nodes(spark):
+    """Files of nodes, a few bytes a row, are below the limit of a broadcast where their rows are many times above it."""
+    from lodestone.service_queries import build_published
+
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    since = spark._jsparkSession.sharedState().statusStore().executionsList().size()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20k")
+    try:
+        nodes = build_published(spark, "/root/testdata/sf0.01").where("what = 'node'").count()
+        rows = list(broadcasts(spark, since))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert nodes == 2100 and rows and max(rows) < nodes / 2
